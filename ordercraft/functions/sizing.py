@@ -1,0 +1,28 @@
+"""Size-checked broadcast.
+
+A side is only broadcast when a cheap bounded count proves it small. Otherwise
+the DataFrame is returned unchanged and Catalyst/AQE plan a shuffle join (and
+may still turn it into a broadcast at runtime under the AQE threshold).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+# Catalog-sized tables (SKU/product/brand maps, rule tables), projected to the few
+# columns a join needs, stay well under this; beyond it the join shuffles.
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
+
+
+def rows_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if the row bound holds, else ``df`` for a shuffle join."""
+    return F.broadcast(df) if rows_at_most(df, max_rows) else df
+
+
+def is_empty(df: DataFrame) -> bool:
+    return df.limit(1).count() == 0
