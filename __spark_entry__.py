@@ -129,23 +129,23 @@ def q_refill_default(spark, sf_dir):
 
 def q_refill_candidates(spark, sf_dir):
     t, driver = _staged(spark, sf_dir)
-    return refill.refill_candidates(t, driver, AS_OF)[0]
+    return refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut)[0]
 
 
 def q_refill_candidates_cn(spark, sf_dir):
     t, driver = _backfill(spark, sf_dir)
-    return refill.refill_candidates(t, driver, AS_OF)[0]
+    return refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut)[0]
 
 
 def q_refill_quarantine(spark, sf_dir):
     t, driver = _staged(spark, sf_dir)
-    return refill.refill_candidates(t, driver, AS_OF)[1]
+    return refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut)[1]
 
 
 def q_refill_upsert(spark, sf_dir):
     t, driver = _staged(spark, sf_dir)
-    candidates, _ = refill.refill_candidates(t, driver, AS_OF)
-    return refill.refill_upsert(t.cit_refil, candidates, driver)[0]
+    candidates, _ = refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut)
+    return refill.refill_upsert(t.cit_refil, jobs.checkpoint_cut(candidates), driver)[0]
 
 
 def q_refill_purge(spark, sf_dir):

@@ -66,12 +66,14 @@ def rebuy_rows(t: Tables, lines: DataFrame) -> DataFrame:
     )
 
 
-def refill_rebuy(t: Tables, lines: DataFrame) -> DataFrame:
+def refill_rebuy(t: Tables, lines: DataFrame, joined: DataFrame | None = None) -> DataFrame:
     """R rows of ``temp``: (code, order_id, sku_order, expiration, sku_rebuy).
 
-    ``expiration`` is NULL when the rebuy SKU is not in the order.
+    ``expiration`` is NULL when the rebuy SKU is not in the order. ``joined`` may pass
+    precomputed ``rebuy_rows``.
     """
-    return rebuy_rows(t, lines).select(
+    joined = rebuy_rows(t, lines) if joined is None else joined
+    return joined.select(
         F.lit(REBUY).alias("code"), "order_id", "sku_order", "expiration", "sku_rebuy").distinct()
 
 
@@ -86,9 +88,10 @@ def refill_base(t: Tables, lines: DataFrame) -> DataFrame:
     )
 
 
-def repeated_refill_orders(t: Tables, lines: DataFrame) -> DataFrame:
+def repeated_refill_orders(t: Tables, lines: DataFrame, joined: DataFrame | None = None) -> DataFrame:
     """Q2: orders where a rebuy SKU sits on several lines; the source skips all their refills."""
-    return rebuy_rows(t, lines).where(F.col("n_lines") > 1).select("order_id").distinct()
+    joined = rebuy_rows(t, lines) if joined is None else joined
+    return joined.where(F.col("n_lines") > 1).select("order_id").distinct()
 
 
 def _order_heads(t: Tables, orders: DataFrame) -> DataFrame:
@@ -103,9 +106,11 @@ def sku_names(t: Tables) -> DataFrame:
         t.dcs_sku.select("sku_id", "display_name"), "sku_id").drop("sku_id")
 
 
-def rule_candidates(t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt.datetime) -> DataFrame:
+def rule_candidates(
+    t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt.datetime, rebuy: DataFrame | None = None,
+) -> DataFrame:
     """Rule-based candidates (R and F rows joined back to the lines and rules)."""
-    rebuy = refill_rebuy(t, lines)
+    rebuy = refill_rebuy(t, lines) if rebuy is None else rebuy
     temp = rebuy.unionByName(refill_base(t, lines)).select(
         "order_id", "sku_order", "code",
         F.col("sku_rebuy").alias("sku_rebuy_t"), F.col("expiration").alias("extra_days"))
@@ -151,17 +156,23 @@ def default_candidates(t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt
     )
 
 
-def refill_candidates(t: Tables, orders: DataFrame, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
+def refill_candidates(
+    t: Tables, orders: DataFrame, as_of: dt.datetime, cut=lambda df: df,
+) -> tuple[DataFrame, DataFrame]:
     """``(candidates, quarantine)``.
 
     ``orders`` needs (order_id, submitted_date, profile_id); candidates depend only on
-    the order id, so an order listed twice is processed once (Q19).
+    the order id, so an order listed twice is processed once (Q19). ``cut`` (e.g. a
+    checkpoint) is applied to the intermediates that several branches read: the order
+    set, its lines and the joined R rows.
     """
-    order_set = orders.select("order_id", "submitted_date", "profile_id").distinct()
-    lines = order_lines(t, order_set)
-    union = rule_candidates(t, order_set, lines, as_of).unionByName(
+    order_set = cut(orders.select("order_id", "submitted_date", "profile_id").distinct())
+    lines = cut(order_lines(t, order_set))
+    joined = cut(rebuy_rows(t, lines))
+    rebuy = refill_rebuy(t, lines, joined)
+    union = rule_candidates(t, order_set, lines, as_of, rebuy).unionByName(
         default_candidates(t, order_set, lines, as_of)).distinct()
-    repeated = repeated_refill_orders(t, lines)
+    repeated = repeated_refill_orders(t, lines, joined)
     candidates = union.join(repeated, "order_id", "left_anti").select(*CANDIDATE_COLUMNS)
     quarantine = repeated.join(order_set, "order_id").select(
         "order_id", F.col("profile_id").alias("cf_id"), F.lit(None).cast("string").alias("cn_id"),

@@ -13,6 +13,7 @@ loop becomes joins with the order set (SURVEY 4.1 R1).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
@@ -37,11 +38,21 @@ ERROR_SEQ = "error_seq"
 class RunOutput:
     refil: DataFrame
     opportunities: DataFrame
-    errors: DataFrame
     quarantine: DataFrame
     driver: DataFrame
+    new_errors_fn: Callable[[], DataFrame]
+    current_errors: DataFrame
     extra: dict = field(default_factory=dict)
 
+    @property
+    def new_errors(self) -> DataFrame:
+        """Error rows of this run; ids are assigned (an eager step) only when asked for."""
+        return self.new_errors_fn()
+
+    @property
+    def errors(self) -> DataFrame:
+        return self.current_errors.unionByName(self.new_errors)
+
 
 def _last_order_per(driver: DataFrame, scope: list[str]) -> DataFrame:
     """The last processed order of each key, for error rows of the offer step."""
@@ -73,7 +84,7 @@ def staged_refill_stage(
     """J3 -> J5 -> J6 -> J7."""
     driver, q_orders = staged_orders(t, as_of)
     driver = cut(driver)
-    candidates, q_refill = refill_candidates(t, driver, as_of)
+    candidates, q_refill = refill_candidates(t, driver, as_of, cut)
     candidates = cut(candidates)
     refil, rejected = refill_upsert(t.cit_refil, candidates, driver, refil_base, mode)
     if not is_empty(driver):  # no purge when no order passed the guards (Q12)
@@ -96,7 +107,7 @@ def backfill_refill_stage(
         opps0 = opportunity_reset(t.cit_opportunities, start_date)
     if refil_base is None:
         refil_base = max_or(t.cit_refil, "id_key")  # ids never step back below deleted ones
-    candidates, q_refill = refill_candidates(t, driver, as_of)
+    candidates, q_refill = refill_candidates(t, driver, as_of, cut)
     candidates = cut(candidates)
     refil, rejected = refill_upsert(refil0, candidates, driver, refil_base, mode)
     contexts = driver.select(F.col("profile_id").alias("cf_id"), "cn_id", "order_id", "submitted_date")
@@ -115,25 +126,34 @@ def offer_stage(t: Tables, stage: RefillStage, as_of: dt.datetime, pointer_view:
 
 def _finish(t: Tables, stage: RefillStage, as_of: dt.datetime, error_base: int | None) -> RunOutput:
     opps, q_offers, opp_rejected, offers = offer_stage(t, stage, as_of)
-    new_errors = error_rows(t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base)
     return RunOutput(
         refil=stage.refil,
         opportunities=opps,
-        errors=t.cit_opp_errors.unionByName(new_errors),
         quarantine=stage.quarantine.unionByName(q_offers),
         driver=stage.driver,
-        extra={"candidates": stage.candidates, "offers": offers, "new_errors": new_errors},
+        new_errors_fn=lambda: error_rows(
+            t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base),
+        current_errors=t.cit_opp_errors,
+        extra={"candidates": stage.candidates, "offers": offers},
     )
 
 
-def staged_plan(t: Tables, as_of: dt.datetime, mode: str = "first_row") -> RunOutput:
-    """J13 as DataFrames, without writes."""
-    return _finish(t, staged_refill_stage(t, as_of, None, mode), as_of, None)
+def checkpoint_cut(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's checkpoint folder (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def staged_plan(t: Tables, as_of: dt.datetime, mode: str = "first_row", cut=checkpoint_cut) -> RunOutput:
+    """J13 as DataFrames, without writes to the targets."""
+    return _finish(t, staged_refill_stage(t, as_of, None, mode, cut), as_of, None)
 
 
-def backfill_plan(t: Tables, start_date: dt.datetime, as_of: dt.datetime, mode: str = "first_row") -> RunOutput:
-    """J14 as DataFrames, without writes."""
-    return _finish(t, backfill_refill_stage(t, start_date, as_of, None, mode), as_of, None)
+def backfill_plan(
+    t: Tables, start_date: dt.datetime, as_of: dt.datetime, mode: str = "first_row", cut=checkpoint_cut,
+) -> RunOutput:
+    """J14 as DataFrames, without writes to the targets."""
+    return _finish(t, backfill_refill_stage(t, start_date, as_of, None, mode, cut), as_of, None)
 
 
 def _with_store_targets(t: Tables, store: TableStore) -> Tables:
@@ -144,23 +164,19 @@ def _with_store_targets(t: Tables, store: TableStore) -> Tables:
     )
 
 
-def _checkpoint(df: DataFrame) -> DataFrame:
-    return df.checkpoint(eager=True)
-
-
 def _commit(store: TableStore, t: Tables, as_of: dt.datetime, make_stage) -> dict[str, int]:
     """Write the refill table, read it back as the pointer view, then write the rest."""
     ensure_checkpoint_dir(store.spark)
     t = _with_store_targets(t, store)
     refil_base = max(store.sequence(REFIL_SEQ), max_or(t.cit_refil, "id_key"))
     error_base = max(store.sequence(ERROR_SEQ), max_or(t.cit_opp_errors, "id"))
-    stage = make_stage(t, refil_base, _checkpoint)
+    stage = make_stage(t, refil_base, checkpoint_cut)
     refil_seq = max(refil_base, max_or(stage.refil, "id_key"))
     versions = {"cit_refil": store.write("cit_refil", stage.refil, {REFIL_SEQ: refil_seq})}
     view = store.read("cit_refil")
     opps, q_offers, opp_rejected, _ = offer_stage(t, stage, as_of, pointer_view=view)
     versions["cit_opportunities"] = store.write("cit_opportunities", opps)
-    new_errors = _checkpoint(error_rows(
+    new_errors = checkpoint_cut(error_rows(
         t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base))
     error_seq = max(error_base, max_or(new_errors, "id"))
     versions["cit_opp_errors"] = store.write(
