@@ -451,4 +451,13 @@ SELECT {OPP_COLS} FROM cit_opportunities WHERE NOT (order_date >= {START}) IS TR
     q["run_staged_opportunities"] = _q(f"SELECT {OPP_COLS} FROM rso_next")
     q["run_backfill_refill"] = _q(f"SELECT {REFIL_COLS} FROM bu_next")
     q["run_backfill_opportunities"] = _q(f"SELECT {OPP_COLS} FROM rbo_next")
+    q["run_staged_quarantine"] = _q("""
+SELECT order_id, cf_id, cn_id, reason, source FROM staged_quarantine
+UNION ALL
+SELECT r.order_id, d.profile_id, CAST(NULL AS VARCHAR), 'refill sku on several lines of the order', 'R'
+FROM s_repeated r JOIN (SELECT DISTINCT order_id, profile_id FROM staged_driver) d ON d.order_id = r.order_id
+UNION ALL
+SELECT CAST(NULL AS VARCHAR), cf_id, cn_id, 'several stored opportunities', 'A' FROM rso_blocked
+UNION ALL
+SELECT DISTINCT CAST(NULL AS VARCHAR), cf_id, cn_id, 'offer without consultant', 'A' FROM s_offers WHERE cn_id IS NULL""")
     return q

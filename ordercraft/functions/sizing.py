@@ -14,9 +14,19 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
+_CHECKED: dict[tuple[int, int, int], bool] = {}
+
+
 def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True if ``df`` has at most ``max_rows`` rows; reads at most ``max_rows + 1`` rows.
+
+    The answer is remembered per logical plan (``semanticHash``), so a dimension
+    table used by several joins of a run is counted once.
+    """
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _CHECKED[key]
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:

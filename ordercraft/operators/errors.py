@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ordercraft.functions.scalars import ts_lit
+from ordercraft.functions.sizing import is_empty
 from ordercraft.operators.ids import assign_dense_ids, max_or
 from ordercraft.sources.schemas import TARGETS
 
@@ -31,6 +32,8 @@ def error_rows(
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
+    if is_empty(rows):
+        return current.limit(0)
     rows = rows.withColumn("_src_rank", F.when(F.col("source") == "R", 0).otherwise(1))
     base = max_or(current, "id") if id_base is None else id_base
     numbered = assign_dense_ids(rows, ["_src_rank", "order_id", "error", "error_code"], base, "id")

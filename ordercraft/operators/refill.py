@@ -164,11 +164,11 @@ def refill_candidates(
     ``orders`` needs (order_id, submitted_date, profile_id); candidates depend only on
     the order id, so an order listed twice is processed once (Q19). ``cut`` (e.g. a
     checkpoint) is applied to the intermediates that several branches read: the order
-    set, its lines and the joined R rows.
+    set and its lines.
     """
     order_set = cut(orders.select("order_id", "submitted_date", "profile_id").distinct())
     lines = cut(order_lines(t, order_set))
-    joined = cut(rebuy_rows(t, lines))
+    joined = rebuy_rows(t, lines)
     rebuy = refill_rebuy(t, lines, joined)
     union = rule_candidates(t, order_set, lines, as_of, rebuy).unionByName(
         default_candidates(t, order_set, lines, as_of)).distinct()

@@ -10,7 +10,7 @@ leaves the previous version current.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from ordercraft.sources.schemas import QUARANTINE, TARGETS, empty
 
@@ -28,6 +28,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._entries: list[tuple] | None = None
 
     @property
     def _log_path(self) -> str:
@@ -39,13 +40,19 @@ class TableStore:
         except Exception:  # no log yet
             return empty(self.spark, LOG_SCHEMA)
 
+    def _log_entries(self) -> list[tuple]:
+        """The commit log as driver values: one small row per committed version."""
+        if self._entries is None:
+            self._entries = [tuple(r) for r in self._log().collect()]
+        return self._entries
+
     def version(self, table: str) -> int | None:
-        v = self._log().where(F.col("table") == table).agg(F.max("version")).first()[0]
-        return None if v is None else int(v)
+        vs = [v for t, v, _, _ in self._log_entries() if t == table and v is not None]
+        return max(vs) if vs else None
 
     def sequence(self, name: str) -> int:
-        v = self._log().where(F.col("sequence") == name).agg(F.max("value")).first()[0]
-        return 0 if v is None else int(v)
+        vs = [val for _, _, seq, val in self._log_entries() if seq == name and val is not None]
+        return max(vs) if vs else 0
 
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version:06d}"
@@ -63,6 +70,7 @@ class TableStore:
         df.select(*SCHEMAS[table].fieldNames()).write.mode("errorifexists").parquet(self.path(table, v))
         rows = [(table, v, None, None)] + [(table, v, k, int(val)) for k, val in (sequences or {}).items()]
         self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log_path)
+        self._entries = None
         return v
 
     def seed(self, tables: dict[str, DataFrame]) -> None:
