@@ -6,7 +6,8 @@ in a single task, so instead:
 
 1. range-partition the rows on the sort key (balanced by sampling; contiguous
    ranges, so partition order is key order, also after AQE coalescing),
-2. checkpoint, which pins every row's partition number,
+2. write the rows with their partition number to the shared checkpoint folder,
+   which pins them (a recomputation could not renumber them),
 3. count rows per partition (one small row per partition) and turn the counts
    into start offsets,
 4. number rows inside each partition with a window partitioned by that number.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ordercraft.session import ensure_checkpoint_dir
+from ordercraft.session import materialize
 
 
 def max_or(df: DataFrame, column: str, default: int = 0) -> int:
@@ -28,9 +29,8 @@ def max_or(df: DataFrame, column: str, default: int = 0) -> int:
 def assign_dense_ids(df: DataFrame, order_cols: list[str], base: int, id_col: str) -> DataFrame:
     """Add ``id_col`` = base + 1, base + 2, ... in ``order_cols`` order (ascending, NULLs first)."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id()).checkpoint()
+    ranged = materialize(df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id()), "ids")
     counts = sorted((r["_part"], r["count"]) for r in ranged.groupBy("_part").count().collect())
     offsets, acc = [], base
     for part, c in counts:

@@ -111,6 +111,7 @@ def also_offers(
     contexts: DataFrame,
     as_of: dt.datetime,
     scope: list[str] = STAGED_SCOPE,
+    cut=lambda df: df,
 ) -> DataFrame:
     """(cn_id, cf_id, offer, order_date).
 
@@ -118,9 +119,10 @@ def also_offers(
     Backfill scope: per customer and consultant, kept only when the customer's latest
     order has that consultant (Q15); rows are distinct.
     The brand name is joined after ranking, so a top rule with an unnamed brand gives
-    no offer (Q16).
+    no offer (Q16). ``cut`` (e.g. a checkpoint) is applied to the brand affinity, which
+    the rule steps read several times.
     """
-    affinity = brand_affinity(t, contexts, as_of, scope)
+    affinity = cut(brand_affinity(t, contexts, as_of, scope))
     top = top_rules(eligible_rules(t, affinity, scope), scope)
     names = bounded_broadcast(t.oe_brand.select(F.col("brand_id").alias("brand_offer"), F.col("name").alias("offer")))
     named = top.join(names, "brand_offer")

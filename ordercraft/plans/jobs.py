@@ -26,7 +26,7 @@ from ordercraft.operators.offers import (
 )
 from ordercraft.operators.orders import backfill_orders, staged_orders
 from ordercraft.operators.refill import refill_candidates, refill_purge, refill_reset, refill_upsert
-from ordercraft.session import ensure_checkpoint_dir
+from ordercraft.session import ensure_checkpoint_dir, materialize
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.tables import TableStore
 
@@ -76,6 +76,7 @@ class RefillStage:
     contexts: DataFrame
     scope: list[str]
     clear_pointer_first: bool
+    cut: Callable[[DataFrame], DataFrame] = lambda df: df
 
 
 def staged_refill_stage(
@@ -91,7 +92,7 @@ def staged_refill_stage(
         refil = refill_purge(refil, as_of)
     contexts = driver.select(F.col("profile_id").alias("cf_id"), "order_id", "submitted_date")
     return RefillStage(driver, candidates, refil, rejected, q_orders.unionByName(q_refill),
-                       t.cit_opportunities, contexts, STAGED_SCOPE, True)
+                       t.cit_opportunities, contexts, STAGED_SCOPE, True, cut)
 
 
 def backfill_refill_stage(
@@ -111,12 +112,14 @@ def backfill_refill_stage(
     candidates = cut(candidates)
     refil, rejected = refill_upsert(refil0, candidates, driver, refil_base, mode)
     contexts = driver.select(F.col("profile_id").alias("cf_id"), "cn_id", "order_id", "submitted_date")
-    return RefillStage(driver, candidates, refil, rejected, q_refill, opps0, contexts, BACKFILL_SCOPE, False)
+    return RefillStage(driver, candidates, refil, rejected, q_refill, opps0, contexts, BACKFILL_SCOPE, False, cut)
 
 
-def offer_stage(t: Tables, stage: RefillStage, as_of: dt.datetime, pointer_view: DataFrame | None = None):
+def offer_stage(
+    t: Tables, stage: RefillStage, as_of: dt.datetime, pointer_view: DataFrame | None = None, cut=lambda df: df,
+):
     """J9 -> J10 -> J11: ``(opportunities, quarantine, rejected, offers)``."""
-    offers = also_offers(t, stage.contexts, as_of, stage.scope)
+    offers = cut(also_offers(t, stage.contexts, as_of, stage.scope, cut))
     view = stage.refil if pointer_view is None else pointer_view
     opps, q_offers, rejected = opportunity_upsert(
         stage.opportunities0, offers, view.select("cf_id", "cn_id", "id_key"), stage.scope,
@@ -125,7 +128,7 @@ def offer_stage(t: Tables, stage: RefillStage, as_of: dt.datetime, pointer_view:
 
 
 def _finish(t: Tables, stage: RefillStage, as_of: dt.datetime, error_base: int | None) -> RunOutput:
-    opps, q_offers, opp_rejected, offers = offer_stage(t, stage, as_of)
+    opps, q_offers, opp_rejected, offers = offer_stage(t, stage, as_of, cut=stage.cut)
     return RunOutput(
         refil=stage.refil,
         opportunities=opps,
@@ -139,9 +142,8 @@ def _finish(t: Tables, stage: RefillStage, as_of: dt.datetime, error_base: int |
 
 
 def checkpoint_cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Lineage cut: a Parquet table in the session's shared checkpoint folder (survives executor loss)."""
+    return materialize(df, "cut")
 
 
 def staged_plan(t: Tables, as_of: dt.datetime, mode: str = "first_row", cut=checkpoint_cut) -> RunOutput:
@@ -174,7 +176,7 @@ def _commit(store: TableStore, t: Tables, as_of: dt.datetime, make_stage) -> dic
     refil_seq = max(refil_base, max_or(stage.refil, "id_key"))
     versions = {"cit_refil": store.write("cit_refil", stage.refil, {REFIL_SEQ: refil_seq})}
     view = store.read("cit_refil")
-    opps, q_offers, opp_rejected, _ = offer_stage(t, stage, as_of, pointer_view=view)
+    opps, q_offers, opp_rejected, _ = offer_stage(t, stage, as_of, pointer_view=view, cut=checkpoint_cut)
     versions["cit_opportunities"] = store.write("cit_opportunities", opps)
     new_errors = checkpoint_cut(error_rows(
         t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ordercraft") -> SparkSession:
@@ -47,3 +48,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="ordercraft-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Cut lineage by writing ``df`` once as Parquet in the shared checkpoint folder and reading it back.
+
+    One pass over the plan (``DataFrame.checkpoint`` computes it twice unless cached),
+    columnar and compressed, and later reads prune columns and push filters. The
+    files live in the folder the cluster names in ``spark.checkpoint.dir``, so a lost
+    executor does not lose them.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordercraft-{label}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -34,16 +34,25 @@ class Tables(dict):
 
     @classmethod
     def from_paths(cls, spark: SparkSession, paths: Mapping[str, str]) -> "Tables":
-        """Read each table from Parquet with its declared schema (no inference)."""
+        """Read each table from Parquet with its declared schema (no inference).
+
+        The tables are expected to be normalized on ingestion (``ingest``), so reads
+        are plain scans and filters reach the Parquet reader.
+        """
         out = cls()
         for name, schema in {**INPUTS, **TARGETS}.items():
             if name in paths:
-                out[name] = conform(spark.read.schema(schema).parquet(paths[name]), schema)
+                out[name] = spark.read.schema(schema).parquet(paths[name])
             elif name in TARGETS:
                 out[name] = empty(spark, schema)
         return out
 
 
+def ingest(df: DataFrame, name: str) -> DataFrame:
+    """Conform a raw export of table ``name`` once, on load: declared types, ``''`` as NULL."""
+    return conform(df, {**INPUTS, **TARGETS}[name], empty_strings_as_null=True)
+
+
 def _id(prefix: str, *parts: Column | str) -> Column:
     """``'P' || a || '-' || b`` with numbers rendered as text."""
     cols: list[Column] = [F.lit(prefix)]
@@ -251,5 +260,5 @@ def derive_test_tables(spark: SparkSession, sf_dir: str, fx_line: DataFrame | No
 
     out = Tables()
     for name, schema in {**INPUTS, **TARGETS}.items():
-        out[name] = conform(t[name], schema) if name in t else empty(spark, schema)
+        out[name] = ingest(t[name], name) if name in t else empty(spark, schema)
     return out
