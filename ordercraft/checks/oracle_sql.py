@@ -14,7 +14,7 @@ from ordercraft.checks.fixture_sql import with_binding
 
 AS_OF = "TIMESTAMP '2001-08-01 12:00:00'"
 START = "TIMESTAMP '2001-01-01 00:00:00'"
-IMAGE_PREFIX = "//images.example/image/sku/produto_no_sacola_67x67/"
+IMAGE_PREFIX = "//images.example/sku/"
 
 
 def _cutoff(ts: str, months: int = -12) -> str:

@@ -9,11 +9,12 @@ Plan shape, chosen for scale:
   payment group, B2 order discount per order price) that are left-joined once;
 * the output is split into four components that each carry only their own output
   columns plus the order id: header, lines, payments, shipments. Each component
-  is made distinct *before* the fan-out, while it is still small, and is
-  hash-partitioned on the order id. The component columns are disjoint, so the
-  join of four distinct components is itself distinct: the 31-column DISTINCT of
-  the source never has to shuffle the fanned-out result, and the final joins all
-  reuse one order-id partitioning;
+  is made distinct *before* the fan-out, while it is still small. The component
+  columns are disjoint, so the join of four distinct components is itself
+  distinct: the 31-column DISTINCT of the source never has to shuffle the
+  fanned-out result. Header, payments and shipments are distinct within their
+  order-id partitioning (no extra shuffle); lines are deduplicated on all their
+  columns, so a very large order is spread over many tasks;
 * catalog tables (product maps) are broadcast only behind a row-count check.
 """
 
@@ -30,7 +31,7 @@ from ordercraft.sources.schemas import ORDER_DETAILS_COLUMNS
 CITY_STATE = "MOCK - MK"
 # Image link = prefix || SKU || suffix. The prefix is the shop's image host, so it
 # is a parameter; this neutral default stands in for it.
-IMAGE_PREFIX = "//images.example/image/sku/produto_no_sacola_67x67/"
+IMAGE_PREFIX = "//images.example/sku/"
 IMAGE_SUFFIX = "_1.jpg"
 
 
@@ -137,7 +138,8 @@ def _lines(t: Tables, require_product_map: bool, image_prefix: str, image_suffix
             F.col("order_discount").alias("item_discount"),
             F.concat(F.lit(image_prefix), F.col("catalog_ref_id"), F.lit(image_suffix)).alias("image_url"),
         )
-        .repartition("order_id")
+        # Hashed on all columns, not on the order id alone, so one order holding a large share
+        # of all lines is still deduplicated by many tasks.
         .distinct()
     )
 
@@ -169,9 +171,11 @@ def order_details(
     image_suffix: str = IMAGE_SUFFIX,
 ) -> DataFrame:
     """J1 (``require_product_map=True``) and J2 (``False``): the order-details table O1."""
+    # Lines first: they are the streamed side of each sort-merge join, and the per-order
+    # components (one header row, a few payment and shipping rows) are the buffered side.
     joined = (
-        _header(t)
-        .join(_lines(t, require_product_map, image_prefix, image_suffix), "order_id")
+        _lines(t, require_product_map, image_prefix, image_suffix)
+        .join(_header(t), "order_id")
         .join(_payments(t), "order_id")
         .join(_shipments(t), "order_id")
     )
@@ -198,3 +202,13 @@ def unit_discounts(t: Tables) -> DataFrame:
             item_discount("adjustment", "quantity", "list_price").alias("un_discount"),
         )
     )
+
+
+def create_order_details_view(t: Tables, name: str = "order_details", **options) -> DataFrame:
+    """Register the details table as a temporary view for SQL users; returns the DataFrame.
+
+    Unlike a forced view of the source, missing input tables fail at analysis time.
+    """
+    df = order_details(t, **options)
+    df.createOrReplaceTempView(name)
+    return df
