@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from ordercraft.functions.scalars import months_cutoff, ts_lit
 from ordercraft.functions.sizing import bounded_broadcast
 from ordercraft.operators.orders import ACTIVE_STATES, settled_order_ids
-from ordercraft.operators.refill import _pinned, failed_check
+from ordercraft.operators.refill import _pinned, failed_check, order_items
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.schemas import TARGETS
 
@@ -50,10 +50,8 @@ def brand_affinity(t: Tables, contexts: DataFrame, as_of: dt.datetime, scope: li
             contexts.select(*scope).distinct(), scope, "left_semi")
     product_brand = bounded_broadcast(
         t.oe_product.select("product_id", "brand_id").join(t.oe_brand.select("brand_id"), "brand_id", "left_semi"))
-    items = t.dcspp_order_item.join(orders.select("order_id"), "order_id", "left_semi").select(
-        "order_id", F.col("commerce_items").alias("commerce_item_id"))
     return (
-        orders.join(items, "order_id")
+        orders.join(order_items(t, orders), "order_id")
         .join(t.dcspp_item.select("commerce_item_id", "product_id"), "commerce_item_id")
         .join(product_brand, "product_id")
         .select(*scope, "brand_id")

@@ -35,13 +35,22 @@ NOT_REFILLABLE = "N"
 REASON_REPEATED_SKU = "refill sku on several lines of the order"
 
 
+def order_items(t: Tables, orders: DataFrame) -> DataFrame:
+    """(order_id, commerce_item_id) links of ``orders``.
+
+    Broadcast when a bounded count proves them small (a staged run touches few
+    orders), so the line table is scanned once instead of shuffled; a large backfill
+    falls back to a shuffle join.
+    """
+    items = t.dcspp_order_item.join(orders.select("order_id"), "order_id", "left_semi")
+    return bounded_broadcast(items.select("order_id", F.col("commerce_items").alias("commerce_item_id")))
+
+
 def order_lines(t: Tables, orders: DataFrame) -> DataFrame:
     """(order_id, sku, product_id, quantity) of the lines of ``orders``."""
-    items = t.dcspp_order_item.join(orders.select("order_id"), "order_id", "left_semi")
-    return items.select("order_id", F.col("commerce_items").alias("commerce_item_id")).join(
-        t.dcspp_item.select("commerce_item_id", F.col("catalog_ref_id").alias("sku"), "product_id", "quantity"),
-        "commerce_item_id",
-    ).drop("commerce_item_id")
+    return t.dcspp_item.select(
+        "commerce_item_id", F.col("catalog_ref_id").alias("sku"), "product_id", "quantity",
+    ).join(order_items(t, orders), "commerce_item_id").drop("commerce_item_id")
 
 
 def _rules(t: Tables) -> DataFrame:
@@ -163,10 +172,9 @@ def refill_candidates(
 
     ``orders`` needs (order_id, submitted_date, profile_id); candidates depend only on
     the order id, so an order listed twice is processed once (Q19). ``cut`` (e.g. a
-    checkpoint) is applied to the intermediates that several branches read: the order
-    set and its lines.
+    checkpoint) is applied to the order set's lines, which several branches read.
     """
-    order_set = cut(orders.select("order_id", "submitted_date", "profile_id").distinct())
+    order_set = orders.select("order_id", "submitted_date", "profile_id").distinct()
     lines = cut(order_lines(t, order_set))
     joined = rebuy_rows(t, lines)
     rebuy = refill_rebuy(t, lines, joined)
