@@ -148,6 +148,12 @@ def q_refill_upsert(spark, sf_dir):
     return refill.refill_upsert(t.cit_refil, jobs.checkpoint_cut(candidates), driver)[0]
 
 
+def q_refill_upsert_per_row(spark, sf_dir):
+    t, driver = _staged(spark, sf_dir)
+    candidates, _ = refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut)
+    return refill.refill_upsert(t.cit_refil, jobs.checkpoint_cut(candidates), driver, mode="per_row")[0]
+
+
 def q_refill_purge(spark, sf_dir):
     return refill.refill_purge(_tables(spark, sf_dir).cit_refil, AS_OF)
 
@@ -232,6 +238,10 @@ def q_run_staged_quarantine(spark, sf_dir):
     return jobs.staged_plan(_tables(spark, sf_dir), AS_OF).quarantine
 
 
+def q_run_backfill_quarantine(spark, sf_dir):
+    return jobs.backfill_plan(_tables(spark, sf_dir), START, AS_OF).quarantine
+
+
 def q_error_rows(spark, sf_dir):
     return jobs.staged_plan(_tables(spark, sf_dir), AS_OF).errors
 
@@ -255,6 +265,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "refill_candidates_cn": q_refill_candidates_cn,
     "refill_quarantine": q_refill_quarantine,
     "refill_upsert": q_refill_upsert,
+    "refill_upsert_per_row": q_refill_upsert_per_row,
     "refill_purge": q_refill_purge,
     "refill_reset": q_refill_reset,
     "brand_affinity": q_brand_affinity,
@@ -273,6 +284,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_backfill_refill": q_run_backfill_refill,
     "run_backfill_opportunities": q_run_backfill_opportunities,
     "run_staged_quarantine": q_run_staged_quarantine,
+    "run_backfill_quarantine": q_run_backfill_quarantine,
     "error_rows": q_error_rows,
 }
 
@@ -285,7 +297,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB statement per query over the pre-registered driver tables.
 
-    ``error_rows`` has none: the fixture binding plants no row that fails an insert check,
-    so it is covered by hand fixtures in tests/ (rows-only check here).
+    The fixture binding plants no row that fails an insert check, so ``error_rows`` is
+    empty on both sides here; tests/test_jobs.py covers a planted failing insert.
     """
     return oracle_queries()

@@ -148,6 +148,39 @@ def _upsert(p: str, cur: str, cand: str, driver: str, base: str) -> str:
 )"""
 
 
+def _upsert_per_row(p: str, cur: str, cand: str, driver: str, base: str) -> str:
+    """True upsert per key: stored keys are updated (last candidate wins), the rest inserted."""
+    return f"""
+{p}_ex AS (
+  SELECT c.*, EXISTS (SELECT 1 FROM {cur} r WHERE r.cn_id = c.cn_id AND r.cf_id = c.cf_id AND r.sku = c.sku
+                        AND r.order_id = c.order_id) AS ex
+  FROM {cand} c
+),
+{p}_ids AS (
+  SELECT o.order_id, {base} + row_number() OVER (ORDER BY d.submitted_date, o.order_id) AS id_key
+  FROM (SELECT DISTINCT order_id FROM {p}_ex WHERE NOT ex) o
+  JOIN (SELECT DISTINCT order_id, submitted_date FROM {driver}) d ON d.order_id = o.order_id
+),
+{p}_last AS (
+  SELECT * FROM (
+    SELECT c.*, row_number() OVER (PARTITION BY c.cn_id, c.cf_id, c.sku, c.order_id ORDER BY
+      c.description DESC NULLS FIRST, c.refillable DESC NULLS FIRST, c.expiration DESC NULLS FIRST) AS rn
+    FROM {p}_ex c WHERE c.ex) WHERE rn = 1
+),
+{p}_next AS (
+  SELECT r.id_key, r.description, r.sku,
+    CASE WHEN l.order_id IS NOT NULL THEN l.refillable ELSE r.refillable END AS refillable,
+    CASE WHEN l.order_id IS NOT NULL THEN l.expiration ELSE r.expiration END AS expiration,
+    r.cf_id, r.cn_id, r.order_id
+  FROM {cur} r LEFT JOIN {p}_last l
+    ON l.cn_id = r.cn_id AND l.cf_id = r.cf_id AND l.sku = r.sku AND l.order_id = r.order_id
+  UNION ALL
+  SELECT i.id_key, c.description, c.sku, c.refillable, c.expiration, c.cf_id, c.cn_id, c.order_id
+  FROM {p}_ex c JOIN {p}_ids i ON i.order_id = c.order_id
+  WHERE NOT c.ex AND c.order_id IS NOT NULL AND c.sku IS NOT NULL
+)"""
+
+
 def _brands(p: str, ctx_filter: str, with_cn: bool) -> str:
     cn_sel = ", nt.cn_id" if with_cn else ""
     cn_join = "JOIN nt_order nt ON nt.order_id = o.order_id" if with_cn else ""
@@ -296,6 +329,7 @@ su_purged AS (
   WHERE expiration IS NULL OR expiration + to_days(60) >= {AS_OF} OR NOT EXISTS (SELECT 1 FROM staged_driver)
 )""",
     _upsert("bu", "b_refil", "b_candidates", "backfill_driver", "(SELECT v FROM s_up_base)"),
+    _upsert_per_row("spr", "s_refil", "s_candidates", "staged_driver", "(SELECT v FROM s_up_base)"),
     _brands("s", "o.profile_id IN (SELECT profile_id FROM staged_driver)", False),
     _brands("b", "EXISTS (SELECT 1 FROM backfill_driver d WHERE d.profile_id = o.profile_id AND d.cn_id = nt.cn_id)",
             True),
@@ -451,6 +485,39 @@ SELECT {OPP_COLS} FROM cit_opportunities WHERE NOT (order_date >= {START}) IS TR
     q["run_staged_opportunities"] = _q(f"SELECT {OPP_COLS} FROM rso_next")
     q["run_backfill_refill"] = _q(f"SELECT {REFIL_COLS} FROM bu_next")
     q["run_backfill_opportunities"] = _q(f"SELECT {OPP_COLS} FROM rbo_next")
+    q["refill_upsert_per_row"] = _q(f"SELECT {REFIL_COLS} FROM spr_next")
+    q["run_backfill_quarantine"] = _q("""
+SELECT r.order_id, d.profile_id AS cf_id, CAST(NULL AS VARCHAR) AS cn_id,
+  'refill sku on several lines of the order' AS reason, 'R' AS source
+FROM b_repeated r JOIN (SELECT DISTINCT order_id, profile_id FROM backfill_driver) d ON d.order_id = r.order_id
+UNION ALL
+SELECT CAST(NULL AS VARCHAR), cf_id, cn_id, 'several stored opportunities', 'A' FROM rbo_blocked
+UNION ALL
+SELECT DISTINCT CAST(NULL AS VARCHAR), cf_id, cn_id, 'offer without consultant', 'A' FROM b_offers WHERE cn_id IS NULL""")
+    q["error_rows"] = with_binding(LIBRARY + ",\n" + f"""err_r AS (
+  SELECT c.order_id, -1400 AS error_code,
+    CASE WHEN c.order_id IS NULL THEN 'cannot insert NULL into cit_refil.order_id'
+         ELSE 'cannot insert NULL into cit_refil.sku' END AS error, 'R' AS source
+  FROM s_candidates c JOIN su_ids i ON i.order_id = c.order_id
+  WHERE c.order_id IS NULL OR c.sku IS NULL
+), last_order AS (
+  SELECT cf_id, order_id FROM (
+    SELECT profile_id AS cf_id, order_id,
+      row_number() OVER (PARTITION BY profile_id ORDER BY submitted_date DESC, order_id DESC) AS rn
+    FROM staged_driver) WHERE rn = 1
+), err_a AS (
+  SELECT lo.order_id, x.error_code, x.error, 'A' AS source
+  FROM (SELECT DISTINCT o.cf_id, o.cn_id, -1400 AS error_code,
+          CASE WHEN o.cf_id IS NULL THEN 'cannot insert NULL into cit_opportunities.cf_id'
+               ELSE 'cannot insert NULL into cit_opportunities.offer' END AS error
+        FROM s_offers o
+        WHERE (o.cf_id IS NULL OR o.offer IS NULL) AND EXISTS (SELECT 1 FROM rso_replace r WHERE r.cf_id = o.cf_id)) x
+  LEFT JOIN last_order lo ON lo.cf_id = x.cf_id
+), err AS (SELECT * FROM err_r UNION ALL SELECT * FROM err_a)""", f"""
+SELECT CAST(row_number() OVER (ORDER BY CASE WHEN source = 'R' THEN 0 ELSE 1 END, order_id, error, error_code)
+            AS BIGINT) AS id,
+  order_id, error, {AS_OF} AS error_date, CAST(error_code AS INTEGER) AS error_code, source
+FROM err""")
     q["run_staged_quarantine"] = _q("""
 SELECT order_id, cf_id, cn_id, reason, source FROM staged_quarantine
 UNION ALL
