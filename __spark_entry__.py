@@ -203,13 +203,15 @@ def q_refill_pointer(spark, sf_dir):
 
 def q_opportunity_upsert(spark, sf_dir):
     t, driver = _staged(spark, sf_dir)
-    offered = offers.also_offers(t, _contexts(driver), AS_OF, offers.STAGED_SCOPE)
+    offered = jobs.checkpoint_cut(
+        offers.also_offers(t, _contexts(driver), AS_OF, offers.STAGED_SCOPE, jobs.checkpoint_cut))
     return offers.opportunity_upsert(t.cit_opportunities, offered, t.cit_refil, offers.STAGED_SCOPE, True)[0]
 
 
 def q_opportunity_upsert_cn(spark, sf_dir):
     t, driver = _backfill(spark, sf_dir)
-    offered = offers.also_offers(t, _contexts(driver), AS_OF, offers.BACKFILL_SCOPE)
+    offered = jobs.checkpoint_cut(
+        offers.also_offers(t, _contexts(driver), AS_OF, offers.BACKFILL_SCOPE, jobs.checkpoint_cut))
     current = offers.opportunity_reset(t.cit_opportunities, START)
     return offers.opportunity_upsert(current, offered, t.cit_refil, offers.BACKFILL_SCOPE, False)[0]
 

@@ -173,7 +173,8 @@ def opportunity_upsert(
         F.col("last.row.cn_id").alias("win_cn_id"), F.col("last.row.offer").alias("offer"),
         F.col("last.row.order_date").alias("order_date"), F.col("first.cn_id").alias("first_cn_id"),
     )
-    stored = current.groupBy(*scope).agg(F.count(F.lit(1)).alias("n_stored"))
+    touched = bounded_broadcast(winners.select(*scope))
+    stored = current.join(touched, scope, "left_semi").groupBy(*scope).agg(F.count(F.lit(1)).alias("n_stored"))
     decided = winners.join(stored, scope, "left").withColumn(
         "blocked", F.coalesce(F.col("n_stored"), F.lit(0)) >= 2)
 
@@ -190,7 +191,7 @@ def opportunity_upsert(
         "error_code", code).withColumn("error", msg).where(F.col("error_code").isNotNull())
     rejected = rejected_rows.select("cf_id", "cn_id", "error_code", "error").distinct()
 
-    kept = current.join(replace.select(*scope), scope, "left_anti")
+    kept = current.join(bounded_broadcast(replace.select(*scope)), scope, "left_anti")
     if clear_pointer_first:
         # Blocked keys: the staged job clears their pointers when the first offer has a pointer.
         clear = (
@@ -200,7 +201,7 @@ def opportunity_upsert(
             .where(F.col("first_refil").isNotNull())
             .select(*scope, F.lit(True).alias("clear"))
         )
-        kept = kept.join(clear, scope, "left").select(
+        kept = kept.join(bounded_broadcast(clear), scope, "left").select(
             "cn_id", "cf_id", "offer",
             F.when(F.col("clear"), F.lit(None).cast("bigint")).otherwise(F.col("refil")).alias("refil"),
             "order_date",

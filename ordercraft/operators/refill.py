@@ -236,7 +236,13 @@ def refill_upsert(
     (order_id, error_code, error).
     """
     key = REFILL_KEY
-    stored = current.groupBy(*key).agg(F.count(F.lit(1)).alias("n_stored"))
+    # Only stored rows whose key a candidate carries are counted: a run's key set is small
+    # next to the table, so it is broadcast when its size allows and the table is only scanned.
+    candidate_keys = bounded_broadcast(candidates.select(*key).distinct())
+    stored = (
+        current.join(candidate_keys, key, "left_semi")
+        .groupBy(*key).agg(F.count(F.lit(1)).alias("n_stored"))
+    )
     if mode == "first_row":
         first = candidates.groupBy("order_id").agg(F.min(_pinned(*CANDIDATE_ORDER)).alias("first"))
         first = first.select("order_id", *[F.col(f"first.{c}").alias(c) for c in ("sku", "cf_id", "cn_id")])
@@ -256,7 +262,7 @@ def refill_upsert(
         F.max(_pinned(*CANDIDATE_ORDER, "order_id")).alias("last"))
     last = last.select(*key, F.col("last.refillable").alias("new_refillable"),
                        F.col("last.expiration").alias("new_expiration"), F.lit(True).alias("matched"))
-    updated = current.join(last, key, "left").select(
+    updated = current.join(bounded_broadcast(last), key, "left").select(
         "id_key", "description", "sku",
         F.when(F.col("matched"), F.col("new_refillable")).otherwise(F.col("refillable")).alias("refillable"),
         F.when(F.col("matched"), F.col("new_expiration")).otherwise(F.col("expiration")).alias("expiration"),
