@@ -173,11 +173,12 @@ def _commit(store: TableStore, t: Tables, as_of: dt.datetime, make_stage) -> dic
     refil_base = max(store.sequence(REFIL_SEQ), max_or(t.cit_refil, "id_key"))
     error_base = max(store.sequence(ERROR_SEQ), max_or(t.cit_opp_errors, "id"))
     stage = make_stage(t, refil_base, checkpoint_cut)
-    refil_seq = max(refil_base, max_or(stage.refil, "id_key"))
-    versions = {"cit_refil": store.write("cit_refil", stage.refil, {REFIL_SEQ: refil_seq})}
+    versions = {"cit_refil": store.write("cit_refil", stage.refil)}
     view = store.read("cit_refil")
+    # High-water mark from the written version (a scan), not by evaluating the plan again.
+    refil_seq = max(refil_base, max_or(view, "id_key"))
     opps, q_offers, opp_rejected, _ = offer_stage(t, stage, as_of, pointer_view=view, cut=checkpoint_cut)
-    versions["cit_opportunities"] = store.write("cit_opportunities", opps)
+    versions["cit_opportunities"] = store.write("cit_opportunities", opps, {REFIL_SEQ: refil_seq})
     new_errors = checkpoint_cut(error_rows(
         t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base))
     error_seq = max(error_base, max_or(new_errors, "id"))
