@@ -28,6 +28,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def cluster_conf(shuffle_partitions: int = 20000) -> dict[str, str]:
+    """Settings for a large cluster (about 100 TB of input), to pass to the session builder.
+
+    Shuffle partitions start high (about 0.5 GB each for a 10 TB shuffle) and AQE
+    coalesces them toward the advisory size; scans read 512 MB splits; skewed join
+    partitions over 512 MB and 5x the median are split; catalog-sized tables up to
+    64 MB broadcast automatically (explicit broadcasts are also row-checked); runtime
+    bloom filters prune the large side of selective joins before the shuffle.
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": "512m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and versioned tables.
 

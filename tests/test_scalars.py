@@ -44,3 +44,23 @@ def test_day_arithmetic_keeps_or_cuts_time(spark):
     r = df.select(plus_days("x", F.col("n")).alias("a"), trunc_day(plus_days("x", 30)).alias("b")).first()
     assert r.a == dt.datetime(2024, 5, 31, 10, 30) and r.b == dt.datetime(2024, 5, 31)
     assert dict(df.select(trunc_day("x").alias("d")).dtypes)["d"] == "timestamp_ntz"
+
+
+def test_month_arithmetic_column_equals_driver_rule(spark):
+    """Random times and offsets: the column form and the driver-side rule agree."""
+    import random
+
+    rnd = random.Random(3)
+    cases = []
+    for _ in range(3000):
+        day = dt.date(2000, 1, 1) + dt.timedelta(days=rnd.randrange(365 * 30))
+        t = dt.datetime(day.year, day.month, day.day, rnd.randrange(24), rnd.randrange(60), rnd.randrange(60))
+        cases.append((t, rnd.choice([-25, -13, -12, -1, 1, 11, 12])))
+    df = spark.createDataFrame(cases, "x timestamp_ntz, m int")
+    got = {}
+    for m in sorted({c[1] for c in cases}):
+        for r in df.where(F.col("m") == m).select("x", add_months_keep_time("x", m).alias("y")).collect():
+            got[(r.x, m)] = r.y
+    from ordercraft.functions.scalars import add_months_value
+
+    assert all(got[(x, m)] == add_months_value(x, m) for x, m in cases)
