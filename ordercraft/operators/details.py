@@ -109,22 +109,22 @@ def _header(t: Tables) -> DataFrame:
 def _lines(t: Tables, require_product_map: bool, image_prefix: str, image_suffix: str) -> DataFrame:
     order_item = t.dcspp_order_item.select("order_id", F.col("commerce_items").alias("commerce_item_id"))
     item = t.dcspp_item.select("commerce_item_id", "catalog_ref_id", "product_id", "quantity", "price_info")
-    # Item price -> adjustment link -> adjustment, all optional. The chain is joined on its own
-    # first and then left-joined to the items; both forms agree because each step's key is
-    # NULL whenever the step before found nothing.
+    item_price = t.dcspp_item_price.select(
+        F.col("amount_info_id").alias("item_price_id"), "list_price", "raw_total_price", "order_discount")
+    link = t.dcspp_amtinfo_adj.select(F.col("amount_info_id").alias("link_id"), "adjustments")
+    adjust = t.dcspp_price_adjust.select(F.col("adjustment_id").alias("adjustments"), "adjustment", "pricing_model")
+    names = bounded_broadcast(product_names(t, require_product_map))
+    # Item price and adjustment link are both optional and both keyed by the item's price id.
+    # The link is joined on the item's own key (plus "a price was found"), which is the same
+    # as joining on the found price's id, and lets both joins share one partitioning.
     priced = (
-        t.dcspp_item_price.select(F.col("amount_info_id").alias("price_info"), "list_price", "raw_total_price",
-                                  "order_discount")
-        .join(t.dcspp_amtinfo_adj.select(F.col("amount_info_id").alias("price_info"), "adjustments"),
-              "price_info", "left")
-        .join(t.dcspp_price_adjust.select(F.col("adjustment_id").alias("adjustments"), "adjustment",
-                                          "pricing_model"), "adjustments", "left")
+        item.join(names, "product_id")
+        .join(item_price, F.col("price_info") == F.col("item_price_id"), "left")
+        .join(link, (F.col("link_id") == F.col("price_info")) & F.col("item_price_id").isNotNull(), "left")
+        .join(adjust, "adjustments", "left")
     )
-    names = bounded_broadcast(product_names(t, require_product_map))
     return (
-        order_item.join(item, "commerce_item_id")
-        .join(names, "product_id")
-        .join(priced, "price_info", "left")
+        order_item.join(priced, "commerce_item_id")
         .select(
             "order_id",
             F.col("catalog_ref_id").alias("sku_id"),
