@@ -36,3 +36,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS)
 
 def is_empty(df: DataFrame) -> bool:
     return df.limit(1).count() == 0
+
+
+def broadcast_if(df: DataFrame, bounded: bool) -> DataFrame:
+    """Broadcast ``df`` when a size bound was already proven for a set that contains it.
+
+    E.g. per-key results of a run have at most as many rows as the run's distinct keys,
+    so one check on the (materialized) key set covers them all.
+    """
+    return F.broadcast(df) if bounded else df

@@ -18,7 +18,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ordercraft.functions.scalars import months_cutoff, ts_lit
-from ordercraft.functions.sizing import bounded_broadcast
+from ordercraft.functions.sizing import (
+    DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, broadcast_if, rows_at_most,
+)
 from ordercraft.operators.orders import ACTIVE_STATES, settled_order_ids
 from ordercraft.operators.refill import _pinned, failed_check, order_items
 from ordercraft.sources.binding import Tables
@@ -173,8 +175,12 @@ def opportunity_upsert(
         F.col("last.row.cn_id").alias("win_cn_id"), F.col("last.row.offer").alias("offer"),
         F.col("last.row.order_date").alias("order_date"), F.col("first.cn_id").alias("first_cn_id"),
     )
-    touched = bounded_broadcast(winners.select(*scope))
-    stored = current.join(touched, scope, "left_semi").groupBy(*scope).agg(F.count(F.lit(1)).alias("n_stored"))
+    # One size check on the offers bounds every per-key set below (winners, replaced, cleared).
+    small = rows_at_most(offers.select(*scope).distinct(), DEFAULT_MAX_BROADCAST_ROWS)
+    stored = (
+        current.join(broadcast_if(winners.select(*scope), small), scope, "left_semi")
+        .groupBy(*scope).agg(F.count(F.lit(1)).alias("n_stored"))
+    )
     decided = winners.join(stored, scope, "left").withColumn(
         "blocked", F.coalesce(F.col("n_stored"), F.lit(0)) >= 2)
 
@@ -191,7 +197,7 @@ def opportunity_upsert(
         "error_code", code).withColumn("error", msg).where(F.col("error_code").isNotNull())
     rejected = rejected_rows.select("cf_id", "cn_id", "error_code", "error").distinct()
 
-    kept = current.join(bounded_broadcast(replace.select(*scope)), scope, "left_anti")
+    kept = current.join(broadcast_if(replace.select(*scope), small), scope, "left_anti")
     if clear_pointer_first:
         # Blocked keys: the staged job clears their pointers when the first offer has a pointer.
         clear = (
@@ -201,7 +207,7 @@ def opportunity_upsert(
             .where(F.col("first_refil").isNotNull())
             .select(*scope, F.lit(True).alias("clear"))
         )
-        kept = kept.join(bounded_broadcast(clear), scope, "left").select(
+        kept = kept.join(broadcast_if(clear, small), scope, "left").select(
             "cn_id", "cf_id", "offer",
             F.when(F.col("clear"), F.lit(None).cast("bigint")).otherwise(F.col("refil")).alias("refil"),
             "order_date",

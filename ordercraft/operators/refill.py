@@ -20,7 +20,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordercraft.functions.scalars import plus_days, trunc_day, ts_lit
-from ordercraft.functions.sizing import bounded_broadcast
+from ordercraft.functions.sizing import (
+    DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, broadcast_if, rows_at_most,
+)
 from ordercraft.operators.details import product_names
 from ordercraft.operators.ids import assign_dense_ids, max_or
 from ordercraft.sources.binding import Tables
@@ -238,9 +240,10 @@ def refill_upsert(
     key = REFILL_KEY
     # Only stored rows whose key a candidate carries are counted: a run's key set is small
     # next to the table, so it is broadcast when its size allows and the table is only scanned.
-    candidate_keys = bounded_broadcast(candidates.select(*key).distinct())
+    keys = candidates.select(*key).distinct()
+    small = rows_at_most(keys, DEFAULT_MAX_BROADCAST_ROWS)  # also bounds the per-key updates below
     stored = (
-        current.join(candidate_keys, key, "left_semi")
+        current.join(broadcast_if(keys, small), key, "left_semi")
         .groupBy(*key).agg(F.count(F.lit(1)).alias("n_stored"))
     )
     if mode == "first_row":
@@ -262,7 +265,7 @@ def refill_upsert(
         F.max(_pinned(*CANDIDATE_ORDER, "order_id")).alias("last"))
     last = last.select(*key, F.col("last.refillable").alias("new_refillable"),
                        F.col("last.expiration").alias("new_expiration"), F.lit(True).alias("matched"))
-    updated = current.join(bounded_broadcast(last), key, "left").select(
+    updated = current.join(broadcast_if(last, small), key, "left").select(
         "id_key", "description", "sku",
         F.when(F.col("matched"), F.col("new_refillable")).otherwise(F.col("refillable")).alias("refillable"),
         F.when(F.col("matched"), F.col("new_expiration")).otherwise(F.col("expiration")).alias("expiration"),
