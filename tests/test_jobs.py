@@ -92,3 +92,13 @@ def test_details_plan_prunes_columns(spark):
     # The wide user table is read for its four used columns only.
     assert "ReadSchema: struct<id:string,first_name:string,last_name:string,email:string,date_of_birth" in plan
     assert "PushedFilters: [IsNotNull(adjustment), LessThan(adjustment,0.00)" in plan or "LessThan(adjustment" in plan
+
+
+def test_q19_backfill_order_with_two_consultants(spark):
+    t = world(spark, [dict(order_id="O1", submitted="2024-05-01 10:00:00", cn=["CN1", "CN2"])], [("O1", "X", 1)],
+              brands={"X": "BX"}, offers=[("BX", "C", 5, 2)])
+    out = backfill_plan(t, dt.datetime(2024, 1, 1), AS_OF)
+    # One pass per order: both consultant rows share the order's single new group id.
+    assert rows(out.refil, "id_key", "sku", "cn_id") == [(1, "X", "CN1"), (1, "X", "CN2")]
+    assert rows(out.opportunities, "cn_id", "cf_id", "offer", "refil") == [
+        ("CN1", "U1", "Name C", 1), ("CN2", "U1", "Name C", 1)]
