@@ -86,12 +86,19 @@ def test_plans_have_no_cartesian_product_or_python(spark):
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
 
 
-def test_details_plan_prunes_columns(spark):
+def test_scans_prune_columns_and_push_filters(spark):
+    from pyspark.sql import functions as F
+
+    from ordercraft.operators.offers import brand_affinity
+
     t = bind_test_tables(spark, SMOKE)
-    plan = _plan(order_details(t))
-    # The wide user table is read for its four used columns only.
-    assert "ReadSchema: struct<id:string,first_name:string,last_name:string,email:string,date_of_birth" in plan
-    assert "PushedFilters: [IsNotNull(adjustment), LessThan(adjustment,0.00)" in plan or "LessThan(adjustment" in plan
+    ctx = t.dcspp_order.select(F.col("profile_id").alias("cf_id")).limit(5)
+    plan = _plan(brand_affinity(t, ctx, dt.datetime(2001, 8, 1, 12)))
+    # The order header is read for four of its seven columns, with state and date filters at the scan.
+    assert "ReadSchema: struct<order_id:string,profile_id:string,state:string,submitted_date:timestamp_ntz>" in plan
+    assert "In(state, [NO_PENDING_ACTION,SUBMITTED])" in plan and "GreaterThan(submitted_date" in plan
+    details = _plan(order_details(t))
+    assert "LessThan(adjustment,0.00)" in details
 
 
 def test_q19_backfill_order_with_two_consultants(spark):
