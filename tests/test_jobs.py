@@ -109,3 +109,17 @@ def test_q19_backfill_order_with_two_consultants(spark):
     assert rows(out.refil, "id_key", "sku", "cn_id") == [(1, "X", "CN1"), (1, "X", "CN2")]
     assert rows(out.opportunities, "cn_id", "cf_id", "offer", "refil") == [
         ("CN1", "U1", "Name C", 1), ("CN2", "U1", "Name C", 1)]
+
+
+def test_only_window_is_the_per_partition_numbering(spark):
+    """Per-key choices are partial aggregates; the one window numbers rows inside a range partition."""
+    import re
+
+    t = bind_test_tables(spark, SMOKE)
+    out = staged_plan(t, dt.datetime(2001, 8, 1, 12), cut=checkpoint_cut)
+    for df in (out.refil, out.opportunities):
+        plan = _plan(df)
+        for line in plan.splitlines():
+            if re.search(r"\bWindow \[", line):
+                assert "_part" in line, line
+        assert "SinglePartition" not in plan
