@@ -7,7 +7,9 @@ checkpoint location) and ``foreachBatch`` runs the staged job with that batch as
 the work list. Brand offers are idempotent per customer and refill updates are
 keyed by order, so processing staged orders in several batches gives the same
 targets as one run over the union, except for orders staged twice (the source
-repeats those too).
+repeats those too). A batch that fails after committing some targets is replayed
+from its offsets; the replay updates the same keys again, so only the groups that
+the first-row rule re-inserts (SURVEY Q9) can appear twice.
 """
 
 from __future__ import annotations
