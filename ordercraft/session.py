@@ -46,6 +46,9 @@ def cluster_conf(shuffle_partitions: int = 20000) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        # Lets AQE split a skewed join even where that costs an extra shuffle, e.g. the final
+        # order-details joins, whose header side keeps its partitioning from an earlier join.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
