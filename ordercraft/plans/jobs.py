@@ -95,17 +95,26 @@ def staged_refill_stage(
                        t.cit_opportunities, contexts, STAGED_SCOPE, True, cut)
 
 
+def backfill_reset(
+    t: Tables, refil: DataFrame, opportunities: DataFrame, driver: DataFrame, start_date: dt.datetime,
+) -> tuple[DataFrame, DataFrame]:
+    """Drop opportunities dated from ``start_date`` and reminders of orders submitted from it.
+
+    Takes effect only when the backfill has orders to process: with none, the source's
+    deletes are never committed (Q13).
+    """
+    if is_empty(driver):
+        return refil, opportunities
+    return refill_reset(t, refil, start_date), opportunity_reset(opportunities, start_date)
+
+
 def backfill_refill_stage(
     t: Tables, start_date: dt.datetime, as_of: dt.datetime, refil_base: int | None = None,
     mode: str = "first_row", cut=lambda df: df,
 ) -> RefillStage:
     """J4 -> J8 -> J5 -> J6, no purge. With no qualifying order the reset does not take effect (Q13)."""
     driver = cut(backfill_orders(t, start_date, as_of))
-    if is_empty(driver):
-        refil0, opps0 = t.cit_refil, t.cit_opportunities
-    else:
-        refil0 = refill_reset(t, t.cit_refil, start_date)
-        opps0 = opportunity_reset(t.cit_opportunities, start_date)
+    refil0, opps0 = backfill_reset(t, t.cit_refil, t.cit_opportunities, driver, start_date)
     if refil_base is None:
         refil_base = max_or(t.cit_refil, "id_key")  # ids never step back below deleted ones
     candidates, q_refill = refill_candidates(t, driver, as_of, cut)
