@@ -64,3 +64,16 @@ def test_month_arithmetic_column_equals_driver_rule(spark):
     from ordercraft.functions.scalars import add_months_value
 
     assert all(got[(x, m)] == add_months_value(x, m) for x, m in cases)
+
+
+def test_ingest_exports_normalizes_empty_strings(spark, tmp_path):
+    from ordercraft.sources.binding import ingest_exports
+
+    raw = tmp_path / "raw_nt_order"
+    spark.createDataFrame([("O1", "", "CP1", "x"), ("O2", "CN2", "", "y")],
+                          "order_id string, cn_id string, coupon_id string, extra string") \
+        .coalesce(1).write.option("header", "true").csv(str(raw))
+    t = ingest_exports(spark, {"nt_order": str(raw)}, str(tmp_path / "tables"), fmt="csv")
+    got = sorted(tuple(r) for r in t.nt_order.collect())
+    assert got == [("O1", None, "CP1"), ("O2", "CN2", None)]
+    assert t.nt_order.columns == ["order_id", "cn_id", "coupon_id"]
