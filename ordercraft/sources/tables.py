@@ -5,20 +5,25 @@ of a target as a DataFrame and writes it to a new folder; a run never overwrites
 a path its own plan reads. A small append-only log (JSON) names the committed
 versions and the id high-water marks that stand in for the source's sequences.
 A version counts only once its log row is written, so a failed or retried write
-leaves the previous version current.
+leaves the previous version current. Each write attempt gets its own folder, so a
+crashed attempt leaves only an orphan folder that nothing reads, and the next run
+is not blocked by it. One writer per store is assumed (runs are sequential).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from ordercraft.sources.schemas import QUARANTINE, TARGETS, empty
+from ordercraft.sources.schemas import QUARANTINE, TARGETS, conform, empty
 
 LOG_SCHEMA = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("version", T.LongType()),
     T.StructField("sequence", T.StringType()),
     T.StructField("value", T.LongType()),
+    T.StructField("path", T.StringType()),
 ])
 
 SCHEMAS = {**TARGETS, "quarantine": QUARANTINE}
@@ -46,29 +51,34 @@ class TableStore:
             self._entries = [tuple(r) for r in self._log().collect()]
         return self._entries
 
+    def _commits(self, table: str) -> list[tuple[int, str]]:
+        return [(v, path) for t, v, seq, _, path in self._log_entries() if t == table and seq is None and path]
+
     def version(self, table: str) -> int | None:
-        vs = [v for t, v, _, _ in self._log_entries() if t == table and v is not None]
-        return max(vs) if vs else None
+        commits = self._commits(table)
+        return max(v for v, _ in commits) if commits else None
 
     def sequence(self, name: str) -> int:
-        vs = [val for _, _, seq, val in self._log_entries() if seq == name and val is not None]
+        vs = [val for _, _, seq, val, _ in self._log_entries() if seq == name and val is not None]
         return max(vs) if vs else 0
 
-    def path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version:06d}"
+    def current_path(self, table: str) -> str | None:
+        commits = self._commits(table)
+        return max(commits)[1] if commits else None
 
     def read(self, table: str) -> DataFrame:
-        v = self.version(table)
+        path = self.current_path(table)
         schema = SCHEMAS[table]
-        if v is None:
+        if path is None:
             return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(self.path(table, v))
+        return self.spark.read.schema(schema).parquet(path)
 
     def write(self, table: str, df: DataFrame, sequences: dict[str, int] | None = None) -> int:
         """Write ``df`` as the next version of ``table`` and commit it in the log."""
         v = (self.version(table) or 0) + 1
-        df.select(*SCHEMAS[table].fieldNames()).write.mode("errorifexists").parquet(self.path(table, v))
-        rows = [(table, v, None, None)] + [(table, v, k, int(val)) for k, val in (sequences or {}).items()]
+        path = f"{self.root}/{table}/v={v:06d}-{uuid.uuid4().hex[:12]}"
+        conform(df, SCHEMAS[table], empty_strings_as_null=False).write.mode("errorifexists").parquet(path)
+        rows = [(table, v, None, None, path)] + [(table, v, k, int(val), None) for k, val in (sequences or {}).items()]
         self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log_path)
         self._entries = None
         return v

@@ -123,3 +123,17 @@ def test_only_window_is_the_per_partition_numbering(spark):
             if re.search(r"\bWindow \[", line):
                 assert "_part" in line, line
         assert "SinglePartition" not in plan
+
+
+def test_store_survives_a_crashed_write(spark):
+    root = tempfile.mkdtemp(prefix="ordercraft-store-")
+    store = TableStore(spark, root)
+    first = spark.createDataFrame([(1, "S1")], "id_key bigint, sku string")
+    schema_cols = ["id_key", "description", "sku", "refillable", "expiration", "cf_id", "cn_id", "order_id"]
+    pad = lambda df: df.selectExpr(*[c if c in df.columns else f"NULL AS {c}" for c in schema_cols])
+    assert store.write("cit_refil", pad(first)) == 1
+    # A crashed attempt at version 2: files written, no log row.
+    pad(spark.createDataFrame([(99, "BAD")], "id_key bigint, sku string")).write.parquet(f"{root}/cit_refil/v=000002-crashed")
+    assert rows(store.read("cit_refil"), "id_key") == [(1,)]
+    assert store.write("cit_refil", pad(spark.createDataFrame([(2, "S2")], "id_key bigint, sku string"))) == 2
+    assert rows(TableStore(spark, root).read("cit_refil"), "id_key") == [(2,)]
