@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -58,8 +59,9 @@ def cluster_conf(shuffle_partitions: int = 20000) -> dict[str, str]:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and versioned tables.
 
-    Taken from ``spark.checkpoint.dir`` as the cluster names it; a folder of
-    our own is only chosen when the session has none (local tests).
+    Taken from ``spark.checkpoint.dir`` as the cluster names it. Only a ``local[...]``
+    master, which has no other executors, gets a folder of its own when none is named;
+    any other master without the setting is an error.
     """
     return ensure_checkpoint_dir(spark)
 
@@ -71,7 +73,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only local runs get here: a cluster session names a shared folder.
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="ordercraft-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
