@@ -298,8 +298,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _llm():
-    """The training-data queries, if that subpackage is installed (it and corpus_pipeline.py are optional)."""
-    if find_spec("ordercraft.llm") is None or find_spec("corpus_pipeline") is None:
+    """The training-data queries, if that subpackage is installed."""
+    if find_spec("ordercraft.llm") is None:
         return None
     from ordercraft.llm import queries as llm_queries
 
