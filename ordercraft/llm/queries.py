@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import mixing
+from ordercraft.llm import langid, mixing
 
 QUERIES = {
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op8_language_id": langid.op8_language_id,
 }
 
 ORACLES = {
