@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import langid, mixing
+from ordercraft.llm import htmltext, langid, mixing, warc
 
 QUERIES = {
+    "op2_html_text": htmltext.op2_html_text,
+    "op4_warc": warc.op4_warc,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op8_language_id": langid.op8_language_id,
 }
 
 ORACLES = {
+    "op4_warc": warc.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
 }
