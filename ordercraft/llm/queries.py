@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import htmltext, langid, mixing, warc
+from ordercraft.llm import decontam, htmltext, langid, mixing, warc
 
 QUERIES = {
+    "op1_decontaminate": decontam.op1_decontaminate,
     "op2_html_text": htmltext.op2_html_text,
     "op4_warc": warc.op4_warc,
     "op5_mix_sources": mixing.op5_mix_sources,
@@ -12,6 +13,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_decontaminate": decontam.ORACLE,
     "op4_warc": warc.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
 }
