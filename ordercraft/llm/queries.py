@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import decontam, htmltext, langid, mixing, warc
+from ordercraft.llm import decontam, embeddup, htmltext, langid, mixing, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -10,10 +10,12 @@ QUERIES = {
     "op4_warc": warc.op4_warc,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op8_language_id": langid.op8_language_id,
+    "op9_embedding_dedup": embeddup.op9_embedding_dedup,
 }
 
 ORACLES = {
     "op1_decontaminate": decontam.ORACLE,
     "op4_warc": warc.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
+    "op9_embedding_dedup": embeddup.ORACLE,
 }
