@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import decontam, embeddup, htmltext, langid, mixing, warc
+from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, mixing, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_mix_sources": mixing.op5_mix_sources,
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": embeddup.op9_embedding_dedup,
+    "op10_chat_format": chat.op10_chat_format,
 }
 
 ORACLES = {
@@ -18,4 +19,5 @@ ORACLES = {
     "op4_warc": warc.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
     "op9_embedding_dedup": embeddup.ORACLE,
+    "op10_chat_format": chat.ORACLE,
 }
