@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, mixing, warc
+from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, minhash, mixing, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_html_text": htmltext.op2_html_text,
     "op4_warc": warc.op4_warc,
     "op5_mix_sources": mixing.op5_mix_sources,
+    "op6_minhash_dedup": minhash.op6_minhash_dedup,
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": embeddup.op9_embedding_dedup,
     "op10_chat_format": chat.op10_chat_format,
