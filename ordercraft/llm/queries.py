@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, minhash, mixing, warc
+from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, linededup, minhash, mixing, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
     "op2_html_text": htmltext.op2_html_text,
+    "op3_line_dedup": linededup.op3_line_dedup,
     "op4_warc": warc.op4_warc,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_minhash_dedup": minhash.op6_minhash_dedup,
@@ -17,6 +18,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_decontaminate": decontam.ORACLE,
+    "op3_line_dedup": linededup.ORACLE,
     "op4_warc": warc.ORACLE,
     "op5_mix_sources": mixing.ORACLE,
     "op9_embedding_dedup": embeddup.ORACLE,
