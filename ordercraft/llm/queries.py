@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, linededup, minhash, mixing, warc
+from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, linededup, minhash, mixing, repeats, warc
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_warc": warc.op4_warc,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_minhash_dedup": minhash.op6_minhash_dedup,
+    "op7_repeated_bytes": repeats.op7_repeated_bytes,
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": embeddup.op9_embedding_dedup,
     "op10_chat_format": chat.op10_chat_format,

@@ -113,6 +113,40 @@ def count_cells(rows: DataFrame, cells_of, bits: int) -> np.ndarray:
     return table.reshape(-1)
 
 
+def mark_cells(rows: DataFrame, cells_of, bits: int) -> np.ndarray:
+    """Which of ``2**bits`` hash cells occur, as packed bits: a filter of fixed size (see ``marked``)."""
+    width = 12  # bytes of a chunk, as a power of two
+
+    def mark(batches):
+        some = np.zeros(1 << (bits - 3), np.uint8)
+        for batch in batches:
+            cells = cells_of(batch)
+            np.bitwise_or.at(some, cells >> 3, (1 << (cells & 7)).astype(np.uint8))
+        chunks = some.reshape(-1, 1 << width)
+        met = np.flatnonzero(chunks.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(met, pa.int32()), pa.array([chunks[m].tobytes() for m in met], pa.binary())], names=["chunk", "bits"])
+
+    def join(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for at, raw in zip(batch.column("chunk").to_pylist(), batch.column("bits").to_pylist(), strict=True):
+                sums[at] = np.frombuffer(raw, np.uint8) | sums.get(at, np.uint8(0))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())], names=["chunk", "bits"])
+
+    out = np.zeros((1 << (bits - 3 - width), 1 << width), np.uint8)
+    for row in rows.mapInArrow(mark, "chunk int, bits binary").repartition("chunk").mapInArrow(
+            join, "chunk int, bits binary").toLocalIterator():
+        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.reshape(-1)
+
+
+def marked(some: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """Which cells a filter of ``mark_cells`` holds."""
+    return ((some[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1).astype(bool)
+
+
 def text_key(text="text"):
     """128-bit key of a text's content (NULL for NULL): equal texts are worked on once."""
     return F.unhex(F.md5(F.col(text).cast("binary")))
