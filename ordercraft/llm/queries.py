@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, linededup, minhash, mixing, repeats, warc
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": embeddup.op9_embedding_dedup,
     "op10_chat_format": chat.op10_chat_format,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {
