@@ -146,13 +146,13 @@ def q_refill_quarantine(spark, sf_dir):
 def q_refill_upsert(spark, sf_dir):
     t, driver = _staged(spark, sf_dir)
     candidates, _ = refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut)
-    return refill.refill_upsert(t.cit_refil, jobs.checkpoint_cut(candidates), driver)[0]
+    return refill.refill_upsert(t.cit_refil, jobs.checkpoint_cut(candidates), driver, cut=jobs.checkpoint_cut)[0]
 
 
 def q_refill_upsert_per_row(spark, sf_dir):
     t, driver = _staged(spark, sf_dir)
     candidates, _ = refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut)
-    return refill.refill_upsert(t.cit_refil, jobs.checkpoint_cut(candidates), driver, mode="per_row")[0]
+    return refill.refill_upsert(t.cit_refil, jobs.checkpoint_cut(candidates), driver, mode="per_row", cut=jobs.checkpoint_cut)[0]
 
 
 def q_refill_purge(spark, sf_dir):
@@ -249,6 +249,22 @@ def q_error_rows(spark, sf_dir):
     return jobs.staged_plan(_tables(spark, sf_dir), AS_OF).errors
 
 
+def q_error_rows_cn(spark, sf_dir):
+    return jobs.backfill_plan(_tables(spark, sf_dir), START, AS_OF).errors
+
+
+def q_refill_candidates_paired(spark, sf_dir):
+    t, driver = _staged(spark, sf_dir)
+    return refill.refill_candidates(t, driver, AS_OF, jobs.checkpoint_cut, pair_on_rebuy=True)[0]
+
+
+def q_run_staged_opportunities_view(spark, sf_dir):
+    """S3: the offers point into a given view, here the stored reminders that expire from the start date on."""
+    t = _tables(spark, sf_dir)
+    view = t.cit_refil.where(F.col("expiration") >= ts_lit(START)).select("cf_id", "cn_id", "id_key")
+    return jobs.staged_plan(t, AS_OF, jobs.Options(pointer_view=view)).opportunities
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_details": q_order_details,
     "order_details_legacy": q_order_details_legacy,
@@ -289,6 +305,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_staged_quarantine": q_run_staged_quarantine,
     "run_backfill_quarantine": q_run_backfill_quarantine,
     "error_rows": q_error_rows,
+    "error_rows_cn": q_error_rows_cn,
+    "refill_candidates_paired": q_refill_candidates_paired,
+    "run_staged_opportunities_view": q_run_staged_opportunities_view,
 }
 
 
@@ -307,9 +326,5 @@ def _llm():
 
 
 def oracle_sql() -> dict[str, str]:
-    """DuckDB statement per query over the pre-registered driver tables.
-
-    The fixture binding plants no row that fails an insert check, so ``error_rows`` is
-    empty on both sides here; tests/test_jobs.py covers a planted failing insert.
-    """
+    """DuckDB statement per query over the pre-registered driver tables."""
     return {**oracle_queries(), **(_llm().ORACLES if _llm() else {})}

@@ -1,15 +1,14 @@
-"""DuckDB oracle for every registered query.
-
-These statements are written independently of the Spark plans and stay close to
-the shape of the source statements: correlated scalar subqueries, NOT IN, the
-literal F branch with its unconstrained join, nested MAX subqueries for the best
-rule. Loop semantics (first-row decision, last-row-wins) are written as window
-functions over the pinned orders of SURVEY Q1. Parameters are the fixture's
-``as_of`` and backfill start date.
+"""DuckDB statements that every registered query of the shop's jobs is compared with.
+
+Written from the operator definitions of SURVEY section 2: counts and totals are aggregated first and joined, exclusions
+are anti joins, first and last rows of a pinned order are the head of an ordered list. A ``Scope`` holds what differs
+between the staged job (per customer) and the backfill (per customer and consultant).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from ordercraft.checks.fixture_sql import with_binding
 
 AS_OF = "TIMESTAMP '2001-08-01 12:00:00'"
@@ -17,514 +16,394 @@ START = "TIMESTAMP '2001-01-01 00:00:00'"
 IMAGE_PREFIX = "//images.example/sku/"
 
 
-def _cutoff(ts: str, months: int = -12) -> str:
-    """Month arithmetic with month end -> month end, time kept."""
-    return (
-        f"(CASE WHEN CAST({ts} AS DATE) = last_day(CAST({ts} AS DATE)) "
-        f"THEN CAST(last_day(CAST({ts} AS DATE) + INTERVAL ({months}) MONTH) AS TIMESTAMP) "
-        f"ELSE CAST(CAST(CAST({ts} AS DATE) + INTERVAL ({months}) MONTH AS DATE) AS TIMESTAMP) END "
-        f"+ ({ts} - CAST(CAST({ts} AS DATE) AS TIMESTAMP)))"
-    )
-
-
-CUTOFF = _cutoff(AS_OF)
-
-LINES = """dcspp_order_item oi_x JOIN dcspp_item i_x ON oi_x.commerce_items = i_x.commerce_item_id"""
-
-
-def _temp(p: str, driver: str) -> str:
-    return f"""
-{p}_temp AS (
-  SELECT DISTINCT 'R' AS code, o.order_id, pr.sku_order,
-    (SELECT max(i_x.quantity) FROM {LINES} WHERE oi_x.order_id = o.order_id AND i_x.catalog_ref_id = pr.sku_rebuy
-       HAVING count(*) = 1) * ittpr.expiration AS expiration,
-    pr.sku_rebuy
-  FROM dcspp_order o
-  JOIN dcspp_order_item itorder ON o.order_id = itorder.order_id
-  JOIN dcspp_item it ON itorder.commerce_items = it.commerce_item_id
-  JOIN cit_product_refil pr ON pr.sku_order = it.catalog_ref_id
-  JOIN cit_product_refil ittpr ON ittpr.sku_order = pr.sku_rebuy
-  WHERE pr.sku_order <> pr.sku_rebuy AND o.order_id IN (SELECT order_id FROM {driver})
-  UNION
-  SELECT DISTINCT 'F' AS code, o.order_id, pr.sku_order, 0 AS expiration, pr.sku_rebuy
-  FROM dcspp_order o
-  JOIN dcspp_order_item itorder ON o.order_id = itorder.order_id
-  JOIN dcspp_item it ON itorder.commerce_items = it.commerce_item_id
-  JOIN cit_product_refil pr ON pr.sku_order = it.catalog_ref_id
-  JOIN cit_product_refil parent_refil ON pr.sku_rebuy = it.catalog_ref_id
-  JOIN dcspp_order_item oi ON o.order_id = oi.order_id
-  JOIN dcspp_item it_refil ON oi.commerce_items = it_refil.commerce_item_id
-       AND it_refil.catalog_ref_id = parent_refil.sku_order
-  WHERE pr.sku_order = pr.sku_rebuy AND o.order_id IN (SELECT order_id FROM {driver})
+def year_before(moment: str) -> str:
+    """Twelve months earlier: month end stays month end, the time of day stays."""
+    day = f"{moment}::DATE"
+    moved = f"({day} - INTERVAL 12 MONTH)::DATE"
+    return f"(if({day} = last_day({day}), last_day({moved}), {moved})::TIMESTAMP + ({moment} - ({day})::TIMESTAMP))"
+
+
+RECENT = f"submitted_date > {year_before(AS_OF)}"
+
+BASICS = f"""
+line AS (
+  SELECT order_id, catalog_ref_id AS sku, product_id, quantity
+  FROM dcspp_item JOIN dcspp_order_item ON commerce_items = commerce_item_id
 ),
-{p}_repeated AS (
-  SELECT DISTINCT o.order_id
-  FROM dcspp_order o
-  JOIN dcspp_order_item itorder ON o.order_id = itorder.order_id
-  JOIN dcspp_item it ON itorder.commerce_items = it.commerce_item_id
-  JOIN cit_product_refil pr ON pr.sku_order = it.catalog_ref_id
-  JOIN cit_product_refil ittpr ON ittpr.sku_order = pr.sku_rebuy
-  WHERE pr.sku_order <> pr.sku_rebuy AND o.order_id IN (SELECT order_id FROM {driver})
-    AND (SELECT count(*) FROM {LINES} WHERE oi_x.order_id = o.order_id AND i_x.catalog_ref_id = pr.sku_rebuy) > 1
+payment AS (
+  SELECT order_ref AS order_id, count(*) AS groups, count(*) FILTER (state = 'SETTLED') > 0 AS settled
+  FROM dcspp_pay_group GROUP BY order_ref
 ),
-{p}_rule AS (
-  SELECT o.order_id, pr.sku_rebuy AS sku, sku.display_name AS description, pr.refillable AS refillable,
-    o.profile_id AS cf_id, nt.cn_id AS cn_id,
-    CAST(CAST(CASE t.code WHEN 'R' THEN o.submitted_date + to_days(pr.expiration + coalesce(t.expiration, 0))
-                          ELSE o.submitted_date + to_days(pr.expiration) END AS DATE) AS TIMESTAMP) AS expiration
-  FROM dcspp_order o
-  JOIN nt_order nt ON o.order_id = nt.order_id
-  JOIN dcspp_order_item itorder ON o.order_id = itorder.order_id
-  JOIN dcspp_item it ON itorder.commerce_items = it.commerce_item_id
-  JOIN cit_product_refil pr ON pr.sku_order = it.catalog_ref_id
-  JOIN dcspp_pay_group pg ON pg.order_ref = o.order_id
-  JOIN {p}_temp t ON t.order_id = o.order_id AND t.sku_order = pr.sku_order
-  JOIN nt_sku ntp ON ntp.sku_code = t.sku_rebuy
-  JOIN dcs_sku sku ON sku.sku_id = ntp.sku_id
-  WHERE pr.sku_rebuy IS NOT NULL AND itorder.order_id IN (SELECT order_id FROM {driver})
-    AND o.submitted_date IS NOT NULL
-    AND ((t.code = 'F' AND o.submitted_date + to_days(pr.expiration + 60) >= {AS_OF}
-          AND t.sku_rebuy NOT IN (SELECT t2.sku_rebuy FROM {p}_temp t2
-                                  WHERE t2.order_id = o.order_id AND t2.code = 'R' AND t2.sku_rebuy = t.sku_rebuy))
-      OR (t.code = 'R' AND o.submitted_date + to_days(pr.expiration + coalesce(t.expiration, 0) + 60) >= {AS_OF}))
+consultant AS (SELECT order_id, count(*) AS consultants, max(cn_id) AS cn_id FROM nt_order GROUP BY order_id),
+sku_name AS (SELECT sku_code AS sku, display_name FROM nt_sku JOIN dcs_sku USING (sku_id)),
+mapped_product AS (SELECT product_id, display_name FROM dcs_product SEMI JOIN nt_product USING (product_id)),
+active_order AS (
+  SELECT order_id, state, submitted_date, profile_id
+  FROM dcspp_order SEMI JOIN (FROM payment WHERE settled) USING (order_id)
+  WHERE state IN ('SUBMITTED', 'NO_PENDING_ACTION')
 ),
-{p}_default AS (
-  SELECT o.order_id, i.catalog_ref_id AS sku, ds.display_name AS description, 'N' AS refillable,
-    o.profile_id AS cf_id, nt.cn_id AS cn_id, o.submitted_date + to_days(90) AS expiration
-  FROM dcspp_order o
-  JOIN nt_order nt ON o.order_id = nt.order_id
-  JOIN dcspp_order_item itorder ON o.order_id = itorder.order_id
-  JOIN dcspp_item i ON itorder.commerce_items = i.commerce_item_id
-  LEFT JOIN cit_product_refil pr ON pr.sku_order = i.catalog_ref_id
-  JOIN nt_product ntp ON ntp.product_id = i.product_id
-  JOIN dcs_product ds ON ds.product_id = ntp.product_id
-  JOIN dcspp_pay_group pg ON pg.order_ref = o.order_id
-  WHERE pr.sku_order IS NULL AND o.submitted_date + to_days(150) >= {AS_OF}
-    AND o.order_id IN (SELECT order_id FROM {driver}) AND o.submitted_date IS NOT NULL
+staged_order AS (
+  SELECT DISTINCT * FROM active_order SEMI JOIN dcspp_order_item_stg USING (order_id)
+  JOIN payment USING (order_id) LEFT JOIN consultant USING (order_id)
+  WHERE state = 'SUBMITTED'
 ),
-{p}_candidates AS (
-  SELECT * FROM (SELECT * FROM {p}_rule UNION SELECT * FROM {p}_default) u
-  WHERE NOT EXISTS (SELECT 1 FROM {p}_repeated r WHERE r.order_id = u.order_id)
+s_driver AS (
+  SELECT order_id, state, submitted_date, profile_id, cn_id FROM staged_order
+  WHERE groups = 1 AND {RECENT} AND consultants = 1 AND cn_id IS NOT NULL
+),
+s_set_aside AS (
+  SELECT order_id, profile_id AS cf_id, NULL::VARCHAR AS cn_id, 'several payment groups' AS reason, 'O' AS source
+  FROM staged_order WHERE groups > 1
+  UNION ALL
+  SELECT order_id, profile_id, NULL, 'several consultant rows', 'O'
+  FROM staged_order WHERE groups = 1 AND {RECENT} AND consultants > 1
+),
+b_driver AS (
+  SELECT DISTINCT order_id, state, submitted_date, profile_id, nt_order.cn_id
+  FROM active_order JOIN nt_order USING (order_id) WHERE submitted_date >= {START} AND {RECENT}
+),
+latest AS (
+  SELECT DISTINCT profile_id AS cf_id, cn_id, submitted_date AS order_date
+  FROM (FROM dcspp_order QUALIFY submitted_date = max(submitted_date) OVER (PARTITION BY profile_id))
+  JOIN nt_order USING (order_id)
 )"""
 
 
-def _upsert(p: str, cur: str, cand: str, driver: str, base: str) -> str:
-    """First-row insert-or-update with W4 last-row-wins updates, as window functions."""
-    return f"""
-{p}_first AS (
-  SELECT order_id, sku, cf_id, cn_id FROM (
-    SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY sku ASC NULLS LAST, description ASC NULLS LAST,
-      refillable ASC NULLS LAST, cf_id ASC NULLS LAST, cn_id ASC NULLS LAST, expiration ASC NULLS LAST) AS rn
-    FROM {cand}) WHERE rn = 1
+@dataclass(frozen=True)
+class Scope:
+    """``name``: prefix of the scope's tables; ``key``: what an offer belongs to."""
+
+    name: str
+    key: tuple[str, ...]
+
+    @property
+    def keys(self) -> str:
+        return ", ".join(self.key)
+
+    def columns(self, alias: str) -> str:
+        return ", ".join(f"{alias}.{k}" for k in self.key)
+
+    def candidates(self) -> str:
+        n = self.name
+        return f"""
+{n}_order AS (SELECT DISTINCT order_id, submitted_date, profile_id FROM {n}_driver),
+{n}_line AS (SELECT line.* FROM line SEMI JOIN {n}_order USING (order_id)),
+{n}_per_sku AS (SELECT order_id, sku, count(*) AS lines, max(quantity) AS most FROM {n}_line GROUP BY ALL),
+{n}_rebuy AS (
+  SELECT DISTINCT l.order_id, buy.sku_order, buy.sku_rebuy, CASE lines WHEN 1 THEN most * again.expiration END AS extra, lines
+  FROM {n}_line l
+  JOIN cit_product_refil buy ON buy.sku_order = l.sku AND buy.sku_rebuy <> l.sku
+  JOIN cit_product_refil again ON again.sku_order = buy.sku_rebuy
+  LEFT JOIN {n}_per_sku c ON c.order_id = l.order_id AND c.sku = buy.sku_rebuy
 ),
-{p}_mode AS (
-  SELECT f.order_id,
-    (SELECT count(*) FROM {cur} r WHERE r.cn_id = f.cn_id AND r.cf_id = f.cf_id AND r.sku = f.sku
-        AND r.order_id = f.order_id) = 1 AS upd
-  FROM {p}_first f
+{n}_own_rule AS (
+  SELECT DISTINCT order_id, sku AS sku_order, sku_rebuy FROM {n}_line JOIN cit_product_refil ON sku_order = sku AND sku_rebuy = sku
 ),
-{p}_ids AS (
-  SELECT m.order_id, {base} + row_number() OVER (ORDER BY d.submitted_date, m.order_id) AS id_key
-  FROM {p}_mode m JOIN (SELECT DISTINCT order_id, submitted_date FROM {driver}) d ON d.order_id = m.order_id
-  WHERE NOT m.upd
+{n}_repeated AS (SELECT DISTINCT order_id FROM {n}_rebuy WHERE lines > 1),
+{n}_temp AS (
+  SELECT DISTINCT 'R' AS code, order_id, sku_order, extra AS expiration, sku_rebuy FROM {n}_rebuy
+  UNION ALL SELECT 'F', order_id, sku_order, 0, sku_rebuy FROM {n}_own_rule
 ),
-{p}_last AS (
-  SELECT * FROM (
-    SELECT c.*, row_number() OVER (PARTITION BY c.cn_id, c.cf_id, c.sku, c.order_id ORDER BY
-      c.description DESC NULLS FIRST, c.refillable DESC NULLS FIRST, c.expiration DESC NULLS FIRST) AS rn
-    FROM {cand} c JOIN {p}_mode m ON m.order_id = c.order_id WHERE m.upd) WHERE rn = 1
+{n}_named AS (
+  SELECT order_id, sku_order, sku_rebuy, coalesce(extra, 0) AS extra FROM {n}_rebuy
+  UNION ALL SELECT order_id, sku_order, sku_rebuy, 0 FROM {n}_own_rule ANTI JOIN {n}_rebuy USING (order_id, sku_rebuy)
 ),
-{p}_next AS (
-  SELECT r.id_key, r.description, r.sku,
-    CASE WHEN l.order_id IS NOT NULL THEN l.refillable ELSE r.refillable END AS refillable,
-    CASE WHEN l.order_id IS NOT NULL THEN l.expiration ELSE r.expiration END AS expiration,
-    r.cf_id, r.cn_id, r.order_id
-  FROM {cur} r LEFT JOIN {p}_last l
-    ON l.cn_id = r.cn_id AND l.cf_id = r.cf_id AND l.sku = r.sku AND l.order_id = r.order_id
-  UNION ALL
-  SELECT i.id_key, c.description, c.sku, c.refillable, c.expiration, c.cf_id, c.cn_id, c.order_id
-  FROM {cand} c JOIN {p}_ids i ON i.order_id = c.order_id
-  WHERE c.order_id IS NOT NULL AND c.sku IS NOT NULL
+{n}_ruled AS (
+  SELECT o.order_id, rule.sku_rebuy AS sku, display_name AS description, rule.refillable, profile_id AS cf_id, nt_order.cn_id,
+         (submitted_date + to_days(rule.expiration + extra))::DATE::TIMESTAMP AS expiration,
+         rule.sku_rebuy = t.sku_rebuy AS paired
+  FROM {n}_named t
+  JOIN cit_product_refil rule ON rule.sku_order = t.sku_order AND rule.sku_rebuy IS NOT NULL
+  JOIN sku_name ON sku_name.sku = t.sku_rebuy
+  JOIN {n}_order o ON o.order_id = t.order_id
+  JOIN nt_order ON nt_order.order_id = t.order_id
+  WHERE submitted_date + to_days(rule.expiration + extra + 60) >= {AS_OF}
+),
+{n}_default AS (
+  SELECT l.order_id, l.sku, display_name AS description, 'N' AS refillable, profile_id AS cf_id, nt_order.cn_id,
+         submitted_date + to_days(90) AS expiration
+  FROM (FROM {n}_line x ANTI JOIN cit_product_refil r ON r.sku_order = x.sku) l
+  JOIN mapped_product USING (product_id)
+  JOIN {n}_order o ON o.order_id = l.order_id
+  JOIN nt_order ON nt_order.order_id = l.order_id
+  WHERE submitted_date + to_days(150) >= {AS_OF}
+),
+{n}_candidate AS (
+  SELECT DISTINCT * FROM (SELECT * EXCLUDE (paired) FROM {n}_ruled UNION ALL FROM {n}_default) ANTI JOIN {n}_repeated USING (order_id)
+),
+{n}_paired AS (
+  SELECT DISTINCT * FROM (SELECT * EXCLUDE (paired) FROM {n}_ruled WHERE paired UNION ALL FROM {n}_default)
+  ANTI JOIN {n}_repeated USING (order_id)
 )"""
 
-
-def _upsert_per_row(p: str, cur: str, cand: str, driver: str, base: str) -> str:
-    """True upsert per key: stored keys are updated (last candidate wins), the rest inserted."""
-    return f"""
-{p}_ex AS (
-  SELECT c.*, EXISTS (SELECT 1 FROM {cur} r WHERE r.cn_id = c.cn_id AND r.cf_id = c.cf_id AND r.sku = c.sku
-                        AND r.order_id = c.order_id) AS ex
-  FROM {cand} c
+    def refills(self, out: str, stored: str, per_row: bool = False) -> str:
+        """Next refill table ``{out}`` and would-be inserts ``{out}_insert``, from the candidates and ``stored``."""
+        n = self.name
+        row = "{sku: sku, description: description, refillable: refillable, cf_id: cf_id, cn_id: cn_id, expiration: expiration}"
+        rising = ", ".join(f"{c} ASC NULLS LAST" for c in ("sku", "description", "refillable", "cf_id", "cn_id", "expiration"))
+        falling = ", ".join(f"{c} DESC NULLS FIRST" for c in ("description", "refillable", "expiration"))
+        if per_row:
+            known = f"""
+{out}_known AS (
+  SELECT c.*, r.n IS NOT NULL AS known FROM {n}_candidate c
+  LEFT JOIN (SELECT cn_id, cf_id, sku, order_id, count(*) AS n FROM {stored} GROUP BY ALL) r USING (cn_id, cf_id, sku, order_id)
+)"""
+        else:
+            known = f"""
+{out}_head AS (SELECT order_id, list({row} ORDER BY {rising})[1] AS head FROM {n}_candidate GROUP BY order_id),
+{out}_met AS (
+  SELECT h.order_id, count(r.order_id) AS met FROM {out}_head h
+  LEFT JOIN {stored} r ON r.order_id = h.order_id AND r.sku = head.sku AND r.cf_id = head.cf_id AND r.cn_id = head.cn_id
+  GROUP BY h.order_id
 ),
-{p}_ids AS (
-  SELECT o.order_id, {base} + row_number() OVER (ORDER BY d.submitted_date, o.order_id) AS id_key
-  FROM (SELECT DISTINCT order_id FROM {p}_ex WHERE NOT ex) o
-  JOIN (SELECT DISTINCT order_id, submitted_date FROM {driver}) d ON d.order_id = o.order_id
+{out}_known AS (SELECT c.*, met = 1 AS known FROM {n}_candidate c JOIN {out}_met USING (order_id))"""
+        return f"""{known},
+{out}_group AS (
+  SELECT order_id, (SELECT coalesce(max(id_key), 0) FROM cit_refil) + row_number() OVER (ORDER BY submitted_date, order_id) AS id_key
+  FROM {n}_order SEMI JOIN (FROM {out}_known WHERE NOT known) USING (order_id)
 ),
-{p}_last AS (
-  SELECT * FROM (
-    SELECT c.*, row_number() OVER (PARTITION BY c.cn_id, c.cf_id, c.sku, c.order_id ORDER BY
-      c.description DESC NULLS FIRST, c.refillable DESC NULLS FIRST, c.expiration DESC NULLS FIRST) AS rn
-    FROM {p}_ex c WHERE c.ex) WHERE rn = 1
+{out}_change AS (
+  SELECT cn_id, cf_id, sku, order_id, list({{refillable: refillable, expiration: expiration}} ORDER BY {falling})[1] AS last
+  FROM {out}_known WHERE known GROUP BY ALL
 ),
-{p}_next AS (
-  SELECT r.id_key, r.description, r.sku,
-    CASE WHEN l.order_id IS NOT NULL THEN l.refillable ELSE r.refillable END AS refillable,
-    CASE WHEN l.order_id IS NOT NULL THEN l.expiration ELSE r.expiration END AS expiration,
-    r.cf_id, r.cn_id, r.order_id
-  FROM {cur} r LEFT JOIN {p}_last l
-    ON l.cn_id = r.cn_id AND l.cf_id = r.cf_id AND l.sku = r.sku AND l.order_id = r.order_id
+{out}_insert AS (SELECT k.*, id_key FROM {out}_known k JOIN {out}_group USING (order_id) WHERE NOT known),
+{out} AS (
+  SELECT id_key, description, sku, if(last IS NULL, refillable, last.refillable) AS refillable,
+         if(last IS NULL, expiration, last.expiration) AS expiration, cf_id, cn_id, order_id
+  FROM {stored} LEFT JOIN {out}_change USING (cn_id, cf_id, sku, order_id)
   UNION ALL
-  SELECT i.id_key, c.description, c.sku, c.refillable, c.expiration, c.cf_id, c.cn_id, c.order_id
-  FROM {p}_ex c JOIN {p}_ids i ON i.order_id = c.order_id
-  WHERE NOT c.ex AND c.order_id IS NOT NULL AND c.sku IS NOT NULL
+  SELECT id_key, description, sku, refillable, expiration, cf_id, cn_id, order_id FROM {out}_insert WHERE sku IS NOT NULL
 )"""
 
+    def offers(self) -> str:
+        n, keys = self.name, self.keys
+        with_consultant = "cn_id" in self.key
+        who = "JOIN nt_order USING (order_id)" if with_consultant else ""
+        context = "(profile_id, cn_id)" if with_consultant else "profile_id"
+        columns = "profile_id AS cf_id" + (", nt_order.cn_id" if with_consultant else "")
+        join_cn = "nt_order.cn_id" if with_consultant else ""
+        wanted = f"({'profile_id, ' + join_cn if with_consultant else 'profile_id'})"
+        context += " FROM b_driver WHERE cn_id IS NOT NULL" if with_consultant else " FROM s_driver"
+        chosen = "DISTINCT latest.cn_id" if with_consultant else "latest.cn_id"
+        return f"""
+{n}_brand AS (
+  SELECT DISTINCT {columns}, brand_id
+  FROM active_order {who} JOIN line USING (order_id) JOIN oe_product USING (product_id) SEMI JOIN oe_brand USING (brand_id)
+  WHERE {RECENT} AND {wanted} IN (SELECT {context})
+),
+{n}_open AS (
+  SELECT {self.columns('has')}, brand_order, brand_offer, interest, support
+  FROM {n}_brand has JOIN cit_offer ON brand_order = has.brand_id
+  ANTI JOIN {n}_brand other ON {' AND '.join(f'other.{k} = has.{k}' for k in self.key)} AND other.brand_id = brand_offer
+  WHERE brand_offer IS NOT NULL
+),
+{n}_best AS (
+  FROM (FROM {n}_open QUALIFY interest = max(interest) OVER (PARTITION BY {keys}))
+  QUALIFY support = max(support) OVER (PARTITION BY {keys})
+),
+{n}_offer AS (
+  SELECT {chosen}, latest.cf_id, oe_brand.name AS offer, order_date
+  FROM {n}_best best JOIN oe_brand ON oe_brand.brand_id = brand_offer
+  JOIN latest ON {' AND '.join(f'latest.{k} = best.{k}' for k in self.key)}
+)"""
 
-def _brands(p: str, ctx_filter: str, with_cn: bool) -> str:
-    cn_sel = ", nt.cn_id" if with_cn else ""
-    cn_join = "JOIN nt_order nt ON nt.order_id = o.order_id" if with_cn else ""
-    return f"""
-{p}_brand AS (
-  SELECT DISTINCT o.profile_id AS cf_id{cn_sel}, brand.brand_id
-  FROM dcspp_order o
-  JOIN dcspp_order_item oi ON o.order_id = oi.order_id
-  JOIN dcspp_item i ON oi.commerce_items = i.commerce_item_id
-  JOIN dcspp_pay_group pg ON o.order_id = pg.order_ref
-  JOIN oe_product oep ON oep.product_id = i.product_id
-  JOIN oe_brand brand ON brand.brand_id = oep.brand_id
-  {cn_join}
-  WHERE pg.state = 'SETTLED' AND o.state IN ('SUBMITTED', 'NO_PENDING_ACTION')
-    AND o.submitted_date > {CUTOFF} AND {ctx_filter}
+    def opportunities(self, out: str, stored: str, view: str) -> str:
+        """Next opportunity table ``{out}``, blocked keys ``{out}_blocked``, from the offers, ``stored`` and the pointer view."""
+        n, keys = self.name, self.keys
+        row = "{cn_id: cn_id, cf_id: cf_id, offer: offer, order_date: order_date}"
+        cleared = f"""if(blocked_first IS NOT NULL AND (SELECT max(id_key) FROM {view} v
+                     WHERE v.cf_id = blocked_first.cf_id AND v.cn_id = blocked_first.cn_id) IS NOT NULL, NULL, refil)""" \
+            if n == "s" else "refil"
+        return f"""
+{out}_key AS (
+  SELECT {keys}, list({row} ORDER BY cn_id DESC NULLS FIRST, offer DESC NULLS FIRST)[1] AS last,
+         list({row} ORDER BY cn_id ASC NULLS LAST, offer ASC NULLS LAST)[1] AS first
+  FROM {n}_offer WHERE cn_id IS NOT NULL GROUP BY ALL
+),
+{out}_stored AS (SELECT {keys}, count(*) AS stored FROM {stored} GROUP BY ALL),
+{out}_decided AS (SELECT k.*, coalesce(stored, 0) > 1 AS blocked FROM {out}_key k LEFT JOIN {out}_stored USING ({keys})),
+{out}_blocked AS (SELECT {keys}, first AS blocked_first, last FROM {out}_decided WHERE blocked),
+{out}_replaced AS (SELECT {keys}, last FROM {out}_decided WHERE NOT blocked),
+{out} AS (
+  SELECT cn_id, cf_id, offer, {cleared} AS refil, order_date
+  FROM (FROM {stored} ANTI JOIN {out}_replaced USING ({keys})) LEFT JOIN (SELECT {keys}, blocked_first FROM {out}_blocked) USING ({keys})
+  UNION ALL
+  SELECT last.cn_id, last.cf_id, last.offer, refil, last.order_date
+  FROM {out}_replaced r
+  LEFT JOIN (SELECT cf_id AS pf, cn_id AS pc, max(id_key) AS refil FROM {view} GROUP BY ALL) ON pf = last.cf_id AND pc = last.cn_id
+  WHERE last.cf_id IS NOT NULL AND last.offer IS NOT NULL
 )"""
 
+    def set_aside(self, out: str) -> str:
+        """Quarantined rows of a run whose opportunities are ``out``."""
+        n = self.name
+        orders = "FROM s_set_aside UNION ALL" if n == "s" else ""
+        cn = "cn_id" if "cn_id" in self.key else "last.cn_id"
+        return f"""{orders}
+SELECT order_id, profile_id AS cf_id, NULL::VARCHAR AS cn_id, 'refill sku on several lines of the order' AS reason, 'R' AS source
+FROM {n}_repeated JOIN {n}_order USING (order_id)
+UNION ALL SELECT NULL, cf_id, {cn}, 'several stored opportunities', 'A' FROM {out}_blocked
+UNION ALL SELECT DISTINCT NULL, cf_id, cn_id, 'offer without consultant', 'A' FROM {n}_offer WHERE cn_id IS NULL"""
 
-def _offers(p: str, with_cn: bool) -> str:
-    same = "prof2.cf_id = prof.cf_id" + (" AND prof2.cn_id = prof.cn_id" if with_cn else "")
-    own2 = "op.cf_id = prof2.cf_id" + (" AND op.cn_id = prof2.cn_id" if with_cn else "")
-    own = "op.cf_id = prof.cf_id" + (" AND op.cn_id = prof.cn_id" if with_cn else "")
-    cnd_on = "cnd.cf_id = prof.cf_id" + (" AND cnd.cn_id = prof.cn_id" if with_cn else "")
-    distinct = "DISTINCT" if with_cn else ""
-    scope = "prof.cf_id, prof.cn_id" if with_cn else "prof.cf_id"
-    return f"""
-{p}_eligible AS (
-  SELECT {scope}, b.brand_order, b.brand_offer, b.interest, b.support
-  FROM {p}_brand prof JOIN cit_offer b ON prof.brand_id = b.brand_order
-  WHERE b.brand_offer NOT IN (SELECT op.brand_id FROM {p}_brand op WHERE {own})
-),
-{p}_top AS (
-  SELECT * FROM {p}_eligible brand_result
-  WHERE brand_result.interest = (
-      SELECT max(b.interest) FROM {p}_brand prof2 JOIN cit_offer b ON prof2.brand_id = b.brand_order
-      WHERE b.brand_offer NOT IN (SELECT op.brand_id FROM {p}_brand op WHERE {own2})
-        AND {same.replace('prof.', 'brand_result.')})
-    AND brand_result.support = (
-      SELECT max(b.support) FROM {p}_brand prof2 JOIN cit_offer b ON prof2.brand_id = b.brand_order
-      WHERE b.brand_offer NOT IN (SELECT op.brand_id FROM {p}_brand op WHERE {own2})
-        AND {same.replace('prof.', 'brand_result.')} AND b.interest = brand_result.interest)
-),
-{p}_offers AS (
-  SELECT {distinct} cnd.cn_id AS cn_id, prof.cf_id AS cf_id, oep.name AS offer, cnd.submitted_date AS order_date
-  FROM cit_offer brand_result
-  JOIN {p}_brand prof ON prof.brand_id = brand_result.brand_order
-  JOIN oe_brand oep ON brand_result.brand_offer = oep.brand_id
-  JOIN {p}_cnd cnd ON {cnd_on}
-  WHERE brand_result.interest = (
-      SELECT max(b.interest) FROM {p}_brand prof2 JOIN cit_offer b ON prof2.brand_id = b.brand_order
-      WHERE b.brand_offer NOT IN (SELECT op.brand_id FROM {p}_brand op WHERE {own2}) AND {same})
-    AND brand_result.support = (
-      SELECT max(b.support) FROM {p}_brand prof2 JOIN cit_offer b ON prof2.brand_id = b.brand_order
-      WHERE b.brand_offer NOT IN (SELECT op.brand_id FROM {p}_brand op WHERE {own2}) AND {same}
-        AND b.interest = brand_result.interest)
-    AND brand_result.brand_offer NOT IN (SELECT op.brand_id FROM {p}_brand op WHERE {own})
+    def errors(self, refills: str, opportunities: str) -> str:
+        """Numbered error rows: refill inserts without SKU, and offers without name for every order they were tried for."""
+        n, keys = self.name, self.keys
+        context = "profile_id AS cf_id, order_id" + (", cn_id" if "cn_id" in self.key else "")
+        return f"""
+SELECT row_number() OVER (ORDER BY source DESC, order_id, error)::BIGINT AS id, order_id, error, {AS_OF} AS error_date,
+       -1400 AS error_code, source
+FROM (
+  SELECT order_id, 'cannot insert NULL into cit_refil.sku' AS error, 'R' AS source FROM {refills}_insert WHERE sku IS NULL
+  UNION ALL
+  SELECT c.order_id, 'cannot insert NULL into cit_opportunities.offer', 'A'
+  FROM (SELECT DISTINCT {context} FROM {n}_driver) c
+  JOIN (FROM {n}_offer SEMI JOIN {opportunities}_replaced USING ({keys})) o USING ({keys})
+  WHERE o.offer IS NULL AND o.cn_id IS NOT NULL
 )"""
 
 
-def _opp_upsert(p: str, cur: str, offers: str, view: str, with_cn: bool, clear: bool) -> str:
-    key = "cf_id, cn_id" if with_cn else "cf_id"
-    on = lambda a, b: f"{a}.cf_id = {b}.cf_id" + (f" AND {a}.cn_id = {b}.cn_id" if with_cn else "")
-    clear_expr = (
-        f"CASE WHEN EXISTS (SELECT 1 FROM {p}_clear x WHERE {on('x', 'c')}) THEN NULL ELSE c.refil END"
-        if clear else "c.refil"
-    )
-    return f"""
-{p}_valid AS (SELECT * FROM {offers} WHERE cn_id IS NOT NULL),
-{p}_last AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key}
-    ORDER BY cn_id DESC NULLS FIRST, offer DESC NULLS FIRST) AS rn FROM {p}_valid) WHERE rn = 1
-),
-{p}_first AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key}
-    ORDER BY cn_id ASC NULLS LAST, offer ASC NULLS LAST) AS rn FROM {p}_valid) WHERE rn = 1
-),
-{p}_ptr AS (SELECT cf_id, cn_id, max(id_key) AS refil FROM {view} GROUP BY cf_id, cn_id),
-{p}_blocked AS (
-  SELECT l.* FROM {p}_last l WHERE (SELECT count(*) FROM {cur} c WHERE {on('c', 'l')}) >= 2
+STAGED = Scope("s", ("cf_id",))
+BACKFILL = Scope("b", ("cf_id", "cn_id"))
+
+REST = f"""
+any_backfill AS (SELECT count(*) > 0 AS found FROM b_driver),
+b_stored_refill AS (
+  SELECT cit_refil.* FROM cit_refil LEFT JOIN (SELECT DISTINCT order_id, true AS started FROM dcspp_order WHERE submitted_date >= {START})
+  USING (order_id) WHERE started IS NULL OR NOT (SELECT found FROM any_backfill)
 ),
-{p}_clear AS (
-  SELECT f.* FROM {p}_first f
-  JOIN {p}_ptr q ON q.cf_id = f.cf_id AND q.cn_id = f.cn_id
-  WHERE q.refil IS NOT NULL AND EXISTS (SELECT 1 FROM {p}_blocked b WHERE {on('b', 'f')})
+b_stored_offer AS (
+  FROM cit_opportunities WHERE order_date IS NULL OR order_date < {START} OR NOT (SELECT found FROM any_backfill)
 ),
-{p}_replace AS (SELECT l.* FROM {p}_last l WHERE NOT EXISTS (SELECT 1 FROM {p}_blocked b WHERE {on('b', 'l')})),
-{p}_next AS (
-  SELECT c.cn_id, c.cf_id, c.offer, {clear_expr} AS refil, c.order_date
-  FROM {cur} c WHERE NOT EXISTS (SELECT 1 FROM {p}_replace r WHERE {on('r', 'c')})
-  UNION ALL
-  SELECT r.cn_id, r.cf_id, r.offer, q.refil, r.order_date
-  FROM {p}_replace r LEFT JOIN {p}_ptr q ON q.cf_id = r.cf_id AND q.cn_id = r.cn_id
-  WHERE r.cf_id IS NOT NULL AND r.offer IS NOT NULL
+given_view AS (SELECT cf_id, cn_id, id_key FROM cit_refil WHERE expiration >= {START})"""
+
+PURGED = f"""
+s_kept AS (
+  FROM s_refill WHERE expiration IS NULL OR expiration + to_days(60) >= {AS_OF} OR (SELECT count(*) FROM s_driver) = 0
 )"""
 
+REFILL = "id_key, description, sku, refillable, expiration, cf_id, cn_id, order_id"
+OPPORTUNITY = "cn_id, cf_id, offer, refil, order_date"
 
-LIBRARY = ",".join([
-    f"""
-stg_checked AS (
-  SELECT b.*,
-    (SELECT count(*) FROM dcspp_pay_group p WHERE p.order_ref = b.order_id) AS n_pay,
-    (SELECT count(*) FROM nt_order n WHERE n.order_id = b.order_id) AS n_cn,
-    (SELECT max(n.cn_id) FROM nt_order n WHERE n.order_id = b.order_id) AS cn_id
-  FROM (SELECT DISTINCT o.order_id, o.state, o.submitted_date, o.profile_id
-        FROM dcspp_order o
-        JOIN dcspp_pay_group pg ON pg.order_ref = o.order_id
-        JOIN dcspp_order_item_stg stg ON stg.order_id = o.order_id
-        WHERE o.state = 'SUBMITTED' AND 'SETTLED' = pg.state) b
-),
-staged_driver AS (
-  SELECT order_id, state, submitted_date, profile_id, cn_id FROM stg_checked
-  WHERE n_pay = 1 AND submitted_date > {CUTOFF} AND n_cn = 1 AND cn_id IS NOT NULL
+
+def _details(product: str) -> str:
+    return with_binding(f"""
+mapped AS (SELECT product_id, display_name FROM dcs_product SEMI JOIN nt_product USING (product_id)),
+adjusted AS (
+  SELECT amount_info_id, adjustment, pricing_model FROM dcspp_amtinfo_adj LEFT JOIN dcspp_price_adjust ON adjustment_id = adjustments
 ),
-staged_quarantine AS (
-  SELECT order_id, profile_id AS cf_id, CAST(NULL AS VARCHAR) AS cn_id,
-    CASE WHEN n_pay > 1 THEN 'several payment groups' ELSE 'several consultant rows' END AS reason, 'O' AS source
-  FROM stg_checked WHERE n_pay > 1 OR (n_pay = 1 AND submitted_date > {CUTOFF} AND n_cn > 1)
+order_cut AS (
+  SELECT amount_info_id, sum(adjustment)::DECIMAL(19,2) AS order_discount
+  FROM adjusted JOIN dcspp_order_price USING (amount_info_id)
+  WHERE adjustment < 0 AND adjustment <> raw_subtotal GROUP BY amount_info_id
 ),
-backfill_driver AS (
-  SELECT DISTINCT o.order_id, o.state, o.submitted_date, o.profile_id, nt.cn_id
-  FROM dcspp_order o
-  JOIN dcspp_pay_group pg ON pg.order_ref = o.order_id
-  JOIN nt_order nt ON nt.order_id = o.order_id
-  WHERE o.state IN ('SUBMITTED', 'NO_PENDING_ACTION') AND pg.state = 'SETTLED'
-    AND o.submitted_date >= {START} AND o.submitted_date > {CUTOFF}
-)""",
-    _temp("s", "staged_driver"),
-    _temp("b", "backfill_driver"),
-    f"""
-s_refil AS (SELECT * FROM cit_refil),
-s_up_base AS (SELECT coalesce(max(id_key), 0) AS v FROM cit_refil),
-b_refil AS (
-  SELECT * FROM cit_refil r
-  WHERE NOT EXISTS (SELECT 1 FROM backfill_driver)
-     OR NOT (r.order_id = (SELECT DISTINCT o.order_id FROM dcspp_order o
-                           WHERE o.order_id = r.order_id AND o.submitted_date >= {START})) IS TRUE
+item AS (
+  SELECT order_id, catalog_ref_id, item.product_id, {product}.display_name, quantity, list_price, raw_total_price, order_discount,
+         if(price.amount_info_id IS NULL, NULL, adjustment) AS adjustment,
+         if(price.amount_info_id IS NULL, NULL, pricing_model) AS pricing_model
+  FROM dcspp_order_item JOIN dcspp_item item ON commerce_items = commerce_item_id
+  JOIN {product} USING (product_id)
+  LEFT JOIN dcspp_item_price price ON price.amount_info_id = item.price_info
+  LEFT JOIN adjusted ON adjusted.amount_info_id = item.price_info
 ),
-b_opps AS (
-  SELECT * FROM cit_opportunities
-  WHERE NOT EXISTS (SELECT 1 FROM backfill_driver) OR NOT (order_date >= {START}) IS TRUE
-)""",
-    _upsert("su", "s_refil", "s_candidates", "staged_driver", "(SELECT v FROM s_up_base)"),
-    f"""
-su_purged AS (
-  SELECT * FROM su_next
-  WHERE expiration IS NULL OR expiration + to_days(60) >= {AS_OF} OR NOT EXISTS (SELECT 1 FROM staged_driver)
-)""",
-    _upsert("bu", "b_refil", "b_candidates", "backfill_driver", "(SELECT v FROM s_up_base)"),
-    _upsert_per_row("spr", "s_refil", "s_candidates", "staged_driver", "(SELECT v FROM s_up_base)"),
-    _brands("s", "o.profile_id IN (SELECT profile_id FROM staged_driver)", False),
-    _brands("b", "EXISTS (SELECT 1 FROM backfill_driver d WHERE d.profile_id = o.profile_id AND d.cn_id = nt.cn_id)",
-            True),
-    """
-all_cnd AS (
-  SELECT DISTINCT o.profile_id AS cf_id, nt_sub.cn_id, o.submitted_date
-  FROM nt_order nt_sub JOIN dcspp_order o ON nt_sub.order_id = o.order_id
-  WHERE o.submitted_date = (SELECT max(o_sub.submitted_date) FROM dcspp_order o_sub
-                            WHERE o_sub.profile_id = o.profile_id)
+paid AS (
+  SELECT order_ref AS order_id, state AS pay_state, payment_method, installments FROM dcspp_pay_group
+  LEFT JOIN (SELECT payment_group_id, min(no_of_payments) AS installments FROM oe_pay_group GROUP BY ALL) USING (payment_group_id)
 ),
-s_cnd AS (SELECT * FROM all_cnd WHERE cf_id IN (SELECT profile_id FROM staged_driver)),
-b_ctx AS (SELECT DISTINCT profile_id AS cf_id, cn_id FROM backfill_driver),
-b_cnd AS (
-  SELECT DISTINCT o.profile_id AS cf_id, nt_sub.cn_id, o.submitted_date
-  FROM b_ctx c
-  JOIN dcspp_order o ON o.profile_id = c.cf_id
-  JOIN nt_order nt_sub ON nt_sub.order_id = o.order_id
-  WHERE o.submitted_date = (SELECT max(o_sub.submitted_date) FROM dcspp_order o_sub
-                            WHERE o_sub.profile_id = o.profile_id AND nt_sub.cn_id = c.cn_id)
-)""",
-    _offers("s", False),
-    _offers("b", True),
-    _opp_upsert("so", "cit_opportunities", "s_offers", "cit_refil", False, True),
-    _opp_upsert("bo", "b_opps", "b_offers", "cit_refil", True, False),
-    _opp_upsert("rso", "cit_opportunities", "s_offers", "su_purged", False, True),
-    _opp_upsert("rbo", "b_opps", "b_offers", "bu_next", True, False),
-])
-
-
-def _q(select: str) -> str:
-    return with_binding(LIBRARY, select)
-
-
-REFIL_COLS = "id_key, description, sku, refillable, expiration, cf_id, cn_id, order_id"
-OPP_COLS = "cn_id, cf_id, offer, refil, order_date"
-
-ORDER_DETAILS = f"""
-SELECT DISTINCT
-  o.profile_id AS cf_id, nt.cn_id, oe.order_id AS order_number, oe.order_number AS order_number_broker,
-  o.state AS order_state, pg.state, o.submitted_date AS order_date, i.catalog_ref_id AS sku_id, i.product_id,
-  pr.display_name, i.quantity,
-  CAST(CASE WHEN pa.adjustment = i.quantity * p.list_price THEN 0 ELSE pa.adjustment END AS DECIMAL(19,2))
-    AS un_discount,
-  p.list_price AS un_price, op.raw_subtotal, p.raw_total_price, pa.pricing_model AS promotion_id, nt.coupon_id,
-  op.shipping, op.raw_subtotal AS order_total, p.order_discount AS item_discount,
-  coalesce(u.first_name, '') || ' ' || coalesce(u.last_name, '') AS customer_name,
-  u.email AS customer_email, u.date_of_birth AS customer_birthday, o.creation_date, o.last_modified_date,
-  nsg.sched_deliv_date AS deliver_date, pg.payment_method, 'MOCK - MK' AS city_state,
-  '{IMAGE_PREFIX}' || i.catalog_ref_id || '_1.jpg' AS image_url,
-  (SELECT min(opg.no_of_payments) FROM oe_pay_group opg WHERE opg.payment_group_id = pg.payment_group_id)
-    AS installments,
-  (SELECT CAST(sum(pa2.adjustment) AS DECIMAL(19,2))
-     FROM dcspp_order_price p2
-     LEFT JOIN dcspp_amtinfo_adj adj2 ON adj2.amount_info_id = p2.amount_info_id
-     LEFT JOIN dcspp_price_adjust pa2 ON (adj2.adjustments = pa2.adjustment_id AND p2.raw_subtotal <> pa2.adjustment)
-     WHERE o.price_info = p2.amount_info_id AND pa2.adjustment IS NOT NULL AND pa2.adjustment < 0) AS order_discount
+sent AS (
+  SELECT order_ref AS order_id, sched_deliv_date FROM dcspp_ship_group LEFT JOIN nt_ship_group USING (shipping_group_id)
+)""", f"""
+SELECT DISTINCT profile_id AS cf_id, cn_id, o.order_id AS order_number, order_number AS order_number_broker, o.state AS order_state,
+  pay_state AS state, submitted_date AS order_date, catalog_ref_id AS sku_id, product_id, display_name, quantity,
+  if(adjustment = quantity * list_price, 0, adjustment)::DECIMAL(19,2) AS un_discount, list_price AS un_price, raw_subtotal,
+  raw_total_price, pricing_model AS promotion_id, coupon_id, shipping, raw_subtotal AS order_total,
+  item.order_discount AS item_discount, concat(first_name, ' ', last_name) AS customer_name, email AS customer_email,
+  date_of_birth AS customer_birthday, creation_date, last_modified_date, sched_deliv_date AS deliver_date, payment_method,
+  'MOCK - MK' AS city_state, concat('{IMAGE_PREFIX}', catalog_ref_id, '_1.jpg') AS image_url, installments,
+  order_cut.order_discount
 FROM dcspp_order o
-JOIN oe_order oe ON o.order_id = oe.order_id
-JOIN nt_order nt ON o.order_id = nt.order_id
-JOIN dcspp_order_item oi ON o.order_id = oi.order_id
-LEFT JOIN dcspp_order_price op ON o.price_info = op.amount_info_id
-JOIN dcspp_item i ON oi.commerce_items = i.commerce_item_id
-LEFT JOIN dcspp_item_price p ON i.price_info = p.amount_info_id
-LEFT JOIN dcspp_amtinfo_adj adj ON adj.amount_info_id = p.amount_info_id
-{{product_join}}
-JOIN dcspp_pay_group pg ON o.order_id = pg.order_ref
-JOIN dps_user u ON o.profile_id = u.id
-JOIN dcspp_ship_group sg ON o.order_id = sg.order_ref
-LEFT JOIN nt_ship_group nsg ON sg.shipping_group_id = nsg.shipping_group_id
-LEFT JOIN dcspp_price_adjust pa ON adj.adjustments = pa.adjustment_id
-"""
-
-NEW_PRODUCT_JOIN = """JOIN nt_product ntp ON (ntp.product_id = i.product_id)
-JOIN dcs_product pr ON (pr.product_id = ntp.product_id)"""
-OLD_PRODUCT_JOIN = "JOIN dcs_product pr ON i.product_id = pr.product_id"
+JOIN dps_user ON id = profile_id
+JOIN oe_order USING (order_id)
+JOIN nt_order USING (order_id)
+JOIN item USING (order_id)
+JOIN paid USING (order_id)
+JOIN sent USING (order_id)
+LEFT JOIN dcspp_order_price op ON op.amount_info_id = o.price_info
+LEFT JOIN order_cut ON order_cut.amount_info_id = o.price_info""")
 
 
 def oracle_queries() -> dict[str, str]:
-    q: dict[str, str] = {}
-    q["order_details"] = with_binding("", ORDER_DETAILS.replace("{product_join}", NEW_PRODUCT_JOIN))
-    q["order_details_legacy"] = with_binding("", ORDER_DETAILS.replace("{product_join}", OLD_PRODUCT_JOIN))
-    q["installments_first"] = with_binding("", """
-SELECT pg.payment_group_id,
-  (SELECT min(opg.no_of_payments) FROM oe_pay_group opg WHERE opg.payment_group_id = pg.payment_group_id)
-    AS installments
-FROM (SELECT DISTINCT payment_group_id FROM oe_pay_group) pg""")
-    q["order_discount_sum"] = with_binding("", """
-SELECT p.amount_info_id,
-  (SELECT CAST(sum(pa.adjustment) AS DECIMAL(19,2))
-     FROM dcspp_order_price p2
-     LEFT JOIN dcspp_amtinfo_adj adj ON adj.amount_info_id = p2.amount_info_id
-     LEFT JOIN dcspp_price_adjust pa ON (adj.adjustments = pa.adjustment_id AND p2.raw_subtotal <> pa.adjustment)
-     WHERE p.amount_info_id = p2.amount_info_id AND pa.adjustment IS NOT NULL AND pa.adjustment < 0)
-    AS order_discount
-FROM (SELECT DISTINCT amount_info_id FROM dcspp_order_price) p
-WHERE EXISTS (
-  SELECT 1 FROM dcspp_amtinfo_adj adj JOIN dcspp_price_adjust pa ON adj.adjustments = pa.adjustment_id
-  JOIN dcspp_order_price p3 ON p3.amount_info_id = adj.amount_info_id
-  WHERE adj.amount_info_id = p.amount_info_id AND pa.adjustment < 0 AND p3.raw_subtotal <> pa.adjustment)""")
-    q["unit_discount"] = with_binding("", """
-SELECT i.commerce_item_id, pa.adjustment_id,
-  CAST(CASE WHEN pa.adjustment = i.quantity * p.list_price THEN 0 ELSE pa.adjustment END AS DECIMAL(19,2))
-    AS un_discount
-FROM dcspp_item i
-JOIN dcspp_item_price p ON i.price_info = p.amount_info_id
-JOIN dcspp_amtinfo_adj adj ON adj.amount_info_id = p.amount_info_id
-JOIN dcspp_price_adjust pa ON adj.adjustments = pa.adjustment_id""")
-    q["customer_name_concat"] = with_binding("", """
-SELECT id, coalesce(first_name, '') || ' ' || coalesce(last_name, '') AS customer_name FROM dps_user""")
-    q["months_cutoff"] = with_binding("", f"""
-SELECT order_id, submitted_date, {_cutoff('submitted_date')} AS cutoff FROM dcspp_order""")
-    q["expiry_arithmetic"] = with_binding("", f"""
-SELECT DISTINCT o.order_id, pr.sku_order, pr.sku_rebuy,
-  o.submitted_date + to_days(pr.expiration) AS due,
-  CAST(CAST(o.submitted_date + to_days(pr.expiration) AS DATE) AS TIMESTAMP) AS due_day,
-  o.submitted_date + to_days(pr.expiration + 60) >= {AS_OF} AS in_grace
-FROM dcspp_order o
-JOIN dcspp_order_item oi ON o.order_id = oi.order_id
-JOIN dcspp_item i ON oi.commerce_items = i.commerce_item_id
-JOIN cit_product_refil pr ON pr.sku_order = i.catalog_ref_id""")
-    q["staged_orders"] = _q("SELECT * FROM staged_driver")
-    q["backfill_orders"] = _q("SELECT * FROM backfill_driver")
-    q["order_quarantine"] = _q("SELECT * FROM staged_quarantine")
-    q["refill_rebuy"] = _q("SELECT code, order_id, sku_order, expiration, sku_rebuy FROM s_temp WHERE code = 'R'")
-    q["refill_base"] = _q("SELECT code, order_id, sku_order, expiration, sku_rebuy FROM s_temp WHERE code = 'F'")
-    q["refill_default"] = _q("SELECT * FROM s_default")
-    q["refill_candidates"] = _q("SELECT * FROM s_candidates")
-    q["refill_candidates_cn"] = _q("SELECT * FROM b_candidates")
-    q["refill_quarantine"] = _q("""
-SELECT r.order_id, d.profile_id AS cf_id, CAST(NULL AS VARCHAR) AS cn_id,
-  'refill sku on several lines of the order' AS reason, 'R' AS source
-FROM s_repeated r JOIN (SELECT DISTINCT order_id, profile_id FROM staged_driver) d ON d.order_id = r.order_id""")
-    q["refill_upsert"] = _q(f"SELECT {REFIL_COLS} FROM su_next")
-    q["refill_purge"] = with_binding("", f"""
-SELECT {REFIL_COLS} FROM cit_refil WHERE NOT (expiration + to_days(60) < {AS_OF}) IS TRUE""")
-    q["refill_reset"] = with_binding("", f"""
-SELECT {REFIL_COLS} FROM cit_refil r
-WHERE NOT (r.order_id = (SELECT DISTINCT o.order_id FROM dcspp_order o
-                         WHERE o.order_id = r.order_id AND o.submitted_date >= {START})) IS TRUE""")
-    q["brand_affinity"] = _q("SELECT cf_id, brand_id FROM s_brand")
-    q["brand_affinity_cn"] = _q("SELECT cf_id, cn_id, brand_id FROM b_brand")
-    q["eligible_rules"] = _q("SELECT * FROM s_eligible")
-    q["top_rules"] = _q("SELECT * FROM s_top")
-    q["latest_consultant"] = _q("SELECT cf_id, cn_id, submitted_date AS order_date FROM all_cnd")
-    q["also_offers"] = _q("SELECT * FROM s_offers")
-    q["also_offers_cn"] = _q("SELECT * FROM b_offers")
-    q["refill_pointer"] = with_binding("", "SELECT cf_id, cn_id, max(id_key) AS refil FROM cit_refil GROUP BY 1, 2")
-    q["opportunity_upsert"] = _q(f"SELECT {OPP_COLS} FROM so_next")
-    q["opportunity_upsert_cn"] = _q(f"SELECT {OPP_COLS} FROM bo_next")
-    q["opportunity_reset"] = with_binding("", f"""
-SELECT {OPP_COLS} FROM cit_opportunities WHERE NOT (order_date >= {START}) IS TRUE""")
-    q["run_staged_refill"] = _q(f"SELECT {REFIL_COLS} FROM su_purged")
-    q["run_staged_opportunities"] = _q(f"SELECT {OPP_COLS} FROM rso_next")
-    q["run_backfill_refill"] = _q(f"SELECT {REFIL_COLS} FROM bu_next")
-    q["run_backfill_opportunities"] = _q(f"SELECT {OPP_COLS} FROM rbo_next")
-    q["refill_upsert_per_row"] = _q(f"SELECT {REFIL_COLS} FROM spr_next")
-    q["run_backfill_quarantine"] = _q("""
-SELECT r.order_id, d.profile_id AS cf_id, CAST(NULL AS VARCHAR) AS cn_id,
-  'refill sku on several lines of the order' AS reason, 'R' AS source
-FROM b_repeated r JOIN (SELECT DISTINCT order_id, profile_id FROM backfill_driver) d ON d.order_id = r.order_id
-UNION ALL
-SELECT CAST(NULL AS VARCHAR), cf_id, cn_id, 'several stored opportunities', 'A' FROM rbo_blocked
-UNION ALL
-SELECT DISTINCT CAST(NULL AS VARCHAR), cf_id, cn_id, 'offer without consultant', 'A' FROM b_offers WHERE cn_id IS NULL""")
-    q["error_rows"] = with_binding(LIBRARY + ",\n" + f"""err_r AS (
-  SELECT c.order_id, -1400 AS error_code,
-    CASE WHEN c.order_id IS NULL THEN 'cannot insert NULL into cit_refil.order_id'
-         ELSE 'cannot insert NULL into cit_refil.sku' END AS error, 'R' AS source
-  FROM s_candidates c JOIN su_ids i ON i.order_id = c.order_id
-  WHERE c.order_id IS NULL OR c.sku IS NULL
-), last_order AS (
-  SELECT cf_id, order_id FROM (
-    SELECT profile_id AS cf_id, order_id,
-      row_number() OVER (PARTITION BY profile_id ORDER BY submitted_date DESC, order_id DESC) AS rn
-    FROM staged_driver) WHERE rn = 1
-), err_a AS (
-  SELECT lo.order_id, x.error_code, x.error, 'A' AS source
-  FROM (SELECT DISTINCT o.cf_id, o.cn_id, -1400 AS error_code,
-          CASE WHEN o.cf_id IS NULL THEN 'cannot insert NULL into cit_opportunities.cf_id'
-               ELSE 'cannot insert NULL into cit_opportunities.offer' END AS error
-        FROM s_offers o
-        WHERE (o.cf_id IS NULL OR o.offer IS NULL) AND EXISTS (SELECT 1 FROM rso_replace r WHERE r.cf_id = o.cf_id)) x
-  LEFT JOIN last_order lo ON lo.cf_id = x.cf_id
-), err AS (SELECT * FROM err_r UNION ALL SELECT * FROM err_a)""", f"""
-SELECT CAST(row_number() OVER (ORDER BY CASE WHEN source = 'R' THEN 0 ELSE 1 END, order_id, error, error_code)
-            AS BIGINT) AS id,
-  order_id, error, {AS_OF} AS error_date, CAST(error_code AS INTEGER) AS error_code, source
-FROM err""")
-    q["run_staged_quarantine"] = _q("""
-SELECT order_id, cf_id, cn_id, reason, source FROM staged_quarantine
-UNION ALL
-SELECT r.order_id, d.profile_id, CAST(NULL AS VARCHAR), 'refill sku on several lines of the order', 'R'
-FROM s_repeated r JOIN (SELECT DISTINCT order_id, profile_id FROM staged_driver) d ON d.order_id = r.order_id
-UNION ALL
-SELECT CAST(NULL AS VARCHAR), cf_id, cn_id, 'several stored opportunities', 'A' FROM rso_blocked
-UNION ALL
-SELECT DISTINCT CAST(NULL AS VARCHAR), cf_id, cn_id, 'offer without consultant', 'A' FROM s_offers WHERE cn_id IS NULL""")
-    return q
+    staged = [BASICS, STAGED.candidates()]
+    backfill = [BASICS, BACKFILL.candidates(), REST]
+    staged_run = [*staged, REST, STAGED.refills("s_refill", "cit_refil"), PURGED, STAGED.offers()]
+    backfill_run = [*backfill, BACKFILL.refills("b_refill", "b_stored_refill"), BACKFILL.offers()]
+
+    def q(parts: list[str], select: str) -> str:
+        return with_binding(",".join(parts), select)
+
+    out = {
+        "order_details": _details("mapped"),
+        "order_details_legacy": _details("dcs_product"),
+        "installments_first": with_binding(
+            "", "SELECT payment_group_id, min(no_of_payments) AS installments FROM oe_pay_group GROUP BY payment_group_id"),
+        "order_discount_sum": with_binding("", """
+SELECT amount_info_id, sum(adjustment)::DECIMAL(19,2) AS order_discount
+FROM dcspp_order_price JOIN dcspp_amtinfo_adj USING (amount_info_id) JOIN dcspp_price_adjust ON adjustment_id = adjustments
+WHERE adjustment < 0 AND raw_subtotal <> adjustment GROUP BY amount_info_id"""),
+        "unit_discount": with_binding("", """
+SELECT commerce_item_id, adjustment_id, if(adjustment = quantity * list_price, 0, adjustment)::DECIMAL(19,2) AS un_discount
+FROM dcspp_item JOIN dcspp_item_price price ON price.amount_info_id = price_info
+JOIN dcspp_amtinfo_adj link ON link.amount_info_id = price_info JOIN dcspp_price_adjust ON adjustment_id = adjustments"""),
+        "customer_name_concat": with_binding("", "SELECT id, concat(first_name, ' ', last_name) AS customer_name FROM dps_user"),
+        "months_cutoff": with_binding(
+            "", f"SELECT order_id, submitted_date, {year_before('submitted_date')} AS cutoff FROM dcspp_order"),
+        "expiry_arithmetic": q([BASICS], f"""
+SELECT DISTINCT order_id, sku_order, sku_rebuy, submitted_date + to_days(expiration) AS due,
+  (submitted_date + to_days(expiration))::DATE::TIMESTAMP AS due_day, submitted_date + to_days(expiration + 60) >= {AS_OF} AS in_grace
+FROM dcspp_order JOIN line USING (order_id) JOIN cit_product_refil ON sku_order = sku"""),
+        "staged_orders": q([BASICS], "FROM s_driver"),
+        "backfill_orders": q([BASICS], "FROM b_driver"),
+        "order_quarantine": q([BASICS], "FROM s_set_aside"),
+        "refill_rebuy": q(staged, "FROM s_temp WHERE code = 'R'"),
+        "refill_base": q(staged, "FROM s_temp WHERE code = 'F'"),
+        "refill_default": q(staged, "FROM s_default"),
+        "refill_candidates": q(staged, "FROM s_candidate"),
+        "refill_candidates_paired": q(staged, "FROM s_paired"),
+        "refill_candidates_cn": q([BASICS, BACKFILL.candidates()], "FROM b_candidate"),
+        "refill_quarantine": q(staged, """
+SELECT order_id, profile_id AS cf_id, NULL::VARCHAR AS cn_id, 'refill sku on several lines of the order' AS reason, 'R' AS source
+FROM s_order SEMI JOIN s_repeated USING (order_id)"""),
+        "refill_upsert": q([*staged, STAGED.refills("s_refill", "cit_refil")], f"SELECT {REFILL} FROM s_refill"),
+        "refill_upsert_per_row": q([*staged, STAGED.refills("s_each", "cit_refil", True)], f"SELECT {REFILL} FROM s_each"),
+        "refill_purge": with_binding(
+            "", f"SELECT {REFILL} FROM cit_refil WHERE coalesce(expiration + to_days(60) >= {AS_OF}, true)"),
+        "refill_reset": with_binding(
+            "", f"FROM cit_refil ANTI JOIN (FROM dcspp_order WHERE submitted_date >= {START}) USING (order_id) SELECT {REFILL}"),
+        "brand_affinity": q([*staged, STAGED.offers()], "FROM s_brand"),
+        "brand_affinity_cn": q([*backfill, BACKFILL.offers()], "FROM b_brand"),
+        "eligible_rules": q([*staged, STAGED.offers()], "FROM s_open"),
+        "top_rules": q([*staged, STAGED.offers()], "FROM s_best"),
+        "latest_consultant": q([BASICS], "FROM latest"),
+        "also_offers": q([*staged, STAGED.offers()], "FROM s_offer"),
+        "also_offers_cn": q([*backfill, BACKFILL.offers()], "FROM b_offer"),
+        "refill_pointer": with_binding("", "SELECT cf_id, cn_id, max(id_key) AS refil FROM cit_refil GROUP BY ALL"),
+        "opportunity_upsert": q([*staged, STAGED.offers(), STAGED.opportunities("s_next", "cit_opportunities", "cit_refil")],
+                                f"SELECT {OPPORTUNITY} FROM s_next"),
+        "opportunity_upsert_cn": q([*backfill, BACKFILL.offers(), BACKFILL.opportunities("b_next", "b_stored_offer", "cit_refil")],
+                                   f"SELECT {OPPORTUNITY} FROM b_next"),
+        "opportunity_reset": with_binding(
+            "", f"SELECT {OPPORTUNITY} FROM cit_opportunities WHERE coalesce(order_date < {START}, true)"),
+    }
+    staged_run.append(STAGED.opportunities("s_next", "cit_opportunities", "s_kept"))
+    backfill_run.append(BACKFILL.opportunities("b_next", "b_stored_offer", "b_refill"))
+    given = [*staged_run[:-1], STAGED.opportunities("s_next", "cit_opportunities", "given_view")]
+    return out | {
+        "run_staged_refill": q(staged_run, f"SELECT {REFILL} FROM s_kept"),
+        "run_staged_opportunities": q(staged_run, f"SELECT {OPPORTUNITY} FROM s_next"),
+        "run_staged_opportunities_view": q(given, f"SELECT {OPPORTUNITY} FROM s_next"),
+        "run_staged_quarantine": q(staged_run, STAGED.set_aside("s_next")),
+        "error_rows": q(staged_run, STAGED.errors("s_refill", "s_next")),
+        "run_backfill_refill": q(backfill_run, f"SELECT {REFILL} FROM b_refill"),
+        "run_backfill_opportunities": q(backfill_run, f"SELECT {OPPORTUNITY} FROM b_next"),
+        "run_backfill_quarantine": q(backfill_run, BACKFILL.set_aside("b_next")),
+        "error_rows_cn": q(backfill_run, BACKFILL.errors("b_refill", "b_next")),
+    }

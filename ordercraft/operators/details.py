@@ -15,15 +15,16 @@ Plan shape, chosen for scale:
   fanned-out result. Header, payments and shipments are distinct within their
   order-id partitioning (no extra shuffle); lines are deduplicated on all their
   columns, so a very large order is spread over many tasks;
-* catalog tables (product maps) are broadcast only behind a row-count check.
+* price adjustments are joined to their links first, on rows without NULL keys, so lines are joined once with the
+  result, in the partitioning of the item price; lines without a price id are spread by a salt;
+* product names and image links are added after the lines are distinct, so they are in no key.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ordercraft.functions.scalars import customer_name, item_discount
-from ordercraft.functions.sizing import bounded_broadcast
+from ordercraft.functions.scalars import concat_nullable, customer_name, item_discount
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.schemas import ORDER_DETAILS_COLUMNS
 
@@ -40,6 +41,12 @@ def installments_first(t: Tables) -> DataFrame:
     return t.oe_pay_group.groupBy("payment_group_id").agg(F.min("no_of_payments").alias("installments"))
 
 
+def linked_adjustments(t: Tables) -> DataFrame:
+    """(amount_info_id, adjustments, adjustment, pricing_model) per link; NULL where the adjustment is missing."""
+    adjust = t.dcspp_price_adjust.select(F.col("adjustment_id").alias("adjustments"), "adjustment", "pricing_model")
+    return t.dcspp_amtinfo_adj.select("amount_info_id", "adjustments").join(adjust, "adjustments", "left")
+
+
 def order_discount_sum(t: Tables) -> DataFrame:
     """B2: per order price, the sum of its negative adjustments that differ from the subtotal.
 
@@ -51,8 +58,8 @@ def order_discount_sum(t: Tables) -> DataFrame:
     adjust = t.dcspp_price_adjust.where(F.col("adjustment") < 0).select(
         F.col("adjustment_id").alias("adjustments"), "adjustment")
     return (
-        price.join(link, "amount_info_id")
-        .join(adjust, "adjustments")
+        link.join(adjust, "adjustments")
+        .join(price, "amount_info_id")
         .where(F.col("raw_subtotal") != F.col("adjustment"))
         .groupBy("amount_info_id")
         .agg(F.sum("adjustment").cast("decimal(19,2)").alias("order_discount"))
@@ -106,41 +113,45 @@ def _header(t: Tables) -> DataFrame:
     )
 
 
+def _salted(key: str, spread: str) -> tuple:
+    """Join key columns that spread rows with a NULL key (which match nothing) over all partitions."""
+    return F.col(key), F.when(F.col(key).isNull(), F.xxhash64(spread)).otherwise(F.lit(0).cast("long"))
+
+
 def _lines(t: Tables, require_product_map: bool, image_prefix: str, image_suffix: str) -> DataFrame:
     order_item = t.dcspp_order_item.select("order_id", F.col("commerce_items").alias("commerce_item_id"))
-    item = t.dcspp_item.select("commerce_item_id", "catalog_ref_id", "product_id", "quantity", "price_info")
+    key, salt = _salted("price_info", "commerce_item_id")
+    item = t.dcspp_item.select(
+        "commerce_item_id", "catalog_ref_id", "product_id", "quantity", key.alias("price_id"), salt.alias("salt"))
+    zero = F.lit(0).cast("long").alias("salt")
     item_price = t.dcspp_item_price.select(
-        F.col("amount_info_id").alias("item_price_id"), "list_price", "raw_total_price", "order_discount")
-    link = t.dcspp_amtinfo_adj.select(F.col("amount_info_id").alias("link_id"), "adjustments")
-    adjust = t.dcspp_price_adjust.select(F.col("adjustment_id").alias("adjustments"), "adjustment", "pricing_model")
-    names = bounded_broadcast(product_names(t, require_product_map))
-    # Item price and adjustment link are both optional and both keyed by the item's price id.
-    # The link is joined on the item's own key (plus "a price was found"), which is the same
-    # as joining on the found price's id, and lets both joins share one partitioning.
-    priced = (
-        item.join(names, "product_id")
-        .join(item_price, F.col("price_info") == F.col("item_price_id"), "left")
-        .join(link, (F.col("link_id") == F.col("price_info")) & F.col("item_price_id").isNotNull(), "left")
-        .join(adjust, "adjustments", "left")
-    )
+        F.col("amount_info_id").alias("price_id"), zero, "list_price", "raw_total_price", "order_discount",
+        F.lit(True).alias("priced"))
+    # Item price and adjustments are both optional and both keyed by the item's price id; an adjustment counts only
+    # if a price was found.
+    adjust = linked_adjustments(t).select(
+        F.col("amount_info_id").alias("price_id"), zero, "adjustment", "pricing_model")
+    joined = item.join(item_price, ["price_id", "salt"], "left").join(adjust, ["price_id", "salt"], "left")
+    counted = lambda c: F.when(F.col("priced"), F.col(c))
+    names = product_names(t, require_product_map).distinct()
     return (
-        order_item.join(priced, "commerce_item_id")
+        order_item.join(joined.join(names.select("product_id").distinct(), "product_id", "left_semi"), "commerce_item_id")
         .select(
             "order_id",
             F.col("catalog_ref_id").alias("sku_id"),
             "product_id",
-            "display_name",
             "quantity",
-            item_discount("adjustment", "quantity", "list_price").alias("un_discount"),
+            item_discount(counted("adjustment"), "quantity", "list_price").alias("un_discount"),
             F.col("list_price").alias("un_price"),
             "raw_total_price",
-            F.col("pricing_model").alias("promotion_id"),
+            counted("pricing_model").alias("promotion_id"),
             F.col("order_discount").alias("item_discount"),
-            F.concat(F.lit(image_prefix), F.col("catalog_ref_id"), F.lit(image_suffix)).alias("image_url"),
         )
         # Hashed on all columns, not on the order id alone, so one order holding a large share
         # of all lines is still deduplicated by many tasks.
         .distinct()
+        .join(names, "product_id")
+        .withColumn("image_url", concat_nullable(F.lit(image_prefix), "sku_id", F.lit(image_suffix)))
     )
 
 

@@ -7,8 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ordercraft.functions.scalars import ts_lit
-from ordercraft.functions.sizing import is_empty
-from ordercraft.operators.ids import assign_dense_ids, max_or
+from ordercraft.operators.ids import dense_ids, max_or
 from ordercraft.sources.schemas import TARGETS
 
 
@@ -17,27 +16,24 @@ def error_rows(
     rejected: dict[str, DataFrame],
     as_of: dt.datetime,
     id_base: int | None = None,
-) -> DataFrame:
-    """New error rows for ``rejected`` = {source: (order_id, error_code, error)}.
+    cut=lambda df: df,
+) -> tuple[DataFrame, int]:
+    """New error rows for ``rejected`` = {source: (order_id, error_code, error)}, and the last id given.
 
-    Ids continue after ``id_base`` (default: the largest stored id) in the pinned order
+    ``cut`` (e.g. a written stage table) is applied to the rejected rows, which are counted and numbered. Ids continue after ``id_base`` (default: the largest stored id) in the pinned order
     source 'R' before 'A', then order id, then message.
     """
     parts = [
         df.select("order_id", "error_code", F.substring("error", 1, 200).alias("error"), F.lit(src).alias("source"))
         for src, df in rejected.items()
     ]
-    if not parts:
-        return current.limit(0)
+    base = max_or(current, "id") if id_base is None else id_base
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    if is_empty(rows):
-        return current.limit(0)
-    rows = rows.withColumn("_src_rank", F.when(F.col("source") == "R", 0).otherwise(1))
-    base = max_or(current, "id") if id_base is None else id_base
-    numbered = assign_dense_ids(rows, ["_src_rank", "order_id", "error", "error_code"], base, "id")
+    rows = cut(rows.withColumn("_src_rank", F.when(F.col("source") == "R", 0).otherwise(1)))
+    numbered, last = dense_ids(rows, ["_src_rank", "order_id", "error", "error_code"], base, "id")
     return numbered.select(
         "id", "order_id", "error", ts_lit(as_of).alias("error_date"),
         F.col("error_code").cast("int").alias("error_code"), "source",
-    ).select(*TARGETS["cit_opp_errors"].fieldNames())
+    ).select(*TARGETS["cit_opp_errors"].fieldNames()), last

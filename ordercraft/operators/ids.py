@@ -26,20 +26,33 @@ def max_or(df: DataFrame, column: str, default: int = 0) -> int:
     return default if value is None else int(value)
 
 
-def assign_dense_ids(df: DataFrame, order_cols: list[str], base: int, id_col: str) -> DataFrame:
-    """Add ``id_col`` = base + 1, base + 2, ... in ``order_cols`` order (ascending, NULLs first)."""
+ROWS_PER_PARTITION = 100_000
+
+
+def dense_ids(df: DataFrame, order_cols: list[str], base: int, id_col: str) -> tuple[DataFrame, int]:
+    """``df`` with ``id_col`` = base + 1, base + 2, ... in ``order_cols`` order (ascending, NULLs first), and the last id.
+
+    ``df`` should be a written table: it is counted, sampled and read. The partition count follows the row count.
+    """
     spark = df.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, -(-df.count() // ROWS_PER_PARTITION))
     ranged = materialize(df.repartitionByRange(n, *order_cols).withColumn("_part", F.spark_partition_id()), "ids")
     counts = sorted((r["_part"], r["count"]) for r in ranged.groupBy("_part").count().collect())
     offsets, acc = [], base
     for part, c in counts:
         offsets.append((part, acc))
         acc += c
+    # One row per range partition.
     offset_df = spark.createDataFrame(offsets or [(0, base)], "_part int, _offset long")
     within = Window.partitionBy("_part").orderBy(*order_cols)
-    return (
+    numbered = (
         ranged.join(F.broadcast(offset_df), "_part")
         .withColumn(id_col, (F.col("_offset") + F.row_number().over(within)).cast("bigint"))
         .drop("_part", "_offset")
     )
+    return numbered, acc
+
+
+def assign_dense_ids(df: DataFrame, order_cols: list[str], base: int, id_col: str) -> DataFrame:
+    """``dense_ids`` without the last id."""
+    return dense_ids(df, order_cols, base, id_col)[0]

@@ -18,11 +18,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ordercraft.functions.scalars import months_cutoff, ts_lit
-from ordercraft.functions.sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, broadcast_if, rows_at_most,
-)
 from ordercraft.operators.orders import ACTIVE_STATES, settled_order_ids
-from ordercraft.operators.refill import _pinned, failed_check, order_items
+from ordercraft.operators.checks import Check, failed_check, not_null, unique_failures
+from ordercraft.operators.refill import _pinned, order_items
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.schemas import TARGETS
 
@@ -34,11 +32,14 @@ REASON_NULL_CONSULTANT = "offer without consultant"
 ALSO = "A"
 
 
-def brand_affinity(t: Tables, contexts: DataFrame, as_of: dt.datetime, scope: list[str] = STAGED_SCOPE) -> DataFrame:
+def brand_affinity(
+    t: Tables, contexts: DataFrame, as_of: dt.datetime, scope: list[str] = STAGED_SCOPE, cut=lambda df: df,
+) -> DataFrame:
     """Distinct (scope..., brand_id) of settled, active orders of the last 12 months.
 
     ``contexts`` lists the customers (and, for the backfill scope, consultants) to
-    compute; a NULL consultant matches no order (Q14).
+    compute; a NULL consultant matches no order (Q14). ``cut`` (e.g. a written stage table) is applied to the
+    customers' orders, which the line look-up reads twice.
     """
     orders = (
         t.dcspp_order.where(F.col("state").isin(*ACTIVE_STATES)
@@ -50,8 +51,8 @@ def brand_affinity(t: Tables, contexts: DataFrame, as_of: dt.datetime, scope: li
     if "cn_id" in scope:
         orders = orders.join(t.nt_order.select("order_id", "cn_id"), "order_id").join(
             contexts.select(*scope).distinct(), scope, "left_semi")
-    product_brand = bounded_broadcast(
-        t.oe_product.select("product_id", "brand_id").join(t.oe_brand.select("brand_id"), "brand_id", "left_semi"))
+    orders = cut(orders)
+    product_brand = t.oe_product.select("product_id", "brand_id").join(t.oe_brand.select("brand_id"), "brand_id", "left_semi")
     return (
         orders.join(order_items(t, orders), "order_id")
         .join(t.dcspp_item.select("commerce_item_id", "product_id"), "commerce_item_id")
@@ -66,9 +67,8 @@ def eligible_rules(t: Tables, affinity: DataFrame, scope: list[str] = STAGED_SCO
 
     The source's NOT IN drops a NULL offered brand, so that is filtered first (R7).
     """
-    rules = bounded_broadcast(
-        t.cit_offer.where(F.col("brand_offer").isNotNull()).select(
-            F.col("brand_order").alias("brand_id"), "brand_offer", "interest", "support"))
+    rules = t.cit_offer.where(F.col("brand_offer").isNotNull()).select(
+        F.col("brand_order").alias("brand_id"), "brand_offer", "interest", "support")
     owned = affinity.select(*scope, F.col("brand_id").alias("brand_offer"))
     return (
         affinity.join(rules, "brand_id")
@@ -122,9 +122,9 @@ def also_offers(
     no offer (Q16). ``cut`` (e.g. a checkpoint) is applied to the brand affinity, which
     the rule steps read several times.
     """
-    affinity = cut(brand_affinity(t, contexts, as_of, scope))
+    affinity = cut(brand_affinity(t, contexts, as_of, scope, cut))
     top = top_rules(eligible_rules(t, affinity, scope), scope)
-    names = bounded_broadcast(t.oe_brand.select(F.col("brand_id").alias("brand_offer"), F.col("name").alias("offer")))
+    names = t.oe_brand.select(F.col("brand_id").alias("brand_offer"), F.col("name").alias("offer"))
     named = top.join(names, "brand_offer")
     latest = latest_consultant(t, contexts)
     if "cn_id" in scope:
@@ -133,12 +133,9 @@ def also_offers(
     return out.distinct() if "cn_id" in scope else out
 
 
-def opportunity_checks() -> list[tuple[str, int, str]]:
+def opportunity_checks() -> list[Check]:
     """Default insert checks of an opportunity row."""
-    return [
-        ("cf_id", -1400, "cannot insert NULL into cit_opportunities.cf_id"),
-        ("offer", -1400, "cannot insert NULL into cit_opportunities.offer"),
-    ]
+    return [not_null("cit_opportunities", "cf_id"), not_null("cit_opportunities", "offer")]
 
 
 def refill_pointer(refill_view: DataFrame) -> DataFrame:
@@ -152,6 +149,8 @@ def opportunity_upsert(
     refill_view: DataFrame,
     scope: list[str] = STAGED_SCOPE,
     clear_pointer_first: bool = True,
+    checks: list[Check] | None = None,
+    cut=lambda df: df,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(next_opportunities, quarantine, rejected)``.
 
@@ -160,8 +159,10 @@ def opportunity_upsert(
     ascending) wins (W3). Keys with several stored rows stop the look-up: their rows stay,
     and the staged job has by then cleared their pointers if the first offer has one
     (Q6). Offers without a consultant are set aside instead of piling up (Q7); a stored
-    row without a consultant is replaced like any other.
+    row without a consultant is replaced like any other. ``rejected`` holds every offer that fails the insert ``checks``:
+    (scope..., error_code, error). ``cut`` is applied to the decided keys, which all outputs read.
     """
+    checks = opportunity_checks() if checks is None else checks
     pointer = refill_pointer(refill_view)
     valid = offers.where(F.col("cn_id").isNotNull())
     null_cn = offers.where(F.col("cn_id").isNull())
@@ -175,29 +176,29 @@ def opportunity_upsert(
         F.col("last.row.cn_id").alias("win_cn_id"), F.col("last.row.offer").alias("offer"),
         F.col("last.row.order_date").alias("order_date"), F.col("first.cn_id").alias("first_cn_id"),
     )
-    # One size check on the offers bounds every per-key set below (winners, replaced, cleared).
-    small = rows_at_most(offers.select(*scope).distinct(), DEFAULT_MAX_BROADCAST_ROWS)
     stored = (
-        current.join(broadcast_if(winners.select(*scope), small), scope, "left_semi")
+        current.join(winners.select(*scope), scope, "left_semi")
         .groupBy(*scope).agg(F.count(F.lit(1)).alias("n_stored"))
     )
-    decided = winners.join(stored, scope, "left").withColumn(
-        "blocked", F.coalesce(F.col("n_stored"), F.lit(0)) >= 2)
+    decided = cut(winners.join(stored, scope, "left").withColumn(
+        "blocked", F.coalesce(F.col("n_stored"), F.lit(0)) >= 2))
 
     # Keys with at most one stored row: replace it by the winner.
     replace = decided.where(~F.col("blocked"))
-    code, msg = failed_check(opportunity_checks())
+    kept = current.join(replace.select(*scope), scope, "left_anti")
+    code, msg = failed_check(checks)
     new_rows = (
         replace.join(pointer.select("cf_id", F.col("cn_id").alias("win_cn_id"), "refil"), ["cf_id", "win_cn_id"], "left")
         .select(F.col("win_cn_id").alias("cn_id"), "cf_id", "offer", "refil", "order_date")
         .withColumn("error_code", code).withColumn("error", msg)
     )
+    new_rows = unique_failures(new_rows, kept, checks, ["cf_id", "cn_id", "offer"], cut)
     inserted = new_rows.where(F.col("error_code").isNull()).select(*TARGETS["cit_opportunities"].fieldNames())
-    rejected_rows = offers.join(replace.select(*scope), scope, "left_semi").withColumn(
-        "error_code", code).withColumn("error", msg).where(F.col("error_code").isNotNull())
-    rejected = rejected_rows.select("cf_id", "cn_id", "error_code", "error").distinct()
+    # Every offer is an insert of its own, whether it wins or not.
+    tried = valid.join(replace.select(*scope), scope, "left_semi").withColumn("error_code", code).withColumn("error", msg)
+    rejected = tried.where(F.col("error_code").isNotNull()).select(*scope, "error_code", "error").unionByName(
+        new_rows.where(F.col("duplicate")).select(*scope, "error_code", "error"))
 
-    kept = current.join(broadcast_if(replace.select(*scope), small), scope, "left_anti")
     if clear_pointer_first:
         # Blocked keys: the staged job clears their pointers when the first offer has a pointer.
         clear = (
@@ -207,7 +208,7 @@ def opportunity_upsert(
             .where(F.col("first_refil").isNotNull())
             .select(*scope, F.lit(True).alias("clear"))
         )
-        kept = kept.join(broadcast_if(clear, small), scope, "left").select(
+        kept = kept.join(clear, scope, "left").select(
             "cn_id", "cf_id", "offer",
             F.when(F.col("clear"), F.lit(None).cast("bigint")).otherwise(F.col("refil")).alias("refil"),
             "order_date",

@@ -44,7 +44,7 @@ def staged_base(t: Tables) -> DataFrame:
     )
 
 
-def staged_orders(t: Tables, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
+def staged_orders(t: Tables, as_of: dt.datetime, cut=lambda df: df) -> tuple[DataFrame, DataFrame]:
     """``(driver, quarantine)``.
 
     driver: (order_id, state, submitted_date, profile_id, cn_id) of orders that pass
@@ -65,7 +65,7 @@ def staged_orders(t: Tables, as_of: dt.datetime) -> tuple[DataFrame, DataFrame]:
         .join(ids, "order_id", "left_semi")
         .groupBy("order_id").agg(F.count(F.lit(1)).alias("n_cn"), F.max("cn_id").alias("cn_id"))
     )
-    checked = base.join(pay, "order_id", "left").join(cons, "order_id", "left")
+    checked = cut(base.join(pay, "order_id", "left").join(cons, "order_id", "left"))
     recent = F.col("submitted_date") > ts_lit(months_cutoff(as_of))
     one_pay = F.col("n_pay") == 1
     quarantine = checked.where((F.col("n_pay") > 1) | (one_pay & recent & (F.col("n_cn") > 1))).select(

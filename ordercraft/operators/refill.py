@@ -8,9 +8,8 @@ For each processed order: which SKUs will run out and when. Three branches:
   row of the same order covers the same rebuy SKU;
 * **default**: the line's SKU has no rule at all: 90 days, not refillable.
 
-The per-order cursor of the source becomes one join with the order set; all
-intermediate data stays partitioned by order id, and the rule and SKU tables are
-broadcast behind a size check.
+The per-order cursor of the source becomes one join with the order set. Whether a
+rule or SKU table is broadcast is left to Spark, which measures it.
 """
 
 from __future__ import annotations
@@ -20,11 +19,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordercraft.functions.scalars import plus_days, trunc_day, ts_lit
-from ordercraft.functions.sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast, broadcast_if, rows_at_most,
-)
+from ordercraft.operators.checks import Check, failed_check, not_null, unique_failures
 from ordercraft.operators.details import product_names
-from ordercraft.operators.ids import assign_dense_ids, max_or
+from ordercraft.operators.ids import dense_ids, max_or
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.schemas import CANDIDATE_COLUMNS, REFILL_KEY, TARGETS
 
@@ -38,14 +35,9 @@ REASON_REPEATED_SKU = "refill sku on several lines of the order"
 
 
 def order_items(t: Tables, orders: DataFrame) -> DataFrame:
-    """(order_id, commerce_item_id) links of ``orders``.
-
-    Broadcast when a bounded count proves them small (a staged run touches few
-    orders), so the line table is scanned once instead of shuffled; a large backfill
-    falls back to a shuffle join.
-    """
-    items = t.dcspp_order_item.join(orders.select("order_id"), "order_id", "left_semi")
-    return bounded_broadcast(items.select("order_id", F.col("commerce_items").alias("commerce_item_id")))
+    """(order_id, commerce_item_id) links of ``orders``."""
+    items = t.dcspp_order_item.join(orders.select("order_id").distinct(), "order_id", "left_semi")
+    return items.select("order_id", F.col("commerce_items").alias("commerce_item_id"))
 
 
 def order_lines(t: Tables, orders: DataFrame) -> DataFrame:
@@ -56,7 +48,7 @@ def order_lines(t: Tables, orders: DataFrame) -> DataFrame:
 
 
 def _rules(t: Tables) -> DataFrame:
-    return bounded_broadcast(t.cit_product_refil.select("sku_order", "sku_rebuy", "expiration", "refillable"))
+    return t.cit_product_refil.select("sku_order", "sku_rebuy", "expiration", "refillable")
 
 
 def rebuy_rows(t: Tables, lines: DataFrame) -> DataFrame:
@@ -67,7 +59,7 @@ def rebuy_rows(t: Tables, lines: DataFrame) -> DataFrame:
     per_sku = lines.groupBy("order_id", F.col("sku").alias("sku_rebuy")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.max("quantity").alias("rebuy_qty"))
     return (
-        lines.select("order_id", F.col("sku").alias("sku_order"))
+        lines.select("order_id", F.col("sku").alias("sku_order")).distinct()
         .join(rule, "sku_order")
         .join(rebuy_rule, "sku_rebuy")
         .join(per_sku, ["order_id", "sku_rebuy"], "left")
@@ -119,8 +111,13 @@ def sku_names(t: Tables) -> DataFrame:
 
 def rule_candidates(
     t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt.datetime, rebuy: DataFrame | None = None,
+    pair_on_rebuy: bool = False,
 ) -> DataFrame:
-    """Rule-based candidates (R and F rows joined back to the lines and rules)."""
+    """Rule-based candidates (R and F rows joined back to the lines and rules).
+
+    ``pair_on_rebuy`` pairs a rule only with the ``temp`` row of its own rebuy SKU, so that each SKU gets its own
+    description; the source does not (Q3).
+    """
     rebuy = refill_rebuy(t, lines) if rebuy is None else rebuy
     temp = rebuy.unionByName(refill_base(t, lines)).select(
         "order_id", "sku_order", "code",
@@ -129,11 +126,14 @@ def rule_candidates(
         "sku_order", "sku_rebuy", F.col("expiration").alias("days"), "refillable")
     # The temp join is on (order, sku_order) only, so every rule of a SKU pairs with every
     # temp row of that SKU: a SKU can carry another rebuy SKU's name (kept on purpose, Q3).
+    # Repeated lines of a SKU would only multiply rows that the final DISTINCT removes.
+    paired = lines.select("order_id", F.col("sku").alias("sku_order")).distinct().join(rules, "sku_order").join(
+        temp, ["order_id", "sku_order"])
+    if pair_on_rebuy:
+        paired = paired.where(F.col("sku_rebuy") == F.col("sku_rebuy_t"))
     joined = (
-        lines.select("order_id", F.col("sku").alias("sku_order"))
-        .join(rules, "sku_order")
-        .join(temp, ["order_id", "sku_order"])
-        .join(bounded_broadcast(sku_names(t)), "sku_rebuy_t")
+        paired
+        .join(sku_names(t), "sku_rebuy_t")
         .join(_order_heads(t, orders), "order_id")
         .where(F.col("submitted_date").isNotNull())
     )
@@ -157,7 +157,7 @@ def default_candidates(t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt
     """Lines whose SKU has no rule: 90 days, time of day kept (Q10)."""
     no_rule = lines.join(_rules(t).select(F.col("sku_order").alias("sku")), "sku", "left_anti")
     return (
-        no_rule.join(bounded_broadcast(product_names(t, True)), "product_id")
+        no_rule.join(product_names(t, True), "product_id")
         .join(_order_heads(t, orders), "order_id")
         .where(F.col("submitted_date").isNotNull()
                & (plus_days("submitted_date", DEFAULT_DAYS + GRACE_DAYS) >= ts_lit(as_of)))
@@ -168,7 +168,7 @@ def default_candidates(t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt
 
 
 def refill_candidates(
-    t: Tables, orders: DataFrame, as_of: dt.datetime, cut=lambda df: df,
+    t: Tables, orders: DataFrame, as_of: dt.datetime, cut=lambda df: df, pair_on_rebuy: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """``(candidates, quarantine)``.
 
@@ -178,9 +178,9 @@ def refill_candidates(
     """
     order_set = orders.select("order_id", "submitted_date", "profile_id").distinct()
     lines = cut(order_lines(t, order_set))
-    joined = rebuy_rows(t, lines)
+    joined = cut(rebuy_rows(t, lines))
     rebuy = refill_rebuy(t, lines, joined)
-    union = rule_candidates(t, order_set, lines, as_of, rebuy).unionByName(
+    union = rule_candidates(t, order_set, lines, as_of, rebuy, pair_on_rebuy).unionByName(
         default_candidates(t, order_set, lines, as_of)).distinct()
     repeated = repeated_refill_orders(t, lines, joined)
     candidates = union.join(repeated, "order_id", "left_anti").select(*CANDIDATE_COLUMNS)
@@ -203,21 +203,9 @@ def _pinned(*cols: str) -> Column:
 CANDIDATE_ORDER = ("sku", "description", "refillable", "cf_id", "cn_id", "expiration")
 
 
-def refill_checks() -> list[tuple[str, int, str]]:
-    """Default insert checks: (column that must not be NULL, code, message)."""
-    return [
-        ("order_id", -1400, "cannot insert NULL into cit_refil.order_id"),
-        ("sku", -1400, "cannot insert NULL into cit_refil.sku"),
-    ]
-
-
-def failed_check(checks: list[tuple[str, int, str]]) -> tuple[Column, Column]:
-    """(error code, error message) of the first failing check, NULL if all pass."""
-    code, msg = F.lit(None).cast("int"), F.lit(None).cast("string")
-    for col, c, m in reversed(checks):
-        code = F.when(F.col(col).isNull(), F.lit(c)).otherwise(code)
-        msg = F.when(F.col(col).isNull(), F.lit(m[:200])).otherwise(msg)
-    return code, msg
+def refill_checks() -> list[Check]:
+    """Default insert checks of a refill row."""
+    return [not_null("cit_refil", "order_id"), not_null("cit_refil", "sku")]
 
 
 def refill_upsert(
@@ -226,24 +214,26 @@ def refill_upsert(
     orders: DataFrame,
     id_base: int | None = None,
     mode: str = "first_row",
-) -> tuple[DataFrame, DataFrame]:
-    """``(next_refil, rejected)``.
+    checks: list[Check] | None = None,
+    cut=lambda df: df,
+) -> tuple[DataFrame, DataFrame, int]:
+    """``(next_refil, rejected, last_id)``.
 
     ``mode='first_row'`` keeps the source's rule (Q9): the first candidate of an order
     (pinned order, Q1) is looked up by (CN, CF, SKU, ORDER_ID); found exactly once, every
     candidate of the order updates REFILLABLE and EXPIRATION of the rows with its key (new
     SKUs are not inserted); otherwise every candidate is inserted under one new id.
     ``mode='per_row'`` is a true upsert per key. Repeated updates of one key keep the last
-    candidate (W4). ``rejected`` holds would-be inserts that fail the checks, with
-    (order_id, error_code, error).
+    candidate (W4). ``rejected`` holds would-be inserts that fail the ``checks``, with
+    (order_id, error_code, error). ``last_id`` is the last id given to a new group, or the base: ids of groups that are
+    purged at once count too. ``cut`` is applied to the marked candidates, the new groups and the checked inserts.
     """
+    checks = refill_checks() if checks is None else checks
     key = REFILL_KEY
-    # Only stored rows whose key a candidate carries are counted: a run's key set is small
-    # next to the table, so it is broadcast when its size allows and the table is only scanned.
+    # Only stored rows whose key a candidate carries are counted.
     keys = candidates.select(*key).distinct()
-    small = rows_at_most(keys, DEFAULT_MAX_BROADCAST_ROWS)  # also bounds the per-key updates below
     stored = (
-        current.join(broadcast_if(keys, small), key, "left_semi")
+        current.join(keys, key, "left_semi")
         .groupBy(*key).agg(F.count(F.lit(1)).alias("n_stored"))
     )
     if mode == "first_row":
@@ -251,11 +241,11 @@ def refill_upsert(
         first = first.select("order_id", *[F.col(f"first.{c}").alias(c) for c in ("sku", "cf_id", "cn_id")])
         found = first.join(stored, key, "left").select(
             "order_id", (F.coalesce(F.col("n_stored"), F.lit(0)) == 1).alias("update_order"))
-        marked = candidates.join(found, "order_id")
+        marked = cut(candidates.join(found, "order_id"))
         to_update = marked.where("update_order").drop("update_order")
         to_insert = marked.where(~F.col("update_order")).drop("update_order")
     elif mode == "per_row":
-        marked = candidates.join(stored, key, "left")
+        marked = cut(candidates.join(stored, key, "left"))
         to_update = marked.where(F.col("n_stored").isNotNull()).drop("n_stored")
         to_insert = marked.where(F.col("n_stored").isNull()).drop("n_stored")
     else:
@@ -265,23 +255,24 @@ def refill_upsert(
         F.max(_pinned(*CANDIDATE_ORDER, "order_id")).alias("last"))
     last = last.select(*key, F.col("last.refillable").alias("new_refillable"),
                        F.col("last.expiration").alias("new_expiration"), F.lit(True).alias("matched"))
-    updated = current.join(broadcast_if(last, small), key, "left").select(
+    updated = current.join(last, key, "left").select(
         "id_key", "description", "sku",
         F.when(F.col("matched"), F.col("new_refillable")).otherwise(F.col("refillable")).alias("refillable"),
         F.when(F.col("matched"), F.col("new_expiration")).otherwise(F.col("expiration")).alias("expiration"),
         "cf_id", "cn_id", "order_id",
     )
 
-    new_orders = to_insert.select("order_id").distinct().join(
-        orders.select("order_id", "submitted_date").distinct(), "order_id")
+    new_orders = cut(to_insert.select("order_id").distinct().join(
+        orders.select("order_id", "submitted_date").distinct(), "order_id"))
     base = max_or(current, "id_key") if id_base is None else id_base
-    numbered = assign_dense_ids(new_orders, ["submitted_date", "order_id"], base, "id_key").select(
-        "order_id", "id_key")
-    code, msg = failed_check(refill_checks())
-    inserts = to_insert.join(numbered, "order_id").withColumn("error_code", code).withColumn("error", msg)
+    numbered, last_id = dense_ids(new_orders, ["submitted_date", "order_id"], base, "id_key")
+    code, msg = failed_check(checks)
+    inserts = to_insert.join(numbered.select("order_id", "id_key"), "order_id").withColumn(
+        "error_code", code).withColumn("error", msg)
+    inserts = cut(unique_failures(inserts, updated, checks, ["id_key", "sku", "description", "expiration"], cut))
     rejected = inserts.where(F.col("error_code").isNotNull()).select("order_id", "error_code", "error")
     inserted = inserts.where(F.col("error_code").isNull()).select(*TARGETS["cit_refil"].fieldNames())
-    return updated.unionByName(inserted), rejected
+    return updated.unionByName(inserted), rejected, last_id
 
 
 def refill_purge(current: DataFrame, as_of: dt.datetime, grace_days: int = GRACE_DAYS) -> DataFrame:

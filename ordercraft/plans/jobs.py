@@ -1,13 +1,12 @@
 """The two jobs: staged (J13) and backfill.
 
-``staged_plan`` / ``backfill_plan`` build every output as DataFrames (no writes);
-``run_staged`` / ``run_backfill`` run them against a ``TableStore``: the order set
-and the candidates are checkpointed (they are read twice), the refill table is
-written and read back before the offers use it as their pointer view, and every
-target gets one new version per run.
-
-Per-row commits of the source become one versioned write per table; the order
-loop becomes joins with the order set (SURVEY 4.1 R1).
+``staged_plan`` / ``backfill_plan`` build every output as DataFrames (no writes to targets);
+``run_staged`` / ``run_backfill`` run them against a ``TableStore``: steps that several outputs
+read are written once as stage tables, the refill table is written and read back before the
+offers use it as their pointer view, and all targets become current with one manifest.
+
+Per-row commits of the source become one commit per run; the order loop becomes joins with
+the order set (SURVEY 4.1 R1).
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from ordercraft.functions.sizing import is_empty
+from ordercraft.operators.checks import Check
 from ordercraft.operators.errors import error_rows
 from ordercraft.operators.ids import max_or
 from ordercraft.operators.offers import (
@@ -26,7 +25,7 @@ from ordercraft.operators.offers import (
 )
 from ordercraft.operators.orders import backfill_orders, staged_orders
 from ordercraft.operators.refill import refill_candidates, refill_purge, refill_reset, refill_upsert
-from ordercraft.session import ensure_checkpoint_dir, materialize
+from ordercraft.session import materialize, run_folder
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.tables import TableStore
 
@@ -34,6 +33,28 @@ REFIL_SEQ = "refil_seq"
 ERROR_SEQ = "error_seq"
 
 
+def checkpoint_cut(df: DataFrame) -> DataFrame:
+    """Lineage cut: a Parquet table in the session's shared checkpoint folder (survives executor loss)."""
+    return materialize(df, "cut")
+
+
+@dataclass(frozen=True)
+class Options:
+    """Choices of a run.
+
+    ``mode``: refill upsert, ``first_row`` (as the source) or ``per_row``. ``pair_on_rebuy``: strict pairing of refill
+    rules (Q3). ``pointer_view``: the view (cf_id, cn_id, id_key) that offers point into (S3); by default the refreshed
+    refill table. ``refill_checks``, ``opportunity_checks``: insert checks, by default the not-null ones.
+    """
+
+    mode: str = "first_row"
+    pair_on_rebuy: bool = False
+    pointer_view: DataFrame | None = None
+    refill_checks: list[Check] | None = None
+    opportunity_checks: list[Check] | None = None
+    cut: Callable[[DataFrame], DataFrame] = checkpoint_cut
+
+
 @dataclass
 class RunOutput:
     refil: DataFrame
@@ -54,15 +75,9 @@ class RunOutput:
         return self.current_errors.unionByName(self.new_errors)
 
 
-def _last_order_per(driver: DataFrame, scope: list[str]) -> DataFrame:
-    """The last processed order of each key, for error rows of the offer step."""
-    return driver.groupBy(*scope).agg(
-        F.max(F.struct("submitted_date", "order_id")).getField("order_id").alias("order_id"))
-
-
-def _offer_rejects(rejected: DataFrame, contexts: DataFrame, scope: list[str]) -> DataFrame:
-    return rejected.join(_last_order_per(contexts, ["cf_id"]), "cf_id", "left").select(
-        "order_id", "error_code", "error")
+def _per_order(rejected: DataFrame, contexts: DataFrame, scope: list[str]) -> DataFrame:
+    """An error row per processed order and failing offer: the source tries a customer's offers for every order."""
+    return contexts.select(*scope, "order_id").distinct().join(rejected, scope).select("order_id", "error_code", "error")
 
 
 @dataclass
@@ -70,29 +85,29 @@ class RefillStage:
     driver: DataFrame
     candidates: DataFrame
     refil: DataFrame
+    last_id: int
     rejected: DataFrame
     quarantine: DataFrame
     opportunities0: DataFrame
     contexts: DataFrame
     scope: list[str]
     clear_pointer_first: bool
-    cut: Callable[[DataFrame], DataFrame] = lambda df: df
 
 
-def staged_refill_stage(
-    t: Tables, as_of: dt.datetime, refil_base: int | None = None, mode: str = "first_row", cut=lambda df: df,
-) -> RefillStage:
+def staged_refill_stage(t: Tables, as_of: dt.datetime, options: Options, refil_base: int | None = None) -> RefillStage:
     """J3 -> J5 -> J6 -> J7."""
-    driver, q_orders = staged_orders(t, as_of)
+    cut = options.cut
+    driver, q_orders = staged_orders(t, as_of, cut)
     driver = cut(driver)
-    candidates, q_refill = refill_candidates(t, driver, as_of, cut)
+    candidates, q_refill = refill_candidates(t, driver, as_of, cut, options.pair_on_rebuy)
     candidates = cut(candidates)
-    refil, rejected = refill_upsert(t.cit_refil, candidates, driver, refil_base, mode)
-    if not is_empty(driver):  # no purge when no order passed the guards (Q12)
+    refil, rejected, last_id = refill_upsert(
+        t.cit_refil, candidates, driver, refil_base, options.mode, options.refill_checks, cut)
+    if not driver.isEmpty():  # no purge when no order passed the guards (Q12)
         refil = refill_purge(refil, as_of)
-    contexts = driver.select(F.col("profile_id").alias("cf_id"), "order_id", "submitted_date")
-    return RefillStage(driver, candidates, refil, rejected, q_orders.unionByName(q_refill),
-                       t.cit_opportunities, contexts, STAGED_SCOPE, True, cut)
+    contexts = driver.select(F.col("profile_id").alias("cf_id"), "order_id")
+    return RefillStage(driver, candidates, refil, last_id, rejected, q_orders.unionByName(q_refill),
+                       t.cit_opportunities, contexts, STAGED_SCOPE, True)
 
 
 def backfill_reset(
@@ -103,108 +118,99 @@ def backfill_reset(
     Takes effect only when the backfill has orders to process: with none, the source's
     deletes are never committed (Q13).
     """
-    if is_empty(driver):
+    if driver.isEmpty():
         return refil, opportunities
     return refill_reset(t, refil, start_date), opportunity_reset(opportunities, start_date)
 
 
 def backfill_refill_stage(
-    t: Tables, start_date: dt.datetime, as_of: dt.datetime, refil_base: int | None = None,
-    mode: str = "first_row", cut=lambda df: df,
+    t: Tables, start_date: dt.datetime, as_of: dt.datetime, options: Options, refil_base: int | None = None,
 ) -> RefillStage:
     """J4 -> J8 -> J5 -> J6, no purge. With no qualifying order the reset does not take effect (Q13)."""
+    cut = options.cut
     driver = cut(backfill_orders(t, start_date, as_of))
     refil0, opps0 = backfill_reset(t, t.cit_refil, t.cit_opportunities, driver, start_date)
     if refil_base is None:
         refil_base = max_or(t.cit_refil, "id_key")  # ids never step back below deleted ones
-    candidates, q_refill = refill_candidates(t, driver, as_of, cut)
+    candidates, q_refill = refill_candidates(t, driver, as_of, cut, options.pair_on_rebuy)
     candidates = cut(candidates)
-    refil, rejected = refill_upsert(refil0, candidates, driver, refil_base, mode)
-    contexts = driver.select(F.col("profile_id").alias("cf_id"), "cn_id", "order_id", "submitted_date")
-    return RefillStage(driver, candidates, refil, rejected, q_refill, opps0, contexts, BACKFILL_SCOPE, False, cut)
+    refil, rejected, last_id = refill_upsert(
+        refil0, candidates, driver, refil_base, options.mode, options.refill_checks, cut)
+    contexts = driver.select(F.col("profile_id").alias("cf_id"), "cn_id", "order_id")
+    return RefillStage(driver, candidates, refil, last_id, rejected, q_refill, opps0, contexts, BACKFILL_SCOPE, False)
 
 
-def offer_stage(
-    t: Tables, stage: RefillStage, as_of: dt.datetime, pointer_view: DataFrame | None = None, cut=lambda df: df,
-):
+def offer_stage(t: Tables, stage: RefillStage, as_of: dt.datetime, options: Options, view: DataFrame):
     """J9 -> J10 -> J11: ``(opportunities, quarantine, rejected, offers)``."""
-    offers = cut(also_offers(t, stage.contexts, as_of, stage.scope, cut))
-    view = stage.refil if pointer_view is None else pointer_view
+    offers = options.cut(also_offers(t, stage.contexts, as_of, stage.scope, options.cut))
+    view = view if options.pointer_view is None else options.pointer_view
     opps, q_offers, rejected = opportunity_upsert(
         stage.opportunities0, offers, view.select("cf_id", "cn_id", "id_key"), stage.scope,
-        stage.clear_pointer_first)
-    return opps, q_offers, _offer_rejects(rejected, stage.contexts, stage.scope), offers
+        stage.clear_pointer_first, options.opportunity_checks, options.cut)
+    return opps, q_offers, _per_order(rejected, stage.contexts, stage.scope), offers
 
 
-def _finish(t: Tables, stage: RefillStage, as_of: dt.datetime, error_base: int | None) -> RunOutput:
-    opps, q_offers, opp_rejected, offers = offer_stage(t, stage, as_of, cut=stage.cut)
+def _finish(t: Tables, stage: RefillStage, as_of: dt.datetime, options: Options) -> RunOutput:
+    opps, q_offers, opp_rejected, offers = offer_stage(t, stage, as_of, options, stage.refil)
     return RunOutput(
         refil=stage.refil,
         opportunities=opps,
         quarantine=stage.quarantine.unionByName(q_offers),
         driver=stage.driver,
         new_errors_fn=lambda: error_rows(
-            t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base),
+            t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, None, options.cut)[0],
         current_errors=t.cit_opp_errors,
         extra={"candidates": stage.candidates, "offers": offers},
     )
 
 
-def checkpoint_cut(df: DataFrame) -> DataFrame:
-    """Lineage cut: a Parquet table in the session's shared checkpoint folder (survives executor loss)."""
-    return materialize(df, "cut")
-
-
-def staged_plan(t: Tables, as_of: dt.datetime, mode: str = "first_row", cut=checkpoint_cut) -> RunOutput:
+def staged_plan(t: Tables, as_of: dt.datetime, options: Options = Options()) -> RunOutput:
     """J13 as DataFrames, without writes to the targets."""
-    return _finish(t, staged_refill_stage(t, as_of, None, mode, cut), as_of, None)
+    return _finish(t, staged_refill_stage(t, as_of, options), as_of, options)
 
 
-def backfill_plan(
-    t: Tables, start_date: dt.datetime, as_of: dt.datetime, mode: str = "first_row", cut=checkpoint_cut,
-) -> RunOutput:
+def backfill_plan(t: Tables, start_date: dt.datetime, as_of: dt.datetime, options: Options = Options()) -> RunOutput:
     """J14 as DataFrames, without writes to the targets."""
-    return _finish(t, backfill_refill_stage(t, start_date, as_of, None, mode, cut), as_of, None)
-
-
-def _with_store_targets(t: Tables, store: TableStore) -> Tables:
-    return t.replace(
-        cit_refil=store.read("cit_refil"),
-        cit_opportunities=store.read("cit_opportunities"),
-        cit_opp_errors=store.read("cit_opp_errors"),
-    )
-
-
-def _commit(store: TableStore, t: Tables, as_of: dt.datetime, make_stage) -> dict[str, int]:
-    """Write the refill table, read it back as the pointer view, then write the rest."""
-    ensure_checkpoint_dir(store.spark)
-    t = _with_store_targets(t, store)
-    refil_base = max(store.sequence(REFIL_SEQ), max_or(t.cit_refil, "id_key"))
-    error_base = max(store.sequence(ERROR_SEQ), max_or(t.cit_opp_errors, "id"))
-    stage = make_stage(t, refil_base, checkpoint_cut)
-    versions = {"cit_refil": store.write("cit_refil", stage.refil)}
-    view = store.read("cit_refil")
-    # High-water mark from the written version (a scan), not by evaluating the plan again.
-    refil_seq = max(refil_base, max_or(view, "id_key"))
-    opps, q_offers, opp_rejected, _ = offer_stage(t, stage, as_of, pointer_view=view, cut=checkpoint_cut)
-    versions["cit_opportunities"] = store.write("cit_opportunities", opps, {REFIL_SEQ: refil_seq})
-    new_errors = checkpoint_cut(error_rows(
-        t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base))
-    error_seq = max(error_base, max_or(new_errors, "id"))
-    versions["cit_opp_errors"] = store.write(
-        "cit_opp_errors", t.cit_opp_errors.unionByName(new_errors), {ERROR_SEQ: error_seq})
-    versions["quarantine"] = store.write("quarantine", stage.quarantine.unionByName(q_offers))
-    return versions
-
-
-def run_staged(t: Tables, as_of: dt.datetime, store: TableStore, mode: str = "first_row") -> dict[str, int]:
-    """Run J13 and commit new versions of the refill, opportunity, error and quarantine tables."""
-    return _commit(store, t, as_of, lambda tt, base, cut: staged_refill_stage(tt, as_of, base, mode, cut))
+    return _finish(t, backfill_refill_stage(t, start_date, as_of, options), as_of, options)
+
+
+def _commit(store: TableStore, t: Tables, as_of: dt.datetime, options: Options, batch: int | None, make_stage) -> int:
+    """Write the refill table, read it back as the pointer view, write the rest, commit all at once."""
+    state = store.state()
+    if batch is not None and state.batch is not None and batch <= state.batch:
+        return state.run  # a replayed batch that was committed before
+    with run_folder(store.spark):
+        t = t.replace(**{name: store.read(name) for name in ("cit_refil", "cit_opportunities", "cit_opp_errors")})
+        refil_base = max(state.sequences.get(REFIL_SEQ, 0), max_or(t.cit_refil, "id_key"))
+        error_base = max(state.sequences.get(ERROR_SEQ, 0), max_or(t.cit_opp_errors, "id"))
+        stage = make_stage(t, refil_base)
+        refil = store.write("cit_refil", stage.refil)
+        view = store.spark.read.schema(t.cit_refil.schema).parquet(refil)
+        opps, q_offers, opp_rejected, _ = offer_stage(t, stage, as_of, options, view)
+        replaced = {"cit_refil": refil, "cit_opportunities": store.write("cit_opportunities", opps)}
+        errors, error_id = error_rows(
+            t.cit_opp_errors, {"R": stage.rejected, "A": opp_rejected}, as_of, error_base, options.cut)
+        appended = {"cit_opp_errors": store.write("cit_opp_errors", errors)} if error_id > error_base else {}
+        quarantine = options.cut(stage.quarantine.unionByName(q_offers))
+        if not quarantine.isEmpty():
+            appended["quarantine"] = store.write("quarantine", quarantine)
+        return store.commit(replaced, appended, {REFIL_SEQ: stage.last_id, ERROR_SEQ: error_id}, batch)
+
+
+def run_staged(
+    t: Tables, as_of: dt.datetime, store: TableStore, options: Options = Options(), batch: int | None = None,
+) -> int:
+    """Run J13 and commit: new versions of the refill and opportunity tables, further error and quarantine rows.
+
+    Returns the number of the committed run. ``batch`` numbers the batches of a stream; one that is committed already is
+    skipped.
+    """
+    return _commit(store, t, as_of, options, batch, lambda tt, base: staged_refill_stage(tt, as_of, options, base))
 
 
 def run_backfill(
-    t: Tables, start_date: dt.datetime, as_of: dt.datetime, store: TableStore, mode: str = "first_row"
-) -> dict[str, int]:
-    """Run J14 from ``start_date`` and commit new versions of the targets."""
+    t: Tables, start_date: dt.datetime, as_of: dt.datetime, store: TableStore, options: Options = Options(),
+) -> int:
+    """Run J14 from ``start_date`` and commit, like ``run_staged``."""
     return _commit(
-        store, t, as_of, lambda tt, base, cut: backfill_refill_stage(tt, start_date, as_of, base, mode, cut))
+        store, t, as_of, options, None, lambda tt, base: backfill_refill_stage(tt, start_date, as_of, options, base))

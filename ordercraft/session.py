@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +36,8 @@ def cluster_conf(shuffle_partitions: int = 20000) -> dict[str, str]:
 
     Shuffle partitions start high (about 0.5 GB each for a 10 TB shuffle) and AQE
     coalesces them toward the advisory size; scans read 512 MB splits; skewed join
-    partitions over 512 MB and 5x the median are split; catalog-sized tables up to
-    64 MB broadcast automatically (explicit broadcasts are also row-checked); runtime
+    partitions over 512 MB and 5x the median are split; tables measured at up to
+    64 MB broadcast automatically; runtime
     bloom filters prune the large side of selective joins before the shuffle.
     """
     return {
@@ -80,15 +82,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_FOLDER: ContextVar[str | None] = ContextVar("ordercraft_run_folder", default=None)
+
+
+@contextmanager
+def run_folder(spark: SparkSession):
+    """A folder for the stage tables of one run, in the shared checkpoint folder; removed when the run ends.
+
+    For runs that write their results inside the block; lazy plans must not outlive it.
+    """
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordercraft-run-{uuid.uuid4().hex}"
+    token = _FOLDER.set(root)
+    try:
+        yield root
+    finally:
+        _FOLDER.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` once as Parquet in the shared checkpoint folder and reading it back.
 
     One pass over the plan (``DataFrame.checkpoint`` computes it twice unless cached),
     columnar and compressed, and later reads prune columns and push filters. The
     files live in the folder the cluster names in ``spark.checkpoint.dir``, so a lost
-    executor does not lose them.
+    executor does not lose them. Inside ``run_folder`` they go with the run.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordercraft-{label}-{uuid.uuid4().hex}"
+    root = _FOLDER.get() or ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/ordercraft-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -131,10 +131,12 @@ def _fx_line(lineitem: DataFrame) -> DataFrame:
     lk = F.col("l_orderkey")
     line_order = Window.partitionBy("l_orderkey").orderBy(
         "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    # Every seventh order keeps to the four parts of one block, so that it repeats SKUs.
+    low = F.min("l_partkey").over(Window.partitionBy("l_orderkey"))
     return lineitem.select(
         "l_orderkey", "l_partkey",
         F.col("l_quantity").cast("int").alias("qty"),
-        F.when(lk % 7 == 0, F.col("l_partkey") % 4).otherwise(F.col("l_partkey") % 200).alias("sk"),
+        F.when(lk % 7 == 0, low - low % 4 + F.col("l_partkey") % 4).otherwise(F.col("l_partkey")).alias("sk"),
         F.row_number().over(line_order).alias("ln"),
     )
 
@@ -176,7 +178,7 @@ def derive_test_tables(spark: SparkSession, sf_dir: str, fx_line: DataFrame | No
     t["dcspp_order_item_stg"] = orders.where(k % 2 == 0).select(_id("O", k).alias("order_id"))
     t["dcspp_item"] = fx_line.select(
         item_id.alias("commerce_item_id"),
-        _id("S", F.col("sk")).alias("catalog_ref_id"),
+        F.when((lk + ln) % 61 != 0, _id("S", F.col("sk"))).alias("catalog_ref_id"),
         _id("P", F.col("sk")).alias("product_id"),
         qty5.alias("quantity"),
         item_price_id.alias("price_info"),
@@ -216,11 +218,10 @@ def derive_test_tables(spark: SparkSession, sf_dir: str, fx_line: DataFrame | No
             F.lit("PMO").alias("pricing_model"),
         ))
     )
-    catalog = part.where(pk < 200)
-    t["nt_product"] = catalog.where(pk % 23 != 0).select(_id("P", pk).alias("product_id"), _id("C", pk).alias("product_code"))
-    t["dcs_product"] = catalog.select(_id("P", pk).alias("product_id"), F.col("p_name").alias("display_name"))
-    t["nt_sku"] = catalog.where(pk % 29 != 0).select(_id("S", pk).alias("sku_code"), _id("K", pk).alias("sku_id"))
-    t["dcs_sku"] = catalog.select(
+    t["nt_product"] = part.where(pk % 23 != 0).select(_id("P", pk).alias("product_id"), _id("C", pk).alias("product_code"))
+    t["dcs_product"] = part.select(_id("P", pk).alias("product_id"), F.col("p_name").alias("display_name"))
+    t["nt_sku"] = part.where(pk % 29 != 0).select(_id("S", pk).alias("sku_code"), _id("K", pk).alias("sku_id"))
+    t["dcs_sku"] = part.select(
         _id("K", pk).alias("sku_id"), F.concat(F.col("p_name"), F.lit(" "), pk.cast("string")).alias("display_name"))
     t["dcspp_pay_group"] = orders.select(
         _id("O", k).alias("order_ref"),
@@ -243,16 +244,17 @@ def derive_test_tables(spark: SparkSession, sf_dir: str, fx_line: DataFrame | No
         .unionAll(orders.where(k % 47 == 0).select(_id("O", k), _id("SGX", k)))
     t["nt_ship_group"] = orders.where(k % 3 != 0).select(
         _id("SG", k).alias("shipping_group_id"), (F.col("o_orderdate") + _days(7)).alias("sched_deliv_date"))
-    t["cit_product_refil"] = catalog.where((pk % 4 == 0) | (pk % 4 == 2)).select(
+    t["cit_product_refil"] = part.where((pk % 4 == 0) | (pk % 4 == 2)).select(
         _id("S", pk).alias("sku_order"), _id("S", pk).alias("sku_rebuy"),
         (30 + pk % 90).cast("int").alias("expiration"),
         F.when(F.col("p_size") % 2 == 0, "Y").otherwise("N").alias("refillable"),
-    ).unionAll(catalog.where((pk % 4 == 1) | (pk % 4 == 2)).select(
+    ).unionAll(part.where((pk % 4 == 1) | (pk % 4 == 2)).select(
         _id("S", pk), _id("S", pk - pk % 4), (45 + pk % 60).cast("int"), F.lit("Y")))
-    t["oe_product"] = catalog.select(_id("P", pk).alias("product_id"), F.col("p_brand").alias("brand_id"))
-    t["oe_brand"] = catalog.where(F.col("p_brand") != "Brand#13").select(
-        F.col("p_brand").alias("brand_id"), F.concat(F.lit("Name "), F.col("p_brand")).alias("name")).distinct()
-    brands = catalog.select(
+    t["oe_product"] = part.select(_id("P", pk).alias("product_id"), F.col("p_brand").alias("brand_id"))
+    t["oe_brand"] = part.where(F.col("p_brand") != "Brand#13").select(
+        F.col("p_brand").alias("brand_id"),
+        F.when(F.col("p_brand") != "Brand#7", F.concat(F.lit("Name "), F.col("p_brand"))).alias("name")).distinct()
+    brands = part.select(
         F.col("p_brand").alias("b"), F.regexp_replace("p_brand", "Brand#", "").cast("int").alias("n")).distinct()
     x, y = brands.alias("x"), brands.alias("y")
     xn, yn = F.col("x.n"), F.col("y.n")

@@ -1,89 +1,95 @@
-"""Versioned target tables (S6, D1-D9 sinks).
-
-Parquet tables take no MERGE/UPDATE/DELETE, so each run builds the *next version*
-of a target as a DataFrame and writes it to a new folder; a run never overwrites
-a path its own plan reads. A small append-only log (JSON) names the committed
-versions and the id high-water marks that stand in for the source's sequences.
-A version counts only once its log row is written, so a failed or retried write
-leaves the previous version current. Each write attempt gets its own folder, so a
-crashed attempt leaves only an orphan folder that nothing reads, and the next run
-is not blocked by it. One writer per store is assumed (runs are sequential).
+"""Target tables (S6, D1-D9 sinks): written folders, made current by one manifest per run.
+
+Parquet tables take no MERGE/UPDATE/DELETE, so a run writes the next version of the refill and opportunity tables to
+new folders, and its new error and quarantine rows to further folders of those tables. Nothing it writes is visible until
+its manifest is: one small JSON file that names the folders of every table, the id high-water marks and the stream batch.
+It is written under a temporary name and renamed, so a run takes effect as a whole or not at all; a crashed run leaves
+only folders that no manifest names. Runs are sequential: the manifest's number is taken by the first that renames.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession
 
 from ordercraft.sources.schemas import QUARANTINE, TARGETS, conform, empty
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("table", T.StringType()),
-    T.StructField("version", T.LongType()),
-    T.StructField("sequence", T.StringType()),
-    T.StructField("value", T.LongType()),
-    T.StructField("path", T.StringType()),
-])
-
 SCHEMAS = {**TARGETS, "quarantine": QUARANTINE}
 
 
+@dataclass
+class State:
+    """What the newest manifest says."""
+
+    run: int = 0
+    tables: dict[str, list[str]] = field(default_factory=dict)
+    sequences: dict[str, int] = field(default_factory=dict)
+    batch: int | None = None
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._entries: list[tuple] | None = None
-
-    @property
-    def _log_path(self) -> str:
-        return f"{self.root}/_log"
-
-    def _log(self) -> DataFrame:
+        self._jvm = spark.sparkContext._jvm
+        self._fs = self._path("").getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _path(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
+
+    def state(self) -> State:
+        """The newest manifest; an empty state only if the store has none. Storage errors are raised."""
+        folder = self._path("_manifests")
+        if not self._fs.exists(folder):
+            return State()
+        names = [f.getPath().getName() for f in self._fs.listStatus(folder)]
+        runs = sorted(n for n in names if re.fullmatch(r"\d{10}\.json", n))
+        if not runs:
+            return State()
+        stream = self._fs.open(self._path(f"_manifests/{runs[-1]}"))
         try:
-            return self.spark.read.schema(LOG_SCHEMA).json(self._log_path)
-        except Exception:  # no log yet
-            return empty(self.spark, LOG_SCHEMA)
+            return State(**json.loads(bytes(stream.readAllBytes()).decode()))
+        finally:
+            stream.close()
 
-    def _log_entries(self) -> list[tuple]:
-        """The commit log as driver values: one small row per committed version."""
-        if self._entries is None:
-            self._entries = [tuple(r) for r in self._log().collect()]
-        return self._entries
-
-    def _commits(self, table: str) -> list[tuple[int, str]]:
-        return [(v, path) for t, v, seq, _, path in self._log_entries() if t == table and seq is None and path]
-
-    def version(self, table: str) -> int | None:
-        commits = self._commits(table)
-        return max(v for v, _ in commits) if commits else None
+    def read(self, table: str) -> DataFrame:
+        paths = self.state().tables.get(table, [])
+        return self.spark.read.schema(SCHEMAS[table]).parquet(*paths) if paths else empty(self.spark, SCHEMAS[table])
 
     def sequence(self, name: str) -> int:
-        vs = [val for _, _, seq, val, _ in self._log_entries() if seq == name and val is not None]
-        return max(vs) if vs else 0
+        return self.state().sequences.get(name, 0)
 
-    def current_path(self, table: str) -> str | None:
-        commits = self._commits(table)
-        return max(commits)[1] if commits else None
-
-    def read(self, table: str) -> DataFrame:
-        path = self.current_path(table)
-        schema = SCHEMAS[table]
-        if path is None:
-            return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(path)
-
-    def write(self, table: str, df: DataFrame, sequences: dict[str, int] | None = None) -> int:
-        """Write ``df`` as the next version of ``table`` and commit it in the log."""
-        v = (self.version(table) or 0) + 1
-        path = f"{self.root}/{table}/v={v:06d}-{uuid.uuid4().hex[:12]}"
+    def write(self, table: str, df: DataFrame) -> str:
+        """Write rows of ``table`` to a new folder, not yet visible; returns the folder."""
+        path = f"{self.root}/{table}/{uuid.uuid4().hex}"
         conform(df, SCHEMAS[table], empty_strings_as_null=False).write.mode("errorifexists").parquet(path)
-        rows = [(table, v, None, None, path)] + [(table, v, k, int(val), None) for k, val in (sequences or {}).items()]
-        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").json(self._log_path)
-        self._entries = None
-        return v
+        return path
+
+    def commit(
+        self, replaced: dict[str, str], appended: dict[str, str] | None = None, sequences: dict[str, int] | None = None,
+        batch: int | None = None,
+    ) -> int:
+        """Make written folders current, all at once; returns the run's number."""
+        old = self.state()
+        tables = {**old.tables, **{t: [p] for t, p in replaced.items()}}
+        for table, path in (appended or {}).items():
+            tables[table] = [*tables.get(table, []), path]
+        new = State(old.run + 1, tables, {**old.sequences, **(sequences or {})}, old.batch if batch is None else batch)
+        draft = self._path(f"_manifests/_{uuid.uuid4().hex}")
+        out = self._fs.create(draft, False)
+        try:
+            out.write(bytearray(json.dumps(new.__dict__).encode()))
+        finally:
+            out.close()
+        name = self._path(f"_manifests/{new.run:010d}.json")
+        if self._fs.exists(name) or not self._fs.rename(draft, name):
+            raise RuntimeError(f"run {new.run} was committed by another writer")
+        return new.run
 
     def seed(self, tables: dict[str, DataFrame]) -> None:
-        """Write initial versions (e.g. the test binding's seeded targets)."""
-        for name, df in tables.items():
-            self.write(name, df)
+        """Commit initial versions (e.g. the test binding's seeded targets)."""
+        self.commit({name: self.write(name, df) for name, df in tables.items()})

@@ -2,14 +2,13 @@
 
 In the source, a staging table lists orders to process and every run reads all of
 it. Here new staged order ids arrive as Parquet files in a folder; a Structured
-Streaming query picks up each new batch exactly once (offsets kept in its
-checkpoint location) and ``foreachBatch`` runs the staged job with that batch as
-the work list. Brand offers are idempotent per customer and refill updates are
-keyed by order, so processing staged orders in several batches gives the same
-targets as one run over the union, except for orders staged twice (the source
-repeats those too). A batch that fails after committing some targets is replayed
-from its offsets; the replay updates the same keys again, so only the groups that
-the first-row rule re-inserts (SURVEY Q9) can appear twice.
+Streaming query picks up each new batch and ``foreachBatch`` runs the staged job
+with that batch as the work list. The batch number is part of the run's one commit,
+so a batch that is replayed after a failure either runs again as a whole or, if it
+was committed, is skipped.
+
+Batches are runs of their own, in order: ids are given per batch, so processing the
+orders in two batches numbers them by batch first, as two runs of the source would.
 """
 
 from __future__ import annotations
@@ -20,8 +19,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ordercraft.plans.jobs import run_staged
-from ordercraft.session import ensure_checkpoint_dir, materialize
+from ordercraft.plans.jobs import Options, run_staged
+from ordercraft.session import materialize, run_folder
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.schemas import INPUTS
 from ordercraft.sources.tables import TableStore
@@ -32,23 +31,27 @@ def start_staged_stream(
     tables: Tables,
     staged_dir: str,
     store: TableStore,
+    checkpoint_location: str,
     as_of: Callable[[], dt.datetime] = dt.datetime.now,
-    checkpoint_location: str | None = None,
     available_now: bool = False,
     processing_time: str = "5 minutes",
     max_files_per_trigger: int | None = None,
+    options: Options = Options(),
 ) -> StreamingQuery:
-    """Start the stream; each micro-batch commits new target versions to ``store``."""
+    """Start the stream; each micro-batch is one committed run of ``store``.
+
+    ``checkpoint_location`` must stay the same over restarts, or the stream starts over.
+    """
     reader = spark.readStream.schema(INPUTS["dcspp_order_item_stg"])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     staged = reader.parquet(staged_dir)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        work = materialize(batch.select("order_id").distinct(), f"staged-batch-{batch_id}")
-        run_staged(tables.replace(dcspp_order_item_stg=work), as_of(), store)
+        with run_folder(spark):
+            work = materialize(batch.select("order_id").distinct(), f"staged-batch-{batch_id}")
+            run_staged(tables.replace(dcspp_order_item_stg=work), as_of(), store, options, batch_id)
 
-    location = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordercraft-staged-stream"
-    writer = staged.writeStream.foreachBatch(process).option("checkpointLocation", location)
+    writer = staged.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()

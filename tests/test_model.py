@@ -75,7 +75,7 @@ def test_refill_upsert_matches_loop(spark):
     current = spark.createDataFrame([tuple(r[f] for f in schema.fieldNames()) for r in table], schema)
     cand_df = spark.createDataFrame([tuple(c[k] for k in CAND_COLS) for c in cands], CAND)
     orders = spark.createDataFrame(list(order_dates.items()), "order_id string, submitted_date timestamp_ntz")
-    got, _ = refill_upsert(current, cand_df, orders, id_base=100)
+    got, _, _ = refill_upsert(current, cand_df, orders, id_base=100)
     want = refill_loop(table, cands, order_dates, 100)
     cols = schema.fieldNames()
     assert rows(got, *cols) == sorted((tuple(r[c] for c in cols) for r in want), key=repr)

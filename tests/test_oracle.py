@@ -8,7 +8,8 @@ from ordercraft.checks.compare import compare, duck_connect
 SMOKE = "/root/testdata/sf0.001"
 NAMES = ["order_details", "order_details_legacy", "staged_orders", "order_quarantine", "refill_candidates_cn",
          "top_rules", "run_staged_refill", "run_staged_opportunities", "run_backfill_refill",
-         "run_backfill_opportunities"]
+         "run_backfill_opportunities", "brand_affinity_cn", "error_rows", "error_rows_cn",
+         "refill_candidates_paired", "run_staged_opportunities_view", "refill_upsert_per_row", "refill_quarantine"]
 
 
 @pytest.fixture(scope="module")

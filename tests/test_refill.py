@@ -81,7 +81,7 @@ def _h20_world(spark, stored):
 def _upsert(spark, t, mode):
     driver, _ = staged_orders(t, AS_OF)
     cand, _ = refill_candidates(t, driver, AS_OF, checkpoint_cut)
-    nxt, rejected = refill_upsert(t.cit_refil, checkpoint_cut(cand), driver, mode=mode)
+    nxt, rejected, _ = refill_upsert(t.cit_refil, checkpoint_cut(cand), driver, mode=mode)
     return rows(nxt, "id_key", "sku", "refillable", "expiration", "description")
 
 
