@@ -25,7 +25,7 @@ from ordercraft.session import checkpoint_root, materialize
 
 EOL = "\r\n"
 GAP = EOL * 2  # after each record
-FILE_BYTES = 32 << 20  # about so many payload bytes a file: a file is read by one task
+FILE_BYTES = 8 << 20  # about so many payload bytes a file: a file is read by one task
 BLOCK_LINES = 3000
 DATE = "2024-01-01T00:00:00Z"
 
@@ -135,16 +135,17 @@ def write_archive(pages: DataFrame, root: str, min_bytes: int = 0) -> Archive:
 
 
 _HEAD = re.compile(rb"([^:\r\n]+): ([^\r\n]*)\r\n")
+_END = re.compile(rb"\r\n\r\n")
 
 
-def parse_warc(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
-    """(offset, length, headers, HTTP body) of each record, by the records' own lengths."""
+def parse_warc(data: bytes | memoryview) -> Iterator[tuple[int, int, dict[str, str], bytes | memoryview]]:
+    """(offset, length, headers, HTTP body) of each record, by the records' own lengths. Nothing is copied."""
     at = 0
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at) + 4
+        end = _END.search(data, at).end()
         head = {k.decode(): v.decode() for k, v in _HEAD.findall(data, at, end - 2)}
         stop = end + int(head["Content-Length"])
-        body = data.index(b"\r\n\r\n", end) + 4
+        body = _END.search(data, end).end()
         yield at, stop - at, head, data[body:stop]
         at = stop + len(GAP)
 
@@ -170,7 +171,7 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
         for batch in batches:
             for file, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 rows = []
-                for offset, length, head, body in parse_warc(data.as_buffer().to_pybytes()):
+                for offset, length, head, body in parse_warc(memoryview(data.as_buffer())):
                     digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
                     if head["WARC-Type"] == "response" and base64.b32encode(hashlib.sha1(body).digest()).decode() != digest:
                         raise ValueError(f"record at {offset} of {file} does not match its digest")
@@ -186,6 +187,16 @@ def read_archive(spark: SparkSession, archive: Archive) -> DataFrame:
     return files.select("path", "content").mapInArrow(captures, CAPTURE)
 
 
+def _field(value) -> str:
+    """A value as a field of a CDX line: NULL is \\N, and a text that starts with a backslash gets another one."""
+    text = NULL if value is None else str(value)
+    return f"\\{text}" if value is not None and text.startswith("\\") else text
+
+
+def _value(field: str) -> str | None:
+    return None if field == NULL else field[1:] if field.startswith("\\") else field
+
+
 def write_index(captures: DataFrame, archive: Archive, lines: int = BLOCK_LINES) -> None:
     """Sort the captures by key into compressed blocks, and write the directory of first keys.
 
@@ -195,7 +206,7 @@ def write_index(captures: DataFrame, archive: Archive, lines: int = BLOCK_LINES)
         held: list[dict] = []
 
         def flush(rows: list[dict]) -> pa.RecordBatch:
-            text = "\n".join("\t".join(NULL if r[c] is None else str(r[c]) for c in _CDX) for r in rows)
+            text = "\n".join("\t".join(_field(r[c]) for c in _CDX) for r in rows)
             return pa.RecordBatch.from_pylist([{
                 "first": rows[0]["surt"], "last": rows[-1]["surt"], "lines": len(rows), "block": zlib.compress(text.encode())}],
                 schema=pa.schema([("first", pa.string()), ("last", pa.string()), ("lines", pa.int64()), ("block", pa.binary())]))
@@ -218,7 +229,7 @@ def write_index(captures: DataFrame, archive: Archive, lines: int = BLOCK_LINES)
 
 
 def _parse_block(block: bytes) -> list[list[str | None]]:
-    return [[None if v == NULL else v for v in line.split("\t")] for line in zlib.decompress(block).decode().split("\n")]
+    return [[_value(v) for v in line.split("\t")] for line in zlib.decompress(block).decode().split("\n")]
 
 
 def read_index(spark: SparkSession, archive: Archive) -> DataFrame:
@@ -274,7 +285,7 @@ def archive_pages(pages: DataFrame, root: str | None = None, min_bytes: int = 0)
     """Write, read back and index ``pages``; ``root`` defaults to a new folder in the shared checkpoint folder."""
     spark = pages.sparkSession
     archive = write_archive(pages, root or f"{checkpoint_root(spark).rstrip('/')}/ordercraft-warc-{uuid.uuid4().hex}", min_bytes)
-    write_index(read_archive(spark, archive), archive)
+    write_index(materialize(read_archive(spark, archive), "warc-captures"), archive)
     return archive
 
 
