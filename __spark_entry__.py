@@ -318,7 +318,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _llm():
     """The training-data queries, if that subpackage is installed."""
-    if find_spec("ordercraft.llm") is None:
+    spec = find_spec("ordercraft.llm")
+    if spec is None or spec.origin is None:  # absent, or an empty folder
         return None
     from ordercraft.llm import queries as llm_queries
 
