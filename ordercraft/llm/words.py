@@ -89,6 +89,8 @@ def count_cells(rows: DataFrame, cells_of, bits: int) -> np.ndarray:
             for cells in cells_of(batch):
                 np.add.at(total, cells, 1)
         met = np.flatnonzero(total)
+        if not len(met):
+            return
         cuts = np.flatnonzero(np.diff(met >> width, prepend=-1))
         parts = list(zip(cuts, np.append(cuts[1:], len(met)), strict=True))
         yield pa.RecordBatch.from_arrays(
