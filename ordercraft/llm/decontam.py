@@ -13,8 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ordercraft.llm.words import WORD, gram_hashes, slices, text_bytes, text_key, whole, word_hashes
-from ordercraft.session import materialize
+from ordercraft.llm.words import WORD, gram_hashes, materialize, slices, text_bytes, text_key, whole, word_hashes
 
 WINDOW = 10
 GRAM = 5

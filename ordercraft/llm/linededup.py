@@ -9,40 +9,50 @@ earlier line is equal or similar.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordercraft.llm.words import count_cells, mix64, slices, text_bytes, word_hashes
-from ordercraft.session import materialize
+from ordercraft.llm.words import count_cells, mark_cells, marked, materialize, maybe_in, mix64, slices, text_bytes, word_hashes
 
 # Jaccard threshold 4/5, so that the bounds are exact in integers.
 NUM, DEN = 4, 5
 # Words are counted, for the rarity order, in a table of fixed size, a cell per hash value. Any order gives the same result.
-FREQUENCY_BITS = 24
+FREQUENCY_BITS = 23
+FILTER_BITS = 26
 RARITY_STEPS = 8  # the order uses the logarithm of the count, in steps of 1/8
-HOT = 32  # words counted more often than this have their sets compared with the word's first set beforehand
+HOT = 1000  # words counted more often than this have their sets compared with the word's first set beforehand
+RANK_BITS = 8
 SEEN = 500_000  # sets that a task remembers, to pass on each set once
 
 
-def _line_sets(texts: list[bytes]):
-    """Per line with words: (text index, line number, [start, end) into the words), and the distinct sorted words."""
+WORD_BITS = 50  # of a word's hash that are kept: with the line's number they sort as one integer
+LINES = 1 << (64 - WORD_BITS)  # so many lines at a time
+
+
+def _line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+    """For up to ``LINES`` lines at a time, of those with words: text index, line number, start and size of the set, the
+    sets' distinct words (sorted in each)."""
     lines, text_of, number = [], [], []
     for n, text in enumerate(texts):
         parts = text.split(b"\n")
         lines += parts
         text_of += [n] * len(parts)
         number += range(len(parts))
-    words, owner = word_hashes(lines)
-    order = np.lexsort((words, owner))
-    words, owner = words[order], owner[order]
-    if len(words):
-        new = np.r_[True, (owner[1:] != owner[:-1]) | (words[1:] != words[:-1])]
-        words, owner = words[new], owner[new]
-    starts = np.flatnonzero(np.diff(owner, prepend=-1))
-    ends = np.append(starts[1:], len(owner)).astype(np.int64)
-    line = owner[starts]
-    return np.array(text_of, np.int64)[line], np.array(number, np.int64)[line], starts, ends, words
+    text_of, number = np.array(text_of, np.int64), np.array(number, np.int64)
+    for low in range(0, len(lines), LINES):
+        words, owner = word_hashes(lines[low:low + LINES])
+        if not len(words):
+            continue
+        keyed = np.sort((owner.astype(np.uint64) << np.uint64(WORD_BITS)) | (words >> np.uint64(64 - WORD_BITS)))
+        keyed = keyed[np.r_[True, keyed[1:] != keyed[:-1]]]
+        owner = (keyed >> np.uint64(WORD_BITS)).astype(np.int64)
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        line = owner[starts] + low
+        yield (text_of[line], number[line], starts, np.diff(np.append(starts, len(owner))),
+               keyed & np.uint64((1 << WORD_BITS) - 1))
 
 
 def word_rarity(docs: DataFrame, bits: int = FREQUENCY_BITS) -> np.ndarray:
@@ -50,10 +60,14 @@ def word_rarity(docs: DataFrame, bits: int = FREQUENCY_BITS) -> np.ndarray:
     def cells(batch: pa.RecordBatch):
         texts = text_bytes(batch)
         for i, j in slices([len(t) for t in texts]):
-            yield (_line_sets(texts[i:j])[4] >> np.uint64(64 - bits)).astype(np.int64)
+            for *_, words in _line_sets(texts[i:j]):
+                yield (words >> np.uint64(WORD_BITS - bits)).astype(np.int64)
 
     counts = count_cells(docs.where(F.col("text").isNotNull()).select("text"), cells, bits)
-    return np.minimum(255, np.floor(RARITY_STEPS * np.log2(counts + 1.0))).astype(np.uint8)
+    out = np.empty(len(counts), np.uint8)
+    for i in range(0, len(counts), 1 << 18):
+        out[i:i + (1 << 18)] = np.minimum(255, np.floor(RARITY_STEPS * np.log2(counts[i:i + (1 << 18)] + 1.0)))
+    return out
 
 
 def _prefix_length(size: np.ndarray) -> np.ndarray:
@@ -77,100 +91,100 @@ def _known(seen: set, key: tuple) -> bool:
 
 
 def _lines(docs: DataFrame, rarity) -> DataFrame:
-    """A row per line with words: place, set key, size, and bitmap; the prefix words once per set and task."""
+    """A row per line with words: place, set key, size and bitmap; ``words`` of the prefix (word << 32 | place in the
+    order) once per set and task, and those of them that are frequent as ``hot``."""
+    def lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(values))
+
     def lines(batches):
         seen: set[tuple] = set()
         ranks = rarity.value
-        hot = int(RARITY_STEPS * np.log2(HOT + 1.0))
+        frequent = int(RARITY_STEPS * np.log2(HOT + 1.0))
+        rest = 64 - RANK_BITS - (64 - WORD_BITS)
         for batch in batches:
             ids, texts = batch.column("doc_id"), text_bytes(batch)
             for i, j in slices([len(t) for t in texts]):
-                text, number, starts, ends, words = _line_sets(texts[i:j])
-                if not len(starts):
-                    continue
-                size = ends - starts
-                h1, h2 = _set_keys(words, starts)
-                bits = np.uint64(1) << (words & np.uint64(63))
-                upper = (words & np.uint64(64)) != 0
-                b1 = np.bitwise_or.reduceat(np.where(upper, np.uint64(0), bits), starts)
-                b2 = np.bitwise_or.reduceat(np.where(upper, bits, np.uint64(0)), starts)
-                rank = ranks[(words >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]
-                line = np.repeat(np.arange(len(starts)), size)
-                order = np.lexsort((words, rank, line))
-                place = np.arange(len(words)) - starts[line]
-                prefix = place < _prefix_length(size)[line]
-                tokens = (words[order] >> np.uint64(8)).astype(np.uint32).view(np.int32)
-                single, many = rank[order] <= RARITY_STEPS, rank[order] > hot
-                out_tokens, out_hot = [None] * len(starts), [None] * len(starts)
-                for n in np.flatnonzero(size >= NUM):  # smaller sets are similar to equal ones only
-                    if _known(seen, (h1[n], h2[n])):
-                        continue
-                    at = slice(starts[n], ends[n])
+                for text, number, starts, size, words in _line_sets(texts[i:j]):
+                    h1, h2 = _set_keys(words, starts)
+                    bits = np.uint64(1) << (words & np.uint64(63))
+                    upper = (words & np.uint64(64)) != 0
+                    b1 = np.bitwise_or.reduceat(np.where(upper, np.uint64(0), bits), starts)
+                    b2 = np.bitwise_or.reduceat(np.where(upper, bits, np.uint64(0)), starts)
+                    # smaller sets are similar to equal ones only
+                    fresh = (size >= NUM) & ~np.array([_known(seen, k) for k in zip(h1.tolist(), h2.tolist(), strict=True)], bool)
+                    line = np.repeat(np.arange(len(starts)), size)
+                    rank = ranks[(words >> np.uint64(WORD_BITS - FREQUENCY_BITS)).astype(np.int64)].astype(np.uint64)
+                    order = np.sort((line.astype(np.uint64) << np.uint64(WORD_BITS)) | (rank << np.uint64(rest))
+                                    | (words & np.uint64((1 << rest) - 1)))
+                    place = np.arange(len(order)) - starts[line]
+                    rank = ((order >> np.uint64(rest)) & np.uint64((1 << RANK_BITS) - 1)).astype(np.int64)
                     # a word of one line only is in no other set, but holds its place in the order
-                    use = prefix[at] & ~single[at]
-                    out_tokens[n] = [{"word": w, "at": p} for w, p in zip(tokens[at][use].tolist(), place[at][use].tolist(), strict=True)]
-                    out_hot[n] = tokens[at][use & many[at]].tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(text + i)), pa.array(number), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
-                     pa.array(size), pa.array(b1.view(np.int64)), pa.array(b2.view(np.int64)),
-                     pa.array(out_tokens, pa.list_(pa.struct([("word", pa.int32()), ("at", pa.int32())]))),
-                     pa.array(out_hot, pa.list_(pa.int32()))],
-                    names=["doc_id", "line", "h1", "h2", "size", "b1", "b2", "words", "hot"])
+                    use = fresh[line] & (place < _prefix_length(size)[line]) & (rank > RARITY_STEPS)
+                    word = (order >> np.uint64(rest - 32)) & np.uint64(0xFFFFFFFF)
+                    packed = ((word << np.uint64(32)) | place.astype(np.uint64)).view(np.int64)
+                    hot = use & (rank > frequent)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(text + i)), pa.array(number), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)),
+                         pa.array(size), pa.array(b1.view(np.int64)), pa.array(b2.view(np.int64)),
+                         lists(packed[use], np.bincount(line[use], minlength=len(starts))),
+                         lists(packed[hot], np.bincount(line[hot], minlength=len(starts)))],
+                        names=["doc_id", "line", "h1", "h2", "size", "b1", "b2", "words", "hot"])
 
     rows = docs.where(F.col("text").isNotNull()).select("doc_id", "text").mapInArrow(
-        lines, "doc_id long, line long, h1 long, h2 long, size long, b1 long, b2 long, words array<struct<word:int,at:int>>, hot array<int>")
+        lines, "doc_id long, line long, h1 long, h2 long, size long, b1 long, b2 long, words array<long>, hot array<long>")
     return rows.withColumn("row", F.monotonically_increasing_id())
 
 
-def _overlap(a: str, b: str) -> Column:
-    """Words that two sets must share: ceil((size_a + size_b) * 4 / 9)."""
-    return F.ceil((F.col(f"{a}.size") + F.col(f"{b}.size")) * NUM / (NUM + DEN))
-
-
-def _lengths(a: str, b: str) -> Column:
-    return (F.col(f"{a}.size") * DEN >= F.col(f"{b}.size") * NUM) & (F.col(f"{b}.size") * DEN >= F.col(f"{a}.size") * NUM)
+def _near(x: str, y: str) -> Column:
+    """Length filter and bitmap bound on columns ``size_x, b1_x, b2_x, size_y, ...``: sets differ in at least as many words
+    as their bitmaps differ in bits."""
+    size_x, size_y = F.col(f"size_{x}"), F.col(f"size_{y}")
+    differ = sum((F.bit_count(F.col(f"{w}_{x}").bitwiseXOR(F.col(f"{w}_{y}"))) for w in ("b1", "b2")), F.lit(0))
+    return (size_x * DEN >= size_y * NUM) & (size_y * DEN >= size_x * NUM) & (differ <= size_x + size_y - 2 * _overlap(x, y))
 
 
-def _bitmaps(a: str, b: str) -> Column:
-    """The sets differ in at least as many words as their bitmaps differ in bits."""
-    differ = sum((F.bit_count(F.col(f"{a}.{w}").bitwiseXOR(F.col(f"{b}.{w}"))) for w in ("b1", "b2")), F.lit(0))
-    return differ <= F.col(f"{a}.size") + F.col(f"{b}.size") - 2 * _overlap(a, b)
+def _overlap(x: str, y: str) -> Column:
+    """Words that two sets must share: ceil((size_x + size_y) * 4 / 9), in integers."""
+    return F.expr(f"((size_{x} + size_{y}) * {NUM} + {NUM + DEN - 1}) div {NUM + DEN}")
 
 
-def _task_sets(docs: DataFrame, marked) -> DataFrame:
+def _task_sets(docs: DataFrame, some) -> DataFrame:
     """``h1, h2, set`` (sorted word hashes) of the lines whose set key is in a filter of fixed size."""
     def sets(batches):
-        some, seen = marked.value, set()
+        seen: set[tuple] = set()
         for batch in batches:
             texts = text_bytes(batch)
             for i, j in slices([len(t) for t in texts]):
-                _, _, starts, ends, words = _line_sets(texts[i:j])
-                if not len(starts):
-                    continue
-                h1, h2 = _set_keys(words, starts)
-                cell = (h1 >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
-                hit = [n for n in np.flatnonzero((some[cell >> 3] >> (7 - (cell & 7))) & 1) if not _known(seen, (h1[n], h2[n]))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h1[hit].view(np.int64)), pa.array(h2[hit].view(np.int64)),
-                     pa.array([words[starts[n]:ends[n]].tobytes() for n in hit], pa.binary())], names=["h1", "h2", "set"])
+                for _, _, starts, size, words in _line_sets(texts[i:j]):
+                    h1, h2 = _set_keys(words, starts)
+                    hit = np.flatnonzero(marked(some.value, _cell(h1)))
+                    hit = [n for n in hit if not _known(seen, (h1[n], h2[n]))]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h1[hit].view(np.int64)), pa.array(h2[hit].view(np.int64)),
+                         pa.array([words[starts[n]:starts[n] + size[n]].tobytes() for n in hit], pa.binary())], names=["h1", "h2", "set"])
 
     return docs.where(F.col("text").isNotNull()).select("text").mapInArrow(sets, "h1 long, h2 long, set binary")
 
 
+def _cell(h1: np.ndarray) -> np.ndarray:
+    return (h1 >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs ``(a, b)`` of set keys (h1, h2) whose Jaccard similarity is at least 0.8, written.
 
     The sets' words are read from the documents again, through a filter of fixed size on the set key and then an exact
     join, so that no text is shuffled.
     """
-    wanted = materialize(
-        pairs.select("a.*").union(pairs.select("b.*")).distinct(), "lines-wanted")
+    wanted = materialize(pairs.select("a.*").union(pairs.select("b.*")).distinct(), "lines-wanted")
+    if wanted.isEmpty():
+        return pairs
 
-    def cells(batch: pa.RecordBatch):
-        yield (batch.column("h1").to_numpy().view(np.uint64) >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)
+    def cells(batch: pa.RecordBatch) -> np.ndarray:
+        return _cell(batch.column("h1").to_numpy().view(np.uint64))
 
-    marked = docs.sparkSession.sparkContext.broadcast(np.packbits(count_cells(wanted.select("h1"), cells, FREQUENCY_BITS) > 0))
-    sets = _task_sets(docs, marked).join(wanted, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
+    some = docs.sparkSession.sparkContext.broadcast(mark_cells(wanted.select("h1"), cells, FILTER_BITS))
+    sets = _task_sets(docs, some).join(wanted, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
     sets = materialize(sets.select(F.struct("h1", "h2").alias("key"), "set"), "lines-sets")
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a").join(
         sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
@@ -215,26 +229,38 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     lines = materialize(_lines(docs, rarity), "lines")
     place = F.struct("doc_id", "line")
     sets = materialize(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")), "lines-first")
-    about = F.struct("row", "size", "b1", "b2")
-
     # Sets that share a frequent prefix word are compared with the word's first set; that settles nearly all of a group
     # of variants, and pairs of settled sets need no comparison.
-    hot = materialize(lines.select(place.alias("place"), about.alias("x"), F.explode("hot").alias("word")), "lines-hot")
-    leaders = hot.groupBy("word").agg(F.min(F.struct("place", F.col("x").alias("y"))).alias("leader")).select("word", "leader.y")
-    early = hot.join(leaders, "word").where("x.row <> y.row").where(_lengths("x", "y") & _bitmaps("x", "y"))
-    settled = _later(_verified(_set_pairs(early.select(F.col("x.row").alias("a"), F.col("y.row").alias("b")), lines), docs), sets)
-    settled = materialize(settled.withColumn("settled", F.lit(True)), "lines-settled")
-
-    rows = lines.where(F.size("words") > 0).join(settled, ["h1", "h2"], "left")
-    words = rows.select(F.struct("row", "size", "b1", "b2", "settled").alias("x"), F.explode("words").alias("w")).select(
-        F.col("w.word").alias("word"), F.col("w.at").alias("at"), "x")
-    # both sides are the same plan up to the join, so the rows are shuffled once
-    other = words.select(F.col("word").alias("word_y"), F.col("at").alias("at_y"), F.col("x").alias("y"))
-    need = _overlap("x", "y")
-    met = words.join(other, F.col("word") == F.col("word_y")).where("x.row < y.row").where(
-        _lengths("x", "y") & (F.col("at") <= F.col("x.size") - need + 1) & (F.col("at_y") <= F.col("y.size") - need + 1)
-        & _bitmaps("x", "y") & (F.col("x.settled").isNull() | F.col("y.settled").isNull()))
-    pairs = met.groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")).count().where("count > 1").select("a", "b")
+    hot = materialize(lines.select(place.alias("place"), "row", "size", "b1", "b2", F.explode("hot").alias("w")).withColumn(
+        "word", F.shiftright("w", 32).cast("int")).drop("w"), "lines-hot")
+    leaders = hot.groupBy("word").agg(F.min(F.struct("place", "row", "size", "b1", "b2")).alias("y")).select(
+        "word", *[F.col(f"y.{c}").alias(f"{c}_y") for c in ("row", "size", "b1", "b2")])
+    early = hot.withColumnsRenamed({c: f"{c}_x" for c in ("row", "size", "b1", "b2")}).join(leaders, "word").where(
+        "row_x <> row_y").where(_near("x", "y")).select(F.col("row_x").alias("a"), F.col("row_y").alias("b"))
+    settled = _later(_verified(_set_pairs(early, lines), docs), sets)
+    settled = materialize(settled.withColumn("settled", F.lit(1)), "lines-settled")
+
+    # One narrow row per prefix word; the place in the order and the settled mark share an integer.
+    words = lines.where(F.size("words") > 0).join(settled, ["h1", "h2"], "left").select(
+        "row", "size", "b1", "b2", F.coalesce("settled", F.lit(0)).alias("settled"), F.explode("words").alias("w"))
+    words = words.select(
+        F.shiftright("w", 32).cast("int").alias("word"), "row",
+        (F.shiftleft(F.col("size"), 32) + F.col("w").bitwiseAND(F.lit(0xFFFFFFFF)) * 2 + F.col("settled")).alias("meta"), "b1", "b2")
+
+    def side(x: str) -> DataFrame:
+        # the same plan up to the exchange on both sides, so the rows are shuffled once
+        return words.select(*[F.col(c).alias(f"{c}_{x}") for c in words.columns])
+
+    size, at, open_ = (
+        lambda x: F.shiftright(f"meta_{x}", 32), lambda x: F.shiftright(F.col(f"meta_{x}").bitwiseAND(F.lit(0xFFFFFFFF)), 1),
+        lambda x: F.col(f"meta_{x}").bitwiseAND(F.lit(1)) == 0)
+    need = F.expr(f"((shiftright(meta_x, 32) + shiftright(meta_y, 32)) * {NUM} + {NUM + DEN - 1}) div {NUM + DEN}")
+    differ = F.bit_count(F.col("b1_x").bitwiseXOR(F.col("b1_y"))) + F.bit_count(F.col("b2_x").bitwiseXOR(F.col("b2_y")))
+    met = side("x").join(side("y"), F.col("word_x") == F.col("word_y")).where(
+        (F.col("row_x") < F.col("row_y")) & (size("x") * DEN >= size("y") * NUM) & (size("y") * DEN >= size("x") * NUM)
+        & (at("x") <= size("x") - need + 1) & (at("y") <= size("y") - need + 1)
+        & (differ <= size("x") + size("y") - 2 * need) & (open_("x") | open_("y")))
+    pairs = met.groupBy(F.col("row_x").alias("a"), F.col("row_y").alias("b")).count().where("count > 1").select("a", "b")
     later = _later(_verified(_set_pairs(materialize(pairs, "lines-met"), lines), docs), sets)
     later = later.union(settled.select("h1", "h2")).distinct().withColumn("similar", F.lit(True))
     affected = sets.join(later, ["h1", "h2"], "left").where("n > 1 or similar")
@@ -247,13 +273,16 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
     A row per row; NULL text has no lines, an empty text has one.
     """
-    docs = docs.drop("n_lines", "removed")
+    docs = docs.drop("n_lines", "removed").withColumn(
+        "n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
     gone = removed_lines(docs).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_list("line")).alias("removed"))
     gone = materialize(gone, "lines-removed")
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
-    return joined.withColumn("n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")).withColumn(
-        "removed", F.when(F.col("text").isNotNull(), F.coalesce("removed", F.array().cast("array<long>"))).otherwise(
-            F.array().cast("array<long>")))
+    none = F.array().cast("array<long>")
+    # only documents that may have removed lines are shuffled
+    test = maybe_in(gone, "_doc")
+    some = docs.where(test("doc_id")).join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    some = some.withColumn("removed", F.when(F.col("text").isNotNull(), F.coalesce("removed", none)).otherwise(none))
+    return some.unionByName(docs.where(~test("doc_id")).withColumn("removed", none))
 
 
 def without_removed(text: Column, removed: Column) -> Column:

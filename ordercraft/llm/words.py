@@ -3,10 +3,36 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
+
+from ordercraft import session
+
+# Rows of one Arrow batch between Spark and Python in this package's steps: whole texts are long.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark):
+    """The session's Arrow batches are at most ``BATCH_ROWS`` rows while a step runs."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """``session.materialize`` with small Arrow batches."""
+    with small_batches(df.sparkSession):
+        return session.materialize(df, label)
+
 
 # A word byte keeps its value (A-Z become a-z); any other byte becomes 0. In UTF-8 all bytes of characters from
 # U+0080 up are word bytes, so words are runs of 0-9, a-z and characters from U+0080 up.
@@ -110,8 +136,9 @@ def count_cells(rows: DataFrame, cells_of, bits: int) -> np.ndarray:
 
     parts = rows.mapInArrow(count, "chunk int, cells binary, counts binary")
     table = np.zeros((1 << (bits - width), 1 << width), np.uint32)
-    for row in parts.repartition("chunk").mapInArrow(add, "chunk int, counts binary").toLocalIterator():
-        table[row["chunk"]] = np.frombuffer(row["counts"], np.uint32)
+    with small_batches(rows.sparkSession):
+        for row in parts.repartition("chunk").mapInArrow(add, "chunk int, counts binary").toLocalIterator():
+            table[row["chunk"]] = np.frombuffer(row["counts"], np.uint32)
     return table.reshape(-1)
 
 
@@ -138,9 +165,10 @@ def mark_cells(rows: DataFrame, cells_of, bits: int) -> np.ndarray:
             [pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())], names=["chunk", "bits"])
 
     out = np.zeros((1 << (bits - 3 - width), 1 << width), np.uint8)
-    for row in rows.mapInArrow(mark, "chunk int, bits binary").repartition("chunk").mapInArrow(
-            join, "chunk int, bits binary").toLocalIterator():
-        out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
+    with small_batches(rows.sparkSession):
+        for row in rows.mapInArrow(mark, "chunk int, bits binary").repartition("chunk").mapInArrow(
+                join, "chunk int, bits binary").toLocalIterator():
+            out[row["chunk"]] = np.frombuffer(row["bits"], np.uint8)
     return out.reshape(-1)
 
 
@@ -149,6 +177,36 @@ def marked(some: np.ndarray, cells: np.ndarray) -> np.ndarray:
     return ((some[cells >> 3] >> (cells & 7).astype(np.uint8)) & 1).astype(bool)
 
 
+def maybe_in(wanted: DataFrame, column: str, bits: int = 26):
+    """A function of a column: whether its value may be among ``wanted``'s, by a filter of fixed size (never wrongly no).
+
+    Rows that it rules out need not be shuffled to a join with ``wanted``.
+    """
+    def cell(values) -> np.ndarray:
+        return (np.asarray(values, np.int64).view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+    some = wanted.sparkSession.sparkContext.broadcast(mark_cells(
+        wanted.select(F.xxhash64(column).alias("cell")), lambda batch: cell(batch.column("cell").to_numpy()), bits))
+
+    @F.pandas_udf(T.BooleanType())
+    def test(values: pd.Series) -> pd.Series:
+        return pd.Series(marked(some.value, cell(values)))
+
+    return lambda name: test(F.xxhash64(name))
+
+
+def without(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """``rows`` whose ``column`` is not a value of the one-column table ``gone`` (a written table; NULL equals NULL).
+
+    Only rows that a filter of fixed size cannot clear are shuffled.
+    """
+    name = gone.columns[0]
+    test = maybe_in(gone, name)
+    gone = gone.withColumnRenamed(name, "_gone")
+    rest = rows.where(test(column)).join(gone, F.col(column).eqNullSafe(F.col("_gone")), "left_anti")
+    return rows.where(~test(column)).unionByName(rest)
+
+
 def text_key(text="text"):
     """128-bit key of a text's content (NULL for NULL): equal texts are worked on once."""
     return F.unhex(F.md5(F.col(text).cast("binary")))
