@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ordercraft.llm.decontam import decontaminate
+from ordercraft.llm.decontam import contamination
 from ordercraft.llm.langid import UNKNOWN, predict_languages
 from ordercraft.llm.linededup import dedup_lines, without_removed
 from ordercraft.llm.minhash import near_duplicates
 from ordercraft.llm.mixing import mix_sources
-from ordercraft.llm.words import WORD
+from ordercraft.llm.words import WORD, text_key, without
 from ordercraft.session import materialize
 
 # Least share of a document's main language; below it the document is no text of one language.
@@ -38,14 +38,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (op 6): that with the smallest id."""
-    kept = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(materialize(kept, "pipeline-kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id"))
+    gone = near_duplicates(docs).groupBy("doc_id").agg(F.max(kept).alias("kept")).where("not kept").select("doc_id")
+    return without(docs, "doc_id", materialize(gone, "pipeline-gone"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with a benchmark item (op 1)."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate(docs, benchmark).where(~F.col("contaminated")).select(*docs.columns)
+    hit = materialize(contamination(docs, benchmark).select("key"), "pipeline-hits")
+    return without(docs.withColumn("_text_key", text_key()), "_text_key", hit).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

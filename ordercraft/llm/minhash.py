@@ -15,8 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordercraft.llm.components import connected_components
-from ordercraft.llm.words import count_cells, gram_hashes, mix64, slices, text_bytes, text_key, whole, word_hashes
-from ordercraft.session import materialize
+from ordercraft.llm.words import count_cells, gram_hashes, materialize, maybe_in, mix64, slices, text_bytes, text_key, whole, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -28,6 +27,7 @@ FREQUENCY_BITS = 18
 # copy outweigh what it shares with many others.
 IDF_WEIGHT = 0.25
 RECALL = 0.999  # of the sampled estimate that candidates must pass
+BLOCK_ROWS = 512
 _WORDS = -(-HASHES // 7)  # longs of a packed signature: 7 one-byte draws each
 _LOW = 0x007F7F7F7F7F7F7F
 _HIGH = 0x0080808080808080
@@ -207,8 +207,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     that of the connected component. Texts without words link with equal texts only, NULL texts with nothing (class_id is
     their own doc_id). Rows that repeat a doc_id are one document. A class of NULL doc_ids alone has a NULL class_id.
 
-    In each bucket (band value) every text is compared with the bucket's first and last key; what these links leave in
-    different components is then compared pair by pair. No bucket is cut.
+    In each bucket (band value) every text is compared with the bucket's first and last key. Buckets whose texts these
+    links leave in different components are then compared pair by pair, block by block inside tasks. No bucket is cut.
     """
     keyed = docs.select("doc_id", "text", text_key().alias("key"))
     present = keyed.where(F.col("text").isNotNull())
@@ -233,16 +233,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     parts = connected_components(first)
 
     placed = materialize(_component(buckets, parts), "minhash-placed")
-    owner = ends.select(*bucket, F.col("low.key").alias("key"))
-    owner = _component(owner, parts).select(*bucket, F.col("component").alias("main"))
-    apart = placed.join(owner, bucket).where(F.col("component") != F.col("main")).select(
-        *bucket, F.col("key").alias("x"), F.col("sig").alias("sig_x"), F.col("component").alias("component_x"))
-    rest = apart.join(placed, bucket).where(
-        (F.col("component") != F.col("component_x")) & (_matches("sig", "sig_x") >= alike)).select(
-        F.least("key", "x").alias("a"), F.greatest("key", "x").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
-    rest = materialize(rest, "minhash-pairs")
+    # up to three texts, the two ends have met all pairs
+    open_ = placed.groupBy(*bucket).agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d")).where(
+        "n > 3 and c <> d").select(*bucket, F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    rest = materialize(placed.join(materialize(open_, "minhash-open"), bucket), "minhash-rest")
     if not rest.isEmpty():
-        parts = connected_components(first.union(_link(rest, present, classes, idf)))
+        texts = _texts(rest.select("key"), present, classes)
+        rest = rest.join(classes.select("key", "bands"), "key").join(texts, "key")
+        parts = connected_components(first.union(materialize(_compared(rest, idf), "minhash-links")))
 
     members = materialize(_component(signed.select("key", "doc_id"), parts), "minhash-members")
     smallest = members.groupBy("component").agg(F.min("doc_id").alias("class_id"))
@@ -254,14 +252,74 @@ def _component(rows: DataFrame, parts: DataFrame) -> DataFrame:
     return rows.join(parts.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
-def _link(pairs: DataFrame, present: DataFrame, classes: DataFrame, idf) -> DataFrame:
-    """Verified pairs, written. The text of one document of each class is fetched, by its id and content."""
-    used = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+def _texts(keys: DataFrame, present: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, text``, written: the text of one document of each wanted class is fetched, by its id and content.
+
+    Other texts are not shuffled, but for the few that a filter of fixed size lets through.
+    """
     wanted = materialize(
-        classes.join(used, "key", "left_semi").select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc_id")), "minhash-wanted")
-    texts = present.join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
-    texts = materialize(texts.select("key", "text").dropDuplicates(["key"]), "minhash-texts")
-    return materialize(_verified(pairs, texts, idf), "minhash-links")
+        classes.join(keys.distinct(), "key", "left_semi").select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc_id")),
+        "minhash-wanted")
+    texts = present.where(maybe_in(wanted, "_key")("key")).join(wanted, (F.col("key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_doc_id")), "left_semi")
+    return materialize(texts.select("key", "text").dropDuplicates(["key"]), "minhash-texts")
+
+
+def _link(pairs: DataFrame, present: DataFrame, classes: DataFrame, idf) -> DataFrame:
+    """The pairs that are links, written."""
+    used = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
+    return materialize(_verified(pairs, _texts(used, present, classes), idf), "minhash-links")
+
+
+def _compared(rows: DataFrame, idf) -> DataFrame:
+    """Links ``(a, b)`` that join the components of the rows' buckets: ``band, value, blocks, key, component, sig, bands, text``.
+
+    A bucket is dealt out as pairs of blocks. A task takes the pairs of its two blocks, most alike first, skips those whose
+    texts are joined already (by a component or by its own links) or meet in an earlier band, and verifies the others.
+    """
+    least = _least_matches()
+
+    def compare(group: pa.Table) -> pa.Table:
+        band, low, high = (group.column(c)[0].as_py() for c in ("band", "low", "high"))
+        block = group.column("block").to_numpy()
+        sig = np.stack([group.column(f"w{k}").to_numpy() for k in range(_WORDS)], axis=1).view(np.uint64)
+        bands = np.stack(group.column("bands").to_pylist())
+        _, joined = np.unique(np.array([c.hex() for c in group.column("component").to_pylist()]), return_inverse=True)
+        owner, hashes, weights = Sampler(idf.value).shingles(text_bytes(group))
+        cut = np.searchsorted(owner, np.arange(len(block) + 1))
+        bag = [(hashes[i:j], weights[i:j], weights[i:j].sum()) for i, j in zip(cut, cut[1:], strict=False)]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for q in range(0, len(block), 256):
+            alike = np.full((len(block[q:q + 256]), len(block)), HASHES, np.int16)
+            for k in range(_WORDS):
+                x = sig[q:q + 256, k][:, None] ^ sig[:, k][None, :]
+                x = (((x & np.uint64(_LOW)) + np.uint64(_LOW)) | x) & np.uint64(_HIGH)
+                alike -= np.bitwise_count(x)
+            a, b = np.nonzero(alike >= least)
+            n = alike[a, b]
+            a = a + q
+            use = (joined[a] != joined[b]) & ((a < b) if low == high else (block[a] == low) & (block[b] == high))
+            found.append((a[use], b[use], n[use]))
+        a, b, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        if band:
+            new = ~(bands[a, :band] == bands[b, :band]).any(axis=1)
+            a, b, n = a[new], b[new], n[new]
+        links = []
+        for k in np.argsort(-n, kind="stable"):
+            i, j = a[k], b[k]
+            if joined[i] != joined[j]:
+                _, x, y = np.intersect1d(bag[i][0], bag[j][0], assume_unique=True, return_indices=True)
+                common = np.minimum(bag[i][1][x], bag[j][1][y]).sum()
+                if common >= THRESHOLD * (bag[i][2] + bag[j][2] - common) * (1 - 1e-12):
+                    links.append((i, j))
+                    joined[joined == joined[j]] = joined[i]
+        key = group.column("key")
+        return pa.table({"a": key.take(pa.array([x[0] for x in links], pa.int64())), "b": key.take(pa.array([x[1] for x in links], pa.int64()))})
+
+    blocked = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = blocked.select("band", "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                           "block", "key", "component", "sig.*", "bands", "text")
+    return units.groupBy("band", "value", "low", "high").applyInArrow(compare, "a binary, b binary")
 
 
 def op6_minhash_dedup(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ the smallest), so equal strings have equal samples at equal offsets and need no
 1. A window is a 200-byte string. Its sample is the smallest gram of its middle 100 bytes; 50 bytes before and 66 from
    it always lie in the window. Samples whose 116-byte surroundings occur once are dropped: no window of theirs repeats.
 2. Consecutive windows with one sample form a block. Blocks that occur twice as a whole are repeated.
-3. In groups of equal surroundings that also hold other blocks, the single windows are compared.
+3. Where equal surroundings lie in different blocks, the bytes of one copy of each block are brought together, and their
+   single windows are named and compared.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ordercraft.llm.words import mark_cells, marked, mix64, powers, text_bytes, text_key
-from ordercraft.session import materialize
+from ordercraft.llm.words import mark_cells, marked, materialize, mix64, powers, text_bytes, text_key
 
 LENGTH = 200
 MARGIN = 50  # a window's middle starts here
@@ -30,6 +31,8 @@ GRAM = 16
 STRETCH = 85  # grams of the middle 100 bytes
 AROUND = MARGIN + GRAM  # bytes from the sample that always lie in the window
 FILTER_BITS = 26
+HELD = 4096  # copies of blocks that are compared at a time, unless one group has more
+CROWD = 20_000  # copies of one group that are compared in one task; larger groups are dealt out by window
 PIECE = 4 << 20  # longer texts are cut into overlapping pieces
 SLICE = 256 << 10
 SEEN = 1_000_000
@@ -61,7 +64,8 @@ class Slice:
         start = np.arange(n - LENGTH + 1)
         self.piece = np.repeat(np.arange(len(pieces)), sizes)[:len(start)]
         start = start[start + LENGTH <= (self.first + sizes)[self.piece]]
-        self.piece = self.piece[start]
+        self.start, self.window_piece = start, self.piece[start]
+        self.piece = self.window_piece
         sample = (low[start + MARGIN] & _POSITION).astype(np.int64)
         cut = np.flatnonzero(np.r_[True, (sample[1:] != sample[:-1]) | (start[1:] != start[:-1] + 1)])
         self.low, self.high = start[cut], start[np.append(cut[1:], len(start)) - 1]
@@ -75,6 +79,12 @@ class Slice:
         sums, inverse = self._sums[which]
         return mix64((sums[end - 7] - sums[at]) * inverse[at] + (end - at).astype(np.uint64)).view(np.int64)
 
+    def block_names(self, which: np.ndarray) -> np.ndarray:
+        """Fingerprint of a block's bytes and of the sample's place in it."""
+        low = self.low[which]
+        offset = mix64((self.sample[which] - low).astype(np.uint64))
+        return (offset ^ self.name(low, self.high[which] + LENGTH, 1).view(np.uint64)).view(np.int64)
+
     def around(self) -> np.ndarray:
         """Fingerprint of the surroundings of each block's sample."""
         return self.name(self.sample - MARGIN, self.sample + AROUND, 0)
@@ -105,16 +115,16 @@ def _new(keys: list[bytes], seen: set[bytes]) -> Iterator[int]:
             yield n
 
 
-def _cell(around: np.ndarray) -> np.ndarray:
-    return (around.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+def _cell(fingerprint: np.ndarray) -> np.ndarray:
+    return (fingerprint.view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
 
-def _filter(rows: DataFrame):
-    """Filter of fixed size on the fingerprints ``around``, sent to all tasks."""
+def _filter(rows: DataFrame, column: str):
+    """Filter of fixed size on a column of 64-bit fingerprints, sent to all tasks."""
     def cells(batch: pa.RecordBatch) -> np.ndarray:
-        return _cell(batch.column("around").to_numpy())
+        return _cell(batch.column(column).to_numpy())
 
-    return rows.sparkSession.sparkContext.broadcast(mark_cells(rows.select("around"), cells, FILTER_BITS))
+    return rows.sparkSession.sparkContext.broadcast(mark_cells(rows.select(column), cells, FILTER_BITS))
 
 
 def _samples(texts: DataFrame) -> DataFrame:
@@ -122,49 +132,111 @@ def _samples(texts: DataFrame) -> DataFrame:
         seen: set[bytes] = set()
         for batch in batches:
             keys = batch.column("key").to_pylist()
-            place = np.array([int.from_bytes(k[:8], "little") for k in keys], np.uint64)
             for s in _slices(text_bytes(batch), _new(keys, seen)):
-                at = (s.sample + s.base[s.piece]).astype(np.uint64)
-                place_of = mix64(place[s.owner[s.piece]] + at * np.uint64(_BASES[0]))
-                yield pa.RecordBatch.from_arrays([pa.array(s.around()), pa.array(place_of.view(np.int64))], names=["around", "place"])
+                place = _places(keys, s.owner[s.piece], s.sample + s.base[s.piece])
+                yield pa.RecordBatch.from_arrays([pa.array(s.around()), pa.array(place)], names=["around", "place"])
 
     return texts.mapInArrow(samples, "around long, place long")
 
 
+def _places(keys: list[bytes], owner: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One integer per place (text and position)."""
+    text = np.array([int.from_bytes(k[:8], "little") for k in keys], np.uint64)
+    return mix64(text[owner] + at.astype(np.uint64) * np.uint64(_BASES[0])).view(np.int64)
+
+
 def _blocks(texts: DataFrame, some) -> DataFrame:
     def blocks(batches):
         seen: set[bytes] = set()
         for batch in batches:
-            keys = batch.column("key")
-            for s in _slices(text_bytes(batch), _new(keys.to_pylist(), seen)):
+            keys = batch.column("key").to_pylist()
+            for s in _slices(text_bytes(batch), _new(keys, seen)):
                 around = s.around()
                 hit = np.flatnonzero(marked(some.value, _cell(around)))
-                low, high, base = s.low[hit], s.high[hit], s.base[s.piece[hit]]
-                offset = (s.sample[hit] - low).astype(np.uint64)
+                low, high, owner, base = s.low[hit], s.high[hit], s.owner[s.piece[hit]], s.base[s.piece[hit]]
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(s.owner[s.piece[hit]])), pa.array(around[hit]),
-                     pa.array((mix64(offset) ^ s.name(low, high + LENGTH, 0).view(np.uint64)).view(np.int64)),
-                     pa.array(s.name(low, high + LENGTH, 1)), pa.array(low + base), pa.array(high + base)],
-                    names=["key", "around", "b1", "b2", "low", "high"])
+                    [batch.column("key").take(pa.array(owner)), pa.array(around[hit]), pa.array(s.block_names(hit)),
+                     pa.array(_places(keys, owner, low + base)), pa.array(low + base), pa.array(high + base)],
+                    names=["key", "around", "name", "place", "low", "high"])
 
-    return texts.mapInArrow(blocks, "key binary, around long, b1 long, b2 long, low long, high long")
+    return texts.mapInArrow(blocks, "key binary, around long, name long, place long, low long, high long")
 
 
-def _windows(texts: DataFrame, some) -> DataFrame:
-    def windows(batches):
+def _copies(texts: DataFrame, some) -> DataFrame:
+    """The bytes of the blocks whose place is in the filter."""
+    def copies(batches):
         seen: set[bytes] = set()
         for batch in batches:
-            keys = batch.column("key")
-            for s in _slices(text_bytes(batch), _new(keys.to_pylist(), seen)):
-                hit = np.flatnonzero(marked(some.value, _cell(s.around())))
-                count = s.high[hit] - s.low[hit] + 1
-                block = np.repeat(hit, count)
-                at = np.arange(len(block)) - np.repeat(np.cumsum(count) - count, count) + s.low[block]
+            keys, raw = batch.column("key").to_pylist(), text_bytes(batch)
+            for s in _slices(raw, _new(keys, seen)):
+                owner, base = s.owner[s.piece], s.base[s.piece]
+                low, high = s.low + base, s.high + base
+                hit = np.flatnonzero(marked(some.value, _cell(_places(keys, owner, low))))
                 yield pa.RecordBatch.from_arrays(
-                    [keys.take(pa.array(s.owner[s.piece[block]])), pa.array(s.name(at, at + LENGTH, 0)),
-                     pa.array(s.name(at, at + LENGTH, 1)), pa.array(at + s.base[s.piece[block]])], names=["key", "w1", "w2", "at"])
+                    [batch.column("key").take(pa.array(owner[hit])), pa.array(s.around()[hit]), pa.array(low[hit]),
+                     pa.array([raw[owner[n]][low[n]:high[n] + LENGTH] for n in hit], pa.binary())],
+                    names=["key", "around", "low", "bytes"])
+
+    return texts.mapInArrow(copies, "key binary, around long, low long, bytes binary")
 
-    return texts.mapInArrow(windows, "key binary, w1 long, w2 long, at long")
+
+def _matched(copies: DataFrame) -> DataFrame:
+    """``key, low, end``: runs of windows of ``copies(key, around, low, bytes)`` that two copies with equal surroundings share.
+
+    Rows come sorted by their surroundings; a task names and compares the windows of some groups at a time.
+    """
+    def match(rows: list[tuple[bytes, int, int, bytes]]) -> pa.RecordBatch:
+        s = Slice([(n, r[2], r[3]) for n, r in enumerate(rows)])
+        start, piece = s.start, s.window_piece
+        w1, w2 = s.name(start, start + LENGTH, 0), s.name(start, start + LENGTH, 1)
+        order = np.lexsort((w2, w1))
+        same = (w1[order][1:] == w1[order][:-1]) & (w2[order][1:] == w2[order][:-1])
+        again = np.zeros(len(start), bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        start, piece = start[again], piece[again]
+        cut = np.flatnonzero(np.r_[True, (np.diff(piece) != 0) | (np.diff(start) != 1)]) if len(start) else start
+        last = np.append(cut[1:], len(start)) - 1 if len(start) else cut
+        base = s.base[piece]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([rows[n][0] for n in piece[cut]], pa.binary()), pa.array((start + base)[cut]),
+             pa.array((start + base)[last] + LENGTH)], names=["key", "low", "end"])
+
+    def groups(batches):
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "around", "low", "bytes")), strict=True):
+                if held and row[:3] == held[-1][:3]:
+                    continue  # the same place, from another task
+                if len(held) >= HELD and row[1] != held[-1][1]:
+                    yield match([(r[0], r[1], r[2], r[3]) for r in held])
+                    held = []
+                held.append(row)
+        if held:
+            yield match(held)
+
+    ordered = copies.repartition("around").sortWithinPartitions("around", "key", "low")
+    return ordered.mapInArrow(groups, "key binary, low long, end long")
+
+
+def _crowded(copies: DataFrame) -> DataFrame:
+    """As ``_matched``, for groups too large for one task: every window is a row and goes where its name says."""
+    def windows(batches):
+        for batch in batches:
+            rows = batch.num_rows
+            for i in range(0, rows, HELD):
+                part = batch.slice(i, HELD)
+                raw = part.column("bytes").to_pylist()
+                s = Slice([(n, at, b) for n, (at, b) in enumerate(zip(part.column("low").to_pylist(), raw, strict=True))])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("key").take(pa.array(s.window_piece)), pa.array(s.start + s.base[s.window_piece]),
+                     pa.array(s.name(s.start, s.start + LENGTH, 0)), pa.array(s.name(s.start, s.start + LENGTH, 1))],
+                    names=["key", "low", "w1", "w2"])
+
+    rows = materialize(copies.select("key", "low", "bytes").mapInArrow(windows, "key binary, low long, w1 long, w2 long"), "repeats-windows")
+    rows = rows.withColumn("place", F.xxhash64("key", "low"))
+    again = rows.groupBy("w1", "w2").agg(_repeated(F.col("place")).alias("again")).where("again").select("w1", "w2")
+    return rows.join(again, ["w1", "w2"], "left_semi").select("key", "low", (F.col("low") + LENGTH).alias("end"))
 
 
 def _repeated(place: Column) -> Column:
@@ -179,16 +251,24 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     """
     texts = docs.where(F.octet_length("text") >= LENGTH).select(text_key().alias("key"), "text")
     around = _samples(texts).groupBy("around").agg(_repeated(F.col("place")).alias("again")).where("again").select("around")
-    some = _filter(materialize(around, "repeats-samples"))
+    some = _filter(materialize(around, "repeats-samples"), "around")
     blocks = materialize(_blocks(texts, some), "repeats-blocks")
-    name = ["around", "b1", "b2"]
-    named = materialize(blocks.groupBy(*name).agg(_repeated(F.struct("key", "low")).alias("again")), "repeats-names")
-    mixed = named.groupBy("around").agg(F.count("*").alias("n"), F.min("again").alias("all")).where("n > 1 and not all").select("around")
-    whole = blocks.join(named.where("again"), name, "left_semi").select("key", "low", (F.col("high") + LENGTH).alias("end"))
-    some = _filter(materialize(mixed, "repeats-mixed"))
-    windows = materialize(_windows(texts, some), "repeats-windows")
-    again = windows.groupBy("w1", "w2").agg(_repeated(F.struct("key", "at")).alias("again")).where("again")
-    single = windows.join(again, ["w1", "w2"], "left_semi").select("key", F.col("at").alias("low"), (F.col("at") + LENGTH).alias("end"))
+    name = ["around", "name"]
+    place = F.col("place")
+    named = materialize(blocks.groupBy(*name).agg(F.min(place).alias("place"), _repeated(place).alias("again")), "repeats-names")
+    whole = blocks.join(named.where("again").select(*name), name, "left_semi").select("key", "low", (F.col("high") + LENGTH).alias("end"))
+
+    # surroundings with several blocks, one of them not repeated as a whole: one copy of each block
+    mixed = named.groupBy("around").agg(F.count("*").alias("n"), F.min("again").alias("all")).where("n > 1 and not all")
+    mixed = materialize(mixed.select("around", (F.col("n") > CROWD).alias("crowd")), "repeats-mixed")
+    chosen = materialize(named.join(mixed, "around", "left_semi").select("place"), "repeats-chosen")
+    copies = _copies(texts, _filter(chosen, "place"))  # others that pass the filter only add work
+    crowds = mixed.where("crowd").select("around")
+    if crowds.isEmpty():
+        single = _matched(copies)
+    else:
+        copies = materialize(copies, "repeats-copies")
+        single = _matched(copies.join(crowds, "around", "left_anti")).union(_crowded(copies.join(crowds, "around", "left_semi")))
     return whole.union(single).groupBy("key").agg(F.collect_set(F.struct("low", "end")).alias("ranges"))
 
 
@@ -219,7 +299,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("key", text_key())
     copies = rows.groupBy("key").count().where("count > 1").select("key", F.lit(True).alias("copies"))
     found = materialize(repeated_ranges(rows).join(copies, "key", "full"), "repeats-ranges")
-    joined = rows.join(found, "key", "left").select("doc_id", "text", "ranges", F.coalesce("copies", F.lit(False)).alias("copies"))
+    # Texts that a filter of fixed size proves to have no ranges stay where they are; only the others are joined.
+    keyed = found.select(F.xxhash64("key").alias("cell"))
+    some = _filter(keyed, "cell")
+
+    @F.pandas_udf(T.BooleanType())
+    def may_have(cell: pd.Series) -> pd.Series:
+        return pd.Series(marked(some.value, _cell(cell.to_numpy())))
+
+    rows = rows.withColumn("maybe", may_have(F.xxhash64("key")))
+    joined = rows.where("maybe").join(found, "key", "left").select("doc_id", "text", "ranges", F.coalesce("copies", F.lit(False)).alias("copies"))
+    untouched = rows.where("not maybe").select(
+        "doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"),
+        F.lit(0).cast("long").alias("n_spans"), F.col("text").cast("binary").alias("kept"))
 
     def cut(batches):
         for batch in batches:
@@ -230,7 +322,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                  pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.binary())],
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary").union(untouched)
 
 
 def op7_repeated_bytes(spark, sf_dir: str) -> DataFrame:
