@@ -25,6 +25,7 @@ FILTER_BITS = 26
 RARITY_STEPS = 8  # the order uses the logarithm of the count, in steps of 1/8
 HOT = 1000  # words counted more often than this have their sets compared with the word's first set beforehand
 RANK_BITS = 8
+BROADCAST_ROWS = 200_000
 SEEN = 500_000  # sets that a task remembers, to pass on each set once
 
 
@@ -241,7 +242,10 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     settled = materialize(settled.withColumn("settled", F.lit(1)), "lines-settled")
 
     # One narrow row per prefix word; the place in the order and the settled mark share an integer.
-    words = lines.where(F.size("words") > 0).join(settled, ["h1", "h2"], "left").select(
+    # Counted first: up to so many marks (24 bytes each) are sent to the tasks, more are joined by a shuffle.
+    marks = F.broadcast(settled) if settled.count() <= BROADCAST_ROWS else settled
+    rows = lines.where(F.size("words") > 0).join(marks, ["h1", "h2"], "left")
+    words = rows.select(
         "row", "size", "b1", "b2", F.coalesce("settled", F.lit(0)).alias("settled"), F.explode("words").alias("w"))
     words = words.select(
         F.shiftright("w", 32).cast("int").alias("word"), "row",
