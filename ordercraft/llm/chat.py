@@ -68,26 +68,61 @@ def topological_depth(edges: DataFrame) -> DataFrame:
     """``(conv_id, call_id, depth)`` of the calls that others must precede.
 
     ``edges(conv_id, call_id, needs)``, distinct, without NULLs. Depth is 1 plus the largest depth of the calls needed (0 if
-    they need none), found level by level; a call on or behind a cycle has depth NULL. As many rounds as the longest chain.
+    they need none); a call on or behind a cycle has depth NULL. Chains of calls that need one call each take log2 of their
+    length in rounds (see ``_chains``); calls that need several are then ordered level by level, with the chains between
+    them as single steps, so these take as many rounds as the most of them on one path.
     """
     key = ["conv_id", "call_id"]
-    left = materialize(edges, "chat-edges")
-    nodes = left.select(*key).distinct()
-    levels, level = [], 0
+    edges = materialize(edges, "chat-edges")
+    counted = materialize(edges.groupBy(*key).agg(F.count("*").alias("n"), F.min("needs").alias("to")), "chat-counted")
+    chains = _chains(counted.where("n = 1").select(*key, "to"))
+    several = counted.where("n > 1").select(*key)
+    if several.isEmpty():
+        return chains.select(*key, F.when(~F.col("open"), F.col("steps")).cast("int").alias("depth"))
+
+    at_end = F.when(F.col("open"), F.lit(None)).otherwise(F.col("to"))  # NULL: into a cycle of calls that need one call each
+    ends = chains.select("conv_id", F.col("call_id").alias("needs"), at_end.alias("to"), "steps", F.lit(True).alias("chain"))
+    left = edges.join(several, key, "left_semi").join(ends, ["conv_id", "needs"], "left").select(
+        *key, F.when(F.col("chain"), F.col("to")).otherwise(F.col("needs")).alias("to"), (1 + F.coalesce("steps", F.lit(0))).alias("steps"))
+    left = left.groupBy(*key, "to").agg(F.max("steps").alias("steps"))
+    last = several.select("conv_id", F.col("call_id").alias("to"), F.lit(True).alias("waits"))
+    left = materialize(left.join(last, ["conv_id", "to"], "left").withColumn(
+        "value", F.when(F.col("to").isNotNull() & F.col("waits").isNull(), F.col("steps"))).drop("waits"), "chat-left")
+    levels = left.select(*key, F.col("steps").alias("depth")).limit(0)
     while True:
-        waits = left.select("conv_id", F.col("call_id").alias("needs")).distinct()
-        blocked = left.join(waits, ["conv_id", "needs"], "left_semi").select(*key).distinct()
-        ready = materialize(nodes.join(blocked, key, "left_anti"), "chat-ready")
+        ready = materialize(left.groupBy(*key).agg(
+            F.count("*").alias("n"), F.count("value").alias("known"), F.max("value").alias("depth")).where(
+            "n = known").select(*key, "depth"), "chat-ready")
         if ready.isEmpty():
             break
-        level += 1
-        levels.append(ready.withColumn("depth", F.lit(level)))
-        left = materialize(left.join(ready, key, "left_anti"), "chat-edges")
-        nodes = left.select(*key).distinct()
-    out = nodes.withColumn("depth", F.lit(None).cast("int"))
-    for part in levels:
-        out = out.union(part)
-    return out
+        levels = levels.union(ready)
+        found = ready.select("conv_id", F.col("call_id").alias("to"), "depth")
+        left = materialize(left.join(ready, key, "left_anti").join(found, ["conv_id", "to"], "left").withColumn(
+            "value", F.coalesce("value", F.col("depth") + F.col("steps"))).drop("depth"), "chat-left")
+    levels = materialize(several.join(levels, key, "left"), "chat-levels")
+    last = levels.select("conv_id", F.col("call_id").alias("to"), F.col("depth").alias("last"), F.lit(True).alias("waits"))
+    chains = chains.join(last, ["conv_id", "to"], "left").select(
+        *key, F.when(~F.col("open"), F.when(F.col("waits"), F.col("last")).otherwise(F.lit(0)) + F.col("steps")).alias("depth"))
+    return chains.union(levels).withColumn("depth", F.col("depth").cast("int"))
+
+
+def _chains(links: DataFrame) -> DataFrame:
+    """``conv_id, call_id, to, steps, open`` of the calls ``(conv_id, call_id, to)`` that need one call each.
+
+    ``to`` becomes the first call on the way that is not in ``links``, ``steps`` away; open calls lead into a cycle. A round
+    doubles the steps of all open calls, so chains of n calls take log2(n) rounds. As long as one leads out of ``links``, a
+    round closes some; when it closes none, those left lead into cycles.
+    """
+    state = materialize(links.withColumn("steps", F.lit(1).cast("long")).withColumn("open", F.lit(True)), "chat-chains")
+    n_open, before = state.count(), None
+    while n_open and n_open != before:
+        far = state.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("far"), F.col("steps").alias("more"))
+        moved = state.where("open").join(far, ["conv_id", "to"], "left").select(
+            "conv_id", "call_id", F.coalesce("far", "to").alias("to"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.col("far").isNotNull().alias("open"))
+        state = materialize(moved.union(state.where("not open").select(*moved.columns)), "chat-chains")
+        n_open, before = state.where("open").count(), n_open
+    return state
 
 
 def link_tools(messages: DataFrame, calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -95,9 +130,8 @@ def link_tools(messages: DataFrame, calls: DataFrame, results: DataFrame, schema
 
     ``messages(conv_id, turn, role, text)``, ``calls(conv_id, turn, call_id, name, arguments)``,
     ``results(conv_id, turn, call_id, content)``. In a conversation, rows by (depth, turn, kind) are in an order in which
-    every result follows its call and every call the results it refers to. Where all references go back to earlier turns,
-    the turns are such an order and every depth is 0; only conversations with a reference to a later turn are ordered by
-    levels (see ``topological_depth``; a result has its call's depth).
+    every result follows its call and every call the results it refers to (see ``topological_depth``; a result has its
+    call's depth, messages keep their turn and have depth 0).
 
     ``status`` of a call: ``no_id``, ``duplicate_id`` (several calls share the id), ``cycle`` (depth NULL), ``bad_reference`` (refers
     to an id that no single call has), ``invalid`` (see errors), ``no_result``, ``duplicate_result``, else ``ok``. Of a result:
@@ -107,19 +141,16 @@ def link_tools(messages: DataFrame, calls: DataFrame, results: DataFrame, schema
     """
     key = ["conv_id", "call_id"]
     by_call = calls.groupBy(*key).agg(F.count("*").alias("n_calls"), F.min("turn").alias("call_turn"))
-    by_result = results.groupBy(*key).agg(F.count("*").alias("n_results"), F.min("turn").alias("result_turn"))
+    by_result = results.groupBy(*key).agg(F.count("*").alias("n_results"))
     parsed = materialize(calls.withColumn("args", F.try_parse_json("arguments")).withColumn(
         "errors", argument_errors(F.col("name"), F.col("args"), schemas)).withColumn(
         "needs", F.array_distinct(F.regexp_extract_all("arguments", F.lit(REFERENCE)))), "chat-calls")
     refers = parsed.where("conv_id is not null and call_id is not null").select(
-        "conv_id", "call_id", "turn", F.explode("needs").alias("needs"))
-    known = by_call.join(by_result, key, "left").select(
-        "conv_id", F.col("call_id").alias("needs"), "n_calls", F.coalesce("result_turn", "call_turn").alias("ready"))
+        "conv_id", "call_id", F.explode("needs").alias("needs")).distinct()
+    known = by_call.select("conv_id", F.col("call_id").alias("needs"), "n_calls")
     refers = materialize(refers.join(known, ["conv_id", "needs"], "left"), "chat-refers")
     bad = refers.where(F.coalesce("n_calls", F.lit(0)) != 1).select(*key).distinct().withColumn("bad", F.lit(True))
-    later = refers.where("n_calls = 1 and ready >= turn").select("conv_id").distinct()
-    edges = refers.where("n_calls = 1").join(later, "conv_id", "left_semi").select(*key, "needs").distinct()
-    depth = topological_depth(edges).withColumn("ordered", F.lit(True))
+    depth = topological_depth(refers.where("n_calls = 1").select(*key, "needs")).withColumn("ordered", F.lit(True))
 
     linked = parsed.join(by_call, key, "left").join(by_result, key, "left").join(bad, key, "left").join(depth, key, "left")
     in_order = F.when(F.col("ordered"), F.col("depth")).otherwise(F.lit(0))
@@ -166,16 +197,13 @@ SCHEMAS = {
 def calls_of(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that the table's turns stand for.
 
-    Every assistant turn is a call with its text as query and its word count as limit; from turn 3 on it refers to the
-    call two turns before, but in every seventh conversation the calls before turn 3 refer to the call two turns later.
-    Every user turn from turn 1 on is the result of the turn before it.
+    Every assistant turn is a call with its text as query and its word count as limit; from the second pair of turns on
+    it refers to the call two turns before. Every user turn from turn 1 on is the result of the turn before it.
     """
     text, turn = F.col("text"), F.col("turn")
     ident = lambda t: F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), t.cast("string"))
     words = F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
-    ahead = F.pmod("conv_id", F.lit(7)) == 0
-    other = F.when(ahead & (turn < 3), turn + 2).when(~ahead & (turn >= 3), turn - 2)
-    source = F.when(other.isNotNull(), F.concat(F.lit(', "source" : "${'), ident(other), F.lit('}"'))).otherwise(F.lit(""))
+    source = F.when(turn >= 3, F.concat(F.lit(', "source" : "${'), ident(turn - 2), F.lit('}"'))).otherwise(F.lit(""))
     content = F.substring(F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("t"))), 6, 2147483647)  # quoted text and }
     calls = conversations.where("role = 'assistant'").select(
         "conv_id", "turn", ident(turn).alias("call_id"), F.when(turn % 2 == 0, "search").otherwise("rank").alias("name"),
@@ -193,19 +221,23 @@ def op10_chat_format(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 with t as (
-  select *, 'c' || conv_id || '-' || turn me, 'c' || conv_id || '-' || (turn - 1) before, 
-         'c' || conv_id || '-' || case when conv_id % 7 = 0 then case when turn < 3 then turn + 2 end when turn >= 3 then turn - 2 end source,
+  select *, 'c' || conv_id || '-' || turn me, 'c' || conv_id || '-' || (turn - 1) before, 'c' || conv_id || '-' || (turn - 2) two_before,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) words
   from conversations),
 c as (
-  select conv_id, turn, me id, words, source, coalesce(text, '') q, turn % 2 = 0 is_search, source is not null has_source
+  select conv_id, turn, me id, words, two_before source, coalesce(text, '') q, turn % 2 = 0 is_search, turn >= 3 has_source
   from t where role = 'assistant'),
 n_call as (select conv_id, id, count(*) n, min(turn) call_turn from c group by all),
 r as (select conv_id, turn, before id, text from t where role = 'user' and turn >= 1),
 n_result as (select conv_id, id, count(*) n from r group by all),
 e as (select c.conv_id, c.id, s.n n_source, c.source from (select distinct conv_id, id, source from c where has_source) c
       left join n_call s on s.conv_id = c.conv_id and s.id = c.source),
-depth as (select distinct conv_id, id, 1 depth from e where n_source = 1 and conv_id % 7 = 0),
+depth as (
+  with recursive d(conv_id, id, depth) as (
+    select conv_id, id, 0 from n_call where (conv_id, id) not in (select (conv_id, id) from e where n_source = 1)
+    union all
+    select e.conv_id, e.id, d.depth + 1 from d join e on e.conv_id = d.conv_id and e.source = d.id and e.n_source = 1)
+  select conv_id, id, max(depth) depth from d group by all),
 call_error as (
   select c.*, list_filter([
     case when words < 1 then 'limit: below 1' end,
@@ -216,7 +248,7 @@ select conv_id, turn, 'message' kind, null::varchar call_id, 0 as depth, 'ok' st
        '{"content":' || coalesce(to_json(text)::varchar, 'null') || ',"role":' || coalesce(to_json(role)::varchar, 'null') || '}' json
 from t
 union all
-select c.conv_id, c.turn, 'call', c.id, coalesce(d.depth, 0),
+select c.conv_id, c.turn, 'call', c.id, d.depth,
        case when nc.n > 1 then 'duplicate_id' when has_source and coalesce(e.n_source, 0) <> 1 then 'bad_reference'
             when len(errors) > 0 then 'invalid' when nr.n is null then 'no_result' when nr.n > 1 then 'duplicate_result' else 'ok' end,
        array_to_string(errors, '; '),

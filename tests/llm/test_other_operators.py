@@ -9,6 +9,7 @@ import tempfile
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ordercraft.llm import chat, embeddup, htmltext, warc
@@ -175,6 +176,48 @@ def test_op10_links_orders_and_checks(spark):
     assert empty.count() == 0
 
 
+def depths_by_brute_force(edges) -> dict:
+    needs: dict = {}
+    for conv, call, other in edges:
+        needs.setdefault((conv, call), set()).add((conv, other))
+    depth, left = {}, dict(needs)
+    while ready := [k for k, v in left.items() if all(o in depth or o not in needs for o in v)]:
+        found = {k: 1 + max(depth.get(o, 0) for o in left[k]) for k in ready}
+        depth.update(found)
+        left = {k: v for k, v in left.items() if k not in found}
+    return depth | dict.fromkeys(left)
+
+
+def test_op10_depth_matches_brute_force(spark):
+    rng = np.random.default_rng(3)
+    edges = {(conv, f"x{i}", f"x{rng.integers(0, i + (conv == 5))}")  # conversation 5 has cycles
+             for conv in range(6) for i in range(1, 12) for _ in range(1 + (conv > 1 and rng.integers(0, 6) == 0))}
+    edges |= {(7, "a", "a"), (8, "a", "b"), (8, "b", "a"), (8, "c", "b"), (8, "d", "c"), (8, "d", "root"), (8, "e", "root")}
+    got = {(r["conv_id"], r["call_id"]): r["depth"] for r in chat.topological_depth(
+        spark.createDataFrame(sorted(edges), "conv_id int, call_id string, needs string")).collect()}
+    want = depths_by_brute_force(edges)
+    assert got == want and None in want.values() and max(v or 0 for v in want.values()) > 3
+
+
+def test_op10_long_chain_takes_few_rounds(spark, monkeypatch):
+    written = []
+    real = chat.materialize
+    monkeypatch.setattr(chat, "materialize", lambda df, label: written.append(label) or real(df, label))
+    edges = spark.range(1, 301).selectExpr("1 as conv_id", "concat('x', id) as call_id", "concat('x', id - 1) as needs")
+    got = {r["call_id"]: r["depth"] for r in chat.topological_depth(edges).collect()}
+    assert got == {f"x{i}": i for i in range(1, 301)} and len(written) <= 14
+
+
+def test_op10_every_conversation_refers_back(spark):
+    talk = spark.createDataFrame([(conv, t, "user" if t % 2 == 0 else "assistant", "some words") for conv in (6, 7) for t in range(9)],
+                                 "conv_id long, turn long, role string, text string")
+    calls, results = chat.calls_of(talk)
+    out = chat.link_tools(talk, calls, results, chat.SCHEMAS)
+    for kind, first in (("call", 1), ("result", 2)):
+        got = {(r["conv_id"], r["turn"]): r["depth"] for r in out.where(F.col("kind") == kind).collect()}
+        assert got == {(conv, first + 2 * k): k for conv in (6, 7) for k in range(4)}
+
+
 def test_pipeline_stages(spark, tmp_path):
     docs, folder = documents(spark), str(tmp_path)
     columns = docs.columns
