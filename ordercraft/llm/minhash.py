@@ -3,7 +3,7 @@
 A document is its 5-word shingles with TF-IDF weights. Improved consistent weighted sampling draws, for each of
 ``HASHES`` hash functions, one (shingle, level) such that two documents draw the same one with probability equal to
 their weighted Jaccard similarity. Draws are banded; documents that share a band are candidates, and a candidate is a
-link only if the weighted Jaccard similarity of the whole texts reaches the threshold.
+link only if the weighted Jaccard similarity of the whole texts, by exact document frequencies, reaches the threshold.
 """
 
 from __future__ import annotations
@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ordercraft.llm.components import connected_components
-from ordercraft.llm.words import count_cells, gram_hashes, materialize, maybe_in, mix64, slices, text_bytes, text_key, whole, word_hashes
+from ordercraft.llm.words import count_cells, gram_hashes, materialize, mark_cells, marked, maybe_in, mix64, slices, text_bytes, text_key, whole, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 10, 4  # a pair at the threshold shares a band with probability 0.995
 HASHES = BANDS * ROWS
-# Document frequencies are counted in a table of fixed size, a cell per hash value, over all documents.
+# For drawing candidates, document frequencies are counted in a table of fixed size, a cell per hash value, over all
+# documents. A cell's count is at least the frequency of each of its shingles: it bounds similarities, exact counts settle them.
 FREQUENCY_BITS = 18
 # idf = 1 + IDF_WEIGHT * ln(N / df) / ln(N): common shingles weigh less, but not so much less that the few edits of a near
 # copy outweigh what it shares with many others.
@@ -55,13 +56,11 @@ class Sampler:
 
     def shingles(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(owner, hash, weight) of the distinct shingles of each text, by owner and hash."""
-        owner, hashes = text_shingles(texts)
-        order = np.lexsort((hashes, owner))
-        owner, hashes = owner[order], hashes[order]
-        new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])]) if len(owner) else owner
-        tf = np.diff(np.append(new, len(owner)))
-        owner, hashes = owner[new], hashes[new]
-        return owner, hashes, tf * self.idf[(hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]
+        owner, hashes, tf = distinct_shingles(texts)
+        return owner, hashes, tf * self.weight(hashes)
+
+    def weight(self, hashes: np.ndarray) -> np.ndarray:
+        return self.idf[(hashes >> np.uint64(64 - FREQUENCY_BITS)).astype(np.int64)]
 
     def signatures(self, owner: np.ndarray, hashes: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Owners with shingles, and their draws (owners x hashes, uint64)."""
@@ -101,6 +100,15 @@ def text_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return owners[order], hashes[order]
 
 
+def distinct_shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, hash, count) of the distinct shingles of each text, by owner and hash."""
+    owner, hashes = text_shingles(texts)
+    order = np.lexsort((hashes, owner))
+    owner, hashes = owner[order], hashes[order]
+    new = np.flatnonzero(np.r_[True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])]) if len(owner) else owner
+    return owner[new], hashes[new], np.diff(np.append(new, len(owner)))
+
+
 def frequency_table(texts: DataFrame, bits: int = FREQUENCY_BITS) -> np.ndarray:
     """Documents per shingle hash cell, over all rows of ``texts(text)``."""
     def cells(batch: pa.RecordBatch):
@@ -113,10 +121,63 @@ def frequency_table(texts: DataFrame, bits: int = FREQUENCY_BITS) -> np.ndarray:
     return count_cells(texts.where(F.col("text").isNotNull()).select("text"), cells, bits)
 
 
-def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """Damped idf per hash cell."""
-    cells, n = frequency_table(texts), max(texts.count(), 2)
-    return 1 + IDF_WEIGHT * np.log(n / np.clip(cells, 1, n)) / math.log(n)
+def damped_idf(frequency: np.ndarray, n: int) -> np.ndarray:
+    return 1 + IDF_WEIGHT * np.log(n / np.clip(frequency, 1, n)) / math.log(n)
+
+
+def counted_texts(texts: DataFrame, present: DataFrame) -> DataFrame:
+    """``texts(key, text)`` with ``often``, written: the text's shingles that several rows of ``present(text)`` hold, as
+    (shingle, n) with the exact number of rows. All its other shingles are in one row.
+
+    Shingles of ``present`` that a filter of fixed size rules out are in no wanted text and are not shuffled.
+    """
+    bits = 26
+
+    def cell(hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+
+    def cells(batch: pa.RecordBatch) -> np.ndarray:
+        raw = text_bytes(batch)
+        return np.concatenate([np.zeros(0, np.int64), *(np.unique(cell(text_shingles(raw[i:j])[1])) for i, j in slices([len(t) for t in raw]))])
+
+    some = texts.sparkSession.sparkContext.broadcast(mark_cells(texts.select("text"), cells, bits))
+
+    def count(batches):
+        for batch in batches:
+            raw = text_bytes(batch)
+            for i, j in slices([len(t) for t in raw]):
+                _, hashes, _ = distinct_shingles(raw[i:j])
+                found, n = np.unique(hashes[marked(some.value, cell(hashes))], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+
+    def held(batches):
+        for batch in batches:
+            raw, keys = text_bytes(batch), batch.column("key")
+            for i, j in slices([len(t) for t in raw]):
+                owner, hashes, _ = distinct_shingles(raw[i:j])
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(owner + i)), pa.array(hashes.view(np.int64))], names=["key", "shingle"])
+
+    counts = present.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    often = texts.mapInArrow(held, "key binary, shingle long").join(counts, "shingle").groupBy("key").agg(
+        F.collect_list(F.struct("shingle", "n")).alias("often"))
+    return materialize(texts.join(often, "key", "left"), "minhash-counted")
+
+
+def exact_weights(owner: np.ndarray, hashes: np.ndarray, often: list, n: int) -> np.ndarray:
+    """idf of distinct shingles, by owner and hash; ``often[o]`` are the ``counted_texts`` entries of owner ``o``."""
+    frequency = np.ones(len(hashes), np.int64)
+    cut = np.searchsorted(owner, np.arange(len(often) + 1))
+    for o, entries in enumerate(often):
+        if entries is not None and len(entries):
+            shingle = entries.field("shingle").to_numpy(zero_copy_only=False).view(np.uint64)
+            frequency[cut[o] + np.searchsorted(hashes[cut[o]:cut[o + 1]], shingle)] = entries.field("n").to_numpy(zero_copy_only=False)
+    return damped_idf(frequency, n)
+
+
+def _often(batch, name: str) -> list:
+    """A row's ``often`` entries, as an Arrow array of structs, or None."""
+    column = batch.column(name)
+    return [x.values for chunk in (column.chunks if isinstance(column, pa.ChunkedArray) else [column]) for x in chunk]
 
 
 def _least_matches() -> int:
@@ -174,30 +235,75 @@ def _signatures(docs: DataFrame, idf) -> DataFrame:
     return found.select("key", "doc_id", "bands", F.struct(*[f"w{w}" for w in range(_WORDS)]).alias("sig"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """The pairs ``(a, b)`` whose weighted Jaccard similarity reaches the threshold; ``texts(key, text)``."""
-    both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
+def _side_by_side(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` with the other columns of ``texts(key, ...)`` for each."""
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(*[F.col(c).alias(side if c == "key" else f"{c}_{side}") for c in texts.columns]), side)
+    return pairs
 
-    def verify(batches):
+
+def _sums(owner: np.ndarray, hashes: np.ndarray, tf: np.ndarray, pairs: int):
+    """Texts 2n and 2n + 1 are pair n: (pair, hash, smaller count, difference of counts) of the pairs' shingles."""
+    pair = owner >> 1
+    order = np.lexsort((hashes, pair))
+    p, h, t = pair[order], hashes[order], tf[order]
+    same = np.flatnonzero((p[1:] == p[:-1]) & (h[1:] == h[:-1]))
+    first = np.ones(len(p), bool)
+    first[same + 1] = False
+    low, high = np.zeros(len(p), np.int64), t.copy()
+    low[same], high[same] = np.minimum(t[same], t[same + 1]), np.maximum(t[same], t[same + 1])
+    return order[first], p[first], h[first], low[first], (high - low)[first]
+
+
+def _paired(batch, columns: tuple[str, str] = ("text_a", "text_b")):
+    """(i, j, shingles) of runs of rows i to j, whose texts are taken in pairs."""
+    left, right = (text_bytes(batch, c) for c in columns)
+    for i, j in slices([len(x) + len(y) for x, y in zip(left, right, strict=True)]):
+        yield i, j, distinct_shingles([t for p in zip(left[i:j], right[i:j], strict=True) for t in p])
+
+
+def _bounded(pairs: DataFrame, texts: DataFrame, idf, n: int) -> DataFrame:
+    """``a, b, sure`` of the pairs whose weighted Jaccard similarity may reach the threshold; ``sure`` if it does.
+
+    A shingle is in at least one row (two, if both texts have it) and in at most as many as its cell counts.
+    """
+    def bound(batches):
         sampler = Sampler(idf.value)
+        one, two = damped_idf(np.array([1, 2]), n)
         for batch in batches:
-            left, right = text_bytes(batch, "text_a"), text_bytes(batch, "text_b")
-            keep = np.zeros(len(left), bool)
-            for i, j in slices([len(x) + len(y) for x, y in zip(left, right, strict=True)]):
-                # texts 2n and 2n + 1 are a pair
-                owner, hashes, weights = sampler.shingles([t for p in zip(left[i:j], right[i:j], strict=True) for t in p])
-                pair = owner >> 1
-                order = np.lexsort((hashes, pair))
-                p, h, w = pair[order], hashes[order], weights[order]
-                same = np.flatnonzero((p[1:] == p[:-1]) & (h[1:] == h[:-1]))
-                low = np.bincount(p[same], np.minimum(w[same], w[same + 1]), minlength=j - i)
-                total = np.bincount(p, w, minlength=j - i)
-                keep[i:j] = (low >= THRESHOLD * (total - low) * (1 - 1e-12)) & (low > 0)
+            may, sure = np.zeros(batch.num_rows, bool), np.zeros(batch.num_rows, bool)
+            for i, j, (owner, hashes, tf) in _paired(batch):
+                _, p, h, low, rest = _sums(owner, hashes, tf, j - i)
+                least, most = sampler.weight(h), np.where(low > 0, two, one)
+                total = lambda x: np.bincount(p, x, minlength=j - i)
+                inner = total(low * least)
+                sure[i:j] = (inner > 0) & (inner >= THRESHOLD * (inner + total(rest * most)) * (1 + 1e-9))
+                inner = total(low * most)
+                may[i:j] = (inner > 0) & (inner >= THRESHOLD * (inner + total(rest * least)) * (1 - 1e-9))
+            may = pa.array(may | sure)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(may), batch.column("b").filter(may), pa.array(sure).filter(may)],
+                                             names=["a", "b", "sure"])
+
+    both = _side_by_side(pairs, texts)
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(bound, "a binary, b binary, sure boolean")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose weighted Jaccard similarity reaches the threshold; ``texts`` of ``counted_texts``."""
+    def verify(batches):
+        for batch in batches:
+            keep = np.zeros(batch.num_rows, bool)
+            often = [x for p in zip(_often(batch, "often_a"), _often(batch, "often_b"), strict=True) for x in p]
+            for i, j, (owner, hashes, tf) in _paired(batch):
+                at, p, _, low, rest = _sums(owner, hashes, tf, j - i)
+                weight = exact_weights(owner, hashes, often[2 * i:2 * j], n)[at]
+                inner, other = np.bincount(p, low * weight, minlength=j - i), np.bincount(p, rest * weight, minlength=j - i)
+                keep[i:j] = (inner >= THRESHOLD * (inner + other) * (1 - 1e-12)) & (inner > 0)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
+    both = _side_by_side(pairs, texts)
+    return both.select("a", "b", "text_a", "text_b", "often_a", "often_b").mapInArrow(verify, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -212,7 +318,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.select("doc_id", "text", text_key().alias("key"))
     present = keyed.where(F.col("text").isNotNull())
-    idf = docs.sparkSession.sparkContext.broadcast(inverse_frequencies(present))
+    n = max(present.count(), 2)
+    idf = docs.sparkSession.sparkContext.broadcast(damped_idf(frequency_table(present), n))
     signed = materialize(_signatures(present.select("key", "doc_id", "text"), idf), "minhash-signed")
     classes = materialize(
         signed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")),
@@ -229,7 +336,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         (F.col("key") != F.col("end.key")) & (_matches("sig", "end.sig") >= alike)).select(
         F.least("key", "end.key").alias("a"), F.greatest("key", "end.key").alias("b")).distinct()
     star = materialize(star, "minhash-pairs")
-    first = _link(star, present, classes, idf)
+    first = _link(star, present, classes, idf, n)
     parts = connected_components(first)
 
     placed = materialize(_component(buckets, parts), "minhash-placed")
@@ -238,9 +345,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "n > 3 and c <> d").select(*bucket, F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     rest = materialize(placed.join(materialize(open_, "minhash-open"), bucket), "minhash-rest")
     if not rest.isEmpty():
-        texts = _texts(rest.select("key"), present, classes)
+        texts = counted_texts(_texts(rest.select("key"), present, classes), present)
         rest = rest.join(classes.select("key", "bands"), "key").join(texts, "key")
-        parts = connected_components(first.union(materialize(_compared(rest, idf), "minhash-links")))
+        parts = connected_components(first.union(materialize(_compared(rest, n), "minhash-links")))
 
     members = materialize(_component(signed.select("key", "doc_id"), parts), "minhash-members")
     smallest = members.groupBy("component").agg(F.min("doc_id").alias("class_id"))
@@ -264,14 +371,20 @@ def _texts(keys: DataFrame, present: DataFrame, classes: DataFrame) -> DataFrame
     return materialize(texts.select("key", "text").dropDuplicates(["key"]), "minhash-texts")
 
 
-def _link(pairs: DataFrame, present: DataFrame, classes: DataFrame, idf) -> DataFrame:
-    """The pairs that are links, written."""
-    used = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key")))
-    return materialize(_verified(pairs, _texts(used, present, classes), idf), "minhash-links")
+def _link(pairs: DataFrame, present: DataFrame, classes: DataFrame, idf, n: int) -> DataFrame:
+    """The pairs that are links, written: those that the bounds settle, and those that exact frequencies do."""
+    def texts_of(rows: DataFrame) -> DataFrame:
+        return _texts(rows.select(F.col("a").alias("key")).union(rows.select(F.col("b").alias("key"))), present, classes)
+
+    may = materialize(_bounded(pairs, texts_of(pairs), idf, n), "minhash-bounded")
+    links, open_ = may.where("sure").select("a", "b"), may.where("not sure").select("a", "b")
+    if open_.isEmpty():
+        return links
+    return links.union(materialize(_verified(open_, counted_texts(texts_of(open_), present), n), "minhash-links"))
 
 
-def _compared(rows: DataFrame, idf) -> DataFrame:
-    """Links ``(a, b)`` that join the components of the rows' buckets: ``band, value, blocks, key, component, sig, bands, text``.
+def _compared(rows: DataFrame, n_rows: int) -> DataFrame:
+    """Links ``(a, b)`` that join the components of the rows' buckets: ``band, value, blocks, key, component, sig, bands, text, often``.
 
     A bucket is dealt out as pairs of blocks. A task takes the pairs of its two blocks, most alike first, skips those whose
     texts are joined already (by a component or by its own links) or meet in an earlier band, and verifies the others.
@@ -284,7 +397,8 @@ def _compared(rows: DataFrame, idf) -> DataFrame:
         sig = np.stack([group.column(f"w{k}").to_numpy() for k in range(_WORDS)], axis=1).view(np.uint64)
         bands = np.stack(group.column("bands").to_pylist())
         _, joined = np.unique(np.array([c.hex() for c in group.column("component").to_pylist()]), return_inverse=True)
-        owner, hashes, weights = Sampler(idf.value).shingles(text_bytes(group))
+        owner, hashes, tf = distinct_shingles(text_bytes(group))
+        weights = tf * exact_weights(owner, hashes, _often(group, "often"), n_rows)
         cut = np.searchsorted(owner, np.arange(len(block) + 1))
         bag = [(hashes[i:j], weights[i:j], weights[i:j].sum()) for i, j in zip(cut, cut[1:], strict=False)]
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -318,7 +432,7 @@ def _compared(rows: DataFrame, idf) -> DataFrame:
     blocked = rows.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = blocked.select("band", "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                           "block", "key", "component", "sig.*", "bands", "text")
+                           "block", "key", "component", "sig.*", "bands", "text", "often")
     return units.groupBy("band", "value", "low", "high").applyInArrow(compare, "a binary, b binary")
 
 

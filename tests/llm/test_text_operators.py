@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 from ordercraft.llm import decontam, langid, linededup, minhash, mixing, repeats
-from tests.llm.helpers import components, corpus, documents, no_documents, shingles, words
+from tests.llm.helpers import components, corpus, documents, no_documents, prose, shingles, words
 
 
 def by_id(rows, column="doc_id"):
@@ -183,6 +184,27 @@ def test_op6_matches_brute_force(spark):
     assert minhash.near_duplicates(no_documents(spark)).count() == 0
 
 
+def test_op6_verifies_by_exact_frequencies(spark, monkeypatch):
+    full = np.full(1 << minhash.FREQUENCY_BITS, 1 << 20, np.uint32)
+    monkeypatch.setattr(minhash, "frequency_table", lambda texts: full)  # full cells: all weights are 1
+    rng = random.Random(5)
+    common, rare, filler = prose(rng, 88), prose(rng, 82), lambda n: prose(rng, n)
+    often = prose(rng, 14)
+    texts = [f"{common} {filler(10)}", f"{common} {filler(10)}", f"{rare} {often}", f"{rare} {filler(6)}"]
+    texts += [f"{common} {filler(150)} {often}" for _ in range(56)]
+    bags = [shingles(t) for t in texts]
+    frequency = Counter(s for b in bags for s in b)
+    idf = {s: 1 + minhash.IDF_WEIGHT * math.log(len(texts) / f) / math.log(len(texts)) for s, f in frequency.items()}
+    flat = dict.fromkeys(idf, 1.0)
+    # one pair is a link by full cells alone, the other by exact frequencies alone
+    assert weighted_similarity(bags[0], bags[1], flat) > minhash.THRESHOLD > weighted_similarity(bags[0], bags[1], idf)
+    assert weighted_similarity(bags[2], bags[3], flat) < minhash.THRESHOLD < weighted_similarity(bags[2], bags[3], idf)
+    links = [(i, j) for j in range(len(texts)) for i in range(j) if weighted_similarity(bags[i], bags[j], idf) >= minhash.THRESHOLD]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == components(range(len(texts)), links)
+
+
 def test_op6_draws_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     sampler = minhash.Sampler(np.exp(rng.normal(size=1 << minhash.FREQUENCY_BITS)), hashes=2000)
