@@ -1,9 +1,10 @@
 """Main-text extraction by tree scoring.
 
-Each page becomes a tree of elements. Boilerplate elements (by tag, or by a word of their class, id or role)
-are cut off. Every paragraph gives points for its length and commas to its ancestors, fewer the farther away;
+Each page becomes a tree of elements. Boilerplate elements (by tag, or by a whole class, id or role that is a
+boilerplate word) are cut off, forms only if they hold at most half of the page's paragraph points; a boilerplate word
+that is only a part of a class, id or role discounts the element's points. Every paragraph gives points for its length and commas to its ancestors, fewer the farther away;
 a container's points are discounted by its link density. The best container, widened to an enclosing article
-or main element, and its siblings that score well or read like prose are kept.
+or main element, its siblings that score well or read like prose, and headings right before it are kept.
 """
 
 from __future__ import annotations
@@ -30,9 +31,10 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = {"ul", "ol", "dl", "table", "div", "article", "section", "main", "body", "blockquote", "td", "th", "aside", "form"}
 _MAIN = {"article", "main"}
+_KEPT = {"html", "body"} | _MAIN  # never boilerplate by their attributes
 # Boilerplate tags, and the words of class, id and role that mark boilerplate.
 _DROP = {"script", "style", "noscript", "template", "textarea", "title", "head", "iframe", "object", "embed", "svg", "canvas",
-         "audio", "video", "nav", "aside", "footer", "form", "fieldset", "button", "select", "input", "menu", "dialog", "noembed",
+         "audio", "video", "nav", "aside", "footer", "button", "select", "input", "menu", "dialog", "noembed",
          "noframes", "xmp"}
 _DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment",
                "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disclaimer", "discussion", "disqus",
@@ -40,28 +42,38 @@ _DROP_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising",
                "newsletter", "notice", "notices", "pagination", "popup", "promo", "promoted", "related", "replies", "respond",
                "search", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe",
                "toolbar", "widget", "header", "topbar", "alert"}
+_FORMS = {"form", "fieldset"}
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 MIN_PARAGRAPH = 25
+FORM_SHARE = 0.5  # of the page's paragraph points: forms that do not hold more are cut
+WORD_DISCOUNT = 0.25
 
 
 def _is_boilerplate(tag: str, attrs: str, inside_main: bool) -> bool:
     if tag in _DROP or (tag == "header" and not inside_main):
         return True
-    if not attrs or tag in ("html", "body", "article", "main") and "comment" not in attrs.lower():
+    if not attrs or tag in _KEPT:
         return False
-    if _HIDDEN.search(attrs):
-        return True
-    for m in _ATTR.finditer(attrs):
-        words = re.sub(r"([a-z])([A-Z])", r"\1 \2", m[1] or m[2] or m[3] or "")
-        if not _DROP_WORDS.isdisjoint(re.split(r"[^a-z]+", words.lower())):
-            return True
-    return False
+    return bool(_HIDDEN.search(attrs)) or any(t.lower() in _DROP_WORDS for t in _tokens(attrs))
+
+
+def _tokens(attrs: str) -> list[str]:
+    return [t for m in _ATTR.finditer(attrs) for t in (m[1] or m[2] or m[3] or "").split()]
+
+
+def _has_word(tag: str, attrs: str) -> bool:
+    """Whether a part of the class, id or role is a boilerplate word."""
+    if not attrs or tag in _KEPT:
+        return False
+    words = re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(_tokens(attrs)))
+    return not _DROP_WORDS.isdisjoint(re.split(r"[^a-z]+", words.lower()))
 
 
 class _Page:
     """Elements in page order (a child after its parent) and the text pieces that are not boilerplate."""
 
     def __init__(self, source: str):
-        self.tag, self.parent, self.pieces = ["#root"], [-1], []
+        self.tag, self.parent, self.pieces, self.worded = ["#root"], [-1], [], set()
         self._open, self._dropped = [0], 0  # _dropped: depth of the outermost boilerplate element, or 0
         at = 0
         while m := _TOKEN.search(source, at):
@@ -97,6 +109,8 @@ class _Page:
             return
         self._add(tag)
         self._open.append(len(self.tag) - 1)
+        if _has_word(tag, attrs):
+            self.worded.add(len(self.tag) - 1)
         if not self._dropped and _is_boilerplate(tag, attrs, any(self.tag[n] in _MAIN for n in self._open)):
             self._dropped = len(self._open)
 
@@ -145,14 +159,23 @@ def main_text(source: str | None) -> str:
     for k in range(1, n):
         block[k] = block[parent[k]] if tag[k] in _INLINE else k
         linked[k] = tag[k] == "a" or linked[parent[k]]
-    length, links, anchors, parts = [0] * n, [0] * n, [0] * n, {}
+    length, links, anchors = [0] * n, [0] * n, [0] * n
     own_length, own_commas = [0] * n, [0] * n
     for node, text in page.pieces:
+        own_length[block[node]] += len("".join(text.split()))
+        own_commas[block[node]] += text.count(",") + text.count("，") + text.count("、")
+    points = [1 + own_commas[k] + min(own_length[k] / 100, 3) if own_length[k] >= MIN_PARAGRAPH else 0.0 for k in range(n)]
+    held = points[:]
+    for k in range(n - 1, 0, -1):
+        held[parent[k]] += held[k]
+    cut = [False] * n
+    for k in range(1, n):
+        cut[k] = cut[parent[k]] or tag[k] in _FORMS and held[k] <= FORM_SHARE * held[0]
+    pieces = [(node, "" if cut[node] else text) for node, text in page.pieces]
+    for node, text in pieces:
         size = len("".join(text.split()))
         length[node] += size
         links[node] += size if linked[node] else 0
-        own_length[block[node]] += size
-        own_commas[block[node]] += text.count(",") + text.count("，") + text.count("、")
     for k in range(1, n):
         anchors[k] += tag[k] == "a"
     for k in range(n - 1, 0, -1):
@@ -162,13 +185,12 @@ def main_text(source: str | None) -> str:
 
     score = [0.0] * n
     for k in range(n):
-        if own_length[k] >= MIN_PARAGRAPH:
-            points = 1 + own_commas[k] + min(own_length[k] / 100, 3)
+        if points[k] and not cut[k]:
             first = k if tag[k] in _SCOPE else parent[k]
             for level, up in enumerate(_up(parent, max(first, 0))):
-                score[up] += points * (1 if level == 0 else 0.5 if level == 1 else 1 / (3 * level))
+                score[up] += points[k] * (1 if level == 0 else 0.5 if level == 1 else 1 / (3 * level))
     density = [links[k] / length[k] if length[k] else 0.0 for k in range(n)]
-    final = [score[k] * (1 - density[k]) for k in range(n)]
+    final = [score[k] * (1 - density[k]) * (WORD_DISCOUNT if k in page.worded else 1) for k in range(n)]
     best = max(range(n), key=lambda k: (final[k], -k))
     if not final[best]:
         best = next((k for k in range(n) if tag[k] in _MAIN and length[k]), 0)
@@ -179,13 +201,16 @@ def main_text(source: str | None) -> str:
                 final[k] >= max(10, 0.2 * final[best])
                 or tag[k] == "p" and density[k] < 0.25 and length[k] >= 80):
             keep.add(k)
+    before = [k for k in range(1, best) if parent[k] == parent[best]]
+    while before and tag[before[-1]] in _HEADINGS:
+        keep.add(before.pop())
     menus = {k for k in range(1, n) if tag[k] in ("ul", "ol", "div", "table", "dl") and anchors[k] >= 3 and density[k] > 0.8}
 
     inside, last = [False] * n, None
     for k in range(n):
         inside[k] = k not in menus and (k in keep or k > 0 and inside[parent[k]])
     blocks: list[list[str]] = []
-    for node, text in page.pieces:
+    for node, text in pieces:
         if inside[node]:
             if last is None or block[node] != block[last]:
                 blocks.append([])

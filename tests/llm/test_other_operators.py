@@ -96,6 +96,27 @@ def test_op2_table(spark):
     assert htmltext.extract_pages(pages.limit(0)).count() == 0
 
 
+PROSE = "A long paragraph of the article, with commas, and enough words to be taken for prose by any rule, as it goes on. "
+
+
+@pytest.mark.parametrize("page", [
+    "<body><div class='content has-sidebar'><p>{0}</p><p>{0}</p></div></body>",
+    "<body class='comments-open'><article class='post comments-open'><p>{0}</p><p>{0}</p></article></body>",
+    "<body class='no-sidebar'><div class='elementor-widget x'><p>{0}</p><p>{0}</p></div></body>",
+    "<body><form id='aspnetForm'><div><p>{0}</p><p>{0}</p></div></form></body>",
+    "<body><article><p>{0}</p><section id='related-work'><p>{0}</p></section></article></body>"])
+def test_op2_keeps_content_with_boilerplate_parts(page):
+    page = page.format(PROSE * 3)
+    assert htmltext.main_text(page) == " ".join([(PROSE * 3).strip()] * 2)
+
+
+def test_op2_keeps_headings():
+    text = (PROSE * 3).strip()
+    assert htmltext.main_text(f"<body><h1>T</h1><div><p>{text}</p><p>{text}</p></div></body>") == f"T {text} {text}"
+    assert htmltext.main_text(f"<article><div class='entry-header'><h1>T</h1></div><p>{text}</p></article>") == f"T {text}"
+    assert htmltext.main_text(f"<body><form><p>Log in with your name, please</p></form><div><p>{text}</p><p>{text}</p></div></body>") == f"{text} {text}"
+
+
 def vectors(n=300, dim=16, seed=5):
     rng = np.random.default_rng(seed)
     rows = []
