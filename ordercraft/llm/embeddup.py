@@ -171,16 +171,17 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, counted: int = COUN
 
 
 def dedup_embeddings(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
-    """``vec_id, n_links, component_id, kept``, a row per distinct row of ``embeddings(vec_id, embedding)``.
+    """``vec_id, n_links, component_id, kept``, a row per row of ``embeddings(vec_id, embedding)``.
 
     Vectors that are NULL, empty, zero or hold a NULL or non-finite component link with nothing, and so do rows with a
-    NULL vec_id (component NULL, not kept). Equal vectors are compared once and counted as often as they occur.
+    NULL vec_id (component NULL, not kept). Equal vectors are compared once and counted as often as they occur;
+    repeated rows count once and all stay.
     """
-    rows = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).distinct()
+    rows = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     finite = F.forall("embedding", lambda x: F.coalesce(x.between(-1.7976931348623157e308, 1.7976931348623157e308), F.lit(False)))
     valid = F.coalesce(F.col("vec_id").isNotNull() & finite & F.exists("embedding", lambda x: x != 0), F.lit(False))
     rows = materialize(rows.withColumn("valid", valid).withColumn("_key", F.when(F.col("valid"), F.xxhash64("embedding"))), "embed-rows")
-    vectors = rows.where("valid").groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
+    vectors = rows.where("valid").select("vec_id", "embedding").distinct().groupBy("embedding").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"))
     vectors = materialize(vectors, "embed-distinct")
     links, components = near_vectors(vectors, threshold)
     classes = vectors.join(links, "id", "left").join(components, "id", "left").select(

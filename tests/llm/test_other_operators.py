@@ -155,6 +155,12 @@ def test_op9_matches_brute_force(spark, monkeypatch, small):
     assert got == {i: (count.get(i, 0), group[i], group[i] == i) for i in group} and len(links) > 1000
 
 
+def test_op9_repeated_rows_stay(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, None), (3, None)]
+    got = embeddup.dedup_embeddings(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1, True)] * 2 + [(2, 1, 1, False)] + [(3, 0, 3, True)] * 2
+
+
 def test_op9_plan_and_empty(spark):
     bits, tables = embeddup.plan(10_000_000, 0.9)
     same = (1 - np.arccos(0.9) / np.pi) ** bits
