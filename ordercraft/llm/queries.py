@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from ordercraft.llm import chat, decontam, embeddup, htmltext, langid, linededup, minhash, mixing, repeats, warc
+from ordercraft.llm import (
+    chat, decontam, embeddup, hardneg, htmltext, langid, linededup, minhash, mixing, repeats, resample, sharding, warc,
+)
 
 QUERIES = {
     "op1_decontaminate": decontam.op1_decontaminate,
@@ -16,6 +18,9 @@ QUERIES = {
     "op8_language_id": langid.op8_language_id,
     "op9_embedding_dedup": embeddup.op9_embedding_dedup,
     "op10_chat_format": chat.op10_chat_format,
+    "op11_shard_ring": sharding.op11_shard_ring,
+    "op12_resample": resample.op12_resample,
+    "op13_hard_negatives": hardneg.op13_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +31,7 @@ ORACLES = {
     "op5_mix_sources": mixing.ORACLE,
     "op9_embedding_dedup": embeddup.ORACLE,
     "op10_chat_format": chat.ORACLE,
+    "op11_shard_ring": sharding.ORACLE,
+    "op12_resample": resample.ORACLE,
+    "op13_hard_negatives": hardneg.ORACLE,
 }
