@@ -10,16 +10,22 @@ section 2), so its work grows with them.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 from importlib.util import find_spec
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ordercraft.checks.oracle_sql import IMAGE_PREFIX, oracle_queries
 from ordercraft.functions.scalars import add_months_keep_time, customer_name, plus_days, trunc_day, ts_lit
 from ordercraft.operators import details, offers, orders, refill
-from ordercraft.plans import jobs
-from ordercraft.sources.binding import bind_test_tables
+from ordercraft.operators.checks import not_null, unique
+from ordercraft.plans import jobs, refresh
+from ordercraft.session import ensure_checkpoint_dir
+from ordercraft.sources import ingest
+from ordercraft.sources.binding import Tables, bind_test_tables
+from ordercraft.sources.tables import TableStore
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -265,6 +271,167 @@ def q_run_staged_opportunities_view(spark, sf_dir):
     return jobs.staged_plan(t, AS_OF, jobs.Options(pointer_view=view)).opportunities
 
 
+# -- inserts under unique constraints ---------------------------------------------------------
+
+# Two constraints that overlap in the SKU, so that a row rejected by one can leave a key of the other free.
+UNIQUE = [not_null("cit_refil", "sku"), unique("cit_refil", "cf_id", "sku"), unique("cit_refil", "sku", "cn_id", "refillable")]
+
+
+def _staged_unique(spark, sf_dir):
+    return jobs.staged_plan(_tables(spark, sf_dir), AS_OF, jobs.Options(refill_checks=UNIQUE))
+
+
+def q_run_staged_refill_unique(spark, sf_dir):
+    return _staged_unique(spark, sf_dir).refil
+
+
+def q_error_rows_unique(spark, sf_dir):
+    return _staged_unique(spark, sf_dir).errors
+
+
+# -- runs and kept tables in a store ----------------------------------------------------------
+
+_STORES: dict[tuple, TableStore] = {}
+
+
+def _store(spark, *tables: tuple[str, DataFrame]) -> TableStore:
+    store = TableStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/ordercraft-store-{uuid.uuid4().hex}", buckets=4)
+    store.seed(dict(tables))
+    return store
+
+
+def _run_store(spark, sf_dir, kind: str) -> TableStore:
+    """A store seeded with the stored targets, after one run."""
+    key = (id(spark), sf_dir, kind)
+    if key not in _STORES:
+        t = _tables(spark, sf_dir)
+        store = _store(spark, *((n, t[n]) for n in ("cit_refil", "cit_opportunities", "cit_opp_errors")))
+        if kind == "staged":
+            jobs.run_staged(t, AS_OF, store)
+        elif kind == "backfill":
+            jobs.run_backfill(t, START, AS_OF, store)
+        else:
+            state = store.state()
+            store.commit(state, {"cit_refil": jobs.purged_pieces(store, state, state.tables["cit_refil"], AS_OF)})
+        _STORES[key] = store
+    return _STORES[key]
+
+
+def _stored(kind: str, table: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: _run_store(spark, sf_dir, kind).read(table)
+
+
+def _number(column: str) -> Column:
+    """The driver table's key inside a derived id."""
+    return F.regexp_extract(column, r"^[A-Z]+(\d+)", 1).cast("long")
+
+
+def q_latest_consultant_kept(spark, sf_dir):
+    """Orders arrive in three parts that are not in order of date, some with a date that a later part corrects."""
+    t = _tables(spark, sf_dir)
+    k = _number("order_id")
+    wrong = F.when(k % 21 == 0, F.col("submitted_date") + F.expr("interval 400 days")).otherwise(F.col("submitted_date"))
+    store = _store(spark)
+    for part in range(3):
+        seen = t.dcspp_order.where(k % 3 <= part)
+        seen = seen if part == 2 else seen.withColumn("submitted_date", wrong)
+        new = seen.where((k % 3 == part) | ((k % 21 == 0) if part == 2 else F.lit(False)))
+        refresh.refresh_latest(store, t.replace(dcspp_order=seen), new.select("order_id"))
+    return offers.latest_consultant(t, latest=store.read("latest_orders"))
+
+
+MOMENTS = [dt.datetime(2001, 6, 1, 12), dt.datetime(2001, 7, 1, 12), AS_OF]
+
+
+def q_brand_affinity_sliding(spark, sf_dir):
+    """The brands at three moments, each from the kept days and the orders submitted since the moment before."""
+    t, driver = _staged(spark, sf_dir)
+    store, out, last = _store(spark), [], None
+    for moment in MOMENTS:
+        seen = t.dcspp_order.where(F.col("submitted_date") <= ts_lit(moment))
+        new = seen if last is None else seen.where(F.col("submitted_date") > ts_lit(last))
+        refresh.refresh_brand_days(store, t.replace(dcspp_order=seen), new, moment)
+        brands = refresh.kept_affinity(store)(_contexts(driver), moment, offers.STAGED_SCOPE)
+        out.append(brands.select(ts_lit(moment).alias("as_of"), "cf_id", "brand_id"))
+        last = moment
+    return reduce(DataFrame.unionByName, out)
+
+
+def q_run_staged_opportunities_kept(spark, sf_dir):
+    """The staged job with brands and latest orders from kept states."""
+    t = _tables(spark, sf_dir)
+    store = _store(spark)
+    refresh.refresh_latest(store, t, t.dcspp_order)
+    refresh.refresh_brand_days(store, t, t.dcspp_order, AS_OF)
+    options = jobs.Options(affinity=refresh.kept_affinity(store), latest=store.read("latest_orders"))
+    return jobs.staged_plan(t, AS_OF, options).opportunities
+
+
+def _older(t: Tables) -> tuple[Tables, dict[str, DataFrame]]:
+    """The tables before some rows changed, and the keys of these rows."""
+    price, ship, order = _number("amount_info_id"), _number("shipping_group_id"), _number("order_id")
+    old = t.replace(
+        dcspp_item_price=t.dcspp_item_price.withColumn(
+            "list_price", F.when(price % 17 == 0, F.col("list_price") + 1).otherwise(F.col("list_price")).cast("decimal(19,2)")),
+        nt_ship_group=t.nt_ship_group.where(ship % 23 != 0),
+        dcspp_order=t.dcspp_order.withColumn("state", F.when(order % 19 == 0, "INCOMPLETE").otherwise(F.col("state"))))
+    changes = {
+        "dcspp_item_price": t.dcspp_item_price.where(price % 17 == 0), "nt_ship_group": t.nt_ship_group.where(ship % 23 == 0),
+        "dcspp_order": t.dcspp_order.where(order % 19 == 0)}
+    return old, changes
+
+
+def q_order_details_refreshed(spark, sf_dir):
+    """The stored details of older tables, refreshed by the orders that changed since."""
+    t = _tables(spark, sf_dir)
+    old, changes = _older(t)
+    store = _store(spark, ("order_details", details.order_details(old, image_prefix=IMAGE_PREFIX)))
+    refresh.refresh_details(store, t, refresh.affected_orders(t, changes), image_prefix=IMAGE_PREFIX)
+    return store.read("order_details")
+
+
+def q_order_details_split(spark, sf_dir):
+    """The details with every order of more than four lines treated as a hot one."""
+    return details.order_details(_tables(spark, sf_dir), image_prefix=IMAGE_PREFIX, hot_lines=4)
+
+
+def q_order_details_view(spark, sf_dir):
+    """SQL over the named view."""
+    details.create_order_details_view(_tables(spark, sf_dir), "order_details_of_the_shop", image_prefix=IMAGE_PREFIX)
+    return spark.sql("""
+        select order_state, payment_method, count(*) as n, sum(quantity) as pieces, sum(un_price * quantity) as worth,
+               sum(un_discount) as discount, count(distinct cf_id) as customers
+        from order_details_of_the_shop group by order_state, payment_method""")
+
+
+# -- lossless ingest --------------------------------------------------------------------------
+
+
+def _raw_prices(spark, sf_dir) -> DataFrame:
+    """Item prices as a text export: three decimals, some spelled out, some too large."""
+    lk, ln = F.col("l_orderkey"), F.col("ln")
+    price = F.concat((10 + F.col("l_partkey") % 50).cast("string"), F.lit("."), F.lpad((lk % 40).cast("string"), 3, "0"))
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", F.col("l_linenumber").alias("ln"), F.col("l_suppkey").alias("sk"))
+    return lines.select(
+        F.concat(F.lit("IP"), lk.cast("string"), F.lit("-"), ln.cast("string"), F.lit("-"), F.col("sk").cast("string")).alias("amount_info_id"),
+        F.when(lk % 101 == 0, F.lit("ten")).otherwise(price).alias("list_price"),
+        F.when(lk % 103 == 0, F.concat(price, F.lit("e17"))).otherwise(F.concat(F.lit(" "), ln.cast("string"))).alias("raw_total_price"),
+        F.when(ln % 3 != 0, (ln % 4).cast("string")).otherwise(F.lit("")).alias("order_discount"))
+
+
+def q_ingest_item_prices(spark, sf_dir):
+    return ingest.split(_raw_prices(spark, sf_dir), "dcspp_item_price")[0]
+
+
+def q_ingest_rejects(spark, sf_dir):
+    return ingest.split(_raw_prices(spark, sf_dir), "dcspp_item_price")[1].drop("record")
+
+
+def q_ingest_profile(spark, sf_dir):
+    return ingest.profile(_raw_prices(spark, sf_dir), "dcspp_item_price")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_details": q_order_details,
     "order_details_legacy": q_order_details_legacy,
@@ -308,6 +475,24 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "error_rows_cn": q_error_rows_cn,
     "refill_candidates_paired": q_refill_candidates_paired,
     "run_staged_opportunities_view": q_run_staged_opportunities_view,
+    "run_staged_refill_unique": q_run_staged_refill_unique,
+    "error_rows_unique": q_error_rows_unique,
+    "run_staged_store_refill": _stored("staged", "cit_refil"),
+    "run_staged_store_opportunities": _stored("staged", "cit_opportunities"),
+    "run_staged_store_errors": _stored("staged", "cit_opp_errors"),
+    "run_staged_store_quarantine": _stored("staged", "quarantine"),
+    "run_backfill_store_refill": _stored("backfill", "cit_refil"),
+    "run_backfill_store_opportunities": _stored("backfill", "cit_opportunities"),
+    "refill_purge_store": _stored("purge", "cit_refil"),
+    "latest_consultant_kept": q_latest_consultant_kept,
+    "brand_affinity_sliding": q_brand_affinity_sliding,
+    "run_staged_opportunities_kept": q_run_staged_opportunities_kept,
+    "order_details_refreshed": q_order_details_refreshed,
+    "order_details_split": q_order_details_split,
+    "order_details_view": q_order_details_view,
+    "ingest_item_prices": q_ingest_item_prices,
+    "ingest_rejects": q_ingest_rejects,
+    "ingest_profile": q_ingest_profile,
 }
 
 

@@ -245,17 +245,47 @@ FROM {n}_repeated JOIN {n}_order USING (order_id)
 UNION ALL SELECT NULL, cf_id, {cn}, 'several stored opportunities', 'A' FROM {out}_blocked
 UNION ALL SELECT DISTINCT NULL, cf_id, cn_id, 'offer without consultant', 'A' FROM {n}_offer WHERE cn_id IS NULL"""
 
-    def errors(self, refills: str, opportunities: str) -> str:
-        """Numbered error rows: refill inserts without SKU, and offers without name for every order they were tried for."""
+    def walk(self, refills: str) -> str:
+        """Inserts of ``refills`` one by one under two unique constraints: ``{refills}_said`` has each one's violated constraint.
+
+        A step of the recursion inserts the next row in the pinned order and carries the keys that are taken by then.
+        """
+        place = ", ".join(f"{c} ASC NULLS LAST" for c in ("id_key", "sku", "description", "refillable", "cf_id", "cn_id", "expiration"))
+        key = lambda i, *c: f"concat_ws('|', {i}, {', '.join(f"coalesce('=' || {x}, '')" for x in c)})"
+        one, two = key(1, "cf_id", "sku"), key(2, "sku", "cn_id", "refillable")
+        return f"""
+{refills}_row AS (
+  SELECT *, {one} AS one, {two} AS two, row_number() OVER (ORDER BY {place}) AS pos FROM {refills}_insert WHERE sku IS NOT NULL
+),
+{refills}_before AS (SELECT {one} AS one, {two} AS two FROM {refills} WHERE id_key NOT IN (SELECT id_key FROM {refills}_insert)),
+{refills}_open AS (
+  SELECT pos, one, two, one IN (SELECT one FROM {refills}_before) AS had_one, two IN (SELECT two FROM {refills}_before) AS had_two
+  FROM {refills}_row
+),
+{refills}_walk AS (
+  SELECT 0::BIGINT AS pos, []::VARCHAR[] AS taken, 0 AS said
+  UNION ALL
+  SELECT r.pos, if(v.said = 0, w.taken || [r.one, r.two], w.taken), v.said
+  FROM {refills}_walk w JOIN {refills}_open r ON r.pos = w.pos + 1,
+  LATERAL (SELECT CASE WHEN r.had_one OR list_contains(w.taken, r.one) THEN 1 WHEN r.had_two OR list_contains(w.taken, r.two) THEN 2 ELSE 0 END AS said) v
+),
+{refills}_said AS (SELECT r.*, said FROM {refills}_row r JOIN {refills}_walk w ON w.pos = r.pos)"""
+
+    def errors(self, refills: str, opportunities: str, more: str = "") -> str:
+        """Numbered error rows: refill inserts without SKU, and offers without name for every order they were tried for.
+
+        ``more``: a query of further (order_id, error, source, error_code).
+        """
         n, keys = self.name, self.keys
         context = "profile_id AS cf_id, order_id" + (", cn_id" if "cn_id" in self.key else "")
         return f"""
 SELECT row_number() OVER (ORDER BY source DESC, order_id, error)::BIGINT AS id, order_id, error, {AS_OF} AS error_date,
-       -1400 AS error_code, source
+       error_code, source
 FROM (
-  SELECT order_id, 'cannot insert NULL into cit_refil.sku' AS error, 'R' AS source FROM {refills}_insert WHERE sku IS NULL
+  SELECT order_id, 'cannot insert NULL into cit_refil.sku' AS error, 'R' AS source, -1400 AS error_code FROM {refills}_insert WHERE sku IS NULL
+  {more}
   UNION ALL
-  SELECT c.order_id, 'cannot insert NULL into cit_opportunities.offer', 'A'
+  SELECT c.order_id, 'cannot insert NULL into cit_opportunities.offer', 'A', -1400
   FROM (SELECT DISTINCT {context} FROM {n}_driver) c
   JOIN (FROM {n}_offer SEMI JOIN {opportunities}_replaced USING ({keys})) o USING ({keys})
   WHERE o.offer IS NULL AND o.cn_id IS NOT NULL
@@ -393,10 +423,77 @@ FROM s_order SEMI JOIN s_repeated USING (order_id)"""),
         "opportunity_reset": with_binding(
             "", f"SELECT {OPPORTUNITY} FROM cit_opportunities WHERE coalesce(order_date < {START}, true)"),
     }
+    # Unique checks: the refills without the inserts that a constraint refuses.
+    unique_run = [*staged_run[:3], STAGED.refills("s_refill", "cit_refil"), STAGED.walk("s_refill"), f"""
+s_kept AS (
+  FROM (
+    SELECT {REFILL} FROM s_refill WHERE id_key NOT IN (SELECT id_key FROM s_refill_insert)
+    UNION ALL SELECT {REFILL} FROM s_refill_said WHERE said = 0
+  ) WHERE expiration IS NULL OR expiration + to_days(60) >= {AS_OF} OR (SELECT count(*) FROM s_driver) = 0
+)""", STAGED.offers(), STAGED.opportunities("s_next", "cit_opportunities", "s_kept")]
+    refused = """UNION ALL
+  SELECT order_id, ['unique constraint on cit_refil (cf_id, sku) violated',
+                    'unique constraint on cit_refil (sku, cn_id, refillable) violated'][said], 'R', -1 FROM s_refill_said WHERE said > 0"""
     staged_run.append(STAGED.opportunities("s_next", "cit_opportunities", "s_kept"))
     backfill_run.append(BACKFILL.opportunities("b_next", "b_stored_offer", "b_refill"))
     given = [*staged_run[:-1], STAGED.opportunities("s_next", "cit_opportunities", "given_view")]
-    return out | {
+    moments = ", ".join(f"(TIMESTAMP '2001-0{m}-01 12:00:00')" for m in (6, 7, 8))
+    lines = """
+raw AS (
+  SELECT 'IP' || l_orderkey || '-' || l_linenumber || '-' || l_suppkey AS amount_info_id, l_orderkey AS lk, l_linenumber AS ln,
+         (10 + l_partkey % 50) || '.' || lpad((l_orderkey % 40)::VARCHAR, 3, '0') AS price
+  FROM lineitem
+),
+export AS (
+  SELECT *, if(lk % 101 = 0, 'ten', price) AS list_price, if(lk % 103 = 0, price || 'e17', ' ' || ln) AS raw_total_price,
+         if(ln % 3 <> 0, (ln % 4)::VARCHAR, '') AS order_discount,
+         lk % 101 = 0 OR lk % 10 <> 0 AS bad_list, lk % 103 = 0 AS bad_total
+  FROM raw
+)"""
+
+    def recursive(sql: str) -> str:
+        return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+    out |= {
+        "run_staged_refill_unique": recursive(q(unique_run, f"SELECT {REFILL} FROM s_kept")),
+        "error_rows_unique": recursive(q(unique_run, STAGED.errors("s_refill", "s_next", refused))),
+        "refill_purge_store": out["refill_purge"],
+        "latest_consultant_kept": out["latest_consultant"],
+        "brand_affinity_sliding": q([BASICS], f"""
+SELECT DISTINCT as_of, profile_id AS cf_id, brand_id
+FROM (VALUES {moments}) moment(as_of)
+JOIN active_order ON submitted_date <= as_of AND submitted_date > {year_before('as_of')}
+JOIN line USING (order_id) JOIN oe_product USING (product_id) SEMI JOIN oe_brand USING (brand_id)
+WHERE profile_id IN (SELECT profile_id FROM s_driver)"""),
+        "order_details_refreshed": out["order_details"],
+        "order_details_split": out["order_details"],
+        "order_details_view": f"""
+SELECT order_state, payment_method, count(*) AS n, sum(quantity) AS pieces, sum(un_price * quantity) AS worth,
+       sum(un_discount) AS discount, count(DISTINCT cf_id) AS customers
+FROM ({out["order_details"]}) GROUP BY order_state, payment_method""",
+        "ingest_item_prices": f"""WITH {lines.lstrip()}
+SELECT amount_info_id, list_price::DECIMAL(19,2) AS list_price, raw_total_price::DECIMAL(19,2) AS raw_total_price,
+       nullif(order_discount, '')::DECIMAL(19,2) AS order_discount
+FROM export WHERE NOT bad_list AND NOT bad_total""",
+        "ingest_rejects": f"""WITH {lines.lstrip()}
+SELECT 'dcspp_item_price' AS "table", 'list_price' AS "column", list_price AS value, 'does not fit decimal(19,2)' AS reason
+FROM export WHERE bad_list
+UNION ALL
+SELECT 'dcspp_item_price', 'raw_total_price', raw_total_price, 'does not fit decimal(19,2)' FROM export WHERE bad_total""",
+        "ingest_profile": f"""WITH {lines.lstrip()},
+part AS (
+  SELECT 'amount_info_id' AS "column", 'string' AS type, amount_info_id AS value, false AS bad, false AS number FROM export
+  UNION ALL SELECT 'list_price', 'decimal(19,2)', list_price, bad_list, true FROM export
+  UNION ALL SELECT 'raw_total_price', 'decimal(19,2)', raw_total_price, bad_total, true FROM export
+  UNION ALL SELECT 'order_discount', 'decimal(19,2)', order_discount, false, true FROM export
+)
+SELECT "column", type, count(*) AS n, count(*) FILTER (value = '') AS nulls, count(*) FILTER (bad) AS lossy,
+       max(if(number, len(regexp_extract(trim(value), '\\.(\\d*[1-9])0*$', 1)), NULL)) FILTER (value <> '')::INT AS scale,
+       min(if(number, try_cast(trim(value) AS DECIMAL(38,18)), NULL)) AS low,
+       max(if(number, try_cast(trim(value) AS DECIMAL(38,18)), NULL)) AS high
+FROM part GROUP BY ALL""",
+    }
+    out |= {
         "run_staged_refill": q(staged_run, f"SELECT {REFILL} FROM s_kept"),
         "run_staged_opportunities": q(staged_run, f"SELECT {OPPORTUNITY} FROM s_next"),
         "run_staged_opportunities_view": q(given, f"SELECT {OPPORTUNITY} FROM s_next"),
@@ -407,3 +504,12 @@ FROM s_order SEMI JOIN s_repeated USING (order_id)"""),
         "run_backfill_quarantine": q(backfill_run, BACKFILL.set_aside("b_next")),
         "error_rows_cn": q(backfill_run, BACKFILL.errors("b_refill", "b_next")),
     }
+    return out | {
+        "run_staged_opportunities_kept": out["run_staged_opportunities"],
+        "run_staged_store_refill": out["run_staged_refill"],
+        "run_staged_store_opportunities": out["run_staged_opportunities"],
+        "run_staged_store_errors": out["error_rows"],
+        "run_staged_store_quarantine": out["run_staged_quarantine"],
+        "run_backfill_store_refill": out["run_backfill_refill"],
+        "run_backfill_store_opportunities": out["run_backfill_opportunities"],
+    }

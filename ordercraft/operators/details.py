@@ -134,8 +134,9 @@ def _lines(t: Tables, require_product_map: bool, image_prefix: str, image_suffix
     joined = item.join(item_price, ["price_id", "salt"], "left").join(adjust, ["price_id", "salt"], "left")
     counted = lambda c: F.when(F.col("priced"), F.col(c))
     names = product_names(t, require_product_map).distinct()
+    # Lines of unmapped products go in the join with the names, once the lines are distinct.
     return (
-        order_item.join(joined.join(names.select("product_id").distinct(), "product_id", "left_semi"), "commerce_item_id")
+        order_item.join(joined, "commerce_item_id")
         .select(
             "order_id",
             F.col("catalog_ref_id").alias("sku_id"),
@@ -155,13 +156,47 @@ def _lines(t: Tables, require_product_map: bool, image_prefix: str, image_suffix
     )
 
 
+# An order with more lines than this, and than half a mean shuffle partition, is split over partitions.
+HOT_LINES = 10_000
+PIECES = 4  # pieces of a hot order per mean partition
+
+
+def hot_orders(t: Tables, least: int = HOT_LINES) -> DataFrame | None:
+    """(order_id, pieces) of orders that hold so many of all lines that one task could not take them; None if there are none.
+
+    Heavy hitters of a sketch over the order ids of the lines, then counted exactly. There are at most twice as many as
+    shuffle partitions, each with over 1 / (2 x partitions) of all lines.
+    """
+    spark = t.dcspp_order_item.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = t.dcspp_order_item.where("order_id is not null").select("order_id")
+    k = min(2 * parts, 100_000)
+    tracked = 1 << max(12, (8 * k - 1).bit_length())  # its error stays well below a hot order's share
+    total, top = ids.agg(F.count("*"), F.expr(f"approx_top_k(order_id, {k}, {min(tracked, 1_000_000)})")).first()
+    bound = max(least, total // (2 * parts))
+    found = [(r["item"],) for r in top or [] if 2 * r["count"] > bound]
+    if not found:
+        return None
+    hot = F.broadcast(spark.createDataFrame(found, "order_id string"))
+    rows = ids.join(hot, "order_id").groupBy("order_id").count().where(F.col("count") > bound).collect()  # at most 2 x partitions
+    mean = max(1, total // parts)
+    return spark.createDataFrame([(r["order_id"], -(-PIECES * r["count"] // mean)) for r in rows], "order_id string, pieces long") \
+        if rows else None
+
+
+def _dealt(df: DataFrame, hot: DataFrame, lines: bool) -> DataFrame:
+    """``df`` with ``piece``: each line of a hot order in one of its pieces, its other rows in every piece; else 0."""
+    cols = df.columns
+    pieces = F.coalesce("pieces", F.lit(1).cast("long"))
+    piece = F.pmod(F.xxhash64(*cols), pieces) if lines else F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1))
+    return df.join(F.broadcast(hot), "order_id", "left").select(*cols, piece.alias("piece"))
+
+
 def _payments(t: Tables) -> DataFrame:
     return (
         t.dcspp_pay_group.select(F.col("order_ref").alias("order_id"), "payment_group_id", "state", "payment_method")
         .join(installments_first(t), "payment_group_id", "left")
         .select("order_id", "state", "payment_method", "installments")
-        .repartition("order_id")
-        .distinct()
     )
 
 
@@ -170,8 +205,6 @@ def _shipments(t: Tables) -> DataFrame:
         t.dcspp_ship_group.select(F.col("order_ref").alias("order_id"), "shipping_group_id")
         .join(t.nt_ship_group, "shipping_group_id", "left")
         .select("order_id", F.col("sched_deliv_date").alias("deliver_date"))
-        .repartition("order_id")
-        .distinct()
     )
 
 
@@ -180,15 +213,25 @@ def order_details(
     require_product_map: bool = True,
     image_prefix: str = IMAGE_PREFIX,
     image_suffix: str = IMAGE_SUFFIX,
+    hot_lines: int = HOT_LINES,
 ) -> DataFrame:
-    """J1 (``require_product_map=True``) and J2 (``False``): the order-details table O1."""
+    """J1 (``require_product_map=True``) and J2 (``False``): the order-details table O1.
+
+    Orders with very many lines (see ``hot_orders``) are joined in pieces: their lines are dealt over the pieces, their
+    header, payments and shipments are copied to each.
+    """
+    hot = hot_orders(t, hot_lines)
+    key = ["order_id"] if hot is None else ["order_id", "piece"]
+    lines = _lines(t, require_product_map, image_prefix, image_suffix)
+    header, payments, shipments = _header(t), _payments(t), _shipments(t)
+    if hot is not None:
+        lines, (header, payments, shipments) = _dealt(lines, hot, True), (_dealt(x, hot, False) for x in (header, payments, shipments))
     # Lines first: they are the streamed side of each sort-merge join, and the per-order
     # components (one header row, a few payment and shipping rows) are the buffered side.
     joined = (
-        _lines(t, require_product_map, image_prefix, image_suffix)
-        .join(_header(t), "order_id")
-        .join(_payments(t), "order_id")
-        .join(_shipments(t), "order_id")
+        lines.join(header, key)
+        .join(payments.repartition(*key).distinct(), key)
+        .join(shipments.repartition(*key).distinct(), key)
     )
     return joined.select(
         *[

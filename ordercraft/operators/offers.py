@@ -90,16 +90,28 @@ def top_rules(eligible: DataFrame, scope: list[str] = STAGED_SCOPE) -> DataFrame
     ).drop("best")
 
 
-def latest_consultant(t: Tables, customers: DataFrame | None = None) -> DataFrame:
-    """(cf_id, cn_id, order_date) of each customer's latest orders, any state (Q17)."""
-    orders = t.dcspp_order.select("order_id", F.col("profile_id").alias("cf_id"), "submitted_date")
+def latest_orders(orders: DataFrame) -> DataFrame:
+    """The rows of ``orders(cf_id, order_date, order_id)`` at their customer's latest date, ties kept."""
+    latest = orders.groupBy("cf_id").agg(F.max("order_date").alias("order_date"))
+    # Joined back on (customer, date): a customer with very many orders still spreads by date.
+    return orders.join(latest, ["cf_id", "order_date"]).select("cf_id", "order_date", "order_id")
+
+
+def dated_orders(t: Tables) -> DataFrame:
+    """(cf_id, order_date, order_id) of all orders, any state (Q17)."""
+    return t.dcspp_order.select(F.col("profile_id").alias("cf_id"), F.col("submitted_date").alias("order_date"), "order_id")
+
+
+def latest_consultant(t: Tables, customers: DataFrame | None = None, latest: DataFrame | None = None) -> DataFrame:
+    """(cf_id, cn_id, order_date) of each customer's latest orders.
+
+    ``latest`` may give these orders (cf_id, order_date, order_id), as ``latest_orders`` or a kept state has them.
+    """
+    orders = dated_orders(t) if latest is None else latest
     if customers is not None:
         orders = orders.join(customers.select("cf_id").distinct(), "cf_id", "left_semi")
-    latest = orders.groupBy("cf_id").agg(F.max("submitted_date").alias("submitted_date"))
-    # Joined back on (customer, date): a customer with very many orders still spreads by date.
     return (
-        orders.join(latest, ["cf_id", "submitted_date"])
-        .select("order_id", "cf_id", F.col("submitted_date").alias("order_date"))
+        (latest_orders(orders) if latest is None else orders)
         .join(t.nt_order.select("order_id", "cn_id"), "order_id")
         .select("cf_id", "cn_id", "order_date")
         .distinct()
@@ -112,6 +124,8 @@ def also_offers(
     as_of: dt.datetime,
     scope: list[str] = STAGED_SCOPE,
     cut=lambda df: df,
+    affinity_of=None,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """(cn_id, cf_id, offer, order_date).
 
@@ -120,13 +134,14 @@ def also_offers(
     order has that consultant (Q15); rows are distinct.
     The brand name is joined after ranking, so a top rule with an unnamed brand gives
     no offer (Q16). ``cut`` (e.g. a checkpoint) is applied to the brand affinity, which
-    the rule steps read several times.
+    the rule steps read several times. ``affinity_of(contexts, as_of, scope)`` and ``latest`` may give the brands and the
+    latest orders from kept states instead of from all lines and orders.
     """
-    affinity = cut(brand_affinity(t, contexts, as_of, scope, cut))
+    affinity = cut(affinity_of(contexts, as_of, scope) if affinity_of else brand_affinity(t, contexts, as_of, scope, cut))
     top = top_rules(eligible_rules(t, affinity, scope), scope)
     names = t.oe_brand.select(F.col("brand_id").alias("brand_offer"), F.col("name").alias("offer"))
     named = top.join(names, "brand_offer")
-    latest = latest_consultant(t, contexts)
+    latest = latest_consultant(t, contexts, latest)
     if "cn_id" in scope:
         latest = latest.join(contexts.select(*scope).distinct(), scope, "left_semi")
     out = named.join(latest, scope).select("cn_id", "cf_id", "offer", "order_date")
@@ -151,6 +166,7 @@ def opportunity_upsert(
     clear_pointer_first: bool = True,
     checks: list[Check] | None = None,
     cut=lambda df: df,
+    others: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(next_opportunities, quarantine, rejected)``.
 
@@ -161,6 +177,9 @@ def opportunity_upsert(
     (Q6). Offers without a consultant are set aside instead of piling up (Q7); a stored
     row without a consultant is replaced like any other. ``rejected`` holds every offer that fails the insert ``checks``:
     (scope..., error_code, error). ``cut`` is applied to the decided keys, which all outputs read.
+
+    ``current`` may be the part of the table that holds the offers' customers; ``others`` is then the rest, which is only
+    read for unique checks.
     """
     checks = opportunity_checks() if checks is None else checks
     pointer = refill_pointer(refill_view)
@@ -192,7 +211,8 @@ def opportunity_upsert(
         .select(F.col("win_cn_id").alias("cn_id"), "cf_id", "offer", "refil", "order_date")
         .withColumn("error_code", code).withColumn("error", msg)
     )
-    new_rows = unique_failures(new_rows, kept, checks, ["cf_id", "cn_id", "offer"], cut)
+    taken = kept if others is None else kept.unionByName(others.select(*kept.columns))
+    new_rows = unique_failures(new_rows, taken, checks, ["cf_id", "cn_id", "offer"], cut)
     inserted = new_rows.where(F.col("error_code").isNull()).select(*TARGETS["cit_opportunities"].fieldNames())
     # Every offer is an insert of its own, whether it wins or not.
     tried = valid.join(replace.select(*scope), scope, "left_semi").withColumn("error_code", code).withColumn("error", msg)

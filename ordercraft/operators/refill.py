@@ -216,6 +216,7 @@ def refill_upsert(
     mode: str = "first_row",
     checks: list[Check] | None = None,
     cut=lambda df: df,
+    others: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, int]:
     """``(next_refil, rejected, last_id)``.
 
@@ -227,6 +228,9 @@ def refill_upsert(
     candidate (W4). ``rejected`` holds would-be inserts that fail the ``checks``, with
     (order_id, error_code, error). ``last_id`` is the last id given to a new group, or the base: ids of groups that are
     purged at once count too. ``cut`` is applied to the marked candidates, the new groups and the checked inserts.
+
+    ``current`` may be the part of the table that holds the candidates' orders; ``others`` is then the rest, which is
+    only read for unique checks.
     """
     checks = refill_checks() if checks is None else checks
     key = REFILL_KEY
@@ -269,7 +273,8 @@ def refill_upsert(
     code, msg = failed_check(checks)
     inserts = to_insert.join(numbered.select("order_id", "id_key"), "order_id").withColumn(
         "error_code", code).withColumn("error", msg)
-    inserts = cut(unique_failures(inserts, updated, checks, ["id_key", "sku", "description", "expiration"], cut))
+    taken = updated if others is None else updated.unionByName(others.select(*updated.columns))
+    inserts = cut(unique_failures(inserts, taken, checks, ["id_key", *CANDIDATE_ORDER], cut))
     rejected = inserts.where(F.col("error_code").isNotNull()).select("order_id", "error_code", "error")
     inserted = inserts.where(F.col("error_code").isNull()).select(*TARGETS["cit_refil"].fieldNames())
     return updated.unionByName(inserted), rejected, last_id

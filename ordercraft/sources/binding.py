@@ -15,7 +15,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ordercraft.sources.schemas import INPUTS, TARGETS, conform, empty
+from ordercraft.sources.ingest import ingest, ingest_exports  # noqa: F401
+from ordercraft.sources.schemas import INPUTS, TARGETS, empty
 
 
 class Tables(dict):
@@ -48,29 +49,6 @@ class Tables(dict):
         return out
 
 
-def ingest(df: DataFrame, name: str) -> DataFrame:
-    """Conform a raw export of table ``name`` once, on load: declared types, ``''`` as NULL."""
-    return conform(df, {**INPUTS, **TARGETS}[name], empty_strings_as_null=True)
-
-
-def ingest_exports(
-    spark: SparkSession, exports: Mapping[str, str], out_root: str, fmt: str = "parquet", **options: str,
-) -> Tables:
-    """Load raw table exports (Parquet or CSV with a header) into normalized Parquet tables.
-
-    Columns are matched by name and cast to the declared schema; extra columns are
-    dropped. Returns the tables read back from ``out_root``, ready for the jobs.
-    """
-    paths = {}
-    for name, path in exports.items():
-        reader = spark.read.options(**options)
-        if fmt == "csv":
-            reader = reader.option("header", "true")
-        ingest(reader.format(fmt).load(path), name).write.mode("errorifexists").parquet(f"{out_root}/{name}")
-        paths[name] = f"{out_root}/{name}"
-    return Tables.from_paths(spark, paths)
-
-
 def _id(prefix: str, *parts: Column | str) -> Column:
     """``'P' || a || '-' || b`` with numbers rendered as text."""
     cols: list[Column] = [F.lit(prefix)]

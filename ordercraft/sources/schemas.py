@@ -65,14 +65,24 @@ TARGETS: dict[str, T.StructType] = {
 # Rows the jobs set aside instead of failing or silently skipping.
 QUARANTINE = _struct(("order_id", S), ("cf_id", S), ("cn_id", S), ("reason", S), ("source", S))
 
+# Tables kept between runs so that a run need not read all orders again.
+STATES: dict[str, T.StructType] = {
+    # The latest orders of each customer (B4), ties kept.
+    "latest_orders": _struct(("cf_id", S), ("order_date", TS), ("order_id", S)),
+    # Per day, the brands that a customer bought from a consultant, and the last order of the day.
+    "brand_days": _struct(("day", TS), ("cf_id", S), ("cn_id", S), ("brand_id", S), ("last_date", TS)),
+    # The details table (O1), kept fresh by order.
+    "order_details": _struct(
+        ("cf_id", S), ("cn_id", S), ("order_number", S), ("order_number_broker", S), ("order_state", S), ("state", S),
+        ("order_date", TS), ("sku_id", S), ("product_id", S), ("display_name", S), ("quantity", I), ("un_discount", D),
+        ("un_price", D), ("raw_subtotal", D), ("raw_total_price", D), ("promotion_id", S), ("coupon_id", S),
+        ("shipping", D), ("order_total", D), ("item_discount", D), ("customer_name", S), ("customer_email", S),
+        ("customer_birthday", TS), ("creation_date", TS), ("last_modified_date", TS), ("deliver_date", TS),
+        ("payment_method", S), ("city_state", S), ("image_url", S), ("installments", I), ("order_discount", D)),
+}
+
 # The order-details output (O1), in declared order.
-ORDER_DETAILS_COLUMNS = [
-    "cf_id", "cn_id", "order_number", "order_number_broker", "order_state", "state", "order_date",
-    "sku_id", "product_id", "display_name", "quantity", "un_discount", "un_price", "raw_subtotal",
-    "raw_total_price", "promotion_id", "coupon_id", "shipping", "order_total", "item_discount",
-    "customer_name", "customer_email", "customer_birthday", "creation_date", "last_modified_date",
-    "deliver_date", "payment_method", "city_state", "image_url", "installments", "order_discount",
-]
+ORDER_DETAILS_COLUMNS = STATES["order_details"].fieldNames()
 
 REFILL_KEY = ["cn_id", "cf_id", "sku", "order_id"]
 CANDIDATE_COLUMNS = ["order_id", "sku", "description", "refillable", "cf_id", "cn_id", "expiration"]

@@ -4,7 +4,7 @@ import datetime as dt
 
 from ordercraft.operators.orders import staged_orders
 from ordercraft.operators.refill import refill_candidates, refill_purge, refill_upsert
-from ordercraft.plans.jobs import Options, checkpoint_cut, staged_refill_stage
+from ordercraft.plans.jobs import checkpoint_cut, staged_plan
 from tests.conftest import AS_OF, make_tables, rows, ts, world
 
 D = dt.datetime
@@ -109,5 +109,5 @@ def test_staged_stage_purges_after_upsert(spark):
     stored = [dict(id_key=9, description="stale", sku="Z", refillable="N", expiration=ts("2023-01-01 00:00:00"),
                    cf_id="U9", cn_id="CN9", order_id="O9")]
     t = world(spark, [dict(order_id="O1", submitted="2024-05-01 10:30:00")], [("O1", "X", 1)], cit_refil=stored)
-    stage = staged_refill_stage(t, AS_OF, Options())
-    assert rows(stage.refil, "id_key", "sku") == [(10, "X")]
+    out = staged_plan(t, AS_OF)
+    assert rows(out.refil, "id_key", "sku") == [(10, "X")]
