@@ -232,8 +232,8 @@ def _search(rows: DataFrame, anchors: DataFrame, dim: int, blocks: int, negative
                 else:
                     held["parts"].append(unpack(part)[:4])
 
-    # A block's rows come first, then the anchors that pass it.
-    return dealt.unionByName(sent).repartition(blocks, "block").sortWithinPartitions("block", "anchor").mapInArrow(run, _RESULT)
+    # A block's rows come first, then the anchors that pass it. By ranges, as a hash would put several blocks in one task.
+    return dealt.unionByName(sent).repartitionByRange(blocks, "block").sortWithinPartitions("block", "anchor").mapInArrow(run, _RESULT)
 
 
 def mine(table: DataFrame, vector: str = "embedding") -> DataFrame:
