@@ -30,7 +30,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier line repeats (op 3); documents left without a word go."""
     text = without_removed(F.col("text"), F.col("removed"))
-    left = dedup_lines(docs).withColumn("text", text).where(F.regexp_count("text", F.lit(WORD)) > 0)
+    left = dedup_lines(docs).withColumn("text", text).where(F.col("text").rlike(WORD))
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast("long"))
     return left.select(*docs.columns)
