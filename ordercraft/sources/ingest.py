@@ -122,7 +122,9 @@ def read_export(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     options = {"header": "true", **options}
     names = spark.read.options(**options).csv(path).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    return spark.read.options(**{**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).schema(schema).csv(path)
+    # Without column pruning the number of fields of every record is checked.
+    return spark.read.options(
+        **{**options, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}).schema(schema).csv(path)
 
 
 def ingest_exports(
