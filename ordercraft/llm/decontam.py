@@ -1,131 +1,146 @@
 """Benchmark decontamination by winnowing.
 
 Of every window of consecutive word k-grams the smallest hash is kept as a fingerprint, on both sides, so any span
-of ``WINDOW`` words that a document shares with a benchmark item has a common fingerprint. Fingerprints are joined,
-each hit is extended to the ``WINDOW``-word windows around it, and the windows found are joined with the items'.
+of ``WINDOW`` words that a document shares with a benchmark item has a common fingerprint. A fingerprint stands for the
+windows whose smallest hash it is. Documents' fingerprints that may be among the items' (by a bit table whose size follows
+the benchmark's) are extended to their windows and joined with the items' on fingerprint and window together.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ordercraft.llm.words import WORD, gram_hashes, materialize, slices, text_bytes, text_key, whole, word_hashes
+from ordercraft.llm.words import (
+    free, gram_hashes, mark_cells, marked, materialize, powers, mix64, slices, text_bytes, text_key, whole, word_count, word_hashes,
+)
 
 WINDOW = 10
 GRAM = 5
 _SECOND = 0xD6E8FEB86659FD93  # base of the second half of a window's 128-bit key
-# Benchmark words searched for in one pass over the documents; a larger benchmark takes several passes.
-ITEM_WORDS_PER_PASS = 500_000
+# The bit tables have 16 to 32 bits per item window, within these bounds (the upper one is 64 MB, enough for 2^25 windows;
+# fuller tables let more windows through to the join).
+LEAST_BITS, MOST_BITS = 16, 29
+OUT_ROWS = 100_000  # rows of one batch of windows
 
 
 def winnow(words: np.ndarray, owner: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Positions (sorted) and hashes of the fingerprints: the rightmost smallest of each ``window``'s gram hashes."""
+    """Starts of the whole windows, and each one's fingerprint: the smallest of its gram hashes."""
     grams = gram_hashes(words, gram)
     starts = np.flatnonzero(whole(owner, window))
     if not len(starts):
         return starts, grams[:0]
-    best = starts.copy()
+    best = grams[starts]
     for j in range(1, window - gram + 1):
-        best = np.where(grams[starts + j] <= grams[best], starts + j, best)
-    best = np.unique(best)
-    return best, grams[best]
+        best = np.minimum(best, grams[starts + j])
+    return starts, best
 
 
-def _member(values: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Which values are in a sorted table."""
-    if not len(table):
-        return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(table, values), len(table) - 1)
-    return table[at] == values
+def windows_at(words: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit keys of the windows of ``n`` words that begin at ``at``."""
+    out = []
+    for p in (powers(n), powers(n, _SECOND)):
+        key = np.zeros(len(at), np.uint64)
+        for j in range(n):
+            key += words[at + j] * p[j]
+        out.append(mix64(key))
+    return out[0], out[1]
 
 
-def _item_windows(benchmark: DataFrame) -> DataFrame:
-    """(item_ids, windows) per distinct word sequence; an item with 1 to 9 words is one window of its length."""
+def _rows(names: list[str], kinds: list[pa.DataType], columns: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """``n, print, h1, h2, item_ids``: each distinct window of the items; an item with 1 to 9 words is one window.
+
+    ``item_ids`` (text) leaves out items without an id, whose windows count all the same. Short windows have print 0.
+    """
     def windows(batches):
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in ("item_ids", "n", "h1", "h2", "prints")}
-            for item_ids, text in zip(batch.column("item_ids").to_pylist(), text_bytes(batch), strict=True):
+            for key, text in zip(batch.column("key").to_pylist(), text_bytes(batch), strict=True):
                 words, owner = word_hashes([text])
                 if not len(words):
                     continue
                 n = min(WINDOW, len(words))
-                out["item_ids"].append(item_ids)
-                out["n"].append(n)
-                out["h1"].append(gram_hashes(words, n).view(np.int64).tolist())
-                out["h2"].append(gram_hashes(words, n, _SECOND).view(np.int64).tolist())
-                out["prints"].append(winnow(words, owner)[1].view(np.int64).tolist() if n == WINDOW else [])
-            long = pa.list_(pa.int64())
-            types = {"item_ids": pa.list_(pa.string()), "n": pa.int32(), "h1": long, "h2": long, "prints": long}
-            yield pa.RecordBatch.from_arrays([pa.array(out[c], types[c]) for c in out], names=list(out))
+                at, prints = winnow(words, owner) if n == WINDOW else (np.zeros(1, np.int64), np.zeros(1, np.uint64))
+                for i in range(0, len(at), OUT_ROWS):
+                    h1, h2 = windows_at(words, at[i:i + OUT_ROWS], n)
+                    yield _rows(["key", "n", "print", "h1", "h2"], [pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64()], [
+                        [key] * len(h1), np.full(len(h1), n), prints[i:i + OUT_ROWS].view(np.int64), h1.view(np.int64), h2.view(np.int64)])
+
+    texts = benchmark.where(F.col("text").isNotNull()).select(
+        text_key().alias("key"), "text", F.col("item_id").cast("string").alias("item_id"))
+    ids = texts.groupBy("key").agg(F.collect_set("item_id").alias("item_ids"))  # leaves out NULLs
+    found = texts.groupBy("key").agg(F.first("text").alias("text")).mapInArrow(
+        windows, "key binary, n int, print long, h1 long, h2 long").distinct()
+    return found.join(ids, "key").groupBy("n", "print", "h1", "h2").agg(
+        F.array_distinct(F.flatten(F.collect_list("item_ids"))).alias("item_ids"))
 
-    classes = benchmark.where(F.col("text").isNotNull() & F.col("item_id").isNotNull()).groupBy(text_key().alias("_key")).agg(
-        F.first("text").alias("text"), F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
-    return classes.select("item_ids", "text").mapInArrow(
-        windows, "item_ids array<string>, n int, h1 array<long>, h2 array<long>, prints array<long>")
 
+def _cell(values: np.ndarray, bits: int) -> np.ndarray:
+    return (values.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
 
-def _scan(docs: DataFrame, items: list) -> DataFrame:
-    """Windows of the documents ``(key, text)`` that ``items`` have: (key, at, n, h1, h2)."""
-    def table(values) -> np.ndarray:
-        return np.unique(np.array([x for v in values for x in v], np.int64).view(np.uint64))
 
-    by_length = {n: table(i["h1"] for i in items if i["n"] == n) for n in {i["n"] for i in items}}
-    shared = docs.sparkSession.sparkContext.broadcast((table(i["prints"] for i in items), by_length))
+def candidate_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Distinct windows of the documents ``(key, text)`` that may be among ``items``: (key, at, n, print, h1, h2), written.
+
+    One reading of the texts. A document's window is passed on if its fingerprint and its own hash may be the items'.
+    """
+    rows = items.count()
+    bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, rows))) + 4))
+    lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # ten at most
+
+    def table(name: str) -> np.ndarray:
+        return mark_cells(items.select(F.col(name).alias("x")), lambda batch: _cell(batch.column("x").to_numpy(), bits), bits)
+
+    shared = docs.sparkSession.sparkContext.broadcast((table("print"), table("h1")))
 
     def scan(batches):
-        prints, windows = shared.value
+        prints, hashes = shared.value
+        names, kinds = ["key", "at", "n", "print", "h1", "h2"], [pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         for batch in batches:
             keys, texts = batch.column("key").to_pylist(), text_bytes(batch)
             for i, j in slices([len(t) for t in texts]):
                 words, owner = word_hashes(texts[i:j])
                 first = np.searchsorted(owner, np.arange(j - i))
-                for n, table in windows.items():
-                    inside = whole(owner, n)
-                    if not len(inside):
-                        continue
-                    if n == WINDOW:  # extend fingerprint hits to the windows around them
-                        at, hashes = winnow(words, owner)
-                        at = at[_member(hashes, prints)]
-                        at = np.unique((at[:, None] - np.arange(WINDOW - GRAM + 1)).ravel())
-                        at = at[(at >= 0) & (at < len(inside))]
-                        at = at[inside[at]]
+                for n in lengths:
+                    if n == WINDOW:
+                        at, mine = winnow(words, owner)
+                        hit = marked(prints, _cell(mine, bits))
+                        at, mine = at[hit], mine[hit]
                     else:
-                        at = np.flatnonzero(inside)
-                    h1 = gram_hashes(words, n)[at]
-                    found = _member(h1, table)
-                    at, h1 = at[found], h1[found]
-                    h2 = gram_hashes(words, n, _SECOND)[at]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([keys[i + o] for o in owner[at]], pa.binary()), pa.array((at - first[owner[at]]).astype(np.int64)),
-                         pa.array(np.full(len(at), n, np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-                        names=["key", "at", "n", "h1", "h2"])
-
-    return docs.mapInArrow(scan, "key binary, at long, n int, h1 long, h2 long")
+                        at = np.flatnonzero(whole(owner, n))
+                        mine = np.zeros(len(at), np.uint64)
+                    for k in range(0, len(at), OUT_ROWS):
+                        some, fps = at[k:k + OUT_ROWS], mine[k:k + OUT_ROWS]
+                        h1, h2 = windows_at(words, some, n)
+                        hit = marked(hashes, _cell(h1, bits))
+                        if hit.any():
+                            some = some[hit]
+                            yield _rows(names, kinds, [
+                                [keys[i + o] for o in owner[some]], some - first[owner[some]], np.full(len(some), n),
+                                fps[hit].view(np.int64), h1[hit].view(np.int64), h2[hit].view(np.int64)])
+
+    # Copies of a text give the same rows.
+    out = materialize(docs.mapInArrow(scan, "key binary, at long, n int, print long, h1 long, h2 long").distinct(), "decontam-windows")
+    shared.destroy()
+    return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row per distinct contaminated text: ``key, n_hit, n_items, items_sha256, spans``.
 
-    ``spans`` are the windows found, as word ranges (first, end) in order; ``n_hit`` counts the words in any of them. NULL texts, texts and items
-    without words match nothing; benchmark rows without an id are left out.
+    ``spans`` are the windows found, as word ranges (first, end) in order; ``n_hit`` counts the words in any of them. NULL
+    texts, texts and items without words match nothing. Words in windows of items without an id are hit; such items are
+    left out of ``n_items`` and the digest.
     """
-    items = materialize(_item_windows(benchmark), "decontam-items")
+    items = materialize(item_windows(benchmark), "decontam-items")
     keyed = docs.where(F.col("text").isNotNull()).select(text_key().alias("key"), "text")
-    size = F.size("h1") + F.col("n") - 1
-    words = items.agg(F.sum(size)).first()[0] or 0
-    passes = max(1, -(-words // ITEM_WORDS_PER_PASS))
-    found = []
-    for k in range(passes):
-        part = items.where(F.pmod(F.xxhash64("h1", "h2"), F.lit(passes)) == k) if passes > 1 else items
-        found.append(materialize(_scan(keyed, part.select("n", "h1", "prints").collect()).distinct(), "decontam-windows"))
-    found = reduce(DataFrame.union, found)
-    windows = items.select("item_ids", "n", F.explode(F.arrays_zip("h1", "h2")).alias("w")).select(
-        "item_ids", "n", F.col("w.h1").alias("h1"), F.col("w.h2").alias("h2")).distinct()
-    hits = found.distinct().join(windows, ["n", "h1", "h2"])
+    hits = candidate_windows(keyed, items).join(items, ["n", "print", "h1", "h2"])
     per_text = hits.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("n")).alias("end")))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("_items"))
@@ -147,13 +162,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     added = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
     docs = docs.drop(*added)
-    hits = materialize(contamination(docs, benchmark).drop("spans"), "decontam-hits").withColumnRenamed("key", "_hit_key")
-    joined = docs.withColumn("_key", text_key()).join(hits, F.col("_key") == F.col("_hit_key"), "left")
+    doc, hit = free(docs, "_doc"), free(docs, "_hit")
+    hits = materialize(contamination(docs, benchmark).select(F.struct("key", "n_hit", "n_items", "items_sha256").alias(hit)), "decontam-hits")
+    # Words are counted before the join, so that a join by shuffle carries texts only if they are asked for.
+    counted = docs.withColumns({"n_words": word_count("text"), doc: text_key()})
+    joined = counted.join(hits, F.col(doc) == F.col(f"{hit}.key"), "left")
     zero = F.lit(0).cast("long")
-    return joined.withColumn("n_words", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")).withColumn(
-        "n_hit", F.coalesce("n_hit", zero)).withColumn("n_items", F.coalesce("n_items", zero)).withColumn(
-        "items_sha256", F.coalesce("items_sha256", F.sha2(F.lit(""), 256))).withColumn(
-        "contaminated", F.col("n_hit") > 0).drop("_key", "_hit_key")
+    return joined.withColumns({
+        "n_hit": F.coalesce(f"{hit}.n_hit", zero), "n_items": F.coalesce(f"{hit}.n_items", zero),
+        "items_sha256": F.coalesce(f"{hit}.items_sha256", F.sha2(F.lit(""), 256))}).withColumn(
+        "contaminated", F.col("n_hit") > 0).drop(doc, hit)
 
 
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
@@ -179,7 +197,7 @@ hit as (select d.doc_id, d.n, d.i, b.item_id from doc_window d join item_window
 word as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + n)) p from hit) group by doc_id),
 items as (
   select doc_id, count(*) n_items, sha256(string_agg(s, ',' order by s)) items_sha256
-  from (select distinct doc_id, item_id::varchar s from hit) group by doc_id)
+  from (select distinct doc_id, item_id::varchar s from hit where item_id is not null) group by doc_id)
 select f.doc_id, len(f.w)::bigint n_words, coalesce(word.n_hit, 0)::bigint n_hit, coalesce(items.n_items, 0)::bigint n_items,
        coalesce(items.items_sha256, sha256('')) items_sha256, coalesce(word.n_hit, 0) > 0 contaminated
 from folded f left join word using (doc_id) left join items using (doc_id)
