@@ -6,6 +6,7 @@ import base64
 import hashlib
 import json
 import tempfile
+import time
 
 import numpy as np
 import pytest
@@ -117,6 +118,64 @@ def test_op2_keeps_headings():
     assert htmltext.main_text(f"<body><form><p>Log in with your name, please</p></form><div><p>{text}</p><p>{text}</p></div></body>") == f"{text} {text}"
 
 
+P = "A paragraph of prose in the article, with some words and a comma or two, so that it reads like any other one."
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    # a stray quote inside a quoted value, and values without quotes or without an end
+    (f"<body><article><p>Start <a title='it's here'>{P}</a></p><p>{P} Don't stop.</p></article></body>", f"Start {P} {P} Don't stop."),
+    (f"<body><article><p title=it's>{P}</p><p class=\"x>{P}</p></article></body>", f"{P} {P}"),
+    (f"<body><article><p data-x='a > b'>{P}</p><p>{P}</p></article></body>", f"{P} {P}"),
+    # an article in sibling containers without article or main
+    (f"<div><div>A {P} {P}</div><div><h2>B</h2><p>{P}</p></div></div>", f"A {P} {P} B {P}"),
+    (f"<body><div><p>{P}</p><p>{P}</p></div><blockquote>Said.</blockquote><ul><li>One</li><li>Two</li></ul><p>The end.</p></body>",
+     f"{P} {P} Said. One Two The end."),
+    (f"<body><main><article><p>{P}</p></article><article><p>{P} Again.</p></article></main></body>", f"{P} {P} Again."),
+    (f"<body><article><p>{P}</p></article><article><p>{P} Again.</p></article></body>", f"{P} {P} Again."),
+    (f"<body><div class=hd><h1>Title</h1></div><div><p>{P}</p><p>{P}</p></div></body>", f"Title {P} {P}"),
+    (f"<body><article><p>{P}</p><ul><li><a href=1>First work</a><li><a href=2>Second work</a><li><a href=3>Third work</a></ul></article></body>",
+     f"{P} First work Second work Third work"),
+    (f"<body><div class='search'><p>{P}</p><p>{P}</p></div></body>", f"{P} {P}"),
+    # readers' comments, also when they are longer than the article, and notices inside it
+    (f"<body><article><p>{P}</p><p>{P}</p><div class='comment-list'><p>{P} I like it!</p></div></article></body>", f"{P} {P}"),
+    (f"<body><div><p>{P}</p><p>{P}</p></div><div id='reader-comments'><p>{P}</p><p>{P}</p><p>{P}</p><p>{P}</p></div></body>", f"{P} {P}"),
+    (f"<body><article><div class='cookie-banner'><p>{P} Accept?</p></div><p>{P}</p><p>{P}</p></article></body>", f"{P} {P}"),
+    (f"<body><article><p>{P}</p><div class=notice>{P}</div><p>{P}</p></article></body>", f"{P} {P}"),
+    (f"<body><ul><li><a>Home</a><li><a>News</a><li><a>About</a></ul><div><p>{P}</p><p>{P}</p></div></body>", f"{P} {P}")])
+def test_op2_parts_of_articles_and_of_pages(page, text):
+    assert htmltext.main_text(page) == text
+
+
+def test_op2_generated_pages():
+    """Articles in several layouts amid menus, adverts, forms, comments and footers: the article alone comes out."""
+    rng = np.random.default_rng(7)
+    sentence = lambda: " ".join("".join(rng.choice(list("abcdeiou"), rng.integers(2, 9))) for _ in range(rng.integers(14, 40))) + ", so."
+    around = ["<nav><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></nav>", "<div class='ad-slot'>{}</div>",
+              "<aside><p>{}</p></aside>", "<form class='signup'><p>{}</p><input></form>", "<div id='cookie-consent'><p>{}</p></div>",
+              "<footer>&copy; {}</footer>", "<script>var x = '<p>{}</p>';</script>", "<div class='share-bar'><a>Post</a> <a>Send</a></div>",
+              "<section class='comments'><h3>2 comments</h3><p>{}</p></section>", "<!-- <p>{}</p> -->"]
+    layouts = ["<article>{}</article>", "<main><article>{}</article></main>", "<div id=content>{}</div>", "<div><div class=body>{}</div></div>",
+               "<main><section>{}</section></main>"]
+    for n in range(200):
+        head, paragraphs = f"Title {n}", [sentence() for _ in range(rng.integers(2, 7))]
+        body = f"<h1>{head}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+        noise = [x.replace("{}", sentence()) for x in rng.permutation(around)[:rng.integers(2, 8)]]
+        at = rng.integers(0, len(noise) + 1)
+        page = "<html><head><title>no</title></head><body>" + "".join(noise[:at]) + layouts[n % len(layouts)].format(body) + "".join(noise[at:]) + "</body></html>"
+        assert htmltext.main_text(page) == " ".join([head, *paragraphs]), page
+
+
+@pytest.mark.parametrize("part", ["<div><p>", "<div>", "</section>", "<section></div>", "<b>x", "<ul><li>", "<article>"])
+def test_op2_time_is_linear_in_depth(part):
+    def seconds(n):
+        start = time.process_time()
+        htmltext.main_text(f"<body><article><p>{P}</p>" + (part + " some words, of prose ") * n)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(16_000) < 6 * max(seconds(4_000), 0.1)
+
+
 def vectors(n=300, dim=16, seed=5):
     rng = np.random.default_rng(seed)
     rows = []
