@@ -3,7 +3,8 @@
 Pages are written as WARC/1.1 files, one record per page; equal payloads are stored once (response) and
 revisited by the other records. Reading the files back gives every record's offset and length. The
 captures, sorted by reversed-host URL key, are cut into compressed blocks; a sparse directory holds the
-first key of each block. A lookup binary-searches the directory, then the block, then reads one byte range.
+first and last key of each block. A look-up searches the directory, then bisects the blocks found, then reads byte ranges:
+``lookup_urls`` for a table of URLs, in tasks, ``lookup`` for one URL.
 """
 
 from __future__ import annotations
@@ -18,15 +19,18 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from urllib.parse import urlsplit
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ordercraft.operators.ids import dense_ids
 from ordercraft.session import checkpoint_root, materialize
 
 EOL = "\r\n"
 GAP = EOL * 2  # after each record
 FILE_BYTES = 8 << 20  # about so many payload bytes a file: a file is read by one task
 BLOCK_LINES = 3000
+GROUPS = 4096  # stretches of the directory, at most, whose first keys are sent to the tasks
 DATE = "2024-01-01T00:00:00Z"
 
 CAPTURE = T.StructType([
@@ -232,19 +236,78 @@ def _parse_block(block: bytes) -> list[list[str | None]]:
     return [[_value(v) for v in line.split("\t")] for line in zlib.decompress(block).decode().split("\n")]
 
 
+_CDX_SCHEMA = T.StructType([CAPTURE[c] for c in _CDX])
+
+
+def _cdx_batch(lines: list[list[str | None]]) -> pa.RecordBatch:
+    fields = list(zip(*lines, strict=True)) if lines else [()] * len(_CDX)
+    types = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.string() for f in _CDX_SCHEMA]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([None if v is None else int(v) for v in c] if t == pa.int64() else c, t) for c, t in zip(fields, types, strict=True)], names=_CDX)
+
+
 def read_index(spark: SparkSession, archive: Archive) -> DataFrame:
     """Every capture that the index blocks hold."""
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in batch.column("block").to_pylist():
-                fields = list(zip(*_parse_block(block), strict=True))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([None if v is None else int(v) for v in c] if t == pa.int64() else c, t)
-                     for c, t in zip(fields, types, strict=True)], names=_CDX)
+                yield _cdx_batch(_parse_block(block))
+
+    return spark.read.parquet(archive.blocks).select("block").mapInArrow(unpack, _CDX_SCHEMA)
+
+
+def _directory_groups(directory: DataFrame) -> list[str]:
+    """First keys of up to ``GROUPS`` stretches of consecutive blocks."""
+    ranked, n = dense_ids(directory.select("first", "last", "block_id"), ["first", "last", "block_id"], 0, "at")
+    step = max(1, -(-n // GROUPS))
+    return sorted({r["first"] for r in ranked.where((F.col("at") - 1) % step == 0).select("first").collect()})
+
+
+def lookup_urls(spark: SparkSession, archive: Archive, urls: DataFrame) -> DataFrame:
+    """Captures of the URLs in ``urls(url)``, found through the directory: CDX columns, a row per capture.
+
+    The directory is searched in two steps: a binary search among the first keys of at most ``GROUPS`` stretches, then a
+    join within the stretch with the blocks whose keys span the URL's. Each block found goes to a task once, followed by
+    the URLs' keys, which are bisected in it. Repeated URLs are looked up once; NULL finds the captures without a URL.
+    """
+    directory = spark.read.parquet(archive.directory)
+    starts = _directory_groups(directory)
+    text = T.StructType([T.StructField("key", T.StringType()), T.StructField("stretch", T.IntegerType())])
+
+    @F.pandas_udf(text)
+    def place(values: pd.Series) -> pd.DataFrame:
+        keys = [surt(v) for v in values]
+        return pd.DataFrame({"key": keys, "stretch": [max(0, bisect.bisect_right(starts, k) - 1) for k in keys]})
+
+    @F.pandas_udf("int")
+    def stretch(values: pd.Series) -> pd.Series:
+        return pd.Series([max(0, bisect.bisect_right(starts, k) - 1) for k in values], dtype="int32")
+
+    wanted = urls.select(one_line(F.col("url")).alias("url")).distinct().select("url", place("url").alias("p")).select("url", "p.*")
+    # Captures of one key may begin in the stretch before the one that its first key opens.
+    spans = directory.select("block_id", "first", "last", F.explode(F.sequence(stretch("first"), stretch("last"))).alias("stretch"))
+    found = wanted.join(spans, "stretch").where((F.col("first") <= F.col("key")) & (F.col("key") <= F.col("last"))).select(
+        "block_id", "key", "url").distinct()
+    found = materialize(found, "warc-found")
+    blocks = spark.read.parquet(archive.blocks).join(found.select("block_id").distinct(), "block_id", "left_semi")
+    none = F.lit(None)
+    stream = blocks.select("block_id", F.lit(False).alias("asked"), none.cast("string").alias("key"), none.cast("string").alias("url"), "block").unionByName(
+        found.select("block_id", F.lit(True).alias("asked"), "key", "url", none.cast("binary").alias("block")))
+
+    def bisected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lines: list[list[str | None]] = []
+        keys: list[str] = []
+        for batch in batches:
+            hits = []
+            for block, key, url in zip(*(batch.column(c).to_pylist() for c in ("block", "key", "url")), strict=True):
+                if block is not None:
+                    lines = _parse_block(block)
+                    keys = [line[0] for line in lines]
+                else:
+                    hits += [x for x in lines[bisect.bisect_left(keys, key):bisect.bisect_right(keys, key)] if x[1] == url]
+            yield _cdx_batch(hits)
 
-    schema = T.StructType([CAPTURE[c] for c in _CDX])
-    types = [pa.int64() if isinstance(f.dataType, T.LongType) else pa.string() for f in schema]
-    return spark.read.parquet(archive.blocks).select("block").mapInArrow(unpack, schema)
+    return stream.repartition("block_id").sortWithinPartitions("block_id", "asked", "key").mapInArrow(bisected, _CDX_SCHEMA)
 
 
 def lookup(spark: SparkSession, archive: Archive, url: str) -> list[tuple[dict, bytes]]:
@@ -290,8 +353,9 @@ def archive_pages(pages: DataFrame, root: str | None = None, min_bytes: int = 0)
 
 
 def op4_warc(spark, sf_dir: str) -> DataFrame:
+    """The captures of every page's URL, looked up in the archive of all pages."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return read_index(spark, archive_pages(pages)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return lookup_urls(spark, archive_pages(pages), pages.select("url")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 ORACLE = """

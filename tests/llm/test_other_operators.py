@@ -52,6 +52,30 @@ def test_op4_round_trip(spark):
     assert warc.lookup(spark, archive, "http://unknown.example/") == []
 
 
+@pytest.mark.parametrize("groups", [1, 3, 4096])
+def test_op4_look_up_of_many_urls(spark, monkeypatch, groups):
+    """URLs with captures over several blocks, single ones, absent ones, repeated ones and NULL."""
+    monkeypatch.setattr(warc, "GROUPS", groups)
+    rows = [(i, f"http://h{i % 5}.example/{i // 3 if i % 2 else 'hot'}", f"body {i % 40}") for i in range(120)]
+    rows += [(200 + i, "http://www.hot.example/", f"hot {i}") for i in range(40)] + PAGES[:12]
+    pages = spark.createDataFrame(rows, PAGE_SCHEMA)
+    archive = warc.write_archive(pages, tempfile.mkdtemp(prefix="ordercraft-warc-") + "/a")
+    warc.write_index(warc.read_archive(spark, archive), archive, lines=7)
+    whole = sorted(map(str, (r.asDict() for r in warc.read_index(spark, archive).collect())))
+    got = sorted(map(str, (r.asDict() for r in warc.lookup_urls(spark, archive, pages.select("url")).collect())))
+    assert got == whole and len(got) == len(rows)
+    some = ["http://www.hot.example/", "http://h1.example/2", "http://h1.example/2", "http://hot.example/", "http://none.example/", None]
+    asked = spark.createDataFrame([(u,) for u in some], "url string")
+    found = sorted((str(r["url"]), r["page_id"]) for r in warc.lookup_urls(spark, archive, asked).collect())
+    assert found == sorted((str(u), p) for p, u, _ in rows if u in some)
+    assert warc.lookup_urls(spark, archive, asked.limit(0)).count() == 0
+
+
+def test_op4_empty_archive(spark):
+    none = spark.createDataFrame([], PAGE_SCHEMA)
+    assert warc.lookup_urls(spark, warc.archive_pages(none), none.select("url")).count() == 0
+
+
 def test_op4_min_bytes_and_blocks(spark):
     pages = spark.createDataFrame(PAGES, PAGE_SCHEMA)
     types = {r["page_id"]: r["record_type"] for r in warc.mark_records(pages, min_bytes=11).collect()}
