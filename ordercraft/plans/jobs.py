@@ -29,6 +29,7 @@ from ordercraft.operators.orders import backfill_orders, staged_orders
 from ordercraft.operators.refill import GRACE_DAYS, refill_candidates, refill_purge, refill_reset, refill_upsert
 from ordercraft.session import materialize, run_folder
 from ordercraft.sources.binding import Tables
+from ordercraft.sources.lookup import few, of_orders
 from ordercraft.sources.tables import State, TableStore, bucket_of, month_of
 
 REFIL_SEQ = "refil_seq"
@@ -106,8 +107,10 @@ class Work:
 
 
 def staged_work(t: Tables, as_of: dt.datetime, options: Options) -> Work:
-    """J3 -> J5."""
+    """J3 -> J5. The tables of a small batch are read by its order ids (``sources.lookup``)."""
     cut = options.cut
+    staged = few(t.dcspp_order_item_stg.select("order_id"))
+    t = t if staged is None else of_orders(t, staged)
     driver, q_orders = staged_orders(t, as_of, cut)
     driver = cut(driver)
     candidates, q_refill = refill_candidates(t, driver, as_of, cut, options.pair_on_rebuy)

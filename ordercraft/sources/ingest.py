@@ -130,18 +130,19 @@ def read_export(spark: SparkSession, path: str, fmt: str = "parquet", **options:
 def ingest_exports(
     spark: SparkSession, exports: Mapping[str, str], out_root: str, fmt: str = "parquet", keep_rejects: bool = False, **options: str,
 ):
-    """Load raw table exports (Parquet or CSV with a header) into normalized Parquet tables.
+    """Load raw table exports (Parquet or CSV with a header) into normalized Parquet tables, sorted by their keys.
 
     Columns are matched by name and read in their declared types; extra columns are dropped. Rows with a value that would
     change are left out and written to ``out_root/_rejects``; unless ``keep_rejects``, any such row then raises
     ``LossyExport``. Returns the tables read back from ``out_root``, ready for the jobs.
     """
     from ordercraft.sources.binding import Tables
+    from ordercraft.sources.lookup import write_clustered
 
     paths, rejected = {}, {}
     for name, path in exports.items():
         good, bad = split(read_export(spark, path, fmt, **options), name)
-        good.write.mode("errorifexists").parquet(f"{out_root}/{name}")
+        write_clustered(good, name, f"{out_root}/{name}")
         bad.write.mode("append").parquet(f"{out_root}/{REJECTS}/{name}")
         n = spark.read.schema(REJECT_SCHEMA).parquet(f"{out_root}/{REJECTS}/{name}").count()
         if n:

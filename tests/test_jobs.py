@@ -112,10 +112,10 @@ def test_crash_between_target_writes(spark, monkeypatch):
     before = _all(store)
     write = TableStore.write
 
-    def failing(self, table, df):
+    def failing(self, table, df, state=None):
         if table == "cit_opportunities":
             raise OSError("disk gone")
-        return write(self, table, df)
+        return write(self, table, df, state)
 
     monkeypatch.setattr(TableStore, "write", failing)
     with pytest.raises(OSError):
@@ -272,8 +272,9 @@ def test_uncommitted_folders_are_not_read(spark):
     pad = lambda df: df.selectExpr(*[c if c in df.columns else f"NULL AS {c}" for c in schema_cols])
     row = lambda n: pad(spark.createDataFrame([(n, f"S{n}")], "id_key bigint, sku string"))
     assert rows(store.read("cit_refil")) == []
-    assert store.commit({"cit_refil": store.write("cit_refil", row(1))}) == 1
+    assert store.commit(store.state(), {"cit_refil": store.write("cit_refil", row(1))}) == 1
     store.write("cit_refil", row(99))  # a crashed run
     assert rows(store.read("cit_refil"), "id_key") == [(1,)]
-    assert store.commit({}, {"cit_refil": store.write("cit_refil", row(2))}) == 2
+    state = store.state()
+    assert store.commit(state, {"cit_refil": state.tables["cit_refil"] + store.write("cit_refil", row(2))}) == 2
     assert rows(TableStore(spark, root).read("cit_refil"), "id_key") == [(1,), (2,)]
