@@ -57,12 +57,11 @@ def _line_sets(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def word_rarity(docs: DataFrame, bits: int = FREQUENCY_BITS) -> np.ndarray:
-    """Logarithm of the number of lines that each word's cell occurs in, in steps, one byte a cell."""
+    """Logarithm of the number of times that each word's cell occurs, in steps, one byte a cell."""
     def cells(batch: pa.RecordBatch):
         texts = text_bytes(batch)
         for i, j in slices([len(t) for t in texts]):
-            for *_, words in _line_sets(texts[i:j]):
-                yield (words >> np.uint64(WORD_BITS - bits)).astype(np.int64)
+            yield (word_hashes(texts[i:j])[0] >> np.uint64(64 - bits)).astype(np.int64)
 
     counts = count_cells(docs.where(F.col("text").isNotNull()).select("text"), cells, bits)
     out = np.empty(len(counts), np.uint8)
@@ -119,7 +118,7 @@ def _lines(docs: DataFrame, rarity) -> DataFrame:
                                     | (words & np.uint64((1 << rest) - 1)))
                     place = np.arange(len(order)) - starts[line]
                     rank = ((order >> np.uint64(rest)) & np.uint64((1 << RANK_BITS) - 1)).astype(np.int64)
-                    # a word of one line only is in no other set, but holds its place in the order
+                    # a word that occurs once is in no other set, but holds its place in the order
                     use = fresh[line] & (place < _prefix_length(size)[line]) & (rank > RARITY_STEPS)
                     word = (order >> np.uint64(rest - 32)) & np.uint64(0xFFFFFFFF)
                     packed = ((word << np.uint64(32)) | place.astype(np.uint64)).view(np.int64)
@@ -187,6 +186,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     some = docs.sparkSession.sparkContext.broadcast(mark_cells(wanted.select("h1"), cells, FILTER_BITS))
     sets = _task_sets(docs, some).join(wanted, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
     sets = materialize(sets.select(F.struct("h1", "h2").alias("key"), "set"), "lines-sets")
+    some.destroy()
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("set").alias("set_a")), "a").join(
         sets.select(F.col("key").alias("b"), F.col("set").alias("set_b")), "b")
 
@@ -228,6 +228,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """
     rarity = docs.sparkSession.sparkContext.broadcast(word_rarity(docs))
     lines = materialize(_lines(docs, rarity), "lines")
+    rarity.destroy()
     place = F.struct("doc_id", "line")
     sets = materialize(lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")), "lines-first")
     # Sets that share a frequent prefix word are compared with the word's first set; that settles nearly all of a group
