@@ -7,6 +7,9 @@ NULL texts and empty tables pass through every stage without error (texts withou
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ordercraft.llm.decontam import contamination
@@ -14,26 +17,31 @@ from ordercraft.llm.langid import UNKNOWN, predict_languages
 from ordercraft.llm.linededup import dedup_lines, without_removed
 from ordercraft.llm.minhash import near_duplicates
 from ordercraft.llm.mixing import mix_sources
-from ordercraft.llm.words import WORD, text_key, without
-from ordercraft.session import materialize
+from ordercraft.llm.words import WORD, free, text_key, without
+from ordercraft.session import checkpoint_root, materialize, run_folder
 
 # Least share of a document's main language; below it the document is no text of one language.
 MIN_SHARE = 0.4
 
 
+def _beside(docs: DataFrame, added: list[str], work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``work(docs)`` with the columns of ``docs``: own columns named like those that an operator adds keep their values."""
+    aside = {c: free(docs, f"_own_{c}") for c in added if c in docs.columns}
+    done = work(docs.withColumnsRenamed(aside))
+    return done.select(*[F.col(aside.get(c, c)).alias(c) for c in docs.columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised main language (op 8); the others go."""
-    known = predict_languages(docs).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE))
-    return known.select(*docs.columns)
+    return _beside(docs, ["held_out", "lang_pred", "score"], lambda rows: predict_languages(rows).where(
+        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE)))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that an earlier line repeats (op 3); documents left without a word go."""
     text = without_removed(F.col("text"), F.col("removed"))
-    left = dedup_lines(docs).withColumn("text", text).where(F.col("text").rlike(WORD))
-    if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.char_length("text").cast("long"))
-    return left.select(*docs.columns)
+    left = _beside(docs, ["n_lines", "removed"], lambda rows: dedup_lines(rows).withColumn("text", text).where(F.col("text").rlike(WORD)))
+    return left.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else left
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +55,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that share no window of words with a benchmark item (op 1)."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hit = materialize(contamination(docs, benchmark).select("key"), "pipeline-hits")
-    return without(docs.withColumn("_text_key", text_key()), "_text_key", hit).select(*docs.columns)
+    key = free(docs, "_text_key")
+    return without(docs.withColumn(key, text_key()), key, hit).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +77,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = checkpoint_root(spark).rstrip("/")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = f"{root}/ordercraft-pipeline-{name}-{uuid.uuid4().hex}"
+        with run_folder(spark):  # the stage's own tables go once its result is written
+            out = stage(spark, docs, sf_dir)
+            out.write.mode("errorifexists").parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
     return docs
