@@ -18,8 +18,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 UNKNOWN = "und"
 NGRAM = 3
 MAX_FEATURES = 1 << 13
-# The broadcast model is languages x features doubles; features are halved until it fits.
-MAX_MODEL_BYTES = 128 << 20
 SMOOTHING = 0.5
 EM_STEPS = 25
 
@@ -40,14 +38,11 @@ def _has_letter(text: str | None) -> bool:
 def train(labelled: DataFrame, max_features: int = MAX_FEATURES) -> tuple[list[str], np.ndarray]:
     """Languages (sorted) and log p(gram | language), shape (features, languages), from ``labelled(text, lang)``.
 
-    Counts cover every row with a language and a letter in its text. The result's size is bounded by
-    ``MAX_MODEL_BYTES``: with very many languages each gets fewer hash features.
+    Counts cover every row with a language and a letter in its text. The result takes ``max_features`` doubles (64 KB) a
+    language, however many documents or languages there are.
     """
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
-    langs = rows.agg(F.count_distinct("lang")).first()[0]
     features = max_features
-    while features > 256 and features * langs * 8 > MAX_MODEL_BYTES:
-        features //= 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ordercraft.llm.words import count_cells, mark_cells, marked, materialize, maybe_in, mix64, slices, text_bytes, word_hashes
+from ordercraft.llm.words import count_cells, free, mark_cells, marked, materialize, maybe_in, mix64, slices, text_bytes, word_hashes
 
 # Jaccard threshold 4/5, so that the bounds are exact in integers.
 NUM, DEN = 4, 5
@@ -280,12 +280,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """
     docs = docs.drop("n_lines", "removed").withColumn(
         "n_lines", F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long"))
-    gone = removed_lines(docs).groupBy(F.col("doc_id").alias("_doc")).agg(F.array_sort(F.collect_list("line")).alias("removed"))
+    doc = free(docs, "_doc")
+    gone = removed_lines(docs).groupBy(F.col("doc_id").alias(doc)).agg(F.array_sort(F.collect_list("line")).alias("removed"))
     gone = materialize(gone, "lines-removed")
     none = F.array().cast("array<long>")
     # only documents that may have removed lines are shuffled
-    test = maybe_in(gone, "_doc")
-    some = docs.where(test("doc_id")).join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    test = maybe_in(gone, doc)
+    some = docs.where(test("doc_id")).join(gone, F.col("doc_id").eqNullSafe(F.col(doc)), "left").drop(doc)
     some = some.withColumn("removed", F.when(F.col("text").isNotNull(), F.coalesce("removed", none)).otherwise(none))
     return some.unionByName(docs.where(~test("doc_id")).withColumn("removed", none))
 

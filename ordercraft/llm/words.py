@@ -217,9 +217,9 @@ def without(rows: DataFrame, column: str, gone: DataFrame) -> DataFrame:
     Only rows that a filter of fixed size cannot clear are shuffled.
     """
     name = gone.columns[0]
-    test = maybe_in(gone, name)
-    gone = gone.withColumnRenamed(name, "_gone")
-    rest = rows.where(test(column)).join(gone, F.col(column).eqNullSafe(F.col("_gone")), "left_anti")
+    test, other = maybe_in(gone, name), free(rows, "_gone")
+    gone = gone.withColumnRenamed(name, other)
+    rest = rows.where(test(column)).join(gone, F.col(column).eqNullSafe(F.col(other)), "left_anti")
     return rows.where(~test(column)).unionByName(rest)
 
 

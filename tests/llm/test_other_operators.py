@@ -329,7 +329,8 @@ def test_op10_every_conversation_refers_back(spark):
 
 
 def test_pipeline_stages(spark, tmp_path):
-    docs, folder = documents(spark), str(tmp_path)
+    own = ("lang_pred", "held_out", "n_lines", "removed", "_text_key", "_gone", "_doc")
+    docs, folder = documents(spark).withColumns({c: F.lit(f"own {c}") for c in own}), str(tmp_path)
     columns = docs.columns
     long = next(r[1] for r in corpus() if r[0] == 4).split()
     spark.createDataFrame([(1, " ".join(long[5:30]))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
@@ -358,18 +359,21 @@ def test_pipeline_stages(spark, tmp_path):
     mixed = corpus_pipeline.mix(spark, known, folder)
     assert set(columns) <= set(mixed.columns) and mixed.where("taken = 0").count() == 0
 
+    for df in (known, lined, single, clean):  # a user's columns keep their values
+        assert {(r["score"], *(r[c] for c in own)) for r in df.collect()} <= {(x, *(f"own {c}" for c in own)) for x in ("C", None)}
+
     out = corpus_pipeline.run(spark, folder)
     step = docs
     for _, stage in corpus_pipeline.STAGES:
         step = stage(spark, step, folder)
     assert sorted(map(str, out.collect())) == sorted(map(str, step.select(*out.columns).collect())) and out.count() > 10
     for _, stage in corpus_pipeline.STAGES:
-        assert stage(spark, no_documents(spark), folder).count() == 0
+        assert stage(spark, docs.limit(0), folder).count() == 0
 
 
 def test_queries_are_registered():
     import __spark_entry__ as entry
     from ordercraft.llm.queries import ORACLES, QUERIES
 
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(QUERIES) and set(ORACLES) <= set(entry.oracle_sql())
