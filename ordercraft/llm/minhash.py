@@ -28,7 +28,8 @@ FREQUENCY_BITS = 18
 # copy outweigh what it shares with many others.
 IDF_WEIGHT = 0.25
 RECALL = 0.999  # of the sampled estimate that candidates must pass
-BLOCK_ROWS = 512
+# A task holds two blocks: so many texts, and bytes of texts, at most (a longer text is a block of its own).
+BLOCK_ROWS, BLOCK_BYTES = 2048, 8 << 20
 _WORDS = -(-HASHES // 7)  # longs of a packed signature: 7 one-byte draws each
 _LOW = 0x007F7F7F7F7F7F7F
 _HIGH = 0x0080808080808080
@@ -342,11 +343,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = materialize(_component(buckets, parts), "minhash-placed")
     # up to three texts, the two ends have met all pairs
     open_ = placed.groupBy(*bucket).agg(F.count("*").alias("n"), F.min("component").alias("c"), F.max("component").alias("d")).where(
-        "n > 3 and c <> d").select(*bucket, F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+        "n > 3 and c <> d").select(*bucket)
     rest = materialize(placed.join(materialize(open_, "minhash-open"), bucket), "minhash-rest")
     if not rest.isEmpty():
         texts = counted_texts(_texts(rest.select("key"), present, classes), present)
-        rest = rest.join(classes.select("key", "bands"), "key").join(texts, "key")
+        blocks = F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("bytes") / BLOCK_BYTES)).cast("int")
+        sized = rest.join(texts.select("key", F.octet_length("text").alias("bytes")), "key").groupBy(*bucket).agg(blocks.alias("blocks"))
+        rest = rest.join(materialize(sized, "minhash-blocks"), bucket).join(classes.select("key", "bands"), "key").join(texts, "key")
         parts = connected_components(first.union(materialize(_compared(rest, n), "minhash-links")))
 
     members = materialize(_component(signed.select("key", "doc_id"), parts), "minhash-members")
