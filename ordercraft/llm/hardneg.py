@@ -1,10 +1,11 @@
 """Hard-negative mining: rows of another label that score close below an anchor's positives.
 
 Vectors are rotated at random and kept as one bit a dimension, with the length of their part along that code (the
-alignment) and of the rest (the residual). An anchor's rotated vector is rounded to a few bits a dimension; its product
-with a code is then a sum of popcounts. Alignment times that product estimates the score, and the Cauchy-Schwarz
-inequality bounds what the residual can add, so every row has an interval that surely holds its score. Rows whose interval
-misses what is asked for are skipped; the others are scored exactly, in integers.
+alignment); the rest (the residual) is rotated and coded in the same way, a few times over. An anchor's rotated vector is
+rounded to a few bits a dimension; its product with a code is then a sum of popcounts. The products times the alignments
+estimate the score, and the Cauchy-Schwarz inequality bounds what the last residual can add, so every row has an interval
+that surely holds its score. Rows whose interval misses what is asked for are skipped; the others are scored exactly, in
+integers.
 
 Rows are dealt into blocks that fit a task. Anchors (a stated share of the rows) are sent to every block and stream past
 it; each block answers with a few rows per anchor, and the answers of all blocks are ranked per anchor. This is done twice:
@@ -26,23 +27,27 @@ ANCHOR_EVERY = 50
 LABEL_SHIFT_EVERY, LABELS = 7, 10
 POSITIVES, NEGATIVES = 5, 3
 LOWER, UPPER = 50, 95  # a negative's score lies between these percentages of the positive's
-PLANES = 4  # bits a dimension of a rounded anchor
+STAGES = 4  # codes of a row; each leaves about three fifths of the residual before it
+PLANES = 6  # bits a dimension of a rounded anchor
 BLOCK_BYTES = 48 << 20  # of the vectors of a block
 LEAST_BLOCK_ROWS = 2048
 CELLS = 1 << 21  # scores estimated at a time, about: sets how many anchors meet a block at once
 SLACK = 1e-9  # of the product of lengths, for rounding in doubles
 
 
-def rotation(dim: int, seed: int = 13) -> np.ndarray:
-    """A random orthogonal matrix."""
-    q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
-
-
 def padded(dim: int) -> int:
     return max(64, -(-dim // 64) * 64)
 
 
+def rotations(dim: int, seed: int = 13) -> list[np.ndarray]:
+    """A random rotation for each stage; the first also pads vectors to whole words."""
+    rng, out = np.random.default_rng(seed), []
+    for _ in range(STAGES):
+        q, r = np.linalg.qr(rng.standard_normal((padded(dim), padded(dim))))
+        out.append(q * np.sign(np.diag(r)))
+    return [out[0][:dim], *out[1:]]
+
+
 def as_matrix(column: pa.Array, dim: int) -> np.ndarray:
     """Vectors of a list column as rows, shorter ones filled up with zeros."""
     out = np.zeros((len(column), dim), np.int64)
@@ -52,43 +57,48 @@ def as_matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 class Codes:
-    """One-bit codes of the rotated rows of ``vectors``, with alignment and residual length."""
-
-    def __init__(self, vectors: np.ndarray, turn: np.ndarray):
-        turned = vectors @ turn
-        bits = turned > 0
-        self.words = np.packbits(bits, axis=1).view(np.uint64)
-        self.align = np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[1])
-        self.rest = np.sqrt(np.maximum((turned**2).sum(axis=1) - self.align**2, 0))
+    """One-bit codes of rotated rows, stage by stage: bits and alignments (a row per stage), and the last residual's length."""
+
+    def __init__(self, vectors: np.ndarray, turns: list[np.ndarray]):
+        self.words, self.align, left = [], [], vectors
+        for turn in turns:
+            turned = left @ turn
+            bits, scale = turned > 0, 1 / np.sqrt(turned.shape[1])
+            self.words.append(np.packbits(bits, axis=1).view(np.uint64))
+            self.align.append(np.abs(turned).sum(axis=1) * scale)
+            left = turned - np.where(bits, scale, -scale) * self.align[-1][:, None]
+        self.rest = np.sqrt((left**2).sum(axis=1))
 
     def take(self, rows: slice | np.ndarray) -> "Codes":
         out = Codes.__new__(Codes)
-        out.words, out.align, out.rest = self.words[rows], self.align[rows], self.rest[rows]
+        out.words, out.align, out.rest = [w[rows] for w in self.words], [a[rows] for a in self.align], self.rest[rows]
         return out
 
 
-def intervals(anchors: np.ndarray, turn: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def intervals(anchors: np.ndarray, turns: list[np.ndarray], codes: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Estimate, least and greatest possible score of every row for every anchor (anchors by rows)."""
-    dim = turn.shape[1]
-    turned = anchors @ turn
-    low = turned.min(axis=1, keepdims=True)
-    step = np.maximum((turned.max(axis=1, keepdims=True) - low) / (2**PLANES - 1), 1e-300)
-    level = np.rint((turned - low) / step).astype(np.uint8)
-    off = np.abs(turned - (low + level * step)).sum(axis=1, keepdims=True) / np.sqrt(dim)
-    ones = np.bitwise_count(codes.words).sum(axis=1, dtype=np.int64)
-    hits = np.zeros((len(anchors), len(codes.align)), np.int64)
-    for p in range(PLANES):
-        plane = np.packbits((level >> p) & 1, axis=1).view(np.uint64)
-        for w in range(plane.shape[1]):
-            hits += np.bitwise_count(plane[:, w, None] & codes.words[None, :, w]).astype(np.int64) << p
-    # Product with the signs: twice the sum over the set bits, less the sum over all.
-    rounded = 2 * (low * ones + step * hits) - (low[:, 0] * dim + step[:, 0] * level.sum(axis=1, dtype=np.int64))[:, None]
-    along = rounded / np.sqrt(dim)
+    estimate = np.zeros((len(anchors), len(codes.rest)))
+    spread = np.zeros_like(estimate)
+    turned = anchors
+    for turn, words, align in zip(turns, codes.words, codes.align, strict=True):
+        turned = turned @ turn
+        dim = turned.shape[1]
+        low = turned.min(axis=1, keepdims=True)
+        step = np.maximum((turned.max(axis=1, keepdims=True) - low) / (2**PLANES - 1), 1e-300)
+        level = np.rint((turned - low) / step).astype(np.uint8)
+        off = np.abs(turned - (low + level * step)).sum(axis=1, keepdims=True) / np.sqrt(dim)
+        ones = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+        hits = np.zeros(estimate.shape, np.int64)
+        for p in range(PLANES):
+            plane = np.packbits((level >> p) & 1, axis=1).view(np.uint64)
+            for w in range(plane.shape[1]):
+                hits += np.bitwise_count(plane[:, w, None] & words[None, :, w]).astype(np.int64) << p
+        # Product with the signs: twice the sum over the set bits, less the sum over all.
+        rounded = 2 * (low * ones + step * hits) - (low[:, 0] * dim + step[:, 0] * level.sum(axis=1, dtype=np.int64))[:, None]
+        estimate += align * (rounded / np.sqrt(dim))
+        spread += align * off
     length = np.sqrt((turned**2).sum(axis=1, keepdims=True))
-    least_along = np.maximum(np.abs(along) - off, 0)
-    spread = codes.align * off + codes.rest * np.sqrt(np.maximum(length**2 - least_along**2, 0))
-    spread += SLACK * length * (codes.align + codes.rest) + 1e-6
-    estimate = codes.align * along
+    spread += codes.rest * length + SLACK * length * (sum(codes.align) + codes.rest) + 1e-6
     return estimate, estimate - spread, estimate + spread
 
 
@@ -104,13 +114,13 @@ def _top(scores: np.ndarray, k: int) -> np.ndarray:
 class Block:
     """Rows of one block, sorted by label."""
 
-    def __init__(self, row, ids, labels, vectors, turn):
+    def __init__(self, row, ids, labels, vectors, turns):
         order = np.argsort(labels, kind="stable")
         self.row, self.ids, self.labels = row[order], ids[order], labels[order]
-        self.codes = Codes(vectors[order], turn)
+        self.codes = Codes(vectors[order], turns)
         small = np.abs(vectors).max(initial=0) < 1 << 31
         self.vectors = vectors[order].astype(np.int32) if small else vectors[order]
-        self.turn = turn
+        self.turns = turns
         names, first = np.unique(self.labels, return_index=True)
         self.span = dict(zip(names.tolist(), zip(first, np.append(first[1:], len(order)), strict=True), strict=True))
 
@@ -123,7 +133,7 @@ class Block:
             if label not in self.span:
                 continue
             mine, (i, j) = np.flatnonzero(labels == label), self.span[label]
-            estimate, _, high = intervals(vectors[mine], self.turn, self.codes.take(slice(i, j)))
+            estimate, _, high = intervals(vectors[mine], self.turns, self.codes.take(slice(i, j)))
             for n, a in enumerate(mine):
                 rows = np.flatnonzero(self.ids[i:j] != ids[a])
                 first = rows[_top(estimate[n, rows], k)]
@@ -136,7 +146,7 @@ class Block:
 
     def negatives(self, labels, vectors, bounds: list[list[int]], k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """Per anchor and positive score (by position) the ``k`` best rows of another label within its bounds."""
-        estimate, low, high = intervals(vectors, self.turn, self.codes)
+        estimate, low, high = intervals(vectors, self.turns, self.codes)
         for a, positives in enumerate(bounds):
             i, j = self.span.get(labels[a], (0, 0))
             other = np.r_[0:i, j:len(self.row)]
@@ -181,7 +191,7 @@ def _search(rows: DataFrame, anchors: DataFrame, dim: int, blocks: int, negative
                           "vec_id", "label", "vector", (F.col("bounds") if negatives else none).alias("bounds"))
 
     def run(batches):
-        turn = rotation(padded(dim))[:dim]
+        turns = rotations(dim)
         held: dict = {}
 
         def unpack(batch):
@@ -213,7 +223,7 @@ def _search(rows: DataFrame, anchors: DataFrame, dim: int, blocks: int, negative
         def close():
             """The rows of the present block are all there."""
             if held.get("parts"):
-                held["block"] = Block(*(np.concatenate([p[c] for p in held["parts"]]) for c in range(4)), turn)
+                held["block"] = Block(*(np.concatenate([p[c] for p in held["parts"]]) for c in range(4)), turns)
                 held["parts"] = []
 
         for batch in batches:

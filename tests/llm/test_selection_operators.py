@@ -13,8 +13,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ordercraft.llm import hardneg, resample, sharding
-from tests.llm.helpers import corpus, documents, no_documents, words
+from ordercraft.llm import components as connected, hardneg, resample, sharding
+from tests.llm.helpers import components, corpus, documents, no_documents, words
 
 
 def ring_by_brute_force(rows: list[tuple], shards: int, vnodes: int) -> list[tuple]:
@@ -206,9 +206,24 @@ def test_op13_empty(spark):
 def test_op13_intervals_hold_every_score():
     rng = np.random.default_rng(5)
     for dim in (1, 3, 64, 130):
-        turn = hardneg.rotation(hardneg.padded(dim))[:dim]
+        turns = hardneg.rotations(dim)
         rows, anchors = (np.floor(rng.standard_normal((n, dim)) * 256).astype(np.int64) for n in (200, 12))
         rows[:3], anchors[0], rows[3:6] = 0, 0, anchors[1:4]
         exact = anchors @ rows.T
-        _, low, high = hardneg.intervals(anchors, turn, hardneg.Codes(rows, turn))
+        _, low, high = hardneg.intervals(anchors, turns, hardneg.Codes(rows, turns))
         assert (low <= exact).all() and (exact <= high).all()
+        if dim >= 64:  # and are narrow: a quarter of the product of lengths, either way
+            norms = np.sqrt((anchors**2).sum(axis=1))[:, None] * np.sqrt((rows**2).sum(axis=1))
+            assert (high - low <= 0.5 * norms + 1e-3).mean() > 0.95
+
+
+@pytest.mark.parametrize("chunk", [200_000, 40])
+def test_components_by_forests_and_stars(spark, monkeypatch, chunk):
+    """A random graph, a long path and repeated edges, in one task and in many."""
+    monkeypatch.setattr(connected, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(i, i + 1) for i in range(1000, 1060)] + [(3, 3), (7, 8), (7, 8)]
+    got = connected.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    want = components({x for e in edges for x in e}, edges)
+    assert {r["id"]: r["component"] for r in got} == {k: v for k, v in want.items() if k != v} and len(got) == len({r["id"] for r in got})
+    assert connected.connected_components(spark.createDataFrame([], "a binary, b binary")).count() == 0
