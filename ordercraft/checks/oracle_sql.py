@@ -315,7 +315,14 @@ REFILL = "id_key, description, sku, refillable, expiration, cf_id, cn_id, order_
 OPPORTUNITY = "cn_id, cf_id, offer, refil, order_date"
 
 
-def _details(product: str) -> str:
+MOVED = """(
+  SELECT if(substring(order_id, 2)::BIGINT % 2 = 0, (SELECT 'O' || max(o_orderkey) FROM orders WHERE o_orderkey % 59 <> 0), order_id) AS order_id,
+         commerce_items
+  FROM dcspp_order_item
+)"""
+
+
+def _details(product: str, links: str = "dcspp_order_item") -> str:
     return with_binding(f"""
 mapped AS (SELECT product_id, display_name FROM dcs_product SEMI JOIN nt_product USING (product_id)),
 adjusted AS (
@@ -330,7 +337,7 @@ item AS (
   SELECT order_id, catalog_ref_id, item.product_id, {product}.display_name, quantity, list_price, raw_total_price, order_discount,
          if(price.amount_info_id IS NULL, NULL, adjustment) AS adjustment,
          if(price.amount_info_id IS NULL, NULL, pricing_model) AS pricing_model
-  FROM dcspp_order_item JOIN dcspp_item item ON commerce_items = commerce_item_id
+  FROM {links} JOIN dcspp_item item ON commerce_items = commerce_item_id
   JOIN {product} USING (product_id)
   LEFT JOIN dcspp_item_price price ON price.amount_info_id = item.price_info
   LEFT JOIN adjusted ON adjusted.amount_info_id = item.price_info
@@ -466,7 +473,7 @@ JOIN active_order ON submitted_date <= as_of AND submitted_date > {year_before('
 JOIN line USING (order_id) JOIN oe_product USING (product_id) SEMI JOIN oe_brand USING (brand_id)
 WHERE profile_id IN (SELECT profile_id FROM s_driver)"""),
         "order_details_refreshed": out["order_details"],
-        "order_details_split": out["order_details"],
+        "order_details_hot": _details("mapped", MOVED),
         "order_details_view": f"""
 SELECT order_state, payment_method, count(*) AS n, sum(quantity) AS pieces, sum(un_price * quantity) AS worth,
        sum(un_discount) AS discount, count(DISTINCT cf_id) AS customers

@@ -164,21 +164,17 @@ PIECES = 4  # pieces of a hot order per mean partition
 def hot_orders(t: Tables, least: int = HOT_LINES) -> DataFrame | None:
     """(order_id, pieces) of orders that hold so many of all lines that one task could not take them; None if there are none.
 
-    Heavy hitters of a sketch over the order ids of the lines, then counted exactly. There are at most twice as many as
-    shuffle partitions, each with over 1 / (2 x partitions) of all lines.
+    Two passes over the order ids of the lines: their number, and partial counts per order. There are at most twice as many
+    such orders as shuffle partitions, each with over 1 / (2 x partitions) of all lines.
     """
     spark = t.dcspp_order_item.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = t.dcspp_order_item.where("order_id is not null").select("order_id")
-    k = min(2 * parts, 100_000)
-    tracked = 1 << max(12, (8 * k - 1).bit_length())  # its error stays well below a hot order's share
-    total, top = ids.agg(F.count("*"), F.expr(f"approx_top_k(order_id, {k}, {min(tracked, 1_000_000)})")).first()
+    total = ids.count()
     bound = max(least, total // (2 * parts))
-    found = [(r["item"],) for r in top or [] if 2 * r["count"] > bound]
-    if not found:
+    if total <= bound:
         return None
-    hot = F.broadcast(spark.createDataFrame(found, "order_id string"))
-    rows = ids.join(hot, "order_id").groupBy("order_id").count().where(F.col("count") > bound).collect()  # at most 2 x partitions
+    rows = ids.groupBy("order_id").count().where(F.col("count") > bound).collect()
     mean = max(1, total // parts)
     return spark.createDataFrame([(r["order_id"], -(-PIECES * r["count"] // mean)) for r in rows], "order_id string, pieces long") \
         if rows else None
