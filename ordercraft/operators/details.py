@@ -12,12 +12,13 @@ Plan shape, chosen for scale:
   is made distinct *before* the fan-out, while it is still small. The component
   columns are disjoint, so the join of four distinct components is itself
   distinct: the 31-column DISTINCT of the source never has to shuffle the
-  fanned-out result. Header, payments and shipments are distinct within their
-  order-id partitioning (no extra shuffle); lines are deduplicated on all their
+  fanned-out result. Header, payments and shipments are distinct within the
+  partitioning of the join (no extra shuffle); lines are deduplicated on all their
   columns, so a very large order is spread over many tasks;
 * price adjustments are joined to their links first, on rows without NULL keys, so lines are joined once with the
   result, in the partitioning of the item price; lines without a price id are spread by a salt;
-* product names and image links are added after the lines are distinct, so they are in no key.
+* product names and image links are added after the lines are distinct, so they are in no key;
+* an order with very many lines is joined in pieces (``hot_orders``), so no task gets it whole.
 """
 
 from __future__ import annotations
