@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ordercraft.sources.schemas import QUARANTINE, STATES, TARGETS, conform, empty
 
 SCHEMAS = {**TARGETS, **STATES, "quarantine": QUARANTINE}
-BUCKETS = 16
+BUCKETS = 4  # of a new store by default: for small targets; large ones take so many that a bucket is some 256 MB
 NO_MONTH = "none"
 
 
