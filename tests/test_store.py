@@ -11,7 +11,7 @@ import pytest
 
 from ordercraft.operators.refill import refill_purge
 from ordercraft.plans.jobs import purged_pieces, run_backfill, run_staged, staged_plan
-from ordercraft.sources.schemas import TARGETS
+from ordercraft.sources.schemas import STATES, TARGETS
 from ordercraft.sources.tables import StaleRun, TableStore, bucket_of, month_of
 from tests.conftest import AS_OF, rows, ts, world
 
@@ -140,3 +140,17 @@ def test_a_store_keeps_its_bucket_count(spark):
     assert again.state().buckets == 3
     run_staged(t, AS_OF, again)
     assert {bucket_of(p) for p in again.state().tables["cit_refil"]} <= {0, 1, 2}
+
+
+def test_wide_rows_are_written_where_they_are(spark):
+    store = TableStore(spark, tempfile.mkdtemp(prefix="ordercraft-store-"), 2)
+    schema = STATES["order_details"]
+    at = schema.fieldNames().index("order_number")
+    data = [tuple(f"O{i}" if k == at else None for k in range(len(schema))) for i in range(60)]
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    store.seed({"order_details": spark.createDataFrame(data, schema).repartition(3)})
+    # Each of the three tasks wrote its own rows of each bucket: nothing was moved to a task per bucket.
+    assert all(sum(n.endswith(".parquet") for n in names) == 3 for names in _files(store, "order_details").values())
+    assert len(store.state().tables["order_details"]) == 2
+    assert sorted(r["order_number"] for r in store.read("order_details").collect()) == sorted(f"O{i}" for i in range(60))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
