@@ -27,7 +27,7 @@ from ordercraft.operators.offers import (
 )
 from ordercraft.operators.orders import backfill_orders, staged_orders
 from ordercraft.operators.refill import GRACE_DAYS, refill_candidates, refill_purge, refill_reset, refill_upsert
-from ordercraft.session import materialize, run_folder
+from ordercraft.session import materialize, run_folder, small_broadcasts
 from ordercraft.sources.binding import Tables
 from ordercraft.sources.lookup import few, of_orders
 from ordercraft.sources.tables import State, TableStore, bucket_of, month_of
@@ -226,7 +226,7 @@ def _commit(
     def base(sequence: str, table: str, column: str) -> int:
         return state.sequences[sequence] if sequence in state.sequences else max_or(store.read(table, state), column)
 
-    with run_folder(store.spark):
+    with run_folder(store.spark), small_broadcasts(store.spark):
         work = make_work(t)
         processes = not work.driver.isEmpty()
         offers = offers_of(t, work, as_of, options)

@@ -101,6 +101,33 @@ def run_folder(spark: SparkSession):
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+SMALL_BROADCAST = 1 << 20
+_BROADCAST_LIMITS = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+@contextmanager
+def small_broadcasts(spark: SparkSession):
+    """Joins that run inside broadcast tables of up to 1 MB only (in files or shuffle output), or less if the session says so.
+
+    For runs of many joins: each broadcast passes through the driver, where a table takes several times its compressed
+    size, so with Spark's own limit of 10 MB all of them together are too much for it.
+    """
+    conf = spark.conf
+    # The first has a value in every session; the adaptive one follows it unless set.
+    before = {_BROADCAST_LIMITS[0]: conf.get(_BROADCAST_LIMITS[0]), _BROADCAST_LIMITS[1]: conf.get(_BROADCAST_LIMITS[1], None)}
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    # -1 switches broadcasts off
+    lowered = {name: value for name, value in before.items()
+               if value is not None and not value.startswith("-") and size(value.lower()) > SMALL_BROADCAST}
+    try:
+        for name in lowered:
+            conf.set(name, str(SMALL_BROADCAST))
+        yield
+    finally:
+        for name, value in lowered.items():
+            conf.set(name, value)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Cut lineage by writing ``df`` once as Parquet in the shared checkpoint folder and reading it back.
 

@@ -9,8 +9,11 @@ from pathlib import Path
 from pyspark.sql import types as T
 
 from ordercraft.operators.details import order_details
+from ordercraft.plans import jobs
+from ordercraft.session import small_broadcasts
 from ordercraft.sources.binding import _fx_line, bind_test_tables
-from tests.conftest import make_tables, rows
+from ordercraft.sources.tables import TableStore
+from tests.conftest import AS_OF, make_tables, rows, world
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -68,3 +71,25 @@ def test_lines_of_the_details_move_once_by_order(spark):
     plan = out._jdf.queryExecution().sparkPlan().toString() + out._jdf.queryExecution().executedPlan().toString()
     moved = re.findall(r"hashpartitioning\(([^()]*)\)", plan)
     assert moved and max(m.count("#") for m in moved) <= 2  # no shuffle by all columns of a line
+
+
+def test_a_run_broadcasts_small_tables_only(spark, tmp_path):
+    limit, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
+    before, seen = spark.conf.get(limit), []
+
+    def work(t):
+        seen.append(spark.conf.get(limit))
+        return jobs.staged_work(t, AS_OF, jobs.Options())
+
+    t = world(spark, [dict(order_id="O1", submitted="2024-05-01 00:00:00")], [("O1", "A", 1)])
+    jobs._commit(TableStore(spark, str(tmp_path)), t, AS_OF, jobs.Options(), None, work)
+    assert seen == [str(1 << 20)] and spark.conf.get(limit) == before and spark.conf.get(adaptive, None) is None
+    try:
+        spark.conf.set(limit, "-1")
+        spark.conf.set(adaptive, "64MB")
+        with small_broadcasts(spark):
+            assert (spark.conf.get(limit), spark.conf.get(adaptive)) == ("-1", str(1 << 20))
+        assert (spark.conf.get(limit), spark.conf.get(adaptive)) == ("-1", "64MB")
+    finally:
+        spark.conf.set(limit, before)
+        spark.conf.unset(adaptive)
