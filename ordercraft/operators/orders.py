@@ -53,7 +53,7 @@ def staged_orders(t: Tables, as_of: dt.datetime, cut=lambda df: df) -> tuple[Dat
     quarantine: orders whose payment group (Q4) or consultant (Q5) look-up would
     return several rows; the source aborts the whole run there, we set them aside.
     """
-    base = staged_base(t)
+    base = cut(staged_base(t))  # read three times below
     ids = base.select("order_id")
     pay = (
         t.dcspp_pay_group.select(F.col("order_ref").alias("order_id"))

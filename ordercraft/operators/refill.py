@@ -111,17 +111,18 @@ def sku_names(t: Tables) -> DataFrame:
 
 def rule_candidates(
     t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt.datetime, rebuy: DataFrame | None = None,
-    pair_on_rebuy: bool = False,
+    pair_on_rebuy: bool = False, cut=lambda df: df, heads: DataFrame | None = None,
 ) -> DataFrame:
     """Rule-based candidates (R and F rows joined back to the lines and rules).
 
     ``pair_on_rebuy`` pairs a rule only with the ``temp`` row of its own rebuy SKU, so that each SKU gets its own
-    description; the source does not (Q3).
+    description; the source does not (Q3). ``cut`` is applied to the ``temp`` rows and to the joined rows, which both
+    branches read. ``heads`` may pass precomputed ``_order_heads``.
     """
     rebuy = refill_rebuy(t, lines) if rebuy is None else rebuy
-    temp = rebuy.unionByName(refill_base(t, lines)).select(
+    temp = cut(rebuy.unionByName(refill_base(t, lines)).select(
         "order_id", "sku_order", "code",
-        F.col("sku_rebuy").alias("sku_rebuy_t"), F.col("expiration").alias("extra_days"))
+        F.col("sku_rebuy").alias("sku_rebuy_t"), F.col("expiration").alias("extra_days")))
     rules = _rules(t).where(F.col("sku_rebuy").isNotNull()).select(
         "sku_order", "sku_rebuy", F.col("expiration").alias("days"), "refillable")
     # The temp join is on (order, sku_order) only, so every rule of a SKU pairs with every
@@ -131,10 +132,10 @@ def rule_candidates(
         temp, ["order_id", "sku_order"])
     if pair_on_rebuy:
         paired = paired.where(F.col("sku_rebuy") == F.col("sku_rebuy_t"))
-    joined = (
+    joined = cut(
         paired
         .join(sku_names(t), "sku_rebuy_t")
-        .join(_order_heads(t, orders), "order_id")
+        .join(_order_heads(t, orders) if heads is None else heads, "order_id")
         .where(F.col("submitted_date").isNotNull())
     )
     now = ts_lit(as_of)
@@ -153,12 +154,14 @@ def rule_candidates(
     return base_rows.select(*pick).unionByName(rebuy_rows_.select(*pick))
 
 
-def default_candidates(t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Lines whose SKU has no rule: 90 days, time of day kept (Q10)."""
+def default_candidates(
+    t: Tables, orders: DataFrame, lines: DataFrame, as_of: dt.datetime, heads: DataFrame | None = None,
+) -> DataFrame:
+    """Lines whose SKU has no rule: 90 days, time of day kept (Q10). ``heads`` may pass precomputed ``_order_heads``."""
     no_rule = lines.join(_rules(t).select(F.col("sku_order").alias("sku")), "sku", "left_anti")
     return (
         no_rule.join(product_names(t, True), "product_id")
-        .join(_order_heads(t, orders), "order_id")
+        .join(_order_heads(t, orders) if heads is None else heads, "order_id")
         .where(F.col("submitted_date").isNotNull()
                & (plus_days("submitted_date", DEFAULT_DAYS + GRACE_DAYS) >= ts_lit(as_of)))
         .select("order_id", "sku", F.col("display_name").alias("description"),
@@ -174,14 +177,16 @@ def refill_candidates(
 
     ``orders`` needs (order_id, submitted_date, profile_id); candidates depend only on
     the order id, so an order listed twice is processed once (Q19). ``cut`` (e.g. a
-    checkpoint) is applied to the order set's lines, which several branches read.
+    checkpoint) is applied to the steps that several branches read, and to each branch: all are
+    joined by order id, so that uncut their sorts and hash tables would all be held by one task.
     """
     order_set = orders.select("order_id", "submitted_date", "profile_id").distinct()
     lines = cut(order_lines(t, order_set))
     joined = cut(rebuy_rows(t, lines))
-    rebuy = refill_rebuy(t, lines, joined)
-    union = rule_candidates(t, order_set, lines, as_of, rebuy, pair_on_rebuy).unionByName(
-        default_candidates(t, order_set, lines, as_of)).distinct()
+    rebuy = cut(refill_rebuy(t, lines, joined))
+    heads = cut(_order_heads(t, order_set))
+    ruled = cut(rule_candidates(t, order_set, lines, as_of, rebuy, pair_on_rebuy, cut, heads))
+    union = ruled.unionByName(cut(default_candidates(t, order_set, lines, as_of, heads))).distinct()
     repeated = repeated_refill_orders(t, lines, joined)
     candidates = union.join(repeated, "order_id", "left_anti").select(*CANDIDATE_COLUMNS)
     quarantine = repeated.join(order_set, "order_id").select(

@@ -8,7 +8,10 @@ from pathlib import Path
 
 from pyspark.sql import types as T
 
+import __spark_entry__ as E
 from ordercraft.operators.details import order_details
+from ordercraft.operators.orders import staged_orders
+from ordercraft.operators.refill import refill_candidates
 from ordercraft.plans import jobs
 from ordercraft.session import small_broadcasts
 from ordercraft.sources.binding import _fx_line, bind_test_tables
@@ -73,6 +76,32 @@ def test_lines_of_the_details_move_once_by_order(spark):
     assert moved and max(m.count("#") for m in moved) <= 2  # no shuffle by all columns of a line
 
 
+def joins(df) -> int:
+    return len(re.findall(r"Join (?:Inner|Left)", df._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def test_no_step_of_the_refill_job_holds_all_its_joins(spark):
+    t = world(spark, [dict(order_id="O1", submitted="2024-05-01 00:00:00")], [("O1", "A", 1), ("O1", "C", 1)],
+              rules=[("A", "A", 30, "Y"), ("A", "B", 40, "Y"), ("B", "B", 20, "Y")])
+    steps = []
+
+    def cut(df):
+        steps.append(joins(df))
+        return jobs.checkpoint_cut(df)
+
+    driver, held = staged_orders(t, AS_OF, cut)
+    candidates, repeated = refill_candidates(t, driver, AS_OF, cut)
+    # A step's joins by order id run in one task, where each takes memory of its own.
+    assert max([*steps, *map(joins, (driver, held, candidates, repeated))]) <= 5
+    plain = staged_orders(t, AS_OF)[0]
+    assert rows(candidates) == rows(refill_candidates(t, plain, AS_OF)[0]) and candidates.count() == 5
+
+
+def test_queries_read_the_processed_orders_from_a_written_table(spark):
+    assert joins(E.q_refill_rebuy(spark, SMOKE)) <= 3
+    assert all(joins(start(spark, SMOKE)[1]) == 0 for start in (E._staged, E._backfill, E._staged_lines))
+
+
 def test_a_run_broadcasts_small_tables_only(spark, tmp_path):
     limit, adaptive = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"
     before, seen = spark.conf.get(limit), []
