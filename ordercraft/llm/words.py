@@ -70,18 +70,25 @@ def slices(sizes: list[int], limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         yield i, len(sizes)
 
 
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS = powers(2 * SLICE_BYTES), powers(2 * SLICE_BYTES, _INVERSE)
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word (uint64) and the index of its text, in order."""
-    raw = _FOLD[np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)]
-    at = np.flatnonzero(raw)
-    if not len(at):
+    raw = _FOLD[np.frombuffer(b"\0" + b"\0".join(texts) + b"\0", np.uint8)]
+    inside = raw != 0
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if not len(edges):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    first = np.flatnonzero(raw[at - 1] == 0)  # index into ``at`` of each word's first byte (the last byte is a 0)
-    count = np.diff(np.append(first, len(at)))
-    offset = np.arange(len(at)) - np.repeat(first, count)
-    hashes = mix64(np.add.reduceat(raw[at].astype(np.uint64) * powers(int(count.max()))[offset], first))
+    before, last = edges[::2], edges[1::2]  # of each word: the byte in front of it, and its last byte
+    n = len(raw)
+    up, down = _POWERS if n <= len(_POWERS[0]) else (powers(n), powers(n, _INVERSE))
+    sums = np.multiply(raw, up[:n])  # a word's polynomial is a difference of running sums, taken back to its first byte
+    np.cumsum(sums, out=sums)
+    hashes = mix64((sums[last] - sums[before]) * down[before + 1])
     ends = np.cumsum([len(t) + 1 for t in texts])
-    return hashes, np.searchsorted(ends, at[first], side="right")
+    return hashes, np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(before, ends), prepend=0))
 
 
 def count_words(texts: list[bytes]) -> np.ndarray:

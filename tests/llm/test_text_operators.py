@@ -122,6 +122,46 @@ def test_op3_matches_brute_force(spark, monkeypatch, hot):
     assert got == want and len(want) > 20
 
 
+def test_op3_in_small_blocks(spark, monkeypatch):
+    """Groups larger than a block are finished in the second round."""
+    monkeypatch.setattr(linededup, "BLOCK", 8)
+    monkeypatch.setattr(linededup, "NEAR", 1)
+    got = {(r["doc_id"], r["line"]) for r in linededup.removed_lines(documents(spark)).collect()}
+    assert got == removed_by_brute_force(corpus())
+
+
+@pytest.mark.parametrize("hot", [linededup.HOT, 1])
+def test_op3_passes_on_rows_by_sets_not_by_pairs(spark, monkeypatch, hot):
+    """Variants of one line, nearly all similar to each other; two documents share an id and NULL ids are one document."""
+    monkeypatch.setattr(linededup, "HOT", hot)
+    base = [f"word{n}" for n in range(30)]
+    texts = [" ".join(base[:n % 30] + [f"other{n}"] + base[n % 30 + 1:]) for n in range(90)]
+    texts += [" ".join(base), " ".join(base[:24]), " ".join(base[6:])]
+    rows = [(n // 2 if n > 5 else None, t) for n, t in enumerate(texts)]
+    written = {}
+
+    def counted(df, label, write=linededup.materialize):
+        out = write(df, label)
+        written[label] = max(written.get(label, 0), out.count())
+        return out
+
+    monkeypatch.setattr(linededup, "materialize", counted)
+    got = {(r["doc_id"], r["line"]) for r in linededup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == removed_by_brute_force(rows) and len(got) > 40
+    assert max(written.values()) <= 2 * len(rows), written
+
+
+def test_word_hashes_of_long_texts_and_short_ones():
+    from ordercraft.llm.words import SLICE_BYTES, word_hashes
+
+    long = b"Ab c " * (SLICE_BYTES // 2)
+    hashes, owner = word_hashes([b"", b"ab", long, b" - ", b"c AB"])
+    ab, c = hashes[0], hashes[2]
+    assert ab != c and owner.tolist() == [1] + [2] * (len(long) // 5 * 2) + [4, 4]
+    assert (hashes[1:-2:2] == ab).all() and (hashes[2:-2:2] == c).all() and hashes[-2:].tolist() == [c, ab]
+    assert word_hashes([b"", b"--"])[0].size == 0
+
+
 def test_op3_columns_and_texts(spark):
     from pyspark.sql import functions as F
 
