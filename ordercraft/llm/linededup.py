@@ -190,7 +190,8 @@ def _closest(met: DataFrame) -> DataFrame:
             use = short[i] | (short[j] & (size[i] == size[j]))
             i, j = i[use], j[use]
             total = size[i] + size[j]
-            differ = np.bitwise_count(b1[i] ^ b1[j]).astype(np.int64) + np.bitwise_count(b2[i] ^ b2[j])
+            # unsigned: of a negative number, numpy counts the bits of its absolute value
+            differ = sum(np.bitwise_count((b[i] ^ b[j]).view(np.uint64)).astype(np.int64) for b in (b1, b2))
             use = differ <= total - 2 * ((total * NUM + NUM + DEN - 1) // (NUM + DEN))
             i, j, differ = i[use], j[use], differ[use]
             line_i, line_j = at[i] >> TAG_BITS, at[j] >> TAG_BITS

@@ -151,6 +151,19 @@ def test_op3_passes_on_rows_by_sets_not_by_pairs(spark, monkeypatch, hot):
     assert max(written.values()) <= 2 * len(rows), written
 
 
+def test_op3_pairs_of_lines_of_any_bitmap(spark):
+    """Pairs of lines that differ by a few words, whose bitmaps differ in any bit."""
+    rng = random.Random(3)
+    rows = []
+    for n in range(300):
+        line = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(20, 80))]
+        rows += [(2 * n, " ".join(line)), (2 * n + 1, " ".join(line[:-1] + [f"v{n}"]))]
+    got = {(r["doc_id"], r["line"]) for r in linededup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(2 * n + 1, 0) for n in range(300)}
+
+
+
+
 def test_word_hashes_of_long_texts_and_short_ones():
     from ordercraft.llm.words import SLICE_BYTES, word_hashes
 
