@@ -17,8 +17,8 @@ from ordercraft.llm.langid import UNKNOWN, predict_languages
 from ordercraft.llm.linededup import dedup_lines, without_removed
 from ordercraft.llm.minhash import near_duplicates
 from ordercraft.llm.mixing import mix_sources
-from ordercraft.llm.words import WORD, free, text_key, without
-from ordercraft.session import checkpoint_root, materialize, run_folder
+from ordercraft.llm.words import WORD, free, materialize, text_key, without
+from ordercraft.session import checkpoint_root, run_folder
 
 # Least share of a document's main language; below it the document is no text of one language.
 MIN_SHARE = 0.4
@@ -33,8 +33,12 @@ def _beside(docs: DataFrame, added: list[str], work: Callable[[DataFrame], DataF
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised main language (op 8); the others go."""
-    return _beside(docs, ["held_out", "lang_pred", "score"], lambda rows: predict_languages(rows).where(
-        (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE)))
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE)
+    # predicted in a step of its own, in small batches: whoever writes the result may run it in batches of any size
+    gone = materialize(predict_languages(docs.select("doc_id", "text", "lang")).where(~known).select(text_key().alias("key")).distinct(),
+                       "pipeline-unknown")
+    key = free(docs, "_text_key")
+    return without(docs.withColumn(key, text_key()), key, gone).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

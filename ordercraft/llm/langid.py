@@ -15,6 +15,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ordercraft.llm.words import small_batches
+
 UNKNOWN = "und"
 NGRAM = 3
 MAX_FEATURES = 1 << 13
@@ -57,7 +59,8 @@ def train(labelled: DataFrame, max_features: int = MAX_FEATURES) -> tuple[list[s
                     [pa.array([lang] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(grams[at].astype(np.int64))],
                     names=["lang", "gram", "n"])
 
-    totals = rows.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    with small_batches(labelled.sparkSession):
+        totals = rows.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(totals["lang"].unique())
     table = np.zeros((features, len(names)))
     table[totals["gram"].to_numpy(int), np.searchsorted(names, totals["lang"]) if names else []] = totals["n"]

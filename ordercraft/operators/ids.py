@@ -15,6 +15,7 @@ in a single task, so instead:
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ordercraft.session import materialize
@@ -42,8 +43,9 @@ def dense_ids(df: DataFrame, order_cols: list[str], base: int, id_col: str) -> t
     for part, c in counts:
         offsets.append((part, acc))
         acc += c
-    # One row per range partition.
-    offset_df = spark.createDataFrame(offsets or [(0, base)], "_part int, _offset long")
+    # One row per range partition, as an Arrow table: a list of rows would go through Python workers of their own.
+    parts, starts = zip(*(offsets or [(0, base)]))
+    offset_df = spark.createDataFrame(pa.table({"_part": pa.array(parts, pa.int32()), "_offset": pa.array(starts, pa.int64())}))
     within = Window.partitionBy("_part").orderBy(*order_cols)
     numbered = (
         ranged.join(F.broadcast(offset_df), "_part")

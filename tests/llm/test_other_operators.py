@@ -9,11 +9,13 @@ import tempfile
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ordercraft.llm import chat, embeddup, htmltext, warc
+from ordercraft.llm import chat, embeddup, htmltext, mixing, warc, words as wordlib
+from ordercraft.operators.ids import assign_dense_ids
 from tests.llm.helpers import components, corpus, documents, no_documents
 from tests.llm.test_text_operators import removed_by_brute_force
 
@@ -371,6 +373,37 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, docs.limit(0), folder).count() == 0
 
 
+def test_language_is_predicted_in_small_batches(spark, tmp_path):
+    """The texts go to Python in a step of the stage's own, whatever batches its result is written in."""
+    out = corpus_pipeline.language(spark, documents(spark), str(tmp_path))
+    assert out.count() > 10 and "predict(" not in out._jdf.queryExecution().toString()
+
+
+def test_small_batches_bound_bytes(spark):
+    """Long texts go to Python some MB at a time, and the session's own limits come back."""
+    names = [f"spark.sql.execution.arrow.{n}" for n in ("maxRecordsPerBatch", "maxBytesPerBatch")]
+    before = [spark.conf.get(n) for n in names]
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    texts = spark.range(0, 12, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    got = wordlib.materialize(texts.mapInArrow(sizes, "n long, size long"), "sizes").collect()
+    assert sum(r["n"] for r in got) == 12 and max(r["size"] for r in got) <= wordlib.BATCH_BYTES + (2 << 20)
+    assert [spark.conf.get(n) for n in names] == before
+
+
+def test_mix_runs_without_python_workers(spark):
+    plan = mixing.mix_sources(documents(spark).where("doc_id > 3"))._jdf.queryExecution().toString()
+    sizes = spark.range(3).select(F.col("id").cast("string").alias("source"), (F.col("id") * 10).alias("source_size"))
+    targets = mixing.source_targets(sizes, [3, 1, 2], 1.5, 2)
+    ranked = assign_dense_ids(sizes, ["source"], -1, "_rank")
+    assert {r["source"]: r["_rank"] for r in ranked.collect()} == {"0": 0, "1": 1, "2": 2} and targets.count() == 3
+    assert "Python" not in plan and "ExistingRDD" not in ranked._jdf.queryExecution().toString()
+    assert assign_dense_ids(sizes.limit(0), ["source"], -1, "_rank").count() == 0
+
+
 def test_queries_are_registered():
     import __spark_entry__ as entry
     from ordercraft.llm.queries import ORACLES, QUERIES
